@@ -239,3 +239,8 @@ def running_before(
             count_as, F.col(count_as) + F.coalesce(F.col("_count_before"), F.lit(0))
         )
     return result.drop(CHUNK, HALO, "_sum_before", "_count_before")
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast after counting the rows, at most one more than the limit."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

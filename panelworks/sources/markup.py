@@ -7,6 +7,7 @@ covers the tags authors leave open.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,13 @@ ENTITIES = {
     "&amp;": "&",
 }
 
+# Parents whose closing tag also ends an open child.
+PARENTS = {
+    "tr": ("tbody", "table"),
+    "li": ("ul", "ol"),
+    "p": ("article", "main", "section", "div", "body"),
+}
+
 HIDDEN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
 
 
@@ -39,8 +47,8 @@ def opening(tag: str) -> str:
     return rf"(?i)<{tag}(?:\s[^>]*)?>"
 
 
-def closing(tag: str) -> str:
-    return rf"(?i)</{tag}\s*>"
+def closing(*tags: str) -> str:
+    return rf"(?i)</(?:{'|'.join(tags)})\s*>"
 
 
 def decode(text: Column) -> Column:
@@ -55,11 +63,21 @@ def plain_text(markup: Column) -> Column:
     return strip(decode(F.regexp_replace(broken, r"<[^>]*>", "")))
 
 
+def cut_at(markup: Column, pattern: str) -> Column:
+    """What follows each match of the pattern, up to the next match."""
+    pieces = F.split(markup, pattern)
+    return F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+
+
 def elements(markup: Column, tag: str) -> Column:
-    """Inner markup of every element of one kind, in page order."""
-    pieces = F.split(markup, opening(tag))
-    later = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
-    return F.transform(later, lambda piece: F.get(F.split(piece, closing(tag)), F.lit(0)))
+    """Inner markup of every element of one kind, in page order.
+
+    An element left open ends at the next one, or where its parent closes.
+    """
+    pieces = cut_at(markup, opening(tag))
+    return F.transform(
+        pieces, lambda piece: F.get(F.split(piece, closing(tag, *PARENTS.get(tag, ())), 2), F.lit(0))
+    )
 
 
 def grid_rows(
@@ -148,81 +166,64 @@ def token_stream(
     item: str,
     html: str = "html",
     header_attr: str | None = None,
-    keywords: Sequence[str] | None = None,
+    keywords: Sequence[str] = (),
     item_pattern: str | None = None,
 ) -> DataFrame:
     """Items of a page under the header before them; items before any header go.
 
-    A header is the text of ``header``, or its attribute ``header_attr``, and
-    counts only if it holds one of ``keywords`` (when given). The item text is the
-    text of ``item``; with ``item_pattern`` that text has to match, its group is
-    the label, and the item is the text that follows the element. The group is
-    carried forward inside the page's own array, so nothing is shuffled.
+    The header name is the text of ``header``, or its attribute ``header_attr``,
+    which then has to hold one of ``keywords``; other elements of that kind do not
+    start a group. The item is the text of ``item``. With ``item_pattern`` that
+    text has to match, its group is the label, and the item is the text right
+    after the element. The page is cut once at its headers and each section once
+    at its items, so the work is linear in the page and nothing is shuffled.
     """
-    both = rf"(?i)(?=<(?:{header}|{item})(?:\s[^>]*)?>)"
-    pieces = F.split(visible(html), both)
+    if header_attr:
+        words = "|".join(re.escape(word) for word in keywords)
+        head_tag = rf'(?i:<{header}\s(?:[^>]*\s)?{header_attr}=)"[^"]*(?:{words})[^"]*"[^>]*>'
+    else:
+        head_tag = rf"(?i:<{header})(?:\s[^>]*)?>"
 
-    def parse(piece: Column) -> Column:
-        is_header = piece.rlike(rf"(?i)^<{header}(?:\s[^>]*)?>")
-        is_item = piece.rlike(rf"(?i)^<{item}(?:\s[^>]*)?>")
-        head_tag = F.regexp_extract(piece, rf"(?i)^<{header}(?:\s[^>]*)?>", 0)
+    def head_name(tag: Column, section: Column) -> Column:
         if header_attr:
-            head = attribute(head_tag, header_attr)
-        else:
-            head = plain_text(F.get(elements(piece, header), F.lit(0)))
-        known = head.isNotNull()
-        if keywords is not None:
-            hit = F.lit(False)
-            for word in keywords:
-                hit = hit | F.contains(head, F.lit(word))
-            known = known & hit
-        inner = plain_text(F.get(elements(piece, item), F.lit(0)))
-        if item_pattern:
-            label = F.nullif(F.regexp_extract(inner, item_pattern, 1), F.lit(""))
-            after = F.get(F.split(piece, closing(item), 2), F.lit(1))
-            text = plain_text(F.get(F.split(after, "<", 2), F.lit(0)))
+            text = attribute(tag, header_attr)
         else:
-            label, text = F.lit(None).cast("string"), inner
+            text = plain_text(F.get(F.split(section, closing(header)), F.lit(0)))
+        return F.upper(F.replace(text, F.lit(" "), F.lit("_")))
+
+    def parse(piece: Column) -> Column:
+        parts = F.split(piece, closing(item, *PARENTS.get(item, ())), 2)
+        inner = plain_text(F.get(parts, F.lit(0)))
+        if not item_pattern:
+            return F.struct(F.lit(None).cast("string").alias("label"), inner.alias("text"))
+        after = F.coalesce(F.get(parts, F.lit(1)), F.lit(""))
         return F.struct(
-            F.when(is_header & known, F.upper(F.replace(head, F.lit(" "), F.lit("_")))).alias("head"),
-            F.when(is_item, label).alias("label"),
-            F.when(is_item & (F.lit(not item_pattern) | label.isNotNull()), text).alias("text"),
+            F.nullif(F.regexp_extract(inner, item_pattern, 1), F.lit("")).alias("label"),
+            plain_text(F.get(F.split(after, "<", 2), F.lit(0))).alias("text"),
         )
 
-    numbered = F.filter(
-        F.transform(pieces, parse), lambda t: t["head"].isNotNull() | t["text"].isNotNull()
-    )
-    tokens = df.select(
-        *[c for c in df.columns if c != html], numbered.alias("_tokens")
-    )
-    carried = F.aggregate(
-        "_tokens",
-        F.struct(
-            F.lit(None).cast("string").alias("head"),
-            F.array().cast("array<struct<group:string,label:string,text:string>>").alias("items"),
-        ),
-        lambda state, t: F.struct(
-            F.coalesce(t["head"], state["head"]).alias("head"),
-            F.when(
-                t["text"].isNotNull() & (t["text"] != "") & state["head"].isNotNull(),
-                F.concat(
-                    state["items"],
-                    F.array(
-                        F.struct(
-                            state["head"].alias("group"),
-                            t["label"].alias("label"),
-                            t["text"].alias("text"),
-                        )
-                    ),
-                ),
-            )
-            .otherwise(state["items"])
-            .alias("items"),
-        ),
-        lambda state: state["items"],
+    def section_items(section: Column, at: Column) -> Column:
+        group = head_name(F.get(F.col("_tags"), at), section)
+        found = F.filter(F.transform(cut_at(section, opening(item)), parse), wanted)
+        return F.transform(
+            found,
+            lambda t: F.struct(
+                group.alias("group"), t["label"].alias("label"), t["text"].alias("text")
+            ),
+        )
+
+    def wanted(t: Column) -> Column:
+        named = t["text"] != ""
+        return named & t["label"].isNotNull() if item_pattern else named
+
+    keep = [c for c in df.columns if c != html]
+    cut = df.select(*keep, visible(html).alias("_page")).select(
+        *keep,
+        F.regexp_extract_all("_page", F.lit(head_tag), F.lit(0)).alias("_tags"),
+        cut_at(F.col("_page"), head_tag).alias("_sections"),
     )
-    keep = [c for c in tokens.columns if c != "_tokens"]
-    return tokens.select(*keep, F.posexplode(carried).alias("item_no", "_item")).select(
+    items = F.flatten(F.transform("_sections", section_items))
+    return cut.select(*keep, F.posexplode(items).alias("item_no", "_item")).select(
         *keep, "item_no", "_item.*"
     )
 
