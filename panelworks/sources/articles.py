@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,10 +39,12 @@ def read_articles(spark: SparkSession, folder: str) -> DataFrame:
     return with_body(files.option("pathGlobFilter", "*.json").json(folder))
 
 
-def worklist_urls(df: DataFrame, round_num: int, col: str = "value") -> DataFrame:
+def worklist_urls(
+    df: DataFrame, round_num: int, col: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
     """URLs a JSON worklist names for a round; none if the round is missing."""
     urls = F.try_element_at(F.from_json(col, _WORKLIST), F.lit(str(round_num)))
-    return df.select(F.posexplode(urls).alias("url_no", "url"))
+    return df.select(*keep, F.posexplode(urls).alias("url_no", "url"))
 
 
 def read_worklist(spark: SparkSession, path: str, round_num: int) -> DataFrame:

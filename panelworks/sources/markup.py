@@ -202,16 +202,6 @@ def token_stream(
             plain_text(F.get(F.split(after, "<", 2), F.lit(0))).alias("text"),
         )
 
-    def section_items(section: Column, at: Column) -> Column:
-        group = head_name(F.get(F.col("_tags"), at), section)
-        found = F.filter(F.transform(cut_at(section, opening(item)), parse), wanted)
-        return F.transform(
-            found,
-            lambda t: F.struct(
-                group.alias("group"), t["label"].alias("label"), t["text"].alias("text")
-            ),
-        )
-
     def wanted(t: Column) -> Column:
         named = t["text"] != ""
         return named & t["label"].isNotNull() if item_pattern else named
@@ -220,12 +210,17 @@ def token_stream(
     cut = df.select(*keep, visible(html).alias("_page")).select(
         *keep,
         F.regexp_extract_all("_page", F.lit(head_tag), F.lit(0)).alias("_tags"),
-        cut_at(F.col("_page"), head_tag).alias("_sections"),
+        F.posexplode(cut_at(F.col("_page"), head_tag)).alias("section_no", "_section"),
     )
-    items = F.flatten(F.transform("_sections", section_items))
-    return cut.select(*keep, F.posexplode(items).alias("item_no", "_item")).select(
-        *keep, "item_no", "_item.*"
+    named = cut.select(
+        *keep,
+        "section_no",
+        head_name(F.get(F.col("_tags"), F.col("section_no")), F.col("_section")).alias("group"),
+        F.transform(cut_at(F.col("_section"), opening(item)), parse).alias("_items"),
     )
+    return named.select(
+        *keep, "section_no", "group", F.posexplode(F.filter("_items", wanted)).alias("item_no", "_item")
+    ).select(*keep, "section_no", "item_no", "group", "_item.*")
 
 
 def team_lists(df: DataFrame, keywords: Sequence[str], html: str = "html") -> DataFrame:
