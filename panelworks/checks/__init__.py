@@ -17,7 +17,7 @@ MODULES = (
 
 def registered() -> tuple[dict, dict]:
     """All queries by name, and the SQL of those that have one."""
-    for module in MODULES[:8]:
+    for module in MODULES:
         import_module(f"panelworks.checks.{module}")
     from panelworks.checks.book import ORACLE, QUERIES
 

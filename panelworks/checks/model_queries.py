@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelworks.checks.book import r8, register
-from panelworks.checks.panels import EV, EVENTS, LI, event_panel, rounded, supply_panel, table
+from panelworks.checks.panels import EV, EVENTS, LI, event_panel, rounded, stored, supply_panel, table
 from panelworks.operators import features as f
 from panelworks.operators import models as m
 from panelworks.operators.aggregates import cluster_profile
@@ -119,8 +119,10 @@ def model_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Event rows with lagged features, a next-row target and a split."""
     families = [lags("score", (1, 2), "score"), rolling_mean("score", 3, "rolling_avg_3")]
     rows = add_features(event_panel(spark, sf), EVENTS, families)
-    return f.season_split(lead_target(rows, EVENTS)).select(
-        "event_id", "primary_position", "split", "target_score", *FEATURES
+    return stored(
+        f.season_split(lead_target(rows, EVENTS)).select(
+            "event_id", "primary_position", "split", "target_score", *FEATURES
+        )
     )
 
 
@@ -174,7 +176,7 @@ def vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
     rows = table(spark, sf, "embeddings")
     names = [f"e{i}" for i in range(64)]
     columns = [F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)]
-    return f.standardise(rows.select("vec_id", "label", *columns), names), names
+    return f.standardise(stored(rows.select("vec_id", "label", *columns)), names), names
 
 
 @register("latent_and_anomaly")

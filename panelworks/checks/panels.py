@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelworks.panel import Panel
+from panelworks.session import persist_point
 from panelworks.sources.tables import read_table
 
 DECIMALS = 8
@@ -38,6 +39,11 @@ def rounded(df: DataFrame, *cols: str) -> DataFrame:
     return picked.select(*[tidy(f) for f in picked.schema.fields])
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The frame as a stored intermediate table, as between two jobs."""
+    return persist_point(df)
+
+
 def pick(index: Column, names: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), index.cast("int") + 1)
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelworks.operators.layout import running_before
+from panelworks.operators.layout import broadcast_if_small, running_before
+from panelworks.session import persist_point
 
 # Columns known only after the round, and identifiers.
 LEAKING_COLUMNS = [
@@ -74,6 +75,7 @@ def apply_codes(
     unseen: int | None = None,
 ) -> DataFrame:
     """Add the code of each column under a new name; ``unseen`` for unknown values."""
+    codes = broadcast_if_small(persist_point(codes))
     for col, name in cols.items():
         own = codes.filter(F.col("column") == col).select(
             F.col("value").alias("_value"), F.col("code").alias(name)

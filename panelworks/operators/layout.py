@@ -31,6 +31,8 @@ from panelworks.session import persist_point
 
 #: Largest number of rows one group may bring into one task.
 HOT_ROWS = 2_000_000
+#: Pass as ``hot_rows`` where the caller has counted the groups already.
+UNCHECKED = -1
 #: Largest number of small key rows handed to a broadcast hint.
 BROADCAST_ROWS = 200_000
 
@@ -59,6 +61,8 @@ class HotGroups:
 def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> HotGroups | None:
     """Count rows per group (map-side combined) and return the ones over the limit."""
     limit = hot_rows_limit(df, hot_rows)
+    if limit == UNCHECKED:
+        return None
     if keys:
         sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     else:

@@ -123,20 +123,20 @@ def penalised_rosters(pool: DataFrame, rules: RosterRules) -> DataFrame:
 def capped_roster(pool: DataFrame, rules: RosterRules) -> DataFrame:
     """The best full roster within the cap; empty if no penalty gives one.
 
-    The rosters of all penalties together hold at most penalties x size rows.
+    Each roster is gathered into one row, ``size`` players at most, so the pool
+    is read once for choosing and for listing.
     """
     rosters = penalised_rosters(pool, rules)
-    fits = (
-        rosters.groupBy("penalty")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.col(rules.price).cast("bigint")).alias("spent"),
-            F.sum("_points").alias("points"),
-        )
-        .filter((F.col("n") == rules.size) & (F.col("spent") <= rules.cap))
+    columns = [c for c in rosters.columns if c not in ("penalty", "_points")]
+    whole = rosters.groupBy("penalty").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col(rules.price).cast("bigint")).alias("spent"),
+        F.sum("_points").alias("points"),
+        F.collect_list(F.struct(*columns)).alias("players"),
     )
-    best = fits.agg(F.max_by("penalty", F.struct("points", -F.col("penalty"))).alias("penalty"))
-    return rosters.join(best, "penalty", "left_semi").drop("_points", "penalty")
+    fits = whole.filter((F.col("n") == rules.size) & (F.col("spent") <= rules.cap))
+    best = fits.orderBy(F.col("points").desc(), "penalty").limit(1)
+    return best.select(F.inline("players"))
 
 
 def audit_roster(roster: DataFrame, pool: DataFrame, rules: RosterRules) -> DataFrame:

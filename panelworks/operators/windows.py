@@ -8,7 +8,7 @@ value is null until its frame holds ``n`` non-null values, not ``n`` rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,7 +16,13 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from panelworks.functions.scalars import action_sum
-from panelworks.operators.layout import Build, apply_windows, null_safe_join, running_before
+from panelworks.operators.layout import (
+    Build,
+    apply_windows,
+    hot_groups,
+    null_safe_join,
+    running_before,
+)
 from panelworks.panel import Panel
 
 # The action columns whose unweighted sum is the action score.
@@ -292,23 +298,40 @@ def add_career_avg_as_of(
     return counted.withColumn("career_avg", mean).drop("_sum", "_count")
 
 
-def add_average_rank(
+def add_average_ranks(
     df: DataFrame,
     by: Sequence[str],
-    col: str,
-    name: str,
+    names: Mapping[str, str],
+    counted_on: DataFrame | None = None,
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """Ascending rank in the group; ties share the mean rank, null stays null.
+    """Ascending rank of each column in the group; ties share the mean rank, null stays null.
 
-    Rows are counted per distinct value before the shuffle; the rank follows
-    from the number of rows with a smaller value.
+    One window pass ranks all columns. If a group is hot, its rows are counted
+    per distinct value instead, and the rank follows from the number of rows with
+    a smaller value. ``counted_on`` is a cheaper frame with the same groups.
     """
+    if hot_groups(df if counted_on is None else counted_on, by, hot_rows) is not None:
+        for col, name in names.items():
+            df = null_safe_join(df, _ranked_values(df, by, col, name, hot_rows), [*by, col], "left")
+        return df
+
+    def mean_rank(col: str) -> Column:
+        window = Window.partitionBy(*by).orderBy(F.col(col).asc_nulls_last())
+        ties = F.count(F.lit(1)).over(window.rangeBetween(Window.currentRow, Window.currentRow))
+        return F.when(F.col(col).isNotNull(), F.rank().over(window) + (ties - 1) / 2)
+
+    return df.select("*", *[mean_rank(col).alias(name) for col, name in names.items()])
+
+
+def _ranked_values(
+    df: DataFrame, by: Sequence[str], col: str, name: str, hot_rows: int | None
+) -> DataFrame:
+    """Distinct values with their mean rank."""
     values = df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_before(values, by, [col], "_n", sum_as="_smaller", hot_rows=hot_rows).select(
-        *by, col, (F.coalesce("_smaller", F.lit(0)) + (F.col("_n") + 1) / 2).alias(name)
-    )
-    return null_safe_join(df, ranked, [*by, col], "left")
+    ranked = running_before(values, by, [col], "_n", sum_as="_smaller", hot_rows=hot_rows)
+    rank = F.coalesce("_smaller", F.lit(0)) + (F.col("_n") + 1) / 2
+    return ranked.select(*by, col, rank.alias(name))
 
 
 def add_price_ranks(
@@ -316,8 +339,8 @@ def add_price_ranks(
 ) -> DataFrame:
     """Mean-tie ranks of price and score within season, round and position."""
     by = [*panel.season, panel.round, panel.position]
-    priced = add_average_rank(df, by, panel.price, "price_rank_in_position", hot_rows)
-    return add_average_rank(priced, by, panel.score, "score_rank_in_position", hot_rows)
+    names = {panel.price: "price_rank_in_position", panel.score: "score_rank_in_position"}
+    return add_average_ranks(df, by, names, hot_rows=hot_rows)
 
 
 def carry_forward(

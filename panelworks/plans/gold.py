@@ -1,8 +1,10 @@
 """Silver panel to the gold feature table.
 
-All (entity, season) features share one window pass. The lookups are joined
-afterwards: the ones that stay small in practice are counted and broadcast, so
-the wide feature rows are not shuffled again for them.
+The narrow silver rows are ranked and joined with the lookups first. They are
+then shuffled once by entity, and every window of an entity, by season or by
+opponent, is evaluated on that one layout, so the many feature columns come into
+being after the last shuffle. If one entity is too large for a task, its windows
+are split instead.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from panelworks.functions.scalars import PLACE_CODES, TEAM_CODES, is_code, recod
 from panelworks.operators import windows as w
 from panelworks.operators.aggregates import add_opponent_strength, mean_score, opponent_strength
 from panelworks.operators.joins import add_initial_price, add_match_context
-from panelworks.operators.layout import broadcast_if_small
+from panelworks.operators.layout import UNCHECKED, broadcast_if_small, hot_groups
 from panelworks.panel import Panel
 from panelworks.sources.tables import read_table, union_drift, write_table
 
@@ -51,20 +53,30 @@ def gold_features(
     point_in_time: bool = False,
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """The full feature table; ``point_in_time`` keeps later rounds out of the means."""
-    df = add_initial_price(window_features(silver, panel, hot_rows), panel)
+    """The full feature table; ``point_in_time`` keeps later rounds out of the means.
+
+    ``silver`` should be a stored table, since its groups and lookups are counted
+    before the plan is built.
+    """
+    df = w.add_price_ranks(silver, panel, hot_rows)
+    df = add_initial_price(df, panel)
+    if context is not None:
+        df = add_match_context(df, broadcast_if_small(context), panel)
+    if not point_in_time:
+        strength = broadcast_if_small(opponent_strength(silver, panel))
+        df = df.join(strength, [panel.opponent, panel.position], "left")
+    if hot_groups(silver, panel.entity, hot_rows) is None:
+        # one shuffle by entity serves every window and join below
+        df, hot_rows = df.repartition(*panel.entity), UNCHECKED
     if point_in_time:
-        df = add_opponent_strength(df, panel, expanding=True, hot_rows=hot_rows)
         df = w.add_career_avg_as_of(df, panel, hot_rows)
     else:
-        strength = broadcast_if_small(opponent_strength(silver, panel))
-        df = df.join(strength, [panel.opponent, panel.position], "left")
         careers = mean_score(silver, panel.entity, panel.score, "career_avg")
-        df = df.join(broadcast_if_small(careers), list(panel.entity), "left")
+        df = df.join(careers, list(panel.entity), "left")
     df = w.blend_with_career(w.add_prior_encounters(df, panel, hot_rows))
-    df = w.add_price_ranks(df, panel, hot_rows)
-    if context is not None:
-        df = add_match_context(df, broadcast_if_small(context), panel)
+    df = window_features(df, panel, hot_rows)
+    if point_in_time:
+        df = add_opponent_strength(df, panel, expanding=True)
     return df
 
 
