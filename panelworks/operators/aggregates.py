@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelworks.operators.layout import (
     CHUNK,
+    attach,
     hot_groups,
     null_safe_join,
     running_before,
@@ -39,7 +40,7 @@ def mean_score(df: DataFrame, keys: Sequence[str], score: str, name: str) -> Dat
 def add_career_avg(df: DataFrame, panel: Panel = Panel()) -> DataFrame:
     """Mean score of the entity over all rows, on every row."""
     means = mean_score(df, panel.entity, panel.score, "career_avg")
-    return df.join(means, list(panel.entity), "left")
+    return attach(df, means, panel.entity)
 
 
 def career_stats(df: DataFrame, panel: Panel = Panel()) -> DataFrame:
@@ -106,7 +107,7 @@ def add_opponent_strength(
     df = df.drop("opponent_avg_pts_allowed")
     keys = [panel.opponent, panel.position]
     if not expanding:
-        return df.join(opponent_strength(df, panel), keys, "left")
+        return attach(df, opponent_strength(df, panel), keys)
     counted = running_before(
         df,
         keys,

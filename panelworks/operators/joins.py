@@ -1,8 +1,9 @@
 """Lookup joins of a panel with context, fixtures, states and sentiment.
 
-No join here carries a broadcast hint: the lookups grow with the data, so the
-choice is left to adaptive execution, which broadcasts on measured size and
-splits skewed shuffle partitions otherwise.
+The lookups grow with the data, so none is broadcast unseen. Derived ones go
+through ``attach``, which stores and counts them first; stored ones are joined
+plainly, and adaptive execution broadcasts them on measured size or splits the
+partition of a hot key.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from panelworks.functions.scalars import (
     without_apostrophe,
 )
 from panelworks.operators.aggregates import last_by
+from panelworks.operators.layout import attach
 from panelworks.panel import Panel
 
 CONTEXT_COLUMNS = ("is_home", "ground_condition", "weather_condition")
@@ -54,7 +56,7 @@ def derive_byes(df: DataFrame, context: DataFrame, panel: Panel = Panel()) -> Da
 
 
 def flag_byes(df: DataFrame, byes: DataFrame, panel: Panel = Panel()) -> DataFrame:
-    joined = df.join(byes, context_keys(panel), "left")
+    joined = attach(df, byes, context_keys(panel))
     return joined.withColumn("is_bye", coalesce_default("is_bye", False))
 
 
@@ -128,7 +130,7 @@ def round_opponents(
 
 
 def join_opponents(df: DataFrame, opponents: DataFrame, team: str) -> DataFrame:
-    joined = df.join(opponents.withColumnRenamed("team", team), team, "left")
+    joined = attach(df, opponents.withColumnRenamed("team", team), [team])
     return joined.withColumn("is_bye", F.col("round_opponent").isNull())
 
 
@@ -144,7 +146,7 @@ def latest_matchup(gold: DataFrame, panel: Panel = Panel()) -> DataFrame:
 def join_latest_matchup(df: DataFrame, gold: DataFrame, panel: Panel = Panel()) -> DataFrame:
     """Last blended matchup mean against the round's opponent, and the score it gives."""
     latest = latest_matchup(gold, panel).withColumnRenamed(panel.opponent, "round_opponent")
-    joined = df.join(latest, [*panel.entity, "round_opponent"], "left")
+    joined = attach(df, latest, [*panel.entity, "round_opponent"])
     return joined.withColumn(
         "round_predicted_score", round_score("is_bye", "round_matchup_avg", "career_avg")
     )
@@ -155,7 +157,7 @@ def join_states(
 ) -> DataFrame:
     """Latest cluster and anomaly per entity; -1 and 0 where there is no history."""
     latest = last_by(states, panel.entity, ["cluster", "anomaly_score"], panel.timeline)
-    joined = df.join(latest, list(panel.entity), "left")
+    joined = attach(df, latest, panel.entity)
     return joined.withColumns(
         {
             "cluster": coalesce_default("cluster", -1).cast("int"),

@@ -245,6 +245,21 @@ def running_before(
     return result.drop(CHUNK, HALO, "_sum_before", "_count_before")
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Hint a broadcast after counting the rows, at most one more than the limit."""
+    rows = BROADCAST_ROWS if rows is None else rows
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def attach(df: DataFrame, lookup: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Left join of a derived lookup table.
+
+    The lookup is computed once and stored, then counted. A small one is
+    broadcast. A large one meets the rows in a shuffle, where adaptive execution
+    splits the partition of a hot key; it can do that only for a side that is
+    shuffled as it is, which is why the lookup is stored before the join.
+    """
+    table = broadcast_if_small(persist_point(lookup))
+    if null_safe:
+        return null_safe_join(df, table, on, "left")
+    return df.join(table, list(on), "left")

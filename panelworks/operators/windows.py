@@ -19,8 +19,8 @@ from panelworks.functions.scalars import action_sum
 from panelworks.operators.layout import (
     Build,
     apply_windows,
+    attach,
     hot_groups,
-    null_safe_join,
     running_before,
 )
 from panelworks.panel import Panel
@@ -313,7 +313,8 @@ def add_average_ranks(
     """
     if hot_groups(df if counted_on is None else counted_on, by, hot_rows) is not None:
         for col, name in names.items():
-            df = null_safe_join(df, _ranked_values(df, by, col, name, hot_rows), [*by, col], "left")
+            ranked = _ranked_values(df, by, col, name, hot_rows)
+            df = attach(df, ranked, [*by, col], null_safe=True)
         return df
 
     def mean_rank(col: str) -> Column:

@@ -15,7 +15,7 @@ from panelworks.functions.scalars import PLACE_CODES, TEAM_CODES, is_code, recod
 from panelworks.operators import windows as w
 from panelworks.operators.aggregates import add_opponent_strength, mean_score, opponent_strength
 from panelworks.operators.joins import add_initial_price, add_match_context
-from panelworks.operators.layout import UNCHECKED, broadcast_if_small, hot_groups
+from panelworks.operators.layout import UNCHECKED, attach, broadcast_if_small, hot_groups
 from panelworks.panel import Panel
 from panelworks.sources.tables import read_table, union_drift, write_table
 
@@ -63,8 +63,7 @@ def gold_features(
     if context is not None:
         df = add_match_context(df, broadcast_if_small(context), panel)
     if not point_in_time:
-        strength = broadcast_if_small(opponent_strength(silver, panel))
-        df = df.join(strength, [panel.opponent, panel.position], "left")
+        df = attach(df, opponent_strength(silver, panel), [panel.opponent, panel.position])
     if hot_groups(silver, panel.entity, hot_rows) is None:
         # one shuffle by entity serves every window and join below
         df, hot_rows = df.repartition(*panel.entity), UNCHECKED
@@ -72,7 +71,7 @@ def gold_features(
         df = w.add_career_avg_as_of(df, panel, hot_rows)
     else:
         careers = mean_score(silver, panel.entity, panel.score, "career_avg")
-        df = df.join(careers, list(panel.entity), "left")
+        df = attach(df, careers, panel.entity)
     df = w.blend_with_career(w.add_prior_encounters(df, panel, hot_rows))
     df = window_features(df, panel, hot_rows)
     if point_in_time:
