@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from panelworks.checks.book import r8, register
 from panelworks.checks.panels import EV, EVENTS, LI, event_panel, rounded, stored, supply_panel, table
+from panelworks.checks.source_queries import scratch
 from panelworks.operators import features as f
 from panelworks.operators import models as m
 from panelworks.operators.aggregates import cluster_profile
 from panelworks.operators.topk import metric_leaderboard, top_features
 from panelworks.operators.windows import add_features, lags, lead_target, rolling_mean
+from panelworks.sources.tables import read_table as table_at
 
 
 @register(
@@ -202,3 +204,26 @@ def clustered(spark: SparkSession, sf: str) -> DataFrame:
 def array_vectors(spark: SparkSession, sf: str) -> DataFrame:
     rows = m.array_features(table(spark, sf, "embeddings"), "embedding")
     return rounded(m.spread_vector(rows.drop("embedding"), "latent", 2, "latent_"))
+
+
+@register("stored_model")
+def stored_model(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions of a model that was saved and loaded again."""
+    rows = model_rows(spark, sf)
+    path = scratch(spark, "model")
+    m.persist_model(m.fit_score_model(rows, FEATURES, "target_score", SMALL), path)
+    loaded = m.load_model(path).stages[0]
+    return rounded(m.predict(loaded, rows, FEATURES), "event_id", "prediction")
+
+
+@register("logged_runs")
+def logged_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The runs table after two runs of different depth."""
+    rows, path = model_rows(spark, sf), scratch(spark, "runs")
+    for depth in (1, 2):
+        params = {"maxIter": 2, "maxDepth": depth}
+        scored = m.predict(m.fit_score_model(rows, FEATURES, "target_score", params), rows, FEATURES)
+        errors = m.split_metrics(scored, "target_score", "prediction").collect()
+        metrics = {f"{r.split}_mae": round(r.mae, 6) for r in errors}
+        m.log_run(spark, path, f"depth {depth}", params, metrics)
+    return table_at(spark, path)

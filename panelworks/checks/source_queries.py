@@ -6,6 +6,8 @@ come out can be compared with the tables themselves.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from panelworks.checks.book import register
 from panelworks.checks.panels import CO, FX, fixture_list, match_panel, rounded, table
 from panelworks.checks.summary_queries import TURNS, turn_records
 from panelworks.operators.aggregates import count_by
+from panelworks.session import ensure_checkpoint_dir
 from panelworks.sources import articles, feeds, markup, tables
 
 
@@ -386,3 +389,54 @@ def articles_with_body(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     body = F.when(F.col("lang") != "de", F.col("text"))
     return articles.with_body(docs.select("doc_id", body.alias("body")))
+
+
+# --- writing ---------------------------------------------------------------------------
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the checkpoint folder, which all executors can reach."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def season_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("year")
+    )
+
+
+@register(
+    "written_season_table",
+    "SELECT o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders",
+)
+def written_season_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A dataset partitioned by season, written and read back."""
+    path = scratch(spark, "written")
+    tables.write_table(season_orders(spark, sf), path, ["year"])
+    return tables.read_table(spark, path).select("o_orderkey", "o_orderstatus", "year")
+
+
+@register(
+    "landed_seasons",
+    """SELECT o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
+    WHERE year(o_orderdate) > 1998 OR o_orderstatus = 'F'""",
+)
+def landed_seasons(spark: SparkSession, sf: str) -> DataFrame:
+    """Old seasons hold finished orders only; a later landing leaves them alone."""
+    path = scratch(spark, "landed")
+    orders = season_orders(spark, sf)
+    first = orders.filter((F.col("year") <= 1998) & (F.col("o_orderstatus") == "F"))
+    tables.land_new_seasons(first, path)
+    tables.land_new_seasons(orders, path)
+    return tables.read_table(spark, path).select("o_orderkey", "o_orderstatus", "year")
+
+
+@register(
+    "exported_csv",
+    "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CAST(p_size AS VARCHAR) AS p_size FROM part",
+)
+def exported_csv(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch(spark, "csv")
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
+    tables.export_csv(parts, path, F.col("p_size").desc_nulls_first(), "p_partkey")
+    return spark.read.schema("p_partkey string, p_name string, p_size string").csv(path, header=True)

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelworks.operators.aggregates import regression_metrics
-from panelworks.operators.features import MAX_CATEGORIES, fill_sentinel
+from panelworks.operators.features import MAX_CATEGORIES, MISSING, fill_sentinel
+from panelworks.session import ensure_checkpoint_dir
 
 # The boosted-tree budget.
 BOOSTING = {
@@ -53,6 +54,7 @@ def fit_score_model(
     split: str = "split",
 ) -> Model:
     """Boosted trees on the training seasons, stopped early on the validation season."""
+    ensure_checkpoint_dir(df.sparkSession)  # long boosting runs cut their lineage there
     rows = (
         assemble(df.filter(F.col(split).isin("train", "val")), features)
         .select("features", F.col(label).cast("double").alias("label"), split)
@@ -93,7 +95,7 @@ def predict(
     )
     filled = df.withColumns(
         {
-            f"_f_{i}": F.coalesce(F.col(c).cast("double"), F.lit(-999.0))
+            f"_f_{i}": F.coalesce(F.col(c).cast("double"), F.lit(float(MISSING)))
             for i, c in enumerate(features)
         }
     )

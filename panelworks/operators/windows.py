@@ -17,11 +17,16 @@ from pyspark.sql import functions as F
 
 from panelworks.functions.scalars import action_sum
 from panelworks.operators.layout import (
+    CHUNK,
+    HALO,
     Build,
     apply_windows,
     attach,
     hot_groups,
+    null_safe_join,
     running_before,
+    small,
+    split_groups,
 )
 from panelworks.panel import Panel
 
@@ -345,8 +350,31 @@ def add_price_ranks(
 
 
 def carry_forward(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, name: str
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    col: str,
+    name: str,
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """Last non-null value of ``col`` up to and including the current row."""
-    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.last(col, ignorenulls=True).over(window))
+    """Last non-null value of ``col`` up to and including the current row.
+
+    In a split group the value may come from an earlier chunk; it is then the
+    last one of the nearest chunk that has any.
+    """
+    hot = hot_groups(df, keys, hot_rows)
+    if hot is None:
+        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(name, F.last(col, ignorenulls=True).over(window))
+    split = split_groups(df, keys, order, hot)
+    inside = Window.partitionBy(*split.chunk_keys).orderBy(*order)
+    rows = split.with_halo(0, 0).withColumn(
+        name, F.last(col, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    chunks = split.hot.groupBy(*split.chunk_keys).agg(
+        F.max_by(F.col(col), F.when(F.col(col).isNotNull(), F.struct(*order))).alias("_last")
+    )
+    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = chunks.select(*split.chunk_keys, F.last("_last", ignorenulls=True).over(before).alias("_before"))
+    joined = null_safe_join(rows, small(earlier, split.chunks + hot.groups), split.chunk_keys, "left")
+    return joined.withColumn(name, F.coalesce(name, "_before")).drop(CHUNK, HALO, "_before")

@@ -49,6 +49,10 @@ OPERATIONS = {
     "ranks": lambda df, h: w.add_average_ranks(
         df, ["year", "primary_position"], {"price": "p", "score": "s"}, hot_rows=h
     ),
+    "carry forward": lambda df, h: w.carry_forward(
+        df.withColumn("c", F.when(F.col("id") % 5 == 0, F.col("score"))),
+        ["player_name"], ["round", "id"], "c", "carried", hot_rows=h,
+    ),
     "joined text": lambda df, h: a.joined_text(
         df.withColumn("t", F.concat(F.lit("t"), "id")), ["player_name"], "t", ["id"], "id", hot_rows=h
     ),
