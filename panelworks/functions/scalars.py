@@ -63,6 +63,7 @@ ACTION_WEIGHTS = {
 CLUSTER_BONUS = {0: 1, 1: 0, 2: -2, 3: 3, 4: -4, 5: 2}
 
 MIN_PRICE = 102400
+WHITESPACE = " \t\n\r\x0b\x0c"
 
 
 def col_of(column: Column | str) -> Column:
@@ -96,7 +97,7 @@ def is_code(column: Column | str, length: int = 3) -> Column:
 
 def strip(column: Column | str) -> Column:
     """Trim all whitespace at both ends, not only blanks."""
-    return F.regexp_replace(col_of(column), r"^\s+|\s+$", "")
+    return F.btrim(col_of(column), F.lit(WHITESPACE))
 
 
 def flip_name(column: Column | str) -> Column:

@@ -36,6 +36,9 @@ UNCHECKED = -1
 #: Largest number of small key rows handed to a broadcast hint.
 BROADCAST_ROWS = 200_000
 
+#: Most ranges the hot rows are cut into; the driver sees 100 sampled keys for each.
+MAX_CHUNKS = 10_000
+
 CHUNK = "_chunk"
 HALO = "_halo"
 
@@ -163,7 +166,7 @@ def split_groups(
 ) -> SplitGroups:
     """Cut the hot groups into contiguous ranges of the window order."""
     keys, order = list(keys), list(order)
-    chunks = max(2, -(-2 * hot.rows // hot.limit))
+    chunks = min(max(2, -(-2 * hot.rows // hot.limit)), MAX_CHUNKS)
     if keys:
         lookup = small(hot.keys.select(*keys), hot.groups)
         cold = null_safe_join(df, lookup, keys, "left_anti")

@@ -207,16 +207,18 @@ def token_stream(
         return named & t["label"].isNotNull() if item_pattern else named
 
     keep = [c for c in df.columns if c != html]
+    sections = F.arrays_zip(
+        F.regexp_extract_all("_page", F.lit(head_tag), F.lit(0)).alias("tag"),
+        cut_at(F.col("_page"), head_tag).alias("body"),
+    )
     cut = df.select(*keep, visible(html).alias("_page")).select(
-        *keep,
-        F.regexp_extract_all("_page", F.lit(head_tag), F.lit(0)).alias("_tags"),
-        F.posexplode(cut_at(F.col("_page"), head_tag)).alias("section_no", "_section"),
+        *keep, F.posexplode(sections).alias("section_no", "_section")
     )
     named = cut.select(
         *keep,
         "section_no",
-        head_name(F.get(F.col("_tags"), F.col("section_no")), F.col("_section")).alias("group"),
-        F.transform(cut_at(F.col("_section"), opening(item)), parse).alias("_items"),
+        head_name(F.col("_section.tag"), F.col("_section.body")).alias("group"),
+        F.transform(cut_at(F.col("_section.body"), opening(item)), parse).alias("_items"),
     )
     return named.select(
         *keep, "section_no", "group", F.posexplode(F.filter("_items", wanted)).alias("item_no", "_item")
