@@ -327,11 +327,13 @@ JOB_RULES = RosterRules(
 )
 
 
-def job_roster(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def job_roster(
+    spark: SparkSession, sf: str, both_positions: bool
+) -> tuple[DataFrame, DataFrame]:
     rows = predictions(spark, sf).withColumn(
         "adjusted_predicted_score", F.round("adjusted_predicted_score", 4)
     )
-    return round_roster(rows, None, season_rules(2026, JOB_RULES))
+    return round_roster(rows, None, season_rules(2026, JOB_RULES), both_positions)
 
 
 _GRID = ", ".join(f"({p})" for p in JOB_RULES.penalties)
@@ -358,10 +360,16 @@ capped AS (SELECT * FROM rosters WHERE penalty IN (SELECT penalty FROM fits))"""
     CAST(sum(price) OVER () AS BIGINT) AS total_price FROM capped""",
 )
 def roster_query(spark: SparkSession, sf: str) -> DataFrame:
-    roster, _ = job_roster(spark, sf)
+    roster, _ = job_roster(spark, sf, both_positions=False)
     return roster.select("player_name", "assigned_position", "price_2026", "total_price")
 
 
+@register("round_roster_audit")
+def round_roster_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Rule audit of the roster that uses both positions."""
+    return job_roster(spark, sf, both_positions=True)[1]
+
+
 # --- context, insights, quality --------------------------------------------------------
 
 

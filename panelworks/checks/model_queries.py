@@ -93,11 +93,11 @@ def imputed_medians(spark: SparkSession, sf: str) -> DataFrame:
     "one_hot_positions",
     f"""WITH {LI} SELECT player_name, year, round,
     CAST(secondary_position IS NULL AS DOUBLE) AS "pos_UNK",
-    CAST(coalesce(secondary_position = 'CTW', false) AS DOUBLE) AS "pos_CTW" FROM li""",
+    CAST(coalesce(secondary_position = 'HOK', false) AS DOUBLE) AS "pos_HOK" FROM li""",
 )
 def one_hot_positions(spark: SparkSession, sf: str) -> DataFrame:
     flagged, _ = f.one_hot(supply_panel(spark, sf), "secondary_position")
-    return flagged.select("player_name", "year", "round", "pos_UNK", "pos_CTW")
+    return flagged.select("player_name", "year", "round", "pos_UNK", "pos_HOK")
 
 
 @register(

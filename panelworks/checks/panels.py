@@ -87,10 +87,10 @@ EV = """
 ev AS (
   SELECT 'U' || user_id AS player_name,
          (dayofmonth(ts) - 1) // 7 + 2021 AS year,
-         dayofmonth(ts) AS round, ts, event_id,
+         CAST(dayofmonth(ts) AS INTEGER) AS round, ts, event_id,
          CASE WHEN k % 11 <> 0 THEN CAST(round(value * 100) AS BIGINT) END AS score,
-         k AS break_even, (k - 50) * 100 AS round_price_change,
-         k * 1000 + 90000 AS price, k % 40 AS avg_score, k % 81 AS mins,
+         k AS break_even, CAST((k - 50) * 100 AS BIGINT) AS round_price_change,
+         CAST(k * 1000 + 90000 AS BIGINT) AS price, k % 40 AS avg_score, k % 81 AS mins,
          event_type AS opponent, 'P' || (user_id % 7) AS primary_position
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
 )"""
@@ -174,13 +174,13 @@ li_lines AS (
   SELECT l_suppkey, l_partkey, l_returnflag, l_linestatus,
          CAST(l_quantity AS BIGINT) AS qty,
          CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
-         year(o_orderdate) + 24 AS year, month(o_orderdate) AS round
+         year(o_orderdate) + 24 AS year, CAST(month(o_orderdate) AS INTEGER) AS round
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ),
 li_months AS (
   SELECT l_suppkey, year, round, CAST(sum(qty) AS BIGINT) AS qty,
          CAST(sum(cents) AS BIGINT) AS cents, max(cents) - min(cents) AS spread,
-         max(qty) AS break_even, min(qty) AS avg_score, count(*) AS n,
+         CAST(max(qty) AS INTEGER) AS break_even, CAST(min(qty) AS INTEGER) AS avg_score, count(*) AS n,
          CAST(sum(l_partkey) AS BIGINT) AS parts,
          {_FLAG_SQL}
   FROM li_lines GROUP BY l_suppkey, year, round
@@ -194,7 +194,7 @@ li AS (
   SELECT l_suppkey || ', Supplier' AS player_name, year, round,
          CASE WHEN qty % 11 <> 0 THEN qty END AS score, cents // 100 AS price,
          spread - 4000000 AS round_price_change, break_even, avg_score,
-         n * 9 AS mins, n AS games_played, qty / n AS bppm,
+         CAST(n * 9 AS INTEGER) AS mins, n AS games_played, qty / n AS bppm,
          CASE WHEN l_suppkey % 25 = 24 THEN 'NATION_24'
               ELSE 'N' || lpad(CAST(l_suppkey % 25 AS VARCHAR), 2, '0') END AS team,
          'N' || lpad(CAST(parts % 25 AS VARCHAR), 2, '0') AS opponent,
@@ -244,7 +244,7 @@ def match_panel(spark: SparkSession, sf: str) -> DataFrame:
 
 CO = """
 co AS (
-  SELECT year(o_orderdate) + 24 AS year, month(o_orderdate) AS round,
+  SELECT year(o_orderdate) + 24 AS year, CAST(month(o_orderdate) AS INTEGER) AS round,
          'NATION_' || c_nationkey AS team,
          'NATION_' || ((c_nationkey + month(o_orderdate)) % 25) AS opponent,
          count(*) % 2 = 0 AS is_home, count(*) AS n,
@@ -282,8 +282,8 @@ def fixture_list(spark: SparkSession, sf: str) -> DataFrame:
 FX = """
 fx AS (
   SELECT year, round, 'Round ' || round AS round_title, team AS home_team,
-         CASE WHEN n > 1 THEN n END AS home_score, opponent AS away_team,
-         n - 1 AS away_score, ground_condition AS venue,
+         CASE WHEN n > 1 THEN CAST(n AS INTEGER) END AS home_score, opponent AS away_team,
+         CAST(n - 1 AS INTEGER) AS away_score, ground_condition AS venue,
          year || '-' || lpad(CAST(round AS VARCHAR), 2, '0') AS match_date,
          CASE WHEN is_home THEN 'FullTime' ELSE 'Upcoming' END AS match_state,
          '/draw/' || year || '/' || round || '/' || team AS path

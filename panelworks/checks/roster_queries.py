@@ -186,3 +186,10 @@ def tight_roster(spark: SparkSession, sf: str) -> DataFrame:
 def slot_counts(spark: SparkSession, sf: str) -> DataFrame:
     roster = r.capped_roster(pool(spark, sf), RULES)
     return roster.groupBy("assigned_position").agg(F.count(F.lit(1)).alias("filled"))
+
+
+@register("roster_over_both_positions")
+def roster_over_both_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """The capped roster in which players may fill their second position."""
+    roster = r.capped_roster(pool(spark, sf), RULES, both_positions=True)
+    return roster.select("player_name", "assigned_position", "is_flex", "price")

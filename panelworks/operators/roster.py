@@ -2,16 +2,19 @@
 
 The roster is found by price penalties: for a penalty ``p`` each slot takes the
 players with the best ``score - p * price``; of all penalties whose roster is
-within the cap, the one with the best total score wins. Players fill their first
-position only, so the result is a good roster, not a proven optimum. Scores and
+within the cap, the one with the best total score wins. The roster of a penalty is
+the best for that penalty, either over first positions alone, as plain window
+ranks, or over both positions, by matching a bounded number of contenders. Among
+all rosters within the cap a better one may lie between two penalties. Scores and
 prices are integers inside the search, which makes it exact and repeatable.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +24,7 @@ from panelworks.operators.joins import exclude_by_name, exclude_list
 # Players needed per slot and the price cap.
 SLOTS = {"HOK": 2, "FRF": 4, "2RF": 6, "HFB": 2, "5_8": 2, "CTW": 7, "FLB": 2}
 SALARY_CAP = 11_950_000
+FLEX = "FLEX"
 
 
 @dataclass(frozen=True)
@@ -94,7 +98,7 @@ def _fill_slots(pool: DataFrame, rules: RosterRules, value: str, per: list[str])
         .filter(~F.col("is_flex") | (F.col("_rest") <= rules.flex))
         .withColumn(
             "assigned_position",
-            F.when(F.col("is_flex"), F.lit("FLEX")).otherwise(F.col(rules.position)),
+            F.when(F.col("is_flex"), F.lit(FLEX)).otherwise(F.col(rules.position)),
         )
         .drop("_locked", "_place", "_rest")
     )
@@ -105,28 +109,110 @@ def slot_topk(pool: DataFrame, rules: RosterRules) -> DataFrame:
     return _fill_slots(pool, rules, rules.score, [])
 
 
-def penalised_rosters(pool: DataFrame, rules: RosterRules) -> DataFrame:
-    """One roster per price penalty."""
+def _valued(pool: DataFrame, rules: RosterRules) -> DataFrame:
+    """Each candidate once per price penalty, with its whole-number value."""
     points = F.round(F.col(rules.score) * 1000).cast("bigint")
     grid = F.array(*[F.lit(p) for p in rules.penalties])
-    valued = (
+    price = F.col(rules.price).cast("bigint")
+    return (
         pool.withColumn("_points", points)
         .withColumn("penalty", F.explode(grid))
-        .withColumn(
+        .withColumn("_value", F.col("_points") * 1000 - F.col("penalty") * price)
+    )
+
+
+def penalised_rosters(pool: DataFrame, rules: RosterRules) -> DataFrame:
+    """One roster per price penalty, from first positions."""
+    return _fill_slots(_valued(pool, rules), rules, "_value", ["penalty"]).drop("_value")
+
+
+def matched_rosters(pool: DataFrame, rules: RosterRules) -> DataFrame:
+    """One roster per price penalty, from first and second positions.
+
+    For a given penalty the roster is the best there is. Only the ``size`` best
+    players of a slot can be in it, so the matching sees at most
+    (slots + 1) x size players per penalty, for any number of candidates.
+    """
+    best = [F.col("_locked").desc(), F.col("_value").desc(), F.col(rules.player)]
+    positions = F.array(F.col(rules.position), F.col(rules.secondary))
+    usable = F.filter(positions, lambda p: p.isin(*rules.slots))
+    in_slot = Window.partitionBy("penalty", "_slot").orderBy(*best)
+    contenders = (
+        _valued(pool, rules)
+        .withColumn("_locked", rules.is_locked())
+        .withColumn("_slot", F.explode(F.array_union(usable, F.array(F.lit(FLEX)))))
+        .withColumn("_place", F.row_number().over(in_slot))
+        .filter(F.col("_place") <= rules.size)
+        .drop("_slot", "_place")
+        .dropDuplicates(["penalty", rules.player])
+    )
+    room = {**rules.slots, FLEX: rules.flex}
+
+    def match(group: pd.DataFrame) -> pd.DataFrame:
+        ranked = group.sort_values(["_locked", "_value", "player"], ascending=[False, False, True])
+        wishes = zip(ranked["player"], ranked["first"], ranked["second"])
+        assigned = match_slots(((name, (p, q, FLEX)) for name, p, q in wishes), room)
+        return pd.DataFrame(
+            [(ranked["penalty"].iloc[0], name, slot) for name, slot in assigned.items()],
+            columns=["penalty", "player", "assigned_position"],
+        )
+
+    chosen = (
+        contenders.select(
+            "penalty",
+            F.col(rules.player).alias("player"),
+            F.col(rules.position).alias("first"),
+            F.col(rules.secondary).alias("second"),
+            "_locked",
             "_value",
-            F.col("_points") * 1000 - F.col("penalty") * F.col(rules.price).cast("bigint"),
         )
+        .groupBy("penalty")
+        .applyInPandas(match, "penalty int, player string, assigned_position string")
+        .withColumnRenamed("player", rules.player)
     )
-    return _fill_slots(valued, rules, "_value", ["penalty"]).drop("_value")
+    rosters = contenders.join(chosen, ["penalty", rules.player])
+    return rosters.withColumn("is_flex", F.col("assigned_position") == FLEX).drop("_locked", "_value")
 
 
-def capped_roster(pool: DataFrame, rules: RosterRules) -> DataFrame:
+def match_slots(
+    wishes: Iterable[tuple[str, tuple[str | None, ...]]], room: Mapping[str, int]
+) -> dict[str, str]:
+    """Take players in order, each if there is a slot for all taken so far.
+
+    A player who finds the slots full may move others to their other slots.
+    Taking the best first this way gives the set of the highest total value.
+    """
+    slots: dict[str, list[str]] = {slot: [] for slot in room}
+    wanted: dict[str, list[str]] = {}
+
+    def place(player: str, tried: set[str]) -> bool:
+        for slot in wanted[player]:
+            if slot in tried:
+                continue
+            tried.add(slot)
+            if len(slots[slot]) < room[slot]:
+                slots[slot].append(player)
+                return True
+            for other in list(slots[slot]):
+                if place(other, tried):
+                    slots[slot].remove(other)
+                    slots[slot].append(player)
+                    return True
+        return False
+
+    for player, choices in wishes:
+        wanted[player] = [slot for slot in dict.fromkeys(choices) if slot in slots]
+        place(player, set())
+    return {player: slot for slot, players in slots.items() for player in players}
+
+
+def capped_roster(pool: DataFrame, rules: RosterRules, both_positions: bool = False) -> DataFrame:
     """The best full roster within the cap; empty if no penalty gives one.
 
     Each roster is gathered into one row, ``size`` players at most, so the pool
     is read once for choosing and for listing.
     """
-    rosters = penalised_rosters(pool, rules)
+    rosters = (matched_rosters if both_positions else penalised_rosters)(pool, rules)
     columns = [c for c in rosters.columns if c not in ("penalty", "_points")]
     whole = rosters.groupBy("penalty").agg(
         F.count(F.lit(1)).alias("n"),
@@ -143,7 +229,7 @@ def audit_roster(roster: DataFrame, pool: DataFrame, rules: RosterRules) -> Data
     """One row per rule: what was found, what is needed, and whether it holds."""
     assigned = F.col("assigned_position")
     fits_slot = (
-        (assigned == "FLEX")
+        (assigned == FLEX)
         | (assigned == F.col(rules.position))
         | F.coalesce(assigned == F.col(rules.secondary), F.lit(False))
     )

@@ -14,6 +14,7 @@ from panelworks.operators.roster import (
     candidate_pool,
     capped_roster,
 )
+from panelworks.session import persist_point
 from panelworks.sources.tables import read_optional, read_table, write_table
 
 TEAM_LIST_SCHEMA = "team string, jersey int, player_name_raw string, player_name string, status string"
@@ -30,11 +31,14 @@ def season_rules(season: int = 2026, rules: RosterRules = RosterRules()) -> Rost
 
 
 def round_roster(
-    predictions: DataFrame, reserves: DataFrame | None, rules: RosterRules
+    predictions: DataFrame,
+    reserves: DataFrame | None,
+    rules: RosterRules,
+    both_positions: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """The roster with totals, and its rule audit."""
     pool = candidate_pool(predictions, rules, reserves)
-    roster = capped_roster(pool, rules)
+    roster = persist_point(capped_roster(pool, rules, both_positions))
     return annotate_roster(roster, rules), audit_roster(roster, pool, rules)
 
 

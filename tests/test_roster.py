@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 from dataclasses import replace
-from itertools import combinations
+from itertools import combinations, product
 
 import pytest
 
@@ -98,6 +98,51 @@ def test_rosters_against_brute_force(spark, seed):
     assert found is None or found <= best
 
 
+def both_positions_brute_force(rows, cap):
+    """Best total over all rosters, with every way to place players in their slots."""
+    best = None
+    for four in combinations(rows, 4):
+        if sum(x[3] for x in four) > cap:
+            continue
+        options = product(*[[s for s in (x[1], x[2], "FLEX") if s] for x in four])
+        if any(sorted(places) == ["A", "B", "B", "FLEX"] for places in options):
+            score = sum(x[4] for x in four)
+            best = score if best is None else max(best, score)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_both_positions_against_brute_force(spark, seed):
+    pick = random.Random(100 + seed)
+    rows = [
+        (f"p{i:02d}", pick.choice("ABZ"), pick.choice([None, "A", "B", "Z"]), pick.randrange(50, 500), pick.randrange(100))
+        for i in range(11)
+    ] + [("x1", "A", None, 90, 5), ("y1", "B", None, 70, 5), ("y2", "B", None, 60, 5)]
+    players = pool(spark, rows)
+    for cap in (10**6, 900):
+        rules = replace(RULES, cap=cap)
+        roster = r.capped_roster(players, rules, both_positions=True)
+        total = roster_totals(roster, cap, "price", RULES.score).first()["total_score"]
+        best = both_positions_brute_force(rows, cap)
+        if cap == 10**6:
+            assert total == best
+        assert total is None or total <= best
+        if total is not None:
+            assert all(x["holds"] for x in r.audit_roster(roster, players, rules).collect())
+
+
+def test_a_full_slot_moves_a_player_to_the_second_position():
+    wishes = [("p", ("A", "B", "FLEX")), ("q", ("A", None, "FLEX")), ("r", ("A", None, "FLEX")), ("s", ("A", "FLEX"))]
+    found = r.match_slots(wishes, {"A": 1, "B": 1, "FLEX": 1})
+    assert sorted(found) == ["p", "q", "r"] and found["p"] == "B"
+
+
+def test_locked_players_stay_in_matched_rosters(spark):
+    rules = replace(RULES, locked=("a3", "b4"), cap=10**6)
+    roster = r.capped_roster(pool(spark, PLAYERS), rules, both_positions=True)
+    assert {"a3", "b4"} < {x["player_name"] for x in roster.collect()}
+
+
 def test_scores_tie_by_name(spark):
     rows = [(n, "A", None, 10, 5) for n in ("z", "y", "x")] + [(n, "B", None, 10, 5) for n in "cdba"]
     assert chosen(r.slot_topk(pool(spark, rows), RULES)) == [
