@@ -98,8 +98,8 @@ gold AS (SELECT enc.*, initial_price, opponent_avg_pts_allowed, career_avg, is_h
 GOLD_CTE = f"{LI}, {CONTEXT}, {GOLD}"
 
 
-def gold(spark: SparkSession, sf: str) -> DataFrame:
-    silver = stored(supply_panel(spark, sf))
+def gold(spark: SparkSession, sf: str, silver: DataFrame | None = None) -> DataFrame:
+    silver = silver or stored(supply_panel(spark, sf))
     return gold_features(silver, coded_context(spark, sf), SUPPLY)
 
 
@@ -176,9 +176,9 @@ registry AS (
 )"""
 
 
-def registry(spark: SparkSession, sf: str) -> DataFrame:
+def registry(spark: SparkSession, sf: str, silver: DataFrame | None = None) -> DataFrame:
     players = current_players(season_grid(spark, sf))
-    return player_registry(supply_panel(spark, sf), players, 2025, panel=SUPPLY)
+    return player_registry(silver or supply_panel(spark, sf), players, 2025, panel=SUPPLY)
 
 
 REGISTRY_FRACTIONS = (
@@ -267,12 +267,12 @@ PREDICTION_CTE = f"{GOLD_CTE}, {FX}, {opponents_sql(5)}, {REGISTRY}, {SENTIMENT}
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    panel = supply_panel(spark, sf)
-    states = panel.withColumns({"cluster": F.col("avg_score") % 6, "anomaly_score": F.col("bppm") / 10})
+    silver = stored(supply_panel(spark, sf))
+    states = silver.withColumns({"cluster": F.col("avg_score") % 6, "anomaly_score": F.col("bppm") / 10})
     return round_predictions(
-        registry(spark, sf),
+        registry(spark, sf, silver),
         fixture_list(spark, sf),
-        gold(spark, sf),
+        gold(spark, sf, silver),
         states,
         sentiment_table(spark, sf),
         round_num=5,

@@ -131,13 +131,21 @@ def page_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.select("page_id", "group", "text")
 
 
+EDGE = r"(?i)</?(?:article|main)(?:\s[^>]*)?>"
+
+
 @register(
     "page_articles",
     rf"""WITH v AS (SELECT page_id, {visible_sql('html')} AS page FROM pages),
-    t AS (SELECT page_id, page, list_filter(flatten(list_transform(regexp_extract_all(page,
-      '(?is)<(?:article|main)(?:\s[^>]*)?>(.*?)</(?:article|main)\s*>', 1),
+    e AS (SELECT page_id, page, regexp_split_to_array(page, '{EDGE}') AS pieces,
+      list_transform(regexp_extract_all(page, '{EDGE}'),
+        lambda x: CASE WHEN starts_with(x, '</') THEN -1 ELSE 1 END) AS steps FROM v),
+    d AS (SELECT page_id, page, list_filter(list_transform(range(1, len(pieces)), lambda i:
+      CASE WHEN list_reduce(list_prepend(0, steps[1:i]), lambda x, y: greatest(x + y, 0)) > 0
+      THEN pieces[i + 1] END), lambda x: x IS NOT NULL) AS regions FROM e),
+    t AS (SELECT page_id, page, list_filter(flatten(list_transform(regions,
       lambda r: list_transform({elements_sql('r', 'p')}, lambda x: {text_sql('x')}))),
-      lambda x: x <> '') AS texts FROM v)
+      lambda x: x <> '') AS texts FROM d)
     SELECT page_id, {text_sql(f"coalesce({elements_sql('page', 'title')}[1], '')")} AS title,
     CASE WHEN len(texts) > 0 THEN array_to_string(texts, chr(10) || chr(10)) ELSE
       array_to_string(list_filter(list_transform({elements_sql('page', 'p')}, lambda x: {text_sql('x')}),

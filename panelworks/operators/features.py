@@ -120,15 +120,16 @@ def fill_sentinel(df: DataFrame, cols: Sequence[str], value: float = MISSING) ->
 def exact_medians(
     df: DataFrame, cols: Sequence[str], hot_rows: int | None = None
 ) -> DataFrame:
-    """(column, median) of every column, exact, in one pass.
+    """(column, median) of every column, exact, in one pass over the rows.
 
-    Values are counted before the shuffle, running counts give each value its
-    ranks, and the middle ranks are read off. No task holds a whole column.
+    Values are counted before the shuffle and the counts stored; running counts
+    give each value its ranks, and the middle ranks are read off. No task holds a
+    whole column.
     """
     entries = [
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols
     ]
-    counts = (
+    counts = persist_point(
         df.select(F.explode(F.array(*entries)).alias("_e"))
         .select("_e.*")
         .filter(F.col("value").isNotNull())

@@ -35,7 +35,7 @@ PARENTS = {
     "p": ("article", "main", "section", "div", "body"),
 }
 
-HIDDEN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
+HIDDEN = r"(?is)<(?:script[^>]*>.*?</script>|style[^>]*>.*?</style>|!--.*?-->)"
 
 
 def visible(html: Column | str) -> Column:
@@ -80,6 +80,26 @@ def elements(markup: Column, tag: str) -> Column:
     )
 
 
+def inside_of(markup: Column, *tags: str) -> Column:
+    """The stretches of markup that lie inside any of the elements, however nested."""
+    edge = rf"(?i)</?(?:{'|'.join(tags)})(?:\s[^>]*)?>"
+    steps = F.transform(
+        F.regexp_extract_all(markup, F.lit(edge), F.lit(0)),
+        lambda tag: F.when(F.startswith(tag, F.lit("</")), -1).otherwise(1),
+    )
+
+    def enter(state: Column, step: Column) -> Column:
+        depth = F.greatest(state["depth"] + step, F.lit(0))
+        return F.struct(
+            depth.alias("depth"), F.concat(state["all"], F.array(depth)).alias("all")
+        )
+
+    start = F.struct(F.lit(0).alias("depth"), F.array(F.lit(0)).alias("all"))
+    depths = F.aggregate(steps, start, enter, lambda state: state["all"])
+    pieces = F.arrays_zip(depths.alias("depth"), F.split(markup, edge).alias("piece"))
+    return F.transform(F.filter(pieces, lambda p: p["depth"] > 0), lambda p: p["piece"])
+
+
 def grid_rows(
     df: DataFrame, html: str = "html", row: str = "tr", cell: str = "td", name: str = "cells"
 ) -> DataFrame:
@@ -246,10 +266,7 @@ def article_text(df: DataFrame, html: str = "html", long_enough: int = 30) -> Da
     The body is made of the paragraphs inside article or main; a page without
     any gives its longer paragraphs instead.
     """
-    page = visible(html)
-    regions = F.regexp_extract_all(
-        page, F.lit(r"(?is)<(?:article|main)(?:\s[^>]*)?>(.*?)</(?:article|main)\s*>"), F.lit(1)
-    )
+    regions = inside_of(F.col("_page"), "article", "main")
     inside = F.flatten(F.transform(regions, lambda r: F.transform(elements(r, "p"), plain_text)))
     texts = F.filter(inside, lambda t: t != "")
     anywhere = F.filter(
@@ -259,7 +276,8 @@ def article_text(df: DataFrame, html: str = "html", long_enough: int = 30) -> Da
     chosen = F.when(F.size("_texts") > 0, F.col("_texts")).otherwise(anywhere)
     keep = [c for c in df.columns if c != html]
     return (
-        df.select(*keep, page.alias("_page"), texts.alias("_texts"))
+        df.select(*keep, visible(html).alias("_page"))
+        .select(*keep, "_page", texts.alias("_texts"))
         .select(*keep, title.alias("title"), F.array_join(chosen, "\n\n").alias("body"))
     )
 

@@ -94,6 +94,11 @@ def test_article_joins_paragraphs_with_blank_lines(spark):
     assert markup.article_text(page(spark, html)).first()["body"] == "one\n\ntwo\nmore"
 
 
+def test_paragraphs_of_nested_articles_all_count(spark):
+    html = "</main><main><p>a</p><article><p>b</p></article><p>c</p></main><p>d</p><article class=x><p>e"
+    assert markup.article_text(page(spark, html)).first()["body"] == "a\n\nb\n\nc\n\ne"
+
+
 def test_team_lists(spark):
     html = (
         "<strong>1.</strong> Nobody Yet <img src='x' alt=\"sponsor\"><img alt=\"Newcastle Knights\">"
