@@ -111,8 +111,8 @@ def gold(spark: SparkSession, sf: str, silver: DataFrame | None = None) -> DataF
     {r8('avg_be_gap_3rd', 'avg_be_gap_3rd')}, {r8('tr_roll', 'tr_roll')}, {r8('mins_roll', 'mins_roll')},
     price - initial_price AS price_vs_initial, {r8('opponent_avg_pts_allowed', 'opponent_avg_pts_allowed')},
     {r8('career_avg', 'career_avg')}, CAST(games AS BIGINT) AS games_vs_opponent,
-    {r8('matchup_adjusted_avg', 'matchup_adjusted_avg')}, CAST(price_rank AS DOUBLE) AS price_rank,
-    CAST(score_rank AS DOUBLE) AS score_rank, is_home, is_bye FROM gold""",
+    {r8('matchup_adjusted_avg', 'matchup_adjusted_avg')}, price_rank,
+    score_rank, is_home, is_bye FROM gold""",
 )
 def gold_query(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(

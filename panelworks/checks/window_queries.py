@@ -14,6 +14,7 @@ from panelworks.checks.panels import (
     SUPPLY,
     event_panel,
     rounded,
+    stored,
     supply_panel,
     table,
 )
@@ -72,7 +73,7 @@ ACTION_SUM = " + ".join(f for f in FLAGS)
 )
 def action_score(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(
-        w.add_action_score(supply_panel(spark, sf), SUPPLY),
+        w.add_action_score(stored(supply_panel(spark, sf)), SUPPLY),
         *LI_KEYS, "action_score", "action_score_lag_1", "action_score_rolling_3",
         "action_score_rolling_5",
     )
@@ -137,7 +138,7 @@ LAGGED_NAMES = [f"{c}_{s}" for c in STATS for s in ("lag_1", "roll_avg_3", "roll
     f"WITH {LI} SELECT player_name, year, round, {lagged_sql(LI_OVER)} FROM li",
 )
 def lagged_action_stats(spark: SparkSession, sf: str) -> DataFrame:
-    df = w.add_lagged_stats(supply_panel(spark, sf), SUPPLY)
+    df = w.add_lagged_stats(stored(supply_panel(spark, sf)), SUPPLY)
     return rounded(df, *LI_KEYS, *LAGGED_NAMES)
 
 
@@ -149,7 +150,8 @@ BY_OPPONENT = "PARTITION BY player_name, year ORDER BY opponent, round"
     f"WITH {LI} SELECT player_name, year, round, {lagged_sql(BY_OPPONENT)} FROM li",
 )
 def lagged_action_stats_by_opponent(spark: SparkSession, sf: str) -> DataFrame:
-    df = w.add_lagged_stats(supply_panel(spark, sf), SUPPLY, order=["opponent", "round"])
+    panel = stored(supply_panel(spark, sf))
+    df = w.add_lagged_stats(panel, SUPPLY, order=["opponent", "round"])
     return rounded(df, *LI_KEYS, *LAGGED_NAMES)
 
 
@@ -189,16 +191,16 @@ def matchup_blend(spark: SparkSession, sf: str) -> DataFrame:
 
 def rank_sql(col: str, by: str, name: str) -> str:
     return (
-        f"CASE WHEN {col} IS NOT NULL THEN rank() OVER (PARTITION BY {by} ORDER BY {col} NULLS LAST)"
-        f" + (count(*) OVER (PARTITION BY {by}, {col}) - 1) / 2.0 END AS {name}"
+        f"CAST(CASE WHEN {col} IS NOT NULL THEN rank() OVER (PARTITION BY {by} ORDER BY {col} NULLS LAST)"
+        f" + (count(*) OVER (PARTITION BY {by}, {col}) - 1) / 2.0 END AS DOUBLE) AS {name}"
     )
 
 
 @register(
     "average_ranks",
     f"""WITH {EV} SELECT event_id,
-    CAST({rank_sql('price', 'year, round, primary_position', 'x')[:-5]} AS DOUBLE) AS price_rank_in_position,
-    CAST({rank_sql('score', 'year, round, primary_position', 'x')[:-5]} AS DOUBLE) AS score_rank_in_position
+    {rank_sql('price', 'year, round, primary_position', 'price_rank_in_position')},
+    {rank_sql('score', 'year, round, primary_position', 'score_rank_in_position')}
     FROM ev""",
 )
 def average_ranks(spark: SparkSession, sf: str) -> DataFrame:

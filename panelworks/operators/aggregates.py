@@ -62,7 +62,11 @@ def recent_form(df: DataFrame, season: int, panel: Panel = Panel()) -> DataFrame
     window = Window.partitionBy(*panel.entity).orderBy(*[F.col(c).desc() for c in panel.seq])
     tail = (
         df.filter(F.col(panel.season[0]) == season)
-        .select(*panel.entity, *{panel.round, panel.score, panel.mins, panel.position, *panel.seq})
+        .select(
+            *dict.fromkeys(
+                [*panel.entity, *panel.seq, panel.round, panel.score, panel.mins, panel.position]
+            )
+        )
         .withColumn("_back", F.row_number().over(window))
         .filter(F.col("_back") <= 5)
     )

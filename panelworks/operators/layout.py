@@ -66,16 +66,12 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None)
     limit = hot_rows_limit(df, hot_rows)
     if limit == UNCHECKED:
         return None
-    if keys:
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    else:
-        sizes = df.agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     over = sizes.filter(F.col("_rows") > limit)
     total = over.agg(F.count(F.lit(1)).alias("g"), F.sum("_rows").alias("r")).first()
     if not total["g"]:
         return None
-    hot = persist_point(over) if keys else over
-    return HotGroups(hot, total["g"], total["r"], limit)
+    return HotGroups(persist_point(over), total["g"], total["r"], limit)
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
@@ -100,7 +96,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 class SplitGroups:
     """The input as cold rows plus the hot rows cut into chunks."""
 
-    cold: DataFrame | None
+    cold: DataFrame
     hot: DataFrame
     keys: list[str]
     order: list[str]
@@ -112,11 +108,8 @@ class SplitGroups:
 
     def with_halo(self, before: int, after: int) -> DataFrame:
         """All rows with chunk number, plus the halo copies each chunk needs."""
-        parts = [self.hot.withColumn(HALO, F.lit(False))]
-        if self.cold is not None:
-            parts.append(
-                self.cold.withColumn(CHUNK, F.lit(-1)).withColumn(HALO, F.lit(False))
-            )
+        whole = [self.hot, self.cold.withColumn(CHUNK, F.lit(-1))]
+        parts = [part.withColumn(HALO, F.lit(False)) for part in whole]
         if before:
             parts.append(self._halo(before, last=True))
         if after:
@@ -167,12 +160,9 @@ def split_groups(
     """Cut the hot groups into contiguous ranges of the window order."""
     keys, order = list(keys), list(order)
     chunks = min(max(2, -(-2 * hot.rows // hot.limit)), MAX_CHUNKS)
-    if keys:
-        lookup = small(hot.keys.select(*keys), hot.groups)
-        cold = null_safe_join(df, lookup, keys, "left_anti")
-        rows = null_safe_join(df, lookup, keys, "left_semi")
-    else:
-        cold, rows = None, df
+    lookup = small(hot.keys.select(*keys), hot.groups)
+    cold = null_safe_join(df, lookup, keys, "left_anti")
+    rows = null_safe_join(df, lookup, keys, "left_semi")
     ranged = rows.repartitionByRange(chunks, *keys, *order).withColumn(
         CHUNK, F.spark_partition_id()
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,34 +21,21 @@ from panelworks.panel import Panel
 from panelworks.sources.tables import export_csv, read_table, write_table
 
 
-@dataclass(frozen=True)
-class SeasonColumns:
-    """Registry column names of one season, such as ``team_2026``."""
-
-    season: int = 2026
-
-    def __getattr__(self, name: str) -> str:
-        if name.startswith("_"):
-            raise AttributeError(name)
-        return f"{name}_{self.season}"
-
-
 def current_players(bronze: DataFrame, season: int = 2026, dedupe: bool = True) -> DataFrame:
     """Players of the running season from its grid.
 
     ``dedupe`` keeps one row per player, the latest round; the totals row counts
     as the earliest.
     """
-    names = SeasonColumns(season)
     rows = require_text(keep_numeric_id(bronze), ["Name", "Posn"], {"Posn": POSITION_DENY})
     primary, secondary = split_positions(replace_first("Posn", "5/8", "5_8"))
     players = rows.select(
         F.col("Name").alias("player_name"),
-        F.col("Team").alias(names.team),
-        parse_money("Price", strict=True).alias(names.price),
-        cast_tolerant("BE", "int").alias(names.break_even),
-        primary.alias(names.position),
-        secondary.alias(names.secondary_position),
+        F.col("Team").alias(f"team_{season}"),
+        parse_money("Price", strict=True).alias(f"price_{season}"),
+        cast_tolerant("BE", "int").alias(f"break_even_{season}"),
+        primary.alias(f"position_{season}"),
+        secondary.alias(f"secondary_position_{season}"),
         cast_tolerant("Rd", "int").alias("_round"),
         F.col("id").alias("_id"),
     )
@@ -64,16 +49,15 @@ def players_from_gold(
     gold: DataFrame, from_season: int, season: int = 2026, panel: Panel = Panel()
 ) -> DataFrame:
     """Stand-in where the season has no grid yet: last row of the season before."""
-    names = SeasonColumns(season)
     picked = {
-        panel.price: names.price,
-        panel.position: names.position,
-        panel.team: names.team,
-        panel.break_even: names.break_even,
+        panel.price: f"price_{season}",
+        panel.position: f"position_{season}",
+        panel.team: f"team_{season}",
+        panel.break_even: f"break_even_{season}",
     }
     rows = gold.filter(F.col(panel.season[0]) == from_season)
     last = last_by(rows, list(panel.entity), picked, list(panel.seq))
-    return last.withColumn(names.secondary_position, F.lit(None).cast("string"))
+    return last.withColumn(f"secondary_position_{season}", F.lit(None).cast("string"))
 
 
 def predicted_score(career: str = "career_avg", recent: str = "last3_avg") -> Column:
