@@ -20,7 +20,7 @@ from panelworks.checks.panels import (
 )
 from panelworks.operators import aggregates as a
 from panelworks.operators.topk import top_n
-from panelworks.operators.windows import Features, add_features, lags, rolling_mean
+from panelworks.operators.windows import add_features, lags, lead, rolling_mean
 
 OVER = "PARTITION BY player_name, year ORDER BY ts, event_id"
 
@@ -238,8 +238,11 @@ def baseline_sql(col: str) -> str:
     {baseline_sql('score_lag_1')} UNION ALL {baseline_sql('rolling_avg_3')}""",
 )
 def baseline_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    ahead = Features(lambda w: [F.lead("score", 1).over(w).alias("target")], after=1)
-    families = [lags("score", (1,), "score"), rolling_mean("score", 3, "rolling_avg_3"), ahead]
+    families = [
+        lags("score", (1,), "score"),
+        rolling_mean("score", 3, "rolling_avg_3"),
+        lead("score", "target"),
+    ]
     rows = add_features(event_panel(spark, sf), EVENTS, families)
     known = rows.filter(F.col("target").isNotNull())
     return rounded(a.baseline_metrics(known, "target", ["score_lag_1", "rolling_avg_3"]))

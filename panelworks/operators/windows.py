@@ -1,14 +1,15 @@
 """Lag, rolling, trend and target features inside one (entity, season).
 
-Every feature family is a function ``WindowSpec -> [Column]`` plus the number of
-rows its frames reach. ``add_features`` joins any number of families into one
-window pass, so all of them together cost one shuffle and one sort. A rolling
-value is null until its frame holds ``n`` non-null values, not ``n`` rows.
+Every feature family says which neighbour rows and frames it needs and how its
+columns follow from them. ``add_features`` joins any number of families into one
+window pass, so all of them together cost one shuffle and one sort, and takes
+each neighbour once however many features use it. A rolling value is null until
+its frame holds ``n`` non-null values, not ``n`` rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,7 +20,6 @@ from panelworks.functions.scalars import action_sum
 from panelworks.operators.layout import (
     CHUNK,
     HALO,
-    Build,
     apply_windows,
     attach,
     hot_groups,
@@ -46,28 +46,55 @@ ACTION_STAT_COLUMNS = [
 ]
 
 
+class Neighbours:
+    """The window columns of one pass, each computed once under its own name."""
+
+    def __init__(self) -> None:
+        self.wanted: dict[str, Callable[[WindowSpec], Column]] = {}
+
+    def back(self, col: str, n: int) -> Column:
+        """Value ``n`` rows back; ahead if negative."""
+        if n == 0:
+            return F.col(col)
+        return self.frame(f"_back_{n}_{col}", lambda w: F.lag(col, n).over(w))
+
+    def frame(self, name: str, column: Callable[[WindowSpec], Column]) -> Column:
+        self.wanted.setdefault(name, column)
+        return F.col(name)
+
+    def columns(self, window: WindowSpec) -> list[Column]:
+        return [column(window).alias(name) for name, column in self.wanted.items()]
+
+
 @dataclass(frozen=True)
 class Features:
-    """A family of window columns and how far their frames reach."""
+    """A family of feature columns and how far its frames reach."""
 
-    build: Build
+    build: Callable[[Neighbours], Sequence[Column]]
     before: int = 0
     after: int = 0
 
 
-def gated(value: Column, counted: str, window: WindowSpec, n: int) -> Column:
-    """``value`` where the frame holds at least ``n`` non-null values, else null."""
-    return F.when(F.count(counted).over(window) >= n, value)
+def mean_of_last(near: Neighbours, col: str, n: int, skip: int = 0) -> Column:
+    """Mean of ``n`` rows, the newest of them ``skip`` rows back; null if any is.
+
+    A frame as long as the number of values it needs has a value only where all
+    its rows have one. Adding the neighbours says the same and is cheaper than
+    going through the frame again for every row.
+    """
+    values = [near.back(col, i).cast("double") for i in range(skip, skip + n)]
+    return reduce(lambda a, b: a + b, values) / n
 
 
-def mean_over(col: str, window: WindowSpec, first: int, last: int, need: int) -> Column:
-    frame = window.rowsBetween(first, last)
-    return gated(F.avg(F.col(col).cast("double")).over(frame), col, frame, need)
+def framed_mean(near: Neighbours, col: str, n: int, skip: int = 0) -> Column:
+    """The same mean from a frame; cheaper where many columns share few frames."""
 
+    def mean(window: WindowSpec) -> Column:
+        frame = window.rowsBetween(1 - n - skip, -skip)
+        average = F.avg(F.col(col).cast("double")).over(frame)
+        return F.when(F.count(col).over(frame) >= n, average)
 
-def std_over(col: str, window: WindowSpec, first: int, last: int, need: int) -> Column:
-    frame = window.rowsBetween(first, last)
-    return gated(F.stddev_samp(F.col(col).cast("double")).over(frame), col, frame, need)
+    return near.frame(f"_mean_{n}_{skip}_{col}", mean)
 
 
 def add_features(
@@ -78,15 +105,18 @@ def add_features(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Evaluate all families in one pass over (entity, season) in sequence order."""
-    return apply_windows(
+    near = Neighbours()
+    features = [column for family in families for column in family.build(near)]
+    wide = apply_windows(
         df,
         panel.keys,
         list(order or panel.seq),
-        lambda window: [c for family in families for c in family.build(window)],
+        near.columns,
         before=max((f.before for f in families), default=0),
         after=max((f.after for f in families), default=0),
         hot_rows=hot_rows,
     )
+    return wide.select(*df.columns, *features)
 
 
 # --- families -----------------------------------------------------------------
@@ -95,54 +125,67 @@ def add_features(
 def lags(col: str, offsets: Sequence[int], name: str) -> Features:
     """``name`` + ``_lag_n`` for each offset."""
     return Features(
-        lambda w: [F.lag(col, n).over(w).alias(f"{name}_lag_{n}") for n in offsets],
+        lambda near: [near.back(col, n).alias(f"{name}_lag_{n}") for n in offsets],
         before=max(offsets),
     )
 
 
 def rolling_mean(col: str, n: int, name: str) -> Features:
     """Mean of the last ``n`` rows including the current one."""
-    return Features(lambda w: [mean_over(col, w, 1 - n, 0, n).alias(name)], before=n - 1)
+    return Features(lambda near: [mean_of_last(near, col, n).alias(name)], before=n - 1)
 
 
 def rolling_std(col: str, n: int, name: str) -> Features:
     """Sample standard deviation of the last ``n`` rows including the current one."""
-    return Features(lambda w: [std_over(col, w, 1 - n, 0, n).alias(name)], before=n - 1)
+
+    def build(near: Neighbours) -> list[Column]:
+        deviation = F.stddev_samp(F.col(col).cast("double"))
+        framed = near.frame(f"_std_{n}_{col}", lambda w: deviation.over(w.rowsBetween(1 - n, 0)))
+        return [F.when(mean_of_last(near, col, n).isNotNull(), framed).alias(name)]
+
+    return Features(build, before=n - 1)
 
 
 def form_trend(col: str, n: int = 3, name: str = "form_trend") -> Features:
     """Mean of the last ``n`` rows minus the mean of the ``n`` rows before those."""
     return Features(
-        lambda w: [
-            (mean_over(col, w, 1 - n, 0, n) - mean_over(col, w, 1 - 2 * n, -n, n)).alias(name)
-        ],
+        lambda near: [(mean_of_last(near, col, n) - mean_of_last(near, col, n, n)).alias(name)],
         before=2 * n - 1,
     )
 
 
 def average_to_date(col: str, n: int = 27, name: str = "season_avg_to_date") -> Features:
     """Mean of up to ``n`` earlier rows; null only where none has a value."""
-    return Features(lambda w: [mean_over(col, w, -n, -1, 1).alias(name)], before=n)
+    mean = F.avg(F.col(col).cast("double"))
+    return Features(
+        lambda near: [near.frame(f"_mean_{n}_{col}", lambda w: mean.over(w.rowsBetween(-n, -1))).alias(name)],
+        before=n,
+    )
 
 
 def beaten_count(col: str, n: int = 3, name: str = "consecutive_be_beaten") -> Features:
     """How many of the last ``n`` earlier rows were above 0; null if any is null."""
 
-    def build(window: WindowSpec) -> list[Column]:
-        above = [(F.lag(col, i).over(window) > 0).cast("int") for i in range(1, n + 1)]
+    def build(near: Neighbours) -> list[Column]:
+        above = [(near.back(col, i) > 0).cast("int") for i in range(1, n + 1)]
         return [reduce(lambda a, b: a + b, above).alias(name)]
 
     return Features(build, before=n)
 
 
+def lead(col: str, name: str) -> Features:
+    """Value of the next row."""
+    return Features(lambda near: [near.back(col, -1).alias(name)], after=1)
+
+
 def lagged_stats(cols: Sequence[str]) -> Features:
     """Last value, and the mean of the 3 and 5 earlier rows, for each column."""
 
-    def build(window: WindowSpec) -> list[Column]:
+    def build(near: Neighbours) -> list[Column]:
         return (
-            [F.lag(c, 1).over(window).alias(f"{c}_lag_1") for c in cols]
-            + [mean_over(c, window, -3, -1, 3).alias(f"{c}_roll_avg_3") for c in cols]
-            + [mean_over(c, window, -5, -1, 5).alias(f"{c}_roll_avg_5") for c in cols]
+            [near.back(c, 1).alias(f"{c}_lag_1") for c in cols]
+            + [framed_mean(near, c, 3, 1).alias(f"{c}_roll_avg_3") for c in cols]
+            + [framed_mean(near, c, 5, 1).alias(f"{c}_roll_avg_5") for c in cols]
         )
 
     return Features(build, before=5)
@@ -244,9 +287,8 @@ def lead_target(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Next row's score in the season; rows without one go, then rows with few minutes."""
-    ahead = Features(lambda w: [F.lead(panel.score, 1).over(w).alias(name)], after=1)
     return (
-        add_features(df, panel, [ahead], hot_rows=hot_rows)
+        add_features(df, panel, [lead(panel.score, name)], hot_rows=hot_rows)
         .filter(F.col(name).isNotNull())
         .filter(F.col(panel.mins) >= min_mins)
     )
