@@ -29,9 +29,9 @@ SPLITS = {
     "spaced": {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True},
 }
 #: Words kept by one worker; beyond that the memory is emptied.
-MOST_WORDS = 2_000_000
-#: Characters cut at a time.
-SLICE_BYTES = 1 << 20
+MOST_WORDS = 600_000
+#: Bytes of text cut at a time.
+SLICE_BYTES = 1 << 19
 
 
 @lru_cache(maxsize=1)

@@ -13,9 +13,11 @@ Steps, all on Spark:
 
 1. one pass over the texts gives set size, set fingerprint, band hashes and one byte of each
    coordinate; texts with the same set become one class, known by its smallest id;
-2. classes that share a band are candidates. Each is first compared with the smallest class of
-   the band only (a star, never all pairs), and the links found give components;
-3. bands that still hold several components are compared across the components, in blocks of
+2. classes that share a band are candidates. Each is first compared with one class of the band
+   only (a star, never all pairs), another one in each band, and the links found give components.
+   In bands that still hold several components, the members outside the largest one are compared
+   with one member of it, again another one in each band;
+3. what is still apart after that is compared across the components of its bands, in blocks of
    bounded size; the largest component meets the others only, never itself;
 4. every candidate that sizes and signature bytes leave open is confirmed on the full sets, made
    again from the whole texts;
@@ -47,10 +49,14 @@ ROWS = 4
 #: Places of the permutations.
 PLACES = 1 << 20
 #: Members of a band that one group compares; larger bands are cut into blocks.
-BLOCK = 512
-#: Share of equal signature bytes below which a pair cannot reach the threshold. At a similarity of
-#: 0.75 the share of 128 bytes has mean 0.75 and deviation 0.04, so 0.50 is more than six of them off.
-LEAST_SHARE = 0.50
+BLOCK = 256
+#: Coordinates of which one byte is kept to estimate a similarity; the first ones make the bands.
+MARKS = 256
+#: Share of equal bytes below which a pair cannot reach the threshold. At a similarity of 0.75 the
+#: share has mean 0.75 and deviation 0.027, so 0.60 is more than five of them off.
+LEAST_SHARE = 0.60
+#: Rounds of stars before components are compared with each other.
+STARS = 2
 
 
 @lru_cache(maxsize=2)
@@ -107,9 +113,9 @@ def _features(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame
                     first.append(int(T.mixed(s).sum(dtype=np.uint64).view(np.int64)))
                     second.append(int(T.mixed(s ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64).view(np.int64)))
                     if len(s):
-                        sig = signature(s, bands * rows)
+                        sig = signature(s, max(MARKS, bands * rows))
                         marks.append(sig.astype(np.uint8).tobytes())
-                        keys.append(band_hashes(sig, bands, rows).view(np.int64))
+                        keys.append(band_hashes(sig[: bands * rows], bands, rows).view(np.int64))
                     else:
                         marks.append(None)
                         keys.append(None)
@@ -181,11 +187,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
             keep = []
             for i, j in zip(a, b):
                 x, y = sets[0][i], sets[1][j]
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                common = int((y[at] == x).sum()) if len(y) else 0
+                common = _common(x, y)
                 keep.append(common * 100 >= percent * (len(x) + len(y) - common) and common > 0)
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_pydict({"a": batch.column("a").filter(keep), "b": batch.column("b").filter(keep)})
@@ -198,63 +200,54 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node each node of ``links`` (a, b) can reach.
 
-    Every round takes the smallest label among the neighbours and then the label of that label, so
-    the number of rounds grows with the logarithm of a component's width.
+    Every round gives each node the smallest label among its neighbours, then the label of that
+    label, and puts the links between labels in place of the links between nodes. Links inside a
+    label vanish, so the rounds grow with the logarithm of a component's width and shrink fast.
     """
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    edges = store.written(both, "edges")
-    labels = store.written(
-        edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("component")), "labels"
-    )
-    while True:
-        near = (
-            edges.join(labels.withColumnRenamed("node", "a"), "a")
-            .groupBy(F.col("b").alias("node"))
-            .agg(F.min("component").alias("_near"))
-        )
-        lowered = store.written(
-            labels.join(near, "node").select(
-                "node", F.col("component").alias("_old"), F.least("component", "_near").alias("component")
-            ),
-            "labels",
-        )
-        target = lowered.select(F.col("node").alias("component"), F.col("component").alias("_next"))
-        jumped = store.written(
-            lowered.join(target, "component").select("node", "_old", F.col("_next").alias("component")), "labels"
+    links = links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = store.written(links.distinct(), "links")
+    known = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    known = store.written(known.withColumn("component", F.col("node")), "components")
+    while links.limit(1).count():
+        ends = links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
+        least = ends.groupBy("e.a").agg(F.min("e.b").alias("_near"))
+        least = store.written(least.select(F.col("a").alias("_of"), F.least("a", "_near").alias("_to")), "labels")
+        after = least.select(F.col("_of").alias("_to"), F.col("_to").alias("_then"))
+        labels = store.written(least.join(after, "_to").select("_of", F.col("_then").alias("_label")), "labels")
+        first = links.join(labels.withColumnRenamed("_of", "a"), "a").select("b", F.col("_label").alias("_a"))
+        both = first.join(labels.withColumnRenamed("_of", "b"), "b").filter(F.col("_a") != F.col("_label"))
+        next_links = store.written(
+            both.select(F.least("_a", "_label").alias("a"), F.greatest("_a", "_label").alias("b")).distinct(), "links"
         )
-        changed = jumped.filter(F.col("component") != F.col("_old")).limit(1).count()
-        store.dropped(labels, lowered)
-        labels = jumped
-        if not changed:
-            store.dropped(edges)
-            return labels.select("node", "component")
-
-
-def _star(members: DataFrame, sizes: DataFrame, percent: int, least_share: float) -> DataFrame:
-    """Candidates (a, b): each member of a band against the band's smallest member."""
-    pairs = (
-        members.filter(F.col("_hub") < F.col("doc_id")).select(F.col("_hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    )
-    pairs = store.written(pairs, "star")
+        moved = known.join(labels.withColumnRenamed("_of", "component"), "component", "left")
+        next_known = store.written(moved.select("node", F.coalesce("_label", "component").alias("component")), "components")
+        store.dropped(links, known, least, labels)
+        links, known = next_links, next_known
+    store.dropped(links)
+    return known
+
+
+def _near(pairs: DataFrame, sizes: DataFrame, percent: int, least_share: float) -> DataFrame:
+    """Of the candidates (a, b), those that sizes and signature bytes leave open; stored."""
     left = pairs.join(sizes.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("_mark").alias("mark_a")), "a")
     both = left.join(sizes.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("_mark").alias("mark_b")), "b")
-    close = store.written(
-        _close(both.filter(_sized("n_a", "n_b", percent)).select("a", "b", "mark_a", "mark_b"), percent, least_share), "close"
-    )
-    store.dropped(pairs)
-    return close
+    fit = both.filter(_sized("n_a", "n_b", percent)).select("a", "b", "mark_a", "mark_b")
+    return store.written(_close(fit, percent, least_share), "near")
 
 
-def _across(members: DataFrame, known: DataFrame, sizes: DataFrame, percent: int, least_share: float, block: int) -> DataFrame:
-    """Candidates (a, b) of a band that lie in different components.
+def _pairs(rows: DataFrame) -> DataFrame:
+    """Distinct (a, b), a < b, of each member and the hub of its band; stored."""
+    pair = [F.least("_hub", "doc_id").alias("a"), F.greatest("_hub", "doc_id").alias("b")]
+    return store.written(rows.filter(F.col("_hub") != F.col("doc_id")).select(*pair).distinct(), "star")
 
-    Members are numbered blocks of at most about ``block`` rows. Blocks of the largest component
-    of a band are paired with the blocks of the others; blocks of others also with one another.
+
+def _named(members: DataFrame, known: DataFrame) -> DataFrame:
+    """Members of the bands that still hold several components, with the largest one of the band; stored.
+
+    (_band, doc_id, component, _base, _bases, _others): the last two are numbers of members.
     """
-    named = members.select("_band", "doc_id").join(
-        known.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left"
-    ).withColumn("component", F.coalesce("component", "doc_id"))
-    named = store.written(named, "band-members")
+    named = members.select("_band", "doc_id").join(known.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+    named = store.written(named.withColumn("component", F.coalesce("component", "doc_id")), "band-members")
     parts = named.groupBy("_band", "component").agg(F.count(F.lit(1)).alias("_rows"))
     bands = (
         parts.groupBy("_band")
@@ -263,79 +256,160 @@ def _across(members: DataFrame, known: DataFrame, sizes: DataFrame, percent: int
         .select(
             "_band",
             F.col("_top.component").alias("_base"),
-            F.ceil(F.col("_top._rows") / block).cast("int").alias("_bases"),
-            F.ceil((F.col("_all") - F.col("_top._rows")) / block).cast("int").alias("_others"),
+            F.col("_top._rows").alias("_bases"),
+            (F.col("_all") - F.col("_top._rows")).alias("_others"),
         )
     )
     bands = store.written(bands, "open-bands")
-    slot = F.pmod(F.xxhash64("doc_id"), F.when(F.col("component") == F.col("_base"), F.col("_bases")).otherwise(F.col("_others"))).cast("int")
-    rows = named.join(bands, "_band").withColumn("_is_base", F.col("component") == F.col("_base")).withColumn("_slot", slot)
+    found = store.written(named.join(bands, "_band"), "open-members")
+    store.dropped(named, bands)
+    return found
+
+
+def _second_star(named: DataFrame) -> DataFrame:
+    """Candidates: members outside the largest component of a band, with one member of it."""
+    base = named.filter(F.col("component") == F.col("_base"))
+    hubs = base.groupBy("_band").agg(F.min_by("doc_id", F.xxhash64("doc_id", "_band", F.lit(2))).alias("_hub"))
+    hubs = store.written(hubs, "hubs")
+    found = _pairs(named.filter(F.col("component") != F.col("_base")).join(hubs, "_band"))
+    store.dropped(hubs)
+    return found
+
+
+def _across(named: DataFrame, heads: DataFrame, docs: DataFrame, shingle: int, percent: int, least_share: float, block: int) -> DataFrame:
+    """Links (a, b) between members of a band that lie in different components; stored.
+
+    Members are numbered blocks of at most about ``block`` rows. Blocks of the largest component
+    of a band meet the blocks of the others; blocks of others also meet one another. The signature bytes tell which
+    members of a meeting have a candidate; only those meet once more, with their full sets. A pair
+    is looked at in the first band that it shares, and only links leave a task.
+    """
+    key = ["_band", "_x", "_y"]
+    cut = {c: F.ceil(F.col(c) / block).cast("int") for c in ("_bases", "_others")}
+    is_base = F.col("component") == F.col("_base")
+    slot = F.pmod(F.xxhash64("doc_id"), F.when(is_base, F.col("_bases")).otherwise(F.col("_others"))).cast("int")
+    rows = named.withColumns(cut).withColumn("_slot", slot)
     # a base block meets each block of others; a block of others meets itself, the later and the earlier ones
     others = F.sequence(F.lit(0), F.col("_others") - 1)
     to_bases = F.transform(F.sequence(F.lit(0), F.col("_bases") - 1), lambda j: F.struct(F.col("_slot").alias("x"), (-j - 1).alias("y")))
     to_others = F.transform(others, lambda j: F.struct(F.least("_slot", j).alias("x"), F.greatest("_slot", j).alias("y")))
     of_base = F.transform(others, lambda j: F.struct(j.alias("x"), (-F.col("_slot") - 1).alias("y")))
-    rows = rows.withColumn("_meet", F.explode(F.when(F.col("_is_base"), of_base).otherwise(F.concat(to_bases, to_others))))
+    rows = rows.withColumn("_meet", F.explode(F.when(is_base, of_base).otherwise(F.concat(to_bases, to_others))))
     meeting = rows.select("_band", F.col("_meet.x").alias("_x"), F.col("_meet.y").alias("_y"), "doc_id", "component")
-    meeting = meeting.join(sizes.select("doc_id", "n_shingles", "_mark"), "doc_id")
-    key = ["_band", "_x", "_y"]
-    dealt = meeting.repartition(*key).sortWithinPartitions(*key, "doc_id").select(*key, "doc_id", "component", "n_shingles", "_mark")
+    fields = ["n_shingles", "_mark", "_bands"]
+    meeting = meeting.join(heads.select("doc_id", *fields), "doc_id")
+    dealt = meeting.repartition(*key).sortWithinPartitions(*key, "doc_id").select(*key, "doc_id", "component", *fields)
+    involved = store.written(
+        dealt.mapInArrow(_meetings(key, percent, least_share, False), "_band long, _x int, _y int, doc_id long"), "involved"
+    )
+    sets = store.written(_sets(docs, involved.select("doc_id").distinct(), shingle), "sets")
+    again = (
+        involved.join(meeting, [*key, "doc_id"])
+        .join(sets, "doc_id")
+        .repartition(*key)
+        .sortWithinPartitions(*key, "doc_id")
+        .select(*key, "doc_id", "component", *fields, "_set")
+    )
+    links = store.written(again.mapInArrow(_meetings(key, percent, least_share, True), "a long, b long"), "across")
+    store.dropped(involved, sets)
+    return links
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
 
-        def pairs(table: pa.Table) -> pa.RecordBatch:
-            k = np.stack([table.column(c).to_numpy() for c in key])
-            ids, comp, n = (table.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles"))
-            marks = np.frombuffer(b"".join(table.column("_mark").to_pylist()), np.uint8).reshape(len(ids), -1)
-            cut = np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1
-            starts = np.concatenate([[0], cut])
-            lengths = np.diff(np.concatenate([starts, [len(ids)]]))
-            lefts, rights = [], []
-            for size in np.unique(lengths[lengths > 1]):
-                i, j = np.triu_indices(size, 1)
-                at = starts[lengths == size]
-                groups = max(1, (1 << 16) // len(i))  # so many groups of this size at a time
-                for some in range(0, len(at), groups):
-                    x, y = ((at[some : some + groups, None] + k[None, :]).ravel() for k in (i, j))
-                    small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
-                    keep = (comp[x] != comp[y]) & (small * 100 >= large * percent)
-                    x, y = x[keep], y[keep]
-                    for first in range(0, len(x), 1 << 14):
-                        u, v = x[first : first + (1 << 14)], y[first : first + (1 << 14)]
-                        near = (marks[u] == marks[v]).mean(axis=1) >= least_share
-                        lefts.append(ids[u[near]])
-                        rights.append(ids[v[near]])
-            a = np.concatenate(lefts) if lefts else np.zeros(0, np.int64)
-            b = np.concatenate(rights) if rights else np.zeros(0, np.int64)
-            pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(pair[0], pa.int64()), pa.array(pair[1], pa.int64())], names=["a", "b"])
-
-        def last_start(batch: pa.RecordBatch) -> int:
-            k = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in key])
-            differs = np.flatnonzero((k != k[:, -1:]).any(axis=0))
-            return int(differs[-1]) + 1 if len(differs) else 0
+def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, _set): the full shingle sets of the documents in ``ids``."""
+    ids = store.written(ids, "set-ids")
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in T.byte_slices(batch.column("text")):
+                found = [s.tobytes() for s in shingle_sets(data, offsets, shingle)]
+                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id")[lo:hi], "_set": pa.array(found, pa.binary())})
+
+    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").groupBy("doc_id")
+    return texts.agg(F.min_by("text", F.xxhash64("text")).alias("text")).mapInArrow(made, "doc_id long, _set binary")
 
+
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    return int((y[at] == x).sum()) if len(y) else 0
+
+
+def _meetings(key: list[str], percent: int, least_share: float, with_sets: bool):
+    """Compare the rows of each key, which come sorted; a key has two blocks at most.
+
+    Without sets the rows that have a candidate come out, with sets the links.
+    """
+
+    def candidates(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        k = np.stack([table.column(c).to_numpy() for c in key])
+        comp, n = (table.column(c).to_numpy() for c in ("component", "n_shingles"))
+        marks = np.frombuffer(b"".join(table.column("_mark").to_pylist()), np.uint8).reshape(len(n), -1)
+        bands = table.column("_bands").combine_chunks().flatten().to_numpy().reshape(len(n), -1)
+        starts = np.concatenate([[0], np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1])
+        lengths = np.diff(np.append(starts, len(n)))
+        lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for size in np.unique(lengths[lengths > 1]):
+            i, j = np.triu_indices(size, 1)
+            at = starts[lengths == size]
+            groups = max(1, (1 << 16) // len(i))  # so many groups of this size at a time
+            for some in range(0, len(at), groups):
+                x, y = ((at[some : some + groups, None] + m[None, :]).ravel() for m in (i, j))
+                keep = (comp[x] != comp[y]) & (np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * percent)
+                x, y = x[keep], y[keep]
+                for first in range(0, len(x), 1 << 13):
+                    u, v = x[first : first + (1 << 13)], y[first : first + (1 << 13)]
+                    shared = bands[u] == bands[v]
+                    here = bands[u, shared.argmax(axis=1)] == k[0][u]
+                    u, v = u[here], v[here]
+                    near = (marks[u] == marks[v]).mean(axis=1) >= least_share
+                    lefts.append(u[near])
+                    rights.append(v[near])
+        return np.concatenate(lefts), np.concatenate(rights)
+
+    def compared(table: pa.Table) -> pa.RecordBatch:
+        x, y = candidates(table)
+        ids = table.column("doc_id").to_numpy()
+        if not with_sets:
+            rows = table.select([*key, "doc_id"]).take(pa.array(T.distinct(np.concatenate([x, y]))))
+            return rows.combine_chunks().to_batches()[0] if rows.num_rows else pa.RecordBatch.from_pylist([], rows.schema)
+        sets = {}
+        column = table.column("_set")
+        linked = []
+        for i, j in zip(x.tolist(), y.tolist()):
+            for m in (i, j):
+                if m not in sets:
+                    sets[m] = np.frombuffer(column[m].as_py(), np.uint64)
+            common = _common(sets[i], sets[j])
+            linked.append(common * 100 >= percent * (len(sets[i]) + len(sets[j]) - common))
+        keep = np.array(linked, bool)
+        return pa.RecordBatch.from_arrays([pa.array(ids[x[keep]], pa.int64()), pa.array(ids[y[keep]], pa.int64())], names=["a", "b"])
+
+    def last_start(batch: pa.RecordBatch) -> int:
+        k = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in key])
+        differs = np.flatnonzero((k != k[:, -1:]).any(axis=0))
+        return int(differs[-1]) + 1 if len(differs) else 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if held:
-                tail = held[-1]
-                same = all(tail.column(c)[tail.num_rows - 1].as_py() == batch.column(c)[0].as_py() for c in key)
-                if not same:
-                    yield pairs(pa.Table.from_batches(held))
-                    held = []
+            if held and any(held[-1].column(c)[held[-1].num_rows - 1].as_py() != batch.column(c)[0].as_py() for c in key):
+                yield compared(pa.Table.from_batches(held))
+                held = []
             at = last_start(batch)
             if at:
-                yield pairs(pa.Table.from_batches([*held, batch.slice(0, at)]))
+                yield compared(pa.Table.from_batches([*held, batch.slice(0, at)]))
                 held = []
             held.append(batch.slice(at))
         if held:
-            yield pairs(pa.Table.from_batches(held))
+            yield compared(pa.Table.from_batches(held))
 
-    found = store.written(dealt.mapInArrow(compared, "a long, b long").distinct(), "across")
-    store.dropped(named, bands)
-    return found
+    return run
 
 
 def near_duplicates(
@@ -360,21 +434,27 @@ def near_duplicates(
     heads = heads.groupBy("doc_id").agg(F.min_by(F.struct("n_shingles", "_mark", "_bands"), "_order").alias("_head"))
     heads = store.written(heads.select("doc_id", "_head.*"), "heads")
     in_bands = heads.select("doc_id", F.explode("_bands").alias("_band"))
-    hubs = store.written(
-        in_bands.groupBy("_band").agg(F.min("doc_id").alias("_hub"), F.count(F.lit(1)).alias("_rows")).filter("_rows > 1"), "hubs"
+    hubs = in_bands.groupBy("_band").agg(
+        F.min_by("doc_id", F.xxhash64("doc_id", "_band")).alias("_hub"), F.count(F.lit(1)).alias("_rows")
     )
+    hubs = store.written(hubs.filter("_rows > 1"), "hubs")
     members = store.written(in_bands.join(hubs, "_band").select("_band", "doc_id", "_hub"), "members")
     sizes = heads.select("doc_id", "n_shingles", "_mark")
 
-    star = _star(members, sizes, percent, least_share)
-    links = _confirmed(star, docs, shingle, percent)
-    known = components(links)
-    across = _across(members, known, sizes, percent, least_share, block)
-    more = _confirmed(across.join(star, ["a", "b"], "left_anti"), docs, shingle, percent)
+    tried = _near(_pairs(members), sizes, percent, least_share)
+    links = _confirmed(tried, docs, shingle, percent)
+    named = _named(members, components(links))
+    for _ in range(STARS - 1):
+        more = _near(_second_star(named), sizes, percent, least_share)
+        more = store.written(more.join(tried, ["a", "b"], "left_anti"), "star")
+        links = store.written(links.union(_confirmed(more, docs, shingle, percent)), "links")
+        tried = store.written(tried.union(more), "tried")
+        named = _named(members, components(links))
+    more = _across(named, heads, docs, shingle, percent, least_share, block)
     # links between classes, and between the ids of rows of one class
     same = member_of.filter("doc_id <> _class").select(F.col("_class").alias("a"), F.col("doc_id").alias("b"))
     reach = store.written(components(links.union(more).union(same)), "components")
-    store.dropped(classes, hubs, members, star, across, heads, member_of)
+    store.dropped(classes, hubs, members, named, tried, more, heads, member_of)
     component = F.coalesce(F.col("component"), F.col("doc_id"))
     return (
         seen.select("doc_id", "n_shingles")

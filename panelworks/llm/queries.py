@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelworks.llm import decontam, neardup, packing, store, suffixdedup, toxicity
+from panelworks.llm import ann, decontam, neardup, packing, quality, store, suffixdedup, tokencount, tokenfile, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,31 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(store.read(spark, sf_dir, "documents"), store.read(spark, sf_dir, "benchmark"))
 
 
+def op4_random_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found for every row whose id is divisible by 20, against all rows."""
+    rows = store.read(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, rows.filter("vec_id % 20 = 0"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    return tokencount.token_counts(store.read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; labels with crc32(doc_id) mod 3 = 1 are held out."""
+    docs, labels = store.read(spark, sf_dir, "documents"), store.read(spark, sf_dir, "labels")
+    network = quality.fit(docs, labels.filter(~held_out(3, 1)))
+    return quality.score(docs, network).select("doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as shards of token ids and read back from them."""
+    docs = store.read(spark, sf_dir, "documents")
+    folder = store.shared_path(spark, "token-ids")
+    return tokenfile.read_shards(tokenfile.write_shards(docs, vocabulary("word_bpe_49k.json"), folder))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels with crc32(doc_id) mod 5 = 0 are held out."""
     docs, labels = store.read(spark, sf_dir, "documents"), store.read(spark, sf_dir, "labels")
@@ -50,8 +75,41 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(store.read(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC bundles and read back from them."""
+    pages = store.read(spark, sf_dir, "pages")
+    return warc.read_bundles(warc.write_bundles(pages, store.shared_path(spark, "warc")))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_pattern_packing, op3_decontamination, op8_toxicity, op9_minhash)
+    f.__name__: f
+    for f in (
+        op1_suffix_dedup,
+        op2_pattern_packing,
+        op3_decontamination,
+        op4_random_projection_forest,
+        op5_token_counts,
+        op6_quality,
+        op7_token_files,
+        op8_toxicity,
+        op9_minhash,
+        op10_warc,
+    )
 }
 
-ORACLE: dict[str, str] = {}
+#: Held-out labels are known to SQL, and so is what it takes to tell responses from revisits.
+ORACLE: dict[str, str] = {
+    "op10_warc": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), d AS (
+            SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM p
+        ), g AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS largest FROM d
+        )
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+            CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN largest END AS refers_to
+        FROM g
+    """,
+}
