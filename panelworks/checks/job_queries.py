@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelworks.checks.book import frame_mean, r8, register
 from panelworks.checks.cleaning_queries import BZ, SILVER
-from panelworks.checks.join_queries import BYES, CONTEXT, coded_context, opponents_sql
+from panelworks.checks.join_queries import BYES, CONTEXT, SEASON, coded_context, opponents_sql
 from panelworks.checks.panels import (
     FX,
     LI,
@@ -263,7 +263,7 @@ base AS (
   LEFT JOIN sentiment t ON t.player_name = r.player_name),
 predictions AS (SELECT *, round_predicted_score + cluster_bonus - 0.5 * anomaly_score + sentiment_boost
   AS adjusted_predicted_score FROM base)"""
-PREDICTION_CTE = f"{GOLD_CTE}, {FX}, {opponents_sql(5)}, {REGISTRY}, {SENTIMENT}, {PREDICTIONS}"
+PREDICTION_CTE = f"{GOLD_CTE}, {FX}, {opponents_sql(SEASON, 5)}, {REGISTRY}, {SENTIMENT}, {PREDICTIONS}"
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
@@ -276,6 +276,8 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
         states,
         sentiment_table(spark, sf),
         round_num=5,
+        season=SEASON,
+        team="team_2026",
         codes=NATION_CODES,
         bonus=BONUS,
         panel=SUPPLY,
@@ -319,12 +321,8 @@ def latest_matchup_means(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- roster -------------------------------------------------------------------------
 
-#: A cap and slots that the test registry can fill at every scale.
-JOB_RULES = RosterRules(
-    slots={s: 1 for s in SLOTS},
-    cap=60_000_000,
-    penalties=(0, 1, 2, 4, 8, 16, 32),
-)
+#: The slots of a squad under a cap that the test registry can meet.
+JOB_RULES = RosterRules(cap=195_000_000)
 
 
 def job_roster(
@@ -345,10 +343,11 @@ grid(penalty) AS (VALUES {_GRID}),
 valued AS (SELECT *, points * 1000 - penalty * price AS value FROM pool, grid),
 placed AS (SELECT *, row_number() OVER (PARTITION BY penalty, position ORDER BY value DESC, player_name)
   AS place FROM valued),
-spare AS (SELECT *, row_number() OVER (PARTITION BY penalty, place > 1 ORDER BY value DESC, player_name)
-  AS rest FROM placed),
-rosters AS (SELECT *, CASE WHEN place > 1 THEN 'FLEX' ELSE position END AS assigned_position
-  FROM spare WHERE place <= 1 OR rest <= 1),
+needs AS (SELECT *, coalesce({sql_map(SLOTS)}[position], 0) AS need FROM placed),
+spare AS (SELECT *, row_number() OVER (PARTITION BY penalty, place > need ORDER BY value DESC, player_name)
+  AS rest FROM needs),
+rosters AS (SELECT *, CASE WHEN place > need THEN 'FLEX' ELSE position END AS assigned_position
+  FROM spare WHERE place <= need OR rest <= 1),
 fits AS (SELECT penalty FROM rosters GROUP BY penalty HAVING count(*) = {JOB_RULES.size}
   AND sum(price) <= {JOB_RULES.cap} ORDER BY sum(points) DESC, penalty LIMIT 1),
 capped AS (SELECT * FROM rosters WHERE penalty IN (SELECT penalty FROM fits))"""

@@ -101,10 +101,14 @@ def repeated_context_keys(spark: SparkSession, sf: str) -> DataFrame:
     return j.duplicate_keys(match_panel(spark, sf), ["year", "round", "ground_condition"])
 
 
-def opponents_sql(round_num: int) -> str:
+#: The season of the round that the queries look at.
+SEASON = 2021
+
+
+def opponents_sql(season: int, round_num: int) -> str:
     return f"""
 pairs AS (SELECT {sql_map(NATION_CODES)}[home_team] AS h, {sql_map(NATION_CODES)}[away_team] AS a,
-          match_date FROM fx WHERE round = {round_num}),
+          match_date FROM fx WHERE year = {season} AND round = {round_num}),
 sides AS (SELECT h AS team, a AS opp, match_date FROM pairs WHERE h IS NOT NULL AND a IS NOT NULL
           UNION ALL SELECT a, h, match_date FROM pairs WHERE h IS NOT NULL AND a IS NOT NULL),
 opps AS (SELECT team, opp AS round_opponent FROM (SELECT *, row_number() OVER
@@ -113,16 +117,42 @@ opps AS (SELECT team, opp AS round_opponent FROM (SELECT *, row_number() OVER
 
 @register(
     "round_opponents",
-    f"""WITH {LI}, {CO}, {FX}, {opponents_sql(5)},
+    f"""WITH {LI}, {CO}, {FX}, {opponents_sql(SEASON, 5)},
     t AS (SELECT DISTINCT team FROM li)
     SELECT team, round_opponent, round_opponent IS NULL AS is_bye FROM t LEFT JOIN opps USING (team)""",
 )
 def round_opponents(spark: SparkSession, sf: str) -> DataFrame:
     teams = supply_panel(spark, sf).select("team").distinct()
-    opponents = j.round_opponents(fixture_list(spark, sf), 5, NATION_CODES)
+    opponents = j.round_opponents(fixture_list(spark, sf), SEASON, 5, NATION_CODES)
     return j.join_opponents(teams, opponents, "team")
 
 
+BYE_ROUND = f"""
+teams AS (SELECT DISTINCT home_team AS name FROM fx),
+grid AS (SELECT t.name, r.year, r.round FROM teams t, (SELECT DISTINCT year, round FROM fx) r),
+away AS (SELECT g.year, g.round, count(*) AS byes FROM grid g
+         WHERE NOT EXISTS (SELECT 1 FROM fx WHERE fx.year = g.year AND fx.round = g.round
+                           AND g.name IN (fx.home_team, fx.away_team))
+         AND EXISTS (SELECT 1 FROM fx WHERE fx.year <> g.year AND fx.round = g.round
+                     AND g.name IN (fx.home_team, fx.away_team))
+         GROUP BY g.year, g.round)"""
+
+
+@register(
+    "byes_in_spite_of_other_seasons",
+    f"WITH {CO}, {FX}, {BYE_ROUND} SELECT year, round, byes FROM away",
+)
+def byes_in_spite_of_other_seasons(spark: SparkSession, sf: str) -> DataFrame:
+    """Teams without an opponent in a round that they play in another season."""
+    fixtures = fixture_list(spark, sf)
+    sides = fixtures.select("year", "round", F.explode(F.array("home_team", "away_team")).alias("team"))
+    plays = sides.groupBy("round", "team").agg(F.collect_set("year").alias("_years"))
+    rounds = fixtures.select("year", "round").distinct()
+    named = plays.join(fixtures.select(F.col("home_team").alias("team")).distinct(), "team", "left_semi")
+    missing = named.join(rounds, "round").filter(~F.array_contains("_years", F.col("year")))
+    return missing.groupBy("year", "round").agg(F.count(F.lit(1)).alias("byes"))
+
+
 LATEST = """SELECT player_name, opponent AS round_opponent, bppm AS round_matchup_avg FROM
     (SELECT *, row_number() OVER (PARTITION BY player_name, opponent ORDER BY year DESC, round DESC)
      AS rn FROM li) WHERE rn = 1"""
@@ -130,7 +160,7 @@ LATEST = """SELECT player_name, opponent AS round_opponent, bppm AS round_matchu
 
 @register(
     "latest_matchup",
-    f"""WITH {LI}, {CO}, {FX}, {opponents_sql(5)}, m AS ({LATEST}),
+    f"""WITH {LI}, {CO}, {FX}, {opponents_sql(SEASON, 5)}, m AS ({LATEST}),
     c AS (SELECT player_name, max(team) AS team, avg(score) AS career_avg FROM li GROUP BY 1)
     SELECT player_name, round_opponent, {r8('round_matchup_avg', 'round_matchup_avg')},
     {r8('''CASE WHEN round_opponent IS NULL THEN 0.0
@@ -142,7 +172,7 @@ def latest_matchup(spark: SparkSession, sf: str) -> DataFrame:
     players = panel.groupBy("player_name").agg(
         F.max("team").alias("team"), F.avg("score").alias("career_avg")
     )
-    opponents = j.round_opponents(fixture_list(spark, sf), 5, NATION_CODES)
+    opponents = j.round_opponents(fixture_list(spark, sf), SEASON, 5, NATION_CODES)
     gold = panel.withColumnRenamed("bppm", "matchup_adjusted_avg")
     df = j.join_latest_matchup(j.join_opponents(players, opponents, "team"), gold, SUPPLY)
     return rounded(

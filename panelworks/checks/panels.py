@@ -212,10 +212,12 @@ li AS (
 
 
 def match_panel(spark: SparkSession, sf: str) -> DataFrame:
-    """Matches of a nation in the months with urgent, finished orders."""
-    orders = table(spark, sf, "orders").filter(
-        (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
-    )
+    """A nation plays in the months in which some of its orders are urgent and finished.
+
+    All orders are aggregated; the count of those two kinds decides what is a match.
+    """
+    orders = table(spark, sf, "orders")
+    played = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
     customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     months = (
         orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
@@ -225,10 +227,11 @@ def match_panel(spark: SparkSession, sf: str) -> DataFrame:
             "c_nationkey",
         )
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("c_mktsegment").alias("ground_condition"),
-            F.max("c_mktsegment").alias("weather_condition"),
+            F.count(F.when(played, 1)).alias("n"),
+            F.min(F.when(played, F.col("c_mktsegment"))).alias("ground_condition"),
+            F.max(F.when(played, F.col("c_mktsegment"))).alias("weather_condition"),
         )
+        .filter("n > 0")
     )
     rival = (F.col("c_nationkey") + F.col("round")) % 25
     return months.select(
@@ -248,11 +251,13 @@ co AS (
   SELECT year(o_orderdate) + 24 AS year, CAST(month(o_orderdate) AS INTEGER) AS round,
          'NATION_' || c_nationkey AS team,
          'NATION_' || ((c_nationkey + month(o_orderdate)) % 25) AS opponent,
-         count(*) % 2 = 0 AS is_home, count(*) AS n,
-         min(c_mktsegment) AS ground_condition, max(c_mktsegment) AS weather_condition
-  FROM orders JOIN customer ON o_custkey = c_custkey
-  WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
+         count(*) FILTER (played) % 2 = 0 AS is_home, count(*) FILTER (played) AS n,
+         min(c_mktsegment) FILTER (played) AS ground_condition,
+         max(c_mktsegment) FILTER (played) AS weather_condition
+  FROM (SELECT *, o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AS played FROM orders)
+  JOIN customer ON o_custkey = c_custkey
   GROUP BY year(o_orderdate), month(o_orderdate), c_nationkey
+  HAVING count(*) FILTER (played) > 0
 )"""
 
 CODED_CO = f"""

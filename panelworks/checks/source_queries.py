@@ -321,6 +321,39 @@ def feed_matches(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register(
+    "rejected_feeds",
+    f"WITH {CO} SELECT year, count(*) AS n FROM co WHERE round = 7 GROUP BY year",
+)
+def rejected_feeds(spark: SparkSession, sf: str) -> DataFrame:
+    """The feeds of one round break off; they are kept aside, the others are not."""
+    raw = F.col("raw")
+    broken = F.when(raw.contains('"NRL":[{"7"'), F.substring(raw, 1, 25)).otherwise(raw)
+    rejected = feeds.unreadable_feeds(season_feeds(spark, sf).withColumn("raw", broken))
+    return count_by(rejected, "year", name="n")
+
+
+@register(
+    "team_list_rows",
+    """SELECT p_partkey, upper(replace(p_brand, '#', '_')) || '_LOGO' AS team, p_size AS jersey,
+    'Al B. Part' || p_partkey AS player_name_raw, 'Part' || p_partkey || ', Al B.' AS player_name,
+    CASE WHEN p_size <= 13 THEN 'starter' WHEN p_size <= 17 THEN 'bench' ELSE 'reserve' END AS status
+    FROM part""",
+)
+def team_list_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A page for each part: another image, the logo of its brand, and one numbered player."""
+    brand = F.replace("p_brand", F.lit("#"), F.lit(" "))
+    html = F.concat(
+        F.lit('<p><img alt="Sponsor"><b>x</b> <img src="l.png" alt="'), brand, F.lit(' logo"></p><strong>'),
+        F.col("p_size").cast("string"), F.lit(".</strong> Al B. Part"), F.col("p_partkey").cast("string"),
+        F.lit("<br><strong>Coach</strong> Nobody"),
+    )
+    pages = table(spark, sf, "part").select("p_partkey", html.alias("html"))
+    return markup.team_lists(pages, ["Brand"]).select(
+        "p_partkey", "team", "jersey", "player_name_raw", "player_name", "status"
+    )
+
+
 FEED_ROWS = f"""WITH {CO}, k AS (SELECT *, round % 3 = 0 AS finals,
       CAST(n || '7' AS DOUBLE) AS pct, CAST('3.' || n AS DOUBLE) AS speed FROM co WHERE round <> 11),
     h AS (SELECT CAST(year AS INTEGER) AS year, CASE WHEN NOT finals THEN round END AS round, team AS home_team,
@@ -439,6 +472,21 @@ def landed_seasons(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_table(spark, path).select("o_orderkey", "o_orderstatus", "year")
 
 
+@register(
+    "landed_in_parts",
+    "SELECT o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders",
+)
+def landed_in_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Seasons that arrive in two parts each, the second of which is landed twice."""
+    path = scratch(spark, "parts")
+    orders = season_orders(spark, sf)
+    finished = F.col("o_orderstatus") == "F"
+    tables.land_part(orders.filter(finished), path, 1)
+    for _ in range(2):
+        tables.land_part(orders.filter(~finished), path, 2)
+    return tables.read_table(spark, path).select("o_orderkey", "o_orderstatus", "year")
+
+
 @register(
     "exported_csv",
     "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CAST(p_size AS VARCHAR) AS p_size FROM part",

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml import Model, Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelworks.operators.layout import broadcast_if_small, running_before
-from panelworks.session import persist_point
+from panelworks.operators.layout import running_before
+from panelworks.session import persist_point, stored_table
 
 # Columns known only after the round, and identifiers.
 LEAKING_COLUMNS = [
@@ -28,8 +30,6 @@ LEAKING_COLUMNS = [
 ]
 
 MISSING = -999
-#: Most categories that may become one column each.
-MAX_CATEGORIES = 1000
 
 
 def season_split(
@@ -75,7 +75,7 @@ def apply_codes(
     unseen: int | None = None,
 ) -> DataFrame:
     """Add the code of each column under a new name; ``unseen`` for unknown values."""
-    codes = broadcast_if_small(persist_point(codes))
+    codes = stored_table(codes)
     for col, name in cols.items():
         own = codes.filter(F.col("column") == col).select(
             F.col("value").alias("_value"), F.col("code").alias(name)
@@ -163,23 +163,31 @@ def impute_median(df: DataFrame, cols: Sequence[str], hot_rows: int | None = Non
 
 
 def categories(df: DataFrame, col: str, null_as: str = "UNK") -> list[str]:
-    """Sorted categories of a column, refused where there are too many to be columns."""
-    values = df.select(F.coalesce(F.col(col), F.lit(null_as)).alias("v")).distinct()
-    found = [r.v for r in values.limit(MAX_CATEGORIES + 1).collect()]
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"{col} has more than {MAX_CATEGORIES} categories")
-    return sorted(found)
+    """Sorted categories of a column, for as many as there are; they become columns, so they pass the driver."""
+    values = df.select(F.coalesce(F.col(col), F.lit(null_as)).alias("v")).distinct().orderBy("v")
+    return [r.v for r in values.toLocalIterator()]
 
 
 def one_hot(
     df: DataFrame, col: str, prefix: str = "pos_", null_as: str = "UNK"
 ) -> tuple[DataFrame, list[str]]:
-    """One 0/1 column per category, and their names."""
+    """One 0/1 column per category, and their names. For many categories see ``one_hot_vector``."""
     value = F.coalesce(F.col(col), F.lit(null_as))
     named = {f"{prefix}{c}": (value == c).cast("double") for c in categories(df, col, null_as)}
     return df.withColumns(named), list(named)
 
 
+def one_hot_vector(df: DataFrame, col: str, name: str = "one_hot", null_as: str = "UNK") -> tuple[DataFrame, Model]:
+    """Categories as one sparse vector, one place each in alphabetical order, and the fitted encoder."""
+    filled = df.withColumn("_category", F.coalesce(F.col(col), F.lit(null_as)))
+    stages = [
+        StringIndexer(inputCol="_category", outputCol="_index", stringOrderType="alphabetAsc", handleInvalid="keep"),
+        OneHotEncoder(inputCol="_index", outputCol=name, dropLast=False, handleInvalid="keep"),
+    ]
+    fitted = Pipeline(stages=stages).fit(filled)
+    return fitted.transform(filled).drop("_category", "_index"), fitted
+
+
 def standardise(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
     """(x - mean) / population deviation; a constant column is only centred."""
     stats = df.agg(

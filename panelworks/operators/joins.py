@@ -100,11 +100,18 @@ def add_initial_price(df: DataFrame, panel: Panel = Panel(), floor: int = MIN_PR
     )
 
 
+def round_fixtures(fixtures: DataFrame, season: int, round_num: int) -> DataFrame:
+    """The matches of one round of one season."""
+    return fixtures.filter((F.col("year") == season) & (F.col("round") == round_num))
+
+
 def round_opponents(
-    fixtures: DataFrame, round_num: int, codes: Mapping[str, str] | None = TEAM_CODES
+    fixtures: DataFrame, season: int, round_num: int, codes: Mapping[str, str] | None = TEAM_CODES
 ) -> DataFrame:
     """Team and opponent for every known pairing of a round, in both directions.
 
+    Only matches of ``season`` count: a team that plays the round in another season has a bye.
+
     ``codes=None`` means the fixtures hold codes already. A team listed twice
     keeps its last match.
     """
@@ -112,7 +119,7 @@ def round_opponents(
     def code(col: str) -> Column:
         return F.col(col) if codes is None else recode_strict(col, codes)
 
-    pairs = fixtures.filter(F.col("round") == round_num).select(
+    pairs = round_fixtures(fixtures, season, round_num).select(
         code("home_team").alias("home"), code("away_team").alias("away"), "match_date"
     )
     sides = F.array(
@@ -130,7 +137,7 @@ def round_opponents(
 
 
 def join_opponents(df: DataFrame, opponents: DataFrame, team: str) -> DataFrame:
-    joined = attach(df, opponents.withColumnRenamed("team", team), [team])
+    joined = df.join(opponents.withColumnRenamed("team", team), [team], "left")
     return joined.withColumn("is_bye", F.col("round_opponent").isNull())
 
 
@@ -144,9 +151,17 @@ def latest_matchup(gold: DataFrame, panel: Panel = Panel()) -> DataFrame:
 
 
 def join_latest_matchup(df: DataFrame, gold: DataFrame, panel: Panel = Panel()) -> DataFrame:
-    """Last blended matchup mean against the round's opponent, and the score it gives."""
-    latest = latest_matchup(gold, panel).withColumnRenamed(panel.opponent, "round_opponent")
-    joined = attach(df, latest, [*panel.entity, "round_opponent"])
+    """Last blended matchup mean against the round's opponent, and the score it gives.
+
+    Only the pairs of ``df`` are looked up, so the history of all others is left out before it is
+    aggregated.
+    """
+    pair = [*panel.entity, panel.opponent]
+    wanted = df.select(*panel.entity, F.col("round_opponent").alias(panel.opponent)).distinct()
+    latest = latest_matchup(gold.join(wanted, pair, "left_semi"), panel)
+    joined = df.join(
+        latest.withColumnRenamed(panel.opponent, "round_opponent"), [*panel.entity, "round_opponent"], "left"
+    )
     return joined.withColumn(
         "round_predicted_score", round_score("is_bye", "round_matchup_avg", "career_avg")
     )
@@ -156,8 +171,10 @@ def join_states(
     df: DataFrame, states: DataFrame, bonus: Mapping[int, float], panel: Panel = Panel()
 ) -> DataFrame:
     """Latest cluster and anomaly per entity; -1 and 0 where there is no history."""
-    latest = last_by(states, panel.entity, ["cluster", "anomaly_score"], panel.timeline)
-    joined = attach(df, latest, panel.entity)
+    entity = list(panel.entity)
+    known = states.join(df.select(*entity).distinct(), entity, "left_semi")
+    latest = last_by(known, entity, ["cluster", "anomaly_score"], panel.timeline)
+    joined = df.join(latest, entity, "left")
     return joined.withColumns(
         {
             "cluster": coalesce_default("cluster", -1).cast("int"),
@@ -170,10 +187,12 @@ def join_states(
 def join_sentiment(
     df: DataFrame, sentiment: DataFrame, weight: float = 5.0, player: str = "player_name"
 ) -> DataFrame:
-    """Score boost from expert sentiment; names are flipped to ``Last, First`` first."""
-    boosts = sentiment.select(
-        flip_name(player).alias(player),
-        (F.col("sentiment_score").cast("double") * weight).alias("sentiment_boost"),
+    """Score boost from expert sentiment; names are flipped to ``Last, First`` first.
+
+    Names that flip to the same one are one player with the mean of their sentiments.
+    """
+    boosts = sentiment.groupBy(flip_name(player).alias(player)).agg(
+        (F.avg(F.col("sentiment_score").cast("double")) * weight).alias("sentiment_boost")
     )
     joined = df.join(boosts, player, "left")
     return joined.withColumn("sentiment_boost", coalesce_default("sentiment_boost", 0.0))

@@ -26,18 +26,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from panelworks.session import persist_point
+from panelworks.session import persist_point, stored_table
 
-#: Largest number of rows one group may bring into one task.
-HOT_ROWS = 2_000_000
+#: Most bytes of rows that one group may bring into one task, by the width of the schema.
+HOT_BYTES = 512 << 20
 #: Pass as ``hot_rows`` where the caller has counted the groups already.
 UNCHECKED = -1
-#: Largest number of small key rows handed to a broadcast hint.
-BROADCAST_ROWS = 200_000
-
-#: Most ranges the hot rows are cut into; the driver sees 100 sampled keys for each.
-MAX_CHUNKS = 10_000
 
 CHUNK = "_chunk"
 HALO = "_halo"
@@ -45,10 +41,19 @@ HALO = "_halo"
 Build = Callable[[WindowSpec], Sequence[Column]]
 
 
+def row_bytes(schema: T.StructType) -> int:
+    """Bytes of a row by the types of its columns; 32 for each text or nested value."""
+    fixed = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4}
+    eight = (T.LongType, T.DoubleType, T.TimestampType)
+    return sum(fixed.get(type(f.dataType), 8 if isinstance(f.dataType, eight) else 32) for f in schema.fields)
+
+
 def hot_rows_limit(df: DataFrame, hot_rows: int | None) -> int:
+    """Rows of one group that fit into ``HOT_BYTES``; ``spark.panelworks.hotRows`` sets them outright."""
     if hot_rows is not None:
         return hot_rows
-    return int(df.sparkSession.conf.get("spark.panelworks.hotRows", str(HOT_ROWS)))
+    fit = HOT_BYTES // max(1, row_bytes(df.schema))
+    return int(df.sparkSession.conf.get("spark.panelworks.hotRows", str(fit)))
 
 
 @dataclass(frozen=True)
@@ -71,12 +76,7 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None)
     total = over.agg(F.count(F.lit(1)).alias("g"), F.sum("_rows").alias("r")).first()
     if not total["g"]:
         return None
-    return HotGroups(persist_point(over), total["g"], total["r"], limit)
-
-
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast only where the counted rows are few."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    return HotGroups(stored_table(over), total["g"], total["r"], limit)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -159,8 +159,8 @@ def split_groups(
 ) -> SplitGroups:
     """Cut the hot groups into contiguous ranges of the window order."""
     keys, order = list(keys), list(order)
-    chunks = min(max(2, -(-2 * hot.rows // hot.limit)), MAX_CHUNKS)
-    lookup = small(hot.keys.select(*keys), hot.groups)
+    chunks = max(2, -(-2 * hot.rows // hot.limit))
+    lookup = hot.keys.select(*keys)
     cold = null_safe_join(df, lookup, keys, "left_anti")
     rows = null_safe_join(df, lookup, keys, "left_semi")
     ranged = rows.repartitionByRange(chunks, *keys, *order).withColumn(
@@ -226,9 +226,7 @@ def running_before(
     inside = rows.select("*", *columns(window, F.when(~F.col(HALO), F.col(value)))).filter(~F.col(HALO))
     totals = {"_sum_before": F.sum(value), "_count_before": F.count(value)}
     offsets = split.earlier_totals(totals)
-    joined = null_safe_join(
-        inside, small(offsets, split.chunks + hot.groups), [*keys, CHUNK], "left"
-    )
+    joined = null_safe_join(inside, offsets, [*keys, CHUNK], "left")
     added = F.coalesce(F.col("_sum_before") + F.col(sum_as), F.col("_sum_before"), F.col(sum_as))
     result = joined.withColumn(sum_as, added)
     if count_as:
@@ -238,21 +236,16 @@ def running_before(
     return result.drop(CHUNK, HALO, "_sum_before", "_count_before")
 
 
-def broadcast_if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Hint a broadcast after counting the rows, at most one more than the limit."""
-    rows = BROADCAST_ROWS if rows is None else rows
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def attach(df: DataFrame, lookup: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:
     """Left join of a derived lookup table.
 
-    The lookup is computed once and stored, then counted. A small one is
-    broadcast. A large one meets the rows in a shuffle, where adaptive execution
-    splits the partition of a hot key; it can do that only for a side that is
-    shuffled as it is, which is why the lookup is stored before the join.
+    The lookup is computed once and stored, so the planner knows its size in bytes
+    and broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` only. A larger
+    one meets the rows in a shuffle, where adaptive execution splits the partition
+    of a hot key; it can do that only for a side that is shuffled as it is, which
+    is why the lookup is stored before the join.
     """
-    table = broadcast_if_small(persist_point(lookup))
+    table = stored_table(lookup)
     if null_safe:
         return null_safe_join(df, table, on, "left")
     return df.join(table, list(on), "left")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelworks.operators.aggregates import regression_metrics
-from panelworks.operators.features import MAX_CATEGORIES, MISSING, fill_sentinel
+from panelworks.operators.features import MISSING, fill_sentinel
 from panelworks.session import ensure_checkpoint_dir
 
 # The boosted-tree budget.
@@ -113,12 +113,9 @@ def ensemble_mean(df: DataFrame, a: str, b: str, name: str = "ensemble") -> Data
 
 
 def position_values(df: DataFrame, col: str) -> list[str]:
-    """Positions to fit a model for; refused where there are too many."""
-    values = df.select(col).filter(F.col(col).isNotNull()).distinct().limit(MAX_CATEGORIES + 1)
-    found = sorted(r[0] for r in values.collect())
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"{col} has more than {MAX_CATEGORIES} values")
-    return found
+    """Positions to fit a model for, in order; one model each, for as many as there are."""
+    values = df.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col)
+    return [r[0] for r in values.toLocalIterator()]
 
 
 def fit_by_position(

@@ -4,8 +4,11 @@ The roster is found by price penalties: for a penalty ``p`` each slot takes the
 players with the best ``score - p * price``; of all penalties whose roster is
 within the cap, the one with the best total score wins. The roster of a penalty is
 the best for that penalty, either over first positions alone, as plain window
-ranks, or over both positions, by matching a bounded number of contenders. Among
-all rosters within the cap a better one may lie between two penalties. Scores and
+ranks, or over both positions, by matching a bounded number of contenders.
+Penalties grow in steps of a tenth from none to one so large that only the price
+counts. That last roster is the cheapest there is: if it is over the cap, no full
+roster is within it, and if not, the result is never empty. Among the rosters
+within the cap a better one may lie between two penalties. Scores and
 prices are integers inside the search, which makes it exact and repeatable.
 """
 
@@ -26,6 +29,19 @@ SLOTS = {"HOK": 2, "FRF": 4, "2RF": 6, "HFB": 2, "5_8": 2, "CTW": 7, "FLB": 2}
 SALARY_CAP = 11_950_000
 FLEX = "FLEX"
 
+#: A penalty next to which no score counts.
+CHEAPEST = 10**9
+
+
+def growing_penalties(largest: int = 1_000_000, step: float = 1.1) -> tuple[int, ...]:
+    """0, then whole numbers growing by ``step``, then the penalty of the cheapest roster."""
+    found, now = [0], 1.0
+    while now <= largest:
+        if int(now) > found[-1]:
+            found.append(int(now))
+        now *= step
+    return (*found, CHEAPEST)
+
 
 @dataclass(frozen=True)
 class RosterRules:
@@ -40,7 +56,7 @@ class RosterRules:
     price: str = "price"
     score: str = "adjusted_predicted_score"
     #: price penalties tried, in thousandths of a point per 1000 of price
-    penalties: tuple[int, ...] = tuple(range(0, 400, 10))
+    penalties: tuple[int, ...] = growing_penalties()
 
     @property
     def size(self) -> int:
@@ -109,13 +125,24 @@ def slot_topk(pool: DataFrame, rules: RosterRules) -> DataFrame:
     return _fill_slots(pool, rules, rules.score, [])
 
 
-def _valued(pool: DataFrame, rules: RosterRules) -> DataFrame:
-    """Each candidate once per price penalty, with its whole-number value."""
+def _valued(pool: DataFrame, rules: RosterRules, positions: list[str], most: int) -> DataFrame:
+    """Each candidate once per price penalty, with its whole-number value.
+
+    Of the candidates with the same ``positions`` and price, only the ``most`` best can be chosen
+    under any penalty; the others are left out before the copies are made.
+    """
     points = F.round(F.col(rules.score) * 1000).cast("bigint")
     grid = F.array(*[F.lit(p) for p in rules.penalties])
     price = F.col(rules.price).cast("bigint")
+    alike = Window.partitionBy(*positions, rules.price).orderBy(
+        F.col("_locked").desc(), F.col("_points").desc(), F.col(rules.player)
+    )
     return (
         pool.withColumn("_points", points)
+        .withColumn("_locked", rules.is_locked())
+        .withColumn("_alike", F.row_number().over(alike))
+        .filter(F.col("_alike") <= most)
+        .drop("_alike", "_locked")
         .withColumn("penalty", F.explode(grid))
         .withColumn("_value", F.col("_points") * 1000 - F.col("penalty") * price)
     )
@@ -123,7 +150,8 @@ def _valued(pool: DataFrame, rules: RosterRules) -> DataFrame:
 
 def penalised_rosters(pool: DataFrame, rules: RosterRules) -> DataFrame:
     """One roster per price penalty, from first positions."""
-    return _fill_slots(_valued(pool, rules), rules, "_value", ["penalty"]).drop("_value")
+    valued = _valued(pool, rules, [rules.position], rules.deepest)
+    return _fill_slots(valued, rules, "_value", ["penalty"]).drop("_value")
 
 
 def matched_rosters(pool: DataFrame, rules: RosterRules) -> DataFrame:
@@ -138,14 +166,18 @@ def matched_rosters(pool: DataFrame, rules: RosterRules) -> DataFrame:
     usable = F.filter(positions, lambda p: p.isin(*rules.slots))
     in_slot = Window.partitionBy("penalty", "_slot").orderBy(*best)
     contenders = (
-        _valued(pool, rules)
+        _valued(pool, rules, [rules.position, rules.secondary], rules.size)
         .withColumn("_locked", rules.is_locked())
         .withColumn("_slot", F.explode(F.array_union(usable, F.array(F.lit(FLEX)))))
         .withColumn("_place", F.row_number().over(in_slot))
         .filter(F.col("_place") <= rules.size)
         .drop("_slot", "_place")
-        .dropDuplicates(["penalty", rules.player])
     )
+    # a contender of several slots is one; of two rows with one name the better one counts
+    one = Window.partitionBy("penalty", rules.player).orderBy(
+        F.col("_value").desc(), F.col(rules.price), F.col(rules.position), F.col(rules.secondary)
+    )
+    contenders = contenders.withColumn("_one", F.row_number().over(one)).filter("_one = 1").drop("_one")
     room = {**rules.slots, FLEX: rules.flex}
 
     def match(group: pd.DataFrame) -> pd.DataFrame:
@@ -207,7 +239,7 @@ def match_slots(
 
 
 def capped_roster(pool: DataFrame, rules: RosterRules, both_positions: bool = False) -> DataFrame:
-    """The best full roster within the cap; empty if no penalty gives one.
+    """The best full roster within the cap that a penalty gives; empty only if there is none at all.
 
     Each roster is gathered into one row, ``size`` players at most, so the pool
     is read once for choosing and for listing.
@@ -243,14 +275,15 @@ def audit_roster(roster: DataFrame, pool: DataFrame, rules: RosterRules) -> Data
         F.count_if(rules.is_locked()).alias("locked"),
         *[F.count_if(assigned == s).alias(f"slot {s}") for s in rules.slots],
     )
-    wanted = pool.filter(rules.is_locked()).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    wanted = pool.filter(rules.is_locked()).agg(F.count(F.lit(1)).alias("n")).scalar()
 
-    def rule(name: str, found: str, need: int, at_most: bool = False) -> Column:
+    def rule(name: str, found: str, needed: int | Column, at_most: bool = False) -> Column:
+        need = F.lit(needed) if isinstance(needed, int) else needed
         holds = F.col(found) <= need if at_most else F.col(found) == need
         return F.struct(
             F.lit(name).alias("rule"),
             F.col(found).cast("bigint").alias("found"),
-            F.lit(need).cast("bigint").alias("needed"),
+            need.cast("bigint").alias("needed"),
             holds.alias("holds"),
         )
 

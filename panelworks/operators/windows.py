@@ -25,7 +25,6 @@ from panelworks.operators.layout import (
     hot_groups,
     null_safe_join,
     running_before,
-    small,
     split_groups,
 )
 from panelworks.panel import Panel
@@ -418,5 +417,5 @@ def carry_forward(
     )
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     earlier = chunks.select(*split.chunk_keys, F.last("_last", ignorenulls=True).over(before).alias("_before"))
-    joined = null_safe_join(rows, small(earlier, split.chunks + hot.groups), split.chunk_keys, "left")
+    joined = null_safe_join(rows, earlier, split.chunk_keys, "left")
     return joined.withColumn(name, F.coalesce(name, "_before")).drop(CHUNK, HALO, "_before")

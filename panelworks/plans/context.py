@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelworks.sources.feeds import WEATHER_LABELS, feed_context, page_context
-from panelworks.sources.markup import labelled_values
-from panelworks.sources.tables import read_table, union_drift, write_table
+from panelworks.sources.feeds import (
+    FIXTURES_SCHEMA,
+    WEATHER_LABELS,
+    feed_context,
+    fixtures_from_json,
+    page_context,
+    unreadable_feeds,
+)
+from panelworks.sources.markup import embedded_json, labelled_values
+from panelworks.sources.tables import table_if_there, union_drift, write_table
 
 
 def match_context(
@@ -26,9 +33,37 @@ def match_context(
 
 
 def run_context(
-    spark: SparkSession, feeds_path: str, fixtures_path: str, pages_path: str, path: str
-) -> None:
-    context = match_context(
-        read_table(spark, feeds_path), read_table(spark, fixtures_path), read_table(spark, pages_path)
-    )
-    write_table(context, path, ["year"])
+    spark: SparkSession,
+    feeds_path: str,
+    fixtures_path: str,
+    pages_path: str,
+    path: str,
+    rejected_path: str | None = None,
+) -> bool:
+    """Write the context of the inputs that are there; False if there are none.
+
+    Feeds that cannot be read go to ``rejected_path``.
+    """
+    feeds, fixtures, pages = (table_if_there(spark, p) for p in (feeds_path, fixtures_path, pages_path))
+    if feeds is not None and rejected_path is not None:
+        write_table(unreadable_feeds(feeds), rejected_path)
+    if feeds is None and (fixtures is None or pages is None):
+        return False
+    write_table(match_context(feeds, fixtures, pages), path, ["year"])
+    return True
+
+
+def run_fixtures(
+    spark: SparkSession, pages_path: str, path: str, rejected_path: str, host: str = "https://www.nrl.com"
+) -> bool:
+    """Draw pages (year, round, html) to the fixture table; False if there are none.
+
+    Pages whose data cannot be read go to ``rejected_path``.
+    """
+    pages = table_if_there(spark, pages_path)
+    if pages is None:
+        return False
+    good, rejected = embedded_json(pages, FIXTURES_SCHEMA, "vue-draw", "q-data")
+    write_table(fixtures_from_json(good, host), path)
+    write_table(rejected, rejected_path)
+    return True

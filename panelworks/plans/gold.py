@@ -15,9 +15,9 @@ from panelworks.functions.scalars import PLACE_CODES, TEAM_CODES, is_code, recod
 from panelworks.operators import windows as w
 from panelworks.operators.aggregates import add_opponent_strength, mean_score, opponent_strength
 from panelworks.operators.joins import add_initial_price, add_match_context
-from panelworks.operators.layout import UNCHECKED, attach, broadcast_if_small, hot_groups
+from panelworks.operators.layout import UNCHECKED, attach, hot_groups
 from panelworks.panel import Panel
-from panelworks.sources.tables import read_table, union_drift, write_table
+from panelworks.sources.tables import read_table, table_if_there, union_drift, write_table
 
 ALL_TEAM_NAMES = {**TEAM_CODES, **PLACE_CODES}
 
@@ -61,8 +61,11 @@ def gold_features(
     df = w.add_price_ranks(silver, panel, hot_rows)
     df = add_initial_price(df, panel)
     if context is not None:
-        df = add_match_context(df, broadcast_if_small(context), panel)
-    if not point_in_time:
+        df = add_match_context(df, context, panel)
+    if point_in_time:
+        # on the narrow rows, before the features come into being
+        df = add_opponent_strength(df, panel, expanding=True, hot_rows=hot_rows)
+    else:
         df = attach(df, opponent_strength(silver, panel), [panel.opponent, panel.position])
     if hot_groups(silver, panel.entity, hot_rows) is None:
         # one shuffle by entity serves every window and join below
@@ -73,15 +76,13 @@ def gold_features(
         careers = mean_score(silver, panel.entity, panel.score, "career_avg")
         df = attach(df, careers, panel.entity)
     df = w.blend_with_career(w.add_prior_encounters(df, panel, hot_rows))
-    df = window_features(df, panel, hot_rows)
-    if point_in_time:
-        df = add_opponent_strength(df, panel, expanding=True)
-    return df
+    return window_features(df, panel, hot_rows)
 
 
 def run_gold(
     spark: SparkSession, silver_path: str, context_paths: list[str], path: str, panel: Panel = Panel()
 ) -> None:
-    contexts = [read_table(spark, p) for p in context_paths]
+    found = [table_if_there(spark, p) for p in context_paths]
+    contexts = [c for c in found if c is not None]
     context = conform_context(union_drift(contexts)) if contexts else None
     write_table(gold_features(read_table(spark, silver_path), context, panel), path, ["year"])

@@ -14,6 +14,7 @@ from panelworks.operators.joins import (
     join_opponents,
     join_sentiment,
     join_states,
+    round_fixtures,
     round_opponents,
 )
 from panelworks.panel import Panel
@@ -52,16 +53,18 @@ def round_predictions(
     states: DataFrame,
     sentiment: DataFrame,
     round_num: int,
-    team: str = "team_2026",
+    season: int = 2026,
+    team: str | None = None,
     codes: Mapping[str, str] | None = TEAM_CODES,
     bonus: Mapping[int, float] = CLUSTER_BONUS,
     panel: Panel = Panel(),
 ) -> DataFrame:
     """Registry rows with opponent, bye flag, matchup score and adjusted score.
 
-    Empty ``states`` and ``sentiment`` frames stand for missing inputs.
+    ``team`` is the team column of the registry, ``team_<season>`` unless named. Empty ``states`` and ``sentiment`` frames stand for missing inputs.
     """
-    df = join_opponents(registry, round_opponents(fixtures, round_num, codes), team)
+    opponents = round_opponents(fixtures, season, round_num, codes)
+    df = join_opponents(registry, opponents, team or f"team_{season}")
     df = join_latest_matchup(df, gold, panel)
     df = join_states(df, states, bonus, panel)
     df = join_sentiment(df, sentiment)
@@ -80,8 +83,8 @@ def run_predictions(
     season: int = 2026,
 ) -> None:
     fixtures = read_table(spark, fixtures_path)
-    if fixtures.filter(F.col("round") == round_num).isEmpty():
-        raise ValueError(f"no fixtures for round {round_num}")
+    if round_fixtures(fixtures, season, round_num).isEmpty():
+        raise ValueError(f"no fixtures for round {round_num} of {season}")
     predictions = round_predictions(
         read_table(spark, registry_path),
         fixtures,
@@ -89,6 +92,6 @@ def run_predictions(
         read_optional(spark, states_path, STATES_SCHEMA),
         read_optional(spark, sentiment_path, SENTIMENT_SCHEMA),
         round_num,
-        team=f"team_{season}",
+        season,
     )
     write_table(predictions, path)

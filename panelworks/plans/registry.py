@@ -18,7 +18,7 @@ from panelworks.operators.cleaning import (
 )
 from panelworks.operators.joins import join_player_stats
 from panelworks.panel import Panel
-from panelworks.sources.tables import export_csv, read_table, write_table
+from panelworks.sources.tables import export_csv, read_table, table_if_there, write_table
 
 
 def current_players(bronze: DataFrame, season: int = 2026, dedupe: bool = True) -> DataFrame:
@@ -71,13 +71,20 @@ def eligible(min_games: int = 10) -> Column:
 
 
 def join_expert_view(registry: DataFrame, sentiment: DataFrame) -> DataFrame:
-    """Expert sentiment under the flipped name, and the score adjusted by it."""
-    view = sentiment.select(
-        flip_name("player_name").alias("player_name"),
-        "sentiment_score",
-        F.col("confidence").alias("sentiment_confidence"),
-        F.col("recommendation").alias("expert_recommendation"),
-        F.col("key_insight").alias("expert_insight"),
+    """Expert sentiment under the flipped name, and the score adjusted by it.
+
+    Of names that flip to the same one, the most confident view counts.
+    """
+    view = (
+        sentiment.groupBy(flip_name("player_name").alias("player_name"))
+        .agg(F.max(F.struct("confidence", "sentiment_score", "recommendation", "key_insight")).alias("_view"))
+        .select(
+            "player_name",
+            F.col("_view.sentiment_score").alias("sentiment_score"),
+            F.col("_view.confidence").alias("sentiment_confidence"),
+            F.col("_view.recommendation").alias("expert_recommendation"),
+            F.col("_view.key_insight").alias("expert_insight"),
+        )
     )
     joined = registry.join(view, "player_name", "left")
     adjusted = sentiment_adjust("predicted_score", "sentiment_score", "sentiment_confidence")
@@ -112,12 +119,17 @@ def run_registry(
     sentiment_path: str | None = None,
     season: int = 2026,
 ) -> None:
+    """Registry from the season's grid, or from last season where there is no grid yet.
+
+    The sentiment table is used if it is there.
+    """
     gold = read_table(spark, gold_path)
-    if bronze_path:
-        players = current_players(read_table(spark, bronze_path), season)
+    bronze = table_if_there(spark, bronze_path)
+    if bronze is not None:
+        players = current_players(bronze, season)
     else:
         players = players_from_gold(gold, season - 1, season)
-    sentiment = read_table(spark, sentiment_path) if sentiment_path else None
+    sentiment = table_if_there(spark, sentiment_path)
     write_table(player_registry(gold, players, season - 1, sentiment), path)
     if csv_path:
         ranked = F.col("predicted_score").desc_nulls_first()

@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelworks.operators.roster import RosterRules
-from panelworks.plans.context import run_context
+from panelworks.plans.context import run_context, run_fixtures
 from panelworks.plans.gold import run_gold
 from panelworks.plans.insights import run_insights
 from panelworks.plans.predictions import run_predictions
@@ -15,7 +17,7 @@ from panelworks.plans.registry import run_registry
 from panelworks.plans.silver import run_silver
 from panelworks.plans.squad import run_roster
 from panelworks.plans.states import run_states
-from panelworks.sources.tables import read_table, write_table
+from panelworks.sources.tables import read_optional, table_if_there, write_table
 from panelworks.sources.markup import team_lists
 
 # Words that mark a team logo on a team-list page.
@@ -36,14 +38,16 @@ class Lake:
 
 
 def refresh(spark: SparkSession, lake: Lake) -> None:
-    """Bronze to silver, context, gold, states and registry."""
+    """Bronze to silver, fixtures, context, gold and states; draw pages, feeds and match pages may be missing."""
     run_silver(spark, lake("bronze/stats"), lake("silver/player_rounds"))
+    run_fixtures(spark, lake("raw/draw_pages"), lake("bronze/fixtures"), lake("rejected/draw_pages"))
     run_context(
         spark,
         lake("raw/season_feeds"),
         lake("bronze/fixtures"),
         lake("raw/match_pages"),
         lake("bronze/match_context"),
+        lake("rejected/season_feeds"),
     )
     run_gold(
         spark, lake("silver/player_rounds"), [lake("bronze/match_context")], lake("gold/features")
@@ -52,16 +56,19 @@ def refresh(spark: SparkSession, lake: Lake) -> None:
 
 
 def score_insights(spark: SparkSession, lake: Lake) -> None:
-    run_insights(
-        spark, lake("raw/replies"), lake("squad/sentiment"), lake("squad/rejected_replies")
-    )
+    """Sentiment from the replies, if there are any; what was stored before stays otherwise."""
+    if table_if_there(spark, lake("raw/replies")) is not None:
+        run_insights(
+            spark, lake("raw/replies"), lake("squad/sentiment"), lake("squad/rejected_replies")
+        )
 
 
 def select_round(
     spark: SparkSession, lake: Lake, round_num: int, season: int, rules: RosterRules
 ) -> None:
     """Team lists, predictions and roster of one round."""
-    pages = read_table(spark, lake("raw/team_pages")).filter(f"round = {int(round_num)}")
+    schema = StructType.fromDDL("round int, html string")
+    pages = read_optional(spark, lake("raw/team_pages"), schema).filter(F.col("round") == round_num)
     lists = lake(f"squad/team_lists/round={round_num}")
     write_table(team_lists(pages.select("html"), TEAM_WORDS), lists)
     predictions = lake(f"squad/predictions/round={round_num}")
@@ -93,14 +100,15 @@ def run_week(
         refresh(spark, lake)
     if not skip_sentiment:
         score_insights(spark, lake)
-    if not skip_refresh:
+    if not (skip_refresh and skip_sentiment):
+        # the registry holds the sentiment, so either renews it
         run_registry(
             spark,
             lake("gold/features"),
             lake(f"bronze/stats/stats_{season}.parquet"),
             lake("squad/registry"),
             lake("squad/registry_csv"),
-            None if skip_sentiment else lake("squad/sentiment"),
+            lake("squad/sentiment"),
             season,
         )
     select_round(spark, lake, round_num, season, rules)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +48,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def stored_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back; its size in bytes is known from then on."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def persist_point(df: DataFrame) -> DataFrame:
     """Cut the lineage at ``df`` so that every later use sees the same rows."""
     ensure_checkpoint_dir(df.sparkSession)

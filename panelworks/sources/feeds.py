@@ -156,7 +156,10 @@ def team_stats(side: Column, rotated: Column) -> Column:
 
 
 def feed_flatten(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """One row per match of a nested season feed: round key, matchup, three text maps."""
+    """One row per match of a nested season feed: round key, matchup, three text maps.
+
+    Feeds that cannot be read give no row here; ``unreadable_feeds`` keeps them aside.
+    """
     rounds = df.select(
         "year", F.explode(F.from_json(raw, FEED_SCHEMA)["NRL"]).alias("_round")
     ).select("year", F.explode("_round").alias("round_key", "_matches"))
@@ -172,6 +175,12 @@ def feed_flatten(df: DataFrame, raw: str = "raw") -> DataFrame:
     )
 
 
+def unreadable_feeds(df: DataFrame, raw: str = "raw") -> DataFrame:
+    """(year, rejected): the feeds that give no rounds because their text cannot be read."""
+    rounds = F.from_json(raw, FEED_SCHEMA)["NRL"]
+    return df.filter(rounds.isNull()).select("year", F.col(raw).alias("rejected"))
+
+
 def mirror_match_rows(
     df: DataFrame, home: str = "home_team", away: str = "away_team", stats: Sequence[str] = ()
 ) -> DataFrame:

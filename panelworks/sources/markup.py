@@ -80,41 +80,102 @@ def elements(markup: Column, tag: str) -> Column:
     )
 
 
-def inside_of(markup: Column, *tags: str) -> Column:
-    """The stretches of markup that lie inside any of the elements, however nested."""
-    edge = rf"(?i)</?(?:{'|'.join(tags)})(?:\s[^>]*)?>"
+def nested_markup(markup: Column, tag: str) -> tuple[Column, Column]:
+    """The markup with the elements of one kind that lie inside another one as plain text, and the
+    stretches that lie inside such an inner element."""
+    edge = rf"(?i)</?{tag}(?:\s[^>]*)?>"
+    tags = F.regexp_extract_all(markup, F.lit(edge), F.lit(0))
+    steps = F.transform(tags, lambda t: F.when(F.startswith(t, F.lit("</")), -1).otherwise(1))
+
+    def enter(state: Column, step: Column) -> Column:
+        depth = F.greatest(state["depth"] + step, F.lit(0))
+        return F.struct(depth.alias("depth"), F.concat(state["all"], F.array(depth)).alias("all"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.array(F.lit(0)).alias("all"))
+    depths = F.aggregate(steps, start, enter, lambda state: state["all"])
+    pieces = F.arrays_zip(
+        depths.alias("depth"),
+        F.concat(F.array(F.lit("")), tags).alias("edge"),
+        F.split(markup, edge).alias("piece"),
+    )
+
+    def flattened(p: Column) -> Column:
+        # the edges of the outer elements stay
+        own = (p["depth"] == 0) | ((p["depth"] == 1) & ~F.startswith(p["edge"], F.lit("</")))
+        text = F.regexp_replace(p["piece"], r"<[^>]*>", " ")
+        return F.concat(F.when(own, p["edge"]).otherwise(" "), F.when(p["depth"] > 1, text).otherwise(p["piece"]))
+
+    outer = F.transform(pieces, flattened)
+    inner = F.transform(F.filter(pieces, lambda p: p["depth"] > 1), lambda p: p["piece"])
+    return F.array_join(outer, ""), inner
+
+
+def inside_containers(markup: Column, tags: Sequence[str], classes: Sequence[str]) -> Column:
+    """The stretches of markup inside any of the elements, or inside a div or section of one of the classes."""
+    edge = rf"(?i)</?(?:{'|'.join([*tags, 'div', 'section'])})(?:\s[^>]*)?>"
+    own = rf"(?i)^</?(?:{'|'.join(tags)})[\s>]"
+    marked = rf"""(?is)\sclass\s*=\s*["'][^"']*(?<![\w-])(?:{'|'.join(map(re.escape, classes))})(?![\w-])"""
     steps = F.transform(
         F.regexp_extract_all(markup, F.lit(edge), F.lit(0)),
-        lambda tag: F.when(F.startswith(tag, F.lit("</")), -1).otherwise(1),
+        lambda tag: F.struct(
+            F.when(F.startswith(tag, F.lit("</")), -1).otherwise(1).alias("by"),
+            tag.rlike(own).alias("own"),
+            tag.rlike(marked).alias("marked"),
+        ),
     )
 
     def enter(state: Column, step: Column) -> Column:
-        depth = F.greatest(state["depth"] + step, F.lit(0))
+        # depth in the elements, and depth in divisions since the marked one
+        element = F.when(step["own"], F.greatest(state["element"] + step["by"], F.lit(0))).otherwise(state["element"])
+        begins = (state["box"] == 0) & step["marked"] & (step["by"] > 0)
+        inner = F.when(state["box"] > 0, state["box"] + step["by"]).when(begins, F.lit(1)).otherwise(F.lit(0))
+        box = F.when(step["own"], state["box"]).otherwise(inner)
         return F.struct(
-            depth.alias("depth"), F.concat(state["all"], F.array(depth)).alias("all")
+            element.alias("element"),
+            box.alias("box"),
+            F.concat(state["all"], F.array((element > 0) | (box > 0))).alias("all"),
         )
 
-    start = F.struct(F.lit(0).alias("depth"), F.array(F.lit(0)).alias("all"))
-    depths = F.aggregate(steps, start, enter, lambda state: state["all"])
-    pieces = F.arrays_zip(depths.alias("depth"), F.split(markup, edge).alias("piece"))
-    return F.transform(F.filter(pieces, lambda p: p["depth"] > 0), lambda p: p["piece"])
+    start = F.struct(F.lit(0).alias("element"), F.lit(0).alias("box"), F.array(F.lit(False)).alias("all"))
+    within = F.aggregate(steps, start, enter, lambda state: state["all"])
+    pieces = F.arrays_zip(within.alias("within"), F.split(markup, edge).alias("piece"))
+    return F.transform(F.filter(pieces, lambda p: p["within"]), lambda p: p["piece"])
 
 
 def grid_rows(
     df: DataFrame, html: str = "html", row: str = "tr", cell: str = "td", name: str = "cells"
 ) -> DataFrame:
-    """One row per grid row with the trimmed cell texts; empty rows are dropped."""
-    cells = F.transform(
-        elements(visible(html), row), lambda r: F.transform(elements(r, cell), plain_text)
-    )
+    """One row per grid row with the trimmed cell texts; empty rows are dropped.
+
+    A grid inside a cell is text of that cell, and its own rows come after those of the outer grids.
+    """
+
+    def rows_of(markup: Column) -> Column:
+        return F.transform(elements(markup, row), lambda r: F.transform(elements(r, cell), plain_text))
+
+    keep = [c for c in df.columns if c != html]
+    page = df.select(*keep, visible(html).alias("_page"))
+    if row == "tr":
+        outer, inner = nested_markup(F.col("_page"), "table")
+        page = page.select(*keep, outer.alias("_page"), F.flatten(F.transform(inner, rows_of)).alias("_inner"))
+        cells = F.concat(rows_of(F.col("_page")), F.col("_inner"))
+    else:
+        cells = rows_of(F.col("_page"))
     filled = F.filter(cells, lambda r: F.exists(r, lambda text: text != ""))
-    return df.select(
-        *[c for c in df.columns if c != html], F.posexplode(filled).alias("row_no", name)
+    return page.select(*keep, F.posexplode(filled).alias(*[f"_{x}" for x in ("row_no", "cells")])).select(
+        *keep, F.col("_row_no").alias("row_no"), F.col("_cells").alias(name)
     )
 
 
+#: A start tag; what is quoted in it may hold any character.
+START_TAG = r"""(?s)<[a-zA-Z][a-zA-Z0-9]*+(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+
+
 def attribute(tag: Column, name: str) -> Column:
-    return F.nullif(F.regexp_extract(tag, rf'(?is)\s{name}="([^"]*)"', 1), F.lit(""))
+    """Value of an attribute in double or single quotes; null if it is missing or empty."""
+    double = F.regexp_extract(tag, rf'(?is)\s{name}\s*=\s*"([^"]*)"', 1)
+    single = F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*'([^']*)'", 1)
+    return F.nullif(F.when(double != "", double).otherwise(single), F.lit(""))
 
 
 def embedded_json(
@@ -127,11 +188,14 @@ def embedded_json(
 ) -> tuple[DataFrame, DataFrame]:
     """JSON kept in an attribute of one element: parsed rows, and rejected ones.
 
-    Pages without the element give neither.
+    Quoted attributes are units, so a ``>`` in one does not end the tag, and all entities in them are
+    decoded. Pages without the element give neither; a reject holds the whole tag.
     """
-    tag = F.regexp_extract(F.col(html), rf'(?is)<[a-z]+\s[^>]*id="{element_id}"[^>]*>', 0)
-    found = df.withColumn("_tag", tag).filter(F.col("_tag") != "")
-    raw = F.replace(attribute(F.col("_tag"), attr), F.lit("&quot;"), F.lit('"'))
+    named = rf"""(?is)\sid\s*=\s*["']?{re.escape(element_id)}(?:["'\s/>])"""
+    tags = F.regexp_extract_all(html, F.lit(START_TAG), F.lit(0))
+    tag = F.get(F.filter(tags, lambda t: t.rlike(named)), F.lit(0))
+    found = df.withColumn("_tag", tag).filter(F.col("_tag").isNotNull())
+    raw = decode(attribute(F.col("_tag"), attr))
     tolerant = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
     parsed = found.withColumn("_raw", raw).withColumn(
         name, F.from_json("_raw", tolerant, {"columnNameOfCorruptRecord": "_bad"})
@@ -141,7 +205,7 @@ def embedded_json(
     good = parsed.filter(~broken).select(
         *keep, F.struct(*[F.col(f"{name}.{f}") for f in schema.fieldNames()]).alias(name)
     )
-    return good, parsed.filter(broken).select(*keep, F.col("_raw").alias("rejected"))
+    return good, parsed.filter(broken).select(*keep, F.col("_tag").alias("rejected"))
 
 
 def labelled_values(
@@ -263,10 +327,10 @@ def team_lists(df: DataFrame, keywords: Sequence[str], html: str = "html") -> Da
 def article_text(df: DataFrame, html: str = "html", long_enough: int = 30) -> DataFrame:
     """Title and body of an article.
 
-    The body is made of the paragraphs inside article or main; a page without
-    any gives its longer paragraphs instead.
+    The body is made of the paragraphs inside article or main, or inside a division for entry or post
+    content; a page without any gives its longer paragraphs instead.
     """
-    regions = inside_of(F.col("_page"), "article", "main")
+    regions = inside_containers(F.col("_page"), ["article", "main"], ["entry-content", "post-content"])
     inside = F.flatten(F.transform(regions, lambda r: F.transform(elements(r, "p"), plain_text)))
     texts = F.filter(inside, lambda t: t != "")
     anywhere = F.filter(

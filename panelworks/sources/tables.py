@@ -40,8 +40,15 @@ def union_drift(frames: Iterable[DataFrame]) -> DataFrame:
 def read_seasons(
     spark: SparkSession, paths: Sequence[str], clean: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """Clean each season on its own schema, then put the seasons together."""
-    return union_drift([clean(read_table(spark, path)) for path in paths])
+    """Clean each season on its own schema, then put the seasons together.
+
+    Files of one schema are one scan, so the plan grows with the number of schemas and not of files.
+    Only the footers of the files are read for that.
+    """
+    groups: dict[str, list[str]] = {}
+    for path in paths:
+        groups.setdefault(read_table(spark, path).schema.json(), []).append(path)
+    return union_drift([clean(spark.read.parquet(*same)) for same in groups.values()])
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -58,6 +65,18 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return empty(spark, schema)
 
 
+def table_if_there(spark: SparkSession, path: str | None) -> DataFrame | None:
+    """The table with its own schema, or None where there is none."""
+    if path is None:
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the dataset; rows are grouped by partition before writing.
 
@@ -85,7 +104,10 @@ def new_seasons(
 def land_new_seasons(
     incoming: DataFrame, path: str, current: int | None = None, key: str = "year"
 ) -> None:
-    """Add the new seasons to a season-partitioned dataset, replacing the running one."""
+    """Add the new seasons to a season-partitioned dataset, replacing the running one.
+
+    For tables that hold whole seasons. Seasons that arrive in several parts go to ``land_part``.
+    """
     schema = T.StructType([incoming.schema[key]])
     landed = read_optional(incoming.sparkSession, path, schema)
     rows = new_seasons(incoming, landed, current, key)
@@ -98,6 +120,22 @@ def land_new_seasons(
     )
 
 
+def land_part(incoming: DataFrame, path: str, part: str | int, key: str = "year") -> None:
+    """Add the rows that arrived together as one part of a dataset, in ``part`` and season folders.
+
+    Parts add up: a season may arrive in any number of them, over any number of runs. Landing a part again
+    replaces that part, so a run that is repeated neither loses nor doubles a row.
+    """
+    (
+        incoming.withColumn("part", F.lit(str(part)))
+        .hint("rebalance", key)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("part", key)
+        .parquet(path)
+    )
+
+
 def export_csv(df: DataFrame, path: str, *order: Column | str) -> None:
     """Ranked listing as CSV; range-partitioned, so the files follow the order."""
     df.orderBy(*order).write.mode("overwrite").option("header", "true").csv(path)

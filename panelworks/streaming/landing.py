@@ -1,8 +1,8 @@
 """Landing season files as they arrive.
 
 The file source keeps track of the files it has read, so each run takes the new
-ones only. Every batch goes through the same cleaning as the batch job and adds
-or replaces whole seasons.
+ones only. Every batch goes through the same cleaning as the batch job and is landed
+as a part of its own, so a season may arrive in several files over several runs.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from panelworks.operators.cleaning import conform_silver
-from panelworks.sources.tables import land_new_seasons
+from panelworks.sources.tables import land_part
 
 
 def land_season_files(
@@ -22,18 +22,17 @@ def land_season_files(
     folder: str,
     path: str,
     progress: str,
-    current: int | None = None,
     clean: Callable[[DataFrame], DataFrame] = conform_silver,
 ) -> None:
     """Clean the new season files of a folder and land them; returns when all are done.
 
     ``progress`` is the folder, on shared storage, where the stream notes which
-    files it has taken. A batch that is run again replaces the same seasons, so a
-    restart repeats no row.
+    files it has taken. A batch that is run again replaces its own part, so a
+    restart repeats no row and loses none.
     """
 
-    def land(batch: DataFrame, _: int) -> None:
-        land_new_seasons(clean(batch), path, current)
+    def land(batch: DataFrame, number: int) -> None:
+        land_part(clean(batch), path, number)
 
     arriving = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(folder)
     query = (

@@ -76,20 +76,34 @@ def test_initial_price_repeats_rows_for_repeated_keys(spark):
 @pytest.fixture
 def fixtures(spark):
     return spark.createDataFrame(
-        [(1, "Storm", "Eels", "a"), (1, "Nobody", "Sharks", "a"), (2, "Eels", "Storm", "b")],
-        "round int, home_team string, away_team string, match_date string",
+        [
+            (2026, 1, "Storm", "Eels", "a"),
+            (2026, 1, "Nobody", "Sharks", "a"),
+            (2026, 2, "Eels", "Storm", "b"),
+            (2025, 3, "Eels", "Storm", "c"),
+            (2026, 3, "Sharks", "Eels", "d"),
+        ],
+        "year int, round int, home_team string, away_team string, match_date string",
     )
 
 
 def test_opponents_in_both_directions(fixtures, rows):
-    found = rows(j.round_opponents(fixtures, 1), "team", "round_opponent")
+    found = rows(j.round_opponents(fixtures, 2026, 1), "team", "round_opponent")
     assert found == [("MEL", "PAR"), ("PAR", "MEL")]
-    assert j.round_opponents(fixtures, 9).count() == 0
+    assert j.round_opponents(fixtures, 2026, 9).count() == 0
+
+
+def test_a_match_of_another_season_does_not_end_a_bye(spark, fixtures, rows):
+    """Melbourne plays round 3 in 2025 and has a bye in 2026."""
+    df = spark.createDataFrame([("A", "MEL"), ("B", "PAR")], "player_name string, team_2026 string")
+    joined = j.join_opponents(df, j.round_opponents(fixtures, 2026, 3), "team_2026")
+    assert rows(joined, "player_name", "is_bye") == [("A", True), ("B", False)]
+    assert rows(j.round_opponents(fixtures, 2025, 3), "team", "round_opponent") == [("MEL", "PAR"), ("PAR", "MEL")]
 
 
 def test_a_team_without_match_has_a_bye(spark, fixtures, rows):
     df = spark.createDataFrame([("A", "MEL"), ("B", "SHA")], "player_name string, team_2026 string")
-    joined = j.join_opponents(df, j.round_opponents(fixtures, 1), "team_2026")
+    joined = j.join_opponents(df, j.round_opponents(fixtures, 2026, 1), "team_2026")
     assert rows(joined, "player_name", "round_opponent", "is_bye") == [
         ("A", "PAR", False),
         ("B", None, True),

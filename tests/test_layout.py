@@ -111,17 +111,31 @@ def test_few_groups_need_one_shuffle(spark, skewed):
     assert text.count("Exchange hashpartitioning") == 1
 
 
-def test_broadcast_only_where_counted_small(spark):
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+def test_lookups_are_broadcast_by_their_stored_bytes(spark):
+    """No hint: the planner sees the bytes of the stored lookup and its own threshold."""
+    df = spark.range(100).withColumn("v", F.col("id") % 7)
+    lookup = spark.range(7).select(F.col("id").alias("v"), (F.col("id") * 2).alias("w"))
+    joined = layout.attach(df, lookup, ["v"])
+    logical = joined._jdf.queryExecution().logical().toString().lower()
+    assert "resolvedhint" not in logical
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+        large = layout.attach(df, lookup, ["v"])
+        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
 
-    assert hinted(layout.broadcast_if_small(spark.range(10), rows=10))
-    assert not hinted(layout.broadcast_if_small(spark.range(11), rows=10))
+def test_the_hot_limit_is_in_bytes(spark):
+    narrow, wide = spark.range(1), spark.range(1).selectExpr("id", *[f"'x' as c{i}" for i in range(63)])
+    assert layout.hot_rows_limit(narrow, None) == layout.HOT_BYTES // 8
+    assert layout.hot_rows_limit(wide, None) == layout.HOT_BYTES // (8 + 63 * 32)
 
 
-def test_a_hot_join_key_is_split_by_adaptive_execution(spark, monkeypatch):
+def test_a_hot_join_key_is_split_by_adaptive_execution(spark):
     """A lookup too large to broadcast divides the partition of a hot key."""
-    monkeypatch.setattr(layout, "BROADCAST_ROWS", 100)
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",

@@ -93,9 +93,11 @@ def test_rosters_against_brute_force(spark, seed):
         return roster_totals(roster, cap, "price", RULES.score).first()["total_score"]
 
     assert total(10**6) == brute_force(rows, 10**6)
-    cap = 900
-    found, best = total(cap), brute_force(rows, cap)
-    assert found is None or found <= best
+    for cap in (1200, 900, 700, 500, 300):
+        found, best = total(cap), brute_force(rows, cap)
+        # empty only if no roster exists
+        assert (found is None) == (best is None)
+        assert found is None or found <= best
 
 
 def both_positions_brute_force(rows, cap):
@@ -119,13 +121,14 @@ def test_both_positions_against_brute_force(spark, seed):
         for i in range(11)
     ] + [("x1", "A", None, 90, 5), ("y1", "B", None, 70, 5), ("y2", "B", None, 60, 5)]
     players = pool(spark, rows)
-    for cap in (10**6, 900):
+    for cap in (10**6, 900, 600, 400, 250):
         rules = replace(RULES, cap=cap)
         roster = r.capped_roster(players, rules, both_positions=True)
         total = roster_totals(roster, cap, "price", RULES.score).first()["total_score"]
         best = both_positions_brute_force(rows, cap)
         if cap == 10**6:
             assert total == best
+        assert (total is None) == (best is None)
         assert total is None or total <= best
         if total is not None:
             assert all(x["holds"] for x in r.audit_roster(roster, players, rules).collect())

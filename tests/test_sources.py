@@ -243,3 +243,58 @@ def test_replies(spark, rows):
         ("u1", 0, "A B"), ("u2", 0, "A B"), ("u2", 1, "A B"), ("u3", 0, "A B"),
     ]
     assert rows(bad, "url") == [("u4",), ("u5",), ("u7",)]
+
+
+def test_grid_in_a_cell(spark):
+    """Cells after an inner grid stay in their row; the inner rows come last."""
+    html = (
+        "<table><tr><td>a</td><td>x<table><tr><td>i</td><td>j</td></tr><tr><td>k</td></tr></table></td><td>b</td></tr>"
+        "<tr><td>c</td></tr></table>"
+    )
+    found = markup.grid_rows(spark.createDataFrame([(1, html)], "n int, html string")).orderBy("row_no").collect()
+    assert [[" ".join(c.split()) for c in r["cells"]] for r in found] == [["a", "x i j k", "b"], ["c"], ["i", "j"], ["k"]]
+
+
+def test_draw_data_with_angle_brackets_and_entities(spark):
+    data = (
+        "{&quot;fixtures&quot;:[{&quot;type&quot;:&quot;Match&quot;,&quot;venue&quot;:&quot;A &amp; B > C&quot;,"
+        "&quot;homeTeam&quot;:{&quot;nickName&quot;:&quot;Sea &#39;Eagles&quot;}}]}"
+    )
+    pages = [
+        (1, f'<p title="1 > 0">x</p><div class="a" id="vue-draw" q-data="{data}"></div>'),
+        (2, f"<div id='vue-draw' q-data=\"{data}\"></div>"),
+        (3, '<div id="vue-draw" q-data="{&quot;fixtures&quot;:[{ > "></div>'),
+        (4, '<div id="other" q-data="{}"></div>'),
+    ]
+    df = spark.createDataFrame(pages, "round int, html string").selectExpr("2026 as year", "round", "html")
+    good, bad = markup.embedded_json(df, feeds.FIXTURES_SCHEMA, "vue-draw", "q-data")
+    found = feeds.fixtures_from_json(good, "").orderBy("round").collect()
+    assert [(r["round"], r["venue"], r["home_team"]) for r in found] == [
+        (1, "A & B > C", "Sea 'Eagles"),
+        (2, "A & B > C", "Sea 'Eagles"),
+    ]
+    assert [(r["round"], r["rejected"]) for r in bad.collect()] == [
+        (3, '<div id="vue-draw" q-data="{&quot;fixtures&quot;:[{ > ">')
+    ]
+
+
+@pytest.mark.parametrize(
+    "html, body",
+    [
+        ('<div class="x entry-content y"><p>one</p><div><p>two</p></div><p>three</p></div><p>out</p>', "one|two|three"),
+        ("<section class='post-content'><p>one</p></section><p>out</p>", "one"),
+        ('<article><div class="entry-content"><p>once</p></div><p>more</p></article><p>out</p>', "once|more"),
+        ('<div class="not-entry-content"><p>short</p></div>', ""),
+    ],
+)
+def test_article_containers(spark, html, body):
+    found = markup.article_text(spark.createDataFrame([(html,)], "html string")).first()["body"]
+    assert found == body.replace("|", "\n\n")
+
+
+def test_unreadable_feeds_are_kept_aside(spark):
+    good = '{"NRL":[{"1":[{"A v B":{"match":{}}}]}]}'
+    df = spark.createDataFrame([(2025, good), (2026, '{"NRL":[{"1":[{"A v'), (2027, None)], "year int, raw string")
+    assert feeds.feed_flatten(df).count() == 1
+    rejected = feeds.unreadable_feeds(df).collect()
+    assert sorted((r["year"], r["rejected"]) for r in rejected) == [(2026, '{"NRL":[{"1":[{"A v'), (2027, None)]

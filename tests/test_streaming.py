@@ -12,7 +12,7 @@ def test_new_files_land_once(spark, tmp_path, rows):
 
     def land():
         schema = spark.read.parquet(folder).schema
-        land_season_files(spark, schema, folder, path, progress, current=2025, clean=lambda df: df)
+        land_season_files(spark, schema, folder, path, progress, clean=lambda df: df)
         return rows(spark.read.parquet(path), "year", "v")
 
     arrive(2024, 1)
@@ -20,6 +20,18 @@ def test_new_files_land_once(spark, tmp_path, rows):
     assert land() == [(2024, 1)]
     arrive(2025, 1)
     assert land() == [(2024, 1), (2025, 1)]
-    arrive(2024, 9)  # a closed season stays as it is
-    arrive(2025, 9)  # the running one is renewed
-    assert land() == [(2024, 1), (2025, 9)]
+    arrive(2024, 9)  # more of a season that has landed
+    arrive(2025, 9)
+    assert land() == [(2024, 1), (2024, 9), (2025, 1), (2025, 9)]
+    assert land() == [(2024, 1), (2024, 9), (2025, 1), (2025, 9)]
+
+
+def test_a_part_landed_again_replaces_itself(spark, tmp_path, rows):
+    from panelworks.sources.tables import land_part
+
+    path = str(tmp_path / "out")
+    first = spark.createDataFrame([(2024, 1), (2025, 2)], "year int, v int")
+    second = spark.createDataFrame([(2025, 3)], "year int, v int")
+    for part, df in (("a", first), ("b", second), ("b", second)):
+        land_part(df, path, part)
+    assert rows(spark.read.parquet(path), "year", "v") == [(2024, 1), (2025, 2), (2025, 3)]
