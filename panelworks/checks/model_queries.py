@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from panelworks.checks.book import r8, register
 from panelworks.checks.panels import EV, EVENTS, LI, event_panel, rounded, stored, supply_panel, table
 from panelworks.checks.source_queries import scratch
+from panelworks.checks.window_queries import OVER
 from panelworks.operators import features as f
 from panelworks.operators import models as m
 from panelworks.operators.aggregates import cluster_profile
 from panelworks.operators.topk import metric_leaderboard, top_features
 from panelworks.operators.windows import add_features, lags, lead_target, rolling_mean
 from panelworks.sources.tables import read_table as table_at
+from panelworks.sources.tables import union_drift
 
 
 @register(
@@ -114,7 +116,11 @@ def standardised_columns(spark: SparkSession, sf: str) -> DataFrame:
 # --- models ------------------------------------------------------------------------
 
 FEATURES = ["score_lag_1", "score_lag_2", "rolling_avg_3", "price", "avg_score", "mins"]
-SMALL = {"maxIter": 5, "maxDepth": 3}
+
+#: The labelled rows with their split; the same rows the learners get.
+ROWS = f"""{EV}, t AS (SELECT *, lead(score) OVER ({OVER}) AS target FROM ev),
+    rows AS (SELECT event_id, primary_position, CASE WHEN year <= 2023 THEN 'train' WHEN year = 2024 THEN 'val'
+      ELSE 'test' END AS split FROM t WHERE target IS NOT NULL AND mins >= 5 AND year <= 2025)"""
 
 
 def model_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -128,50 +134,81 @@ def model_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@register("boosted_trees")
+def against_mean(scored: DataFrame, prediction: str = "prediction") -> DataFrame:
+    """Rows per split, and whether the learner fits the training rows better than their mean does."""
+    mean = scored.filter("split = 'train'").agg(F.avg("target_score")).scalar()
+    naive = m.split_metrics(scored.withColumn("_mean", mean), "target_score", "_mean")
+    errors = m.split_metrics(scored, "target_score", prediction)
+    both = errors.join(naive.select("split", F.col("rmse").alias("_naive")), "split")
+    better = (F.col("split") != "train") | (F.col("rmse") <= F.col("_naive"))
+    return both.select("split", F.col("n"), better.alias("better_than_mean"))
+
+
+PER_SPLIT = f"WITH {ROWS} SELECT split, count(*) AS n, true AS better_than_mean FROM rows GROUP BY split"
+
+
+@register("boosted_trees", PER_SPLIT)
 def boosted_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """Boosted trees with the whole budget, stopped early on the validation season."""
     rows = model_rows(spark, sf)
-    model = m.fit_score_model(rows, FEATURES, "target_score", SMALL)
-    return rounded(m.predict(model, rows, FEATURES), "event_id", "split", "prediction")
+    model = m.fit_score_model(rows, FEATURES, "target_score")
+    return against_mean(m.predict(model, rows, FEATURES))
 
 
-@register("ensemble_of_learners")
+@register("ensemble_of_learners", PER_SPLIT)
 def ensemble(spark: SparkSession, sf: str) -> DataFrame:
     rows = model_rows(spark, sf)
-    boosted = m.fit_score_model(rows, FEATURES, "target_score", SMALL)
-    forest = m.fit_forest(rows, FEATURES, "target_score", {"numTrees": 10, "maxDepth": 4})
+    boosted = m.fit_score_model(rows, FEATURES, "target_score")
+    forest = m.fit_forest(rows, FEATURES, "target_score")
     scored = m.predict(forest, m.predict(boosted, rows, FEATURES, "a"), FEATURES, "b")
-    return rounded(m.split_metrics(m.ensemble_mean(scored, "a", "b"), "target_score", "ensemble"))
+    return against_mean(m.ensemble_mean(scored, "a", "b"), "ensemble")
 
 
-@register("important_features")
+@register(
+    "important_features",
+    "SELECT unnest(['"
+    + "', '".join(FEATURES)
+    + "']) AS feature, true AS is_share, true AS adds_up",
+)
 def important_features(spark: SparkSession, sf: str) -> DataFrame:
-    model = m.fit_score_model(model_rows(spark, sf), FEATURES, "target_score", SMALL)
-    return rounded(top_features(m.feature_importance(spark, model, FEATURES), 20))
+    """Importances are shares that add up to one."""
+    model = m.fit_score_model(model_rows(spark, sf), FEATURES, "target_score")
+    listed = top_features(m.feature_importance(spark, model, FEATURES), 20)
+    total = listed.agg(F.abs(F.sum("importance") - 1) < 1e-9).scalar()
+    return listed.select("feature", F.col("importance").between(0, 1).alias("is_share"), total.alias("adds_up"))
 
 
-@register("model_per_position")
+@register(
+    "model_per_position",
+    f"""WITH {ROWS}, u AS (SELECT primary_position FROM rows GROUP BY 1
+      HAVING count(*) FILTER (split = 'train') > 0 AND count(*) FILTER (split = 'val') > 0)
+    SELECT primary_position AS position, split, count(*) AS n, true AS better_than_mean
+    FROM rows JOIN u USING (primary_position) GROUP BY primary_position, split""",
+)
 def model_per_position(spark: SparkSession, sf: str) -> DataFrame:
     rows = model_rows(spark, sf)
-    fitted = m.fit_by_position(rows, FEATURES, "target_score", params={"maxIter": 2, "maxDepth": 2})
-    parts = [
-        m.split_metrics(
-            m.predict(model, rows.filter(F.col("primary_position") == p), FEATURES),
-            "target_score", "prediction",
-        ).withColumn("position", F.lit(p))
-        for p, model in fitted.items()
-    ]
-    table_of_all = parts[0]
-    for part in parts[1:]:
-        table_of_all = table_of_all.unionByName(part)
-    return metric_leaderboard(rounded(table_of_all.filter(F.col("split") == "val")), "mae")
-
-
-@register("tuned_on_validation_season")
+    fitted = m.fit_by_position(rows, FEATURES, "target_score")
+    parts = []
+    for p, model in fitted.items():
+        scored = m.predict(model, rows.filter(F.col("primary_position") == p), FEATURES)
+        parts.append(against_mean(scored).withColumn("position", F.lit(p)))
+    return union_drift(parts).select("position", "split", "n", "better_than_mean")
+
+
+TUNING = {"maxDepth": [4, 6], "stepSize": [0.05, 0.1]}
+TRIALS = ", ".join(
+    f"($${{'maxDepth': {d}, 'stepSize': {s}}}$$)" for d in TUNING["maxDepth"] for s in TUNING["stepSize"]
+)
+
+
+@register(
+    "tuned_on_validation_season",
+    f"SELECT params, true AS has_errors FROM (VALUES {TRIALS}) AS t(params)",
+)
 def tuned(spark: SparkSession, sf: str) -> DataFrame:
-    grid = {"maxIter": [3], "maxDepth": [2, 3], "stepSize": [0.1]}
-    _, trials, _ = m.tune_fixed_validation(model_rows(spark, sf), FEATURES, "target_score", grid)
-    return metric_leaderboard(rounded(trials))
+    """One row for each setting that was tried, best first."""
+    _, trials, _ = m.tune_fixed_validation(model_rows(spark, sf), FEATURES, "target_score", TUNING)
+    return metric_leaderboard(trials).select("params", (F.col("val_mae") <= F.col("val_rmse")).alias("has_errors"))
 
 
 def vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
@@ -181,49 +218,78 @@ def vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
     return f.standardise(stored(rows.select("vec_id", "label", *columns)), names), names
 
 
-@register("latent_and_anomaly")
+USABLE = "embeddings WHERE embedding IS NOT NULL"
+
+
+@register(
+    "latent_and_anomaly",
+    f"SELECT count(*) AS vectors, CAST(count(*) * 64 AS DOUBLE) AS total_variance, true AS not_negative FROM {USABLE}",
+)
 def latent(spark: SparkSession, sf: str) -> DataFrame:
+    """What the latent columns keep and what the anomaly leaves add up to the variance of the input."""
     rows, names = vectors(spark, sf)
     projected, _ = m.latent_and_anomaly(rows, names)
     spread = m.spread_vector(projected.drop(*names), "latent", 8, "latent_")
-    return spread.withColumns(
-        {c: F.round(c, 6) for c in ["anomaly_score", *[f"latent_{i}" for i in range(8)]]}
+    kept = sum(F.col(f"latent_{i}") * F.col(f"latent_{i}") for i in range(8))
+    return spread.agg(
+        F.count(F.lit(1)).alias("vectors"),
+        F.round(F.sum(kept + F.col("anomaly_score") * len(names)), 4).alias("total_variance"),
+        (F.min("anomaly_score") >= 0).alias("not_negative"),
     )
 
 
-@register("clustered_states")
+@register(
+    "clustered_states",
+    f"SELECT CAST(6 AS BIGINT) AS clusters, count(*) AS vectors, true AS ascending FROM {USABLE}",
+)
 def clustered(spark: SparkSession, sf: str) -> DataFrame:
+    """Clusters hold all vectors, and their numbers follow the mean of the profile column."""
     rows, names = vectors(spark, sf)
     projected, _ = m.latent_and_anomaly(rows, names)
     states, _ = m.cluster_states(projected.drop(*names), "label")
     profile = cluster_profile(states, ["label", "anomaly_score"])
-    return profile.withColumns({c: F.round(c, 6) for c in ("avg_label", "avg_anomaly_score")})
+    means = F.transform(F.sort_array(F.collect_list(F.struct("cluster", "avg_label"))), lambda x: x["avg_label"])
+    sizes = states.agg(F.count(F.lit(1))).scalar()
+    return profile.agg(
+        F.count(F.lit(1)).alias("clusters"), (means == F.sort_array(means)).alias("ascending")
+    ).select("clusters", sizes.alias("vectors"), "ascending")
+
+
+ENTRIES = ", ".join(r8(f"embedding[{i + 1}]", f"latent_{i}") for i in range(64))
 
 
-@register("array_vectors")
+@register("array_vectors", f"SELECT vec_id, label, {ENTRIES} FROM embeddings")
 def array_vectors(spark: SparkSession, sf: str) -> DataFrame:
     rows = m.array_features(table(spark, sf, "embeddings"), "embedding")
-    return rounded(m.spread_vector(rows.drop("embedding"), "latent", 2, "latent_"))
+    return rounded(m.spread_vector(rows.drop("embedding"), "latent", 64, "latent_"))
 
 
-@register("stored_model")
+@register("stored_model", f"WITH {ROWS} SELECT event_id, true AS same FROM rows")
 def stored_model(spark: SparkSession, sf: str) -> DataFrame:
-    """Predictions of a model that was saved and loaded again."""
+    """A model that was saved and loaded again predicts what it did before."""
     rows = model_rows(spark, sf)
     path = scratch(spark, "model")
-    m.persist_model(m.fit_score_model(rows, FEATURES, "target_score", SMALL), path)
-    loaded = m.load_model(path).stages[0]
-    return rounded(m.predict(loaded, rows, FEATURES), "event_id", "prediction")
+    model = m.fit_score_model(rows, FEATURES, "target_score")
+    m.persist_model(model, path)
+    scored = m.predict(m.load_model(path).stages[0], m.predict(model, rows, FEATURES, "before"), FEATURES, "after")
+    return scored.select("event_id", (F.col("before") == F.col("after")).alias("same"))
+
+
+LOGGED = ", ".join(
+    f"('depth {d}', '{kind}', '{name}')"
+    for d in (4, 6)
+    for kind, name in (("param", "maxDepth"), *(("metric", f"{x}_mae") for x in ("train", "val", "test")))
+)
 
 
-@register("logged_runs")
+@register("logged_runs", f"SELECT run_name, kind, name FROM (VALUES {LOGGED}) AS t(run_name, kind, name)")
 def logged_runs(spark: SparkSession, sf: str) -> DataFrame:
-    """The runs table after two runs of different depth."""
+    """The entries of the runs table after two runs of different depth."""
     rows, path = model_rows(spark, sf), scratch(spark, "runs")
-    for depth in (1, 2):
-        params = {"maxIter": 2, "maxDepth": depth}
+    for depth in (4, 6):
+        params = {"maxDepth": depth}
         scored = m.predict(m.fit_score_model(rows, FEATURES, "target_score", params), rows, FEATURES)
         errors = m.split_metrics(scored, "target_score", "prediction").collect()
         metrics = {f"{r.split}_mae": round(r.mae, 6) for r in errors}
         m.log_run(spark, path, f"depth {depth}", params, metrics)
-    return table_at(spark, path)
+    return table_at(spark, path).select("run_name", "kind", "name")

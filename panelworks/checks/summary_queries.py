@@ -39,8 +39,7 @@ OVER = "PARTITION BY player_name, year ORDER BY ts, event_id"
 def best_form(spark: SparkSession, sf: str) -> DataFrame:
     """Entities ranked by their latest rolling mean, next to their career mean."""
     panel = event_panel(spark, sf)
-    formed = add_features(panel, EVENTS, [rolling_mean("score", 3, "form")])
-    latest = a.last_by(formed, ["player_name"], ["form"], EVENTS.timeline)
+    latest = a.latest_rolling_mean(panel, EVENTS, "score", 3, "form")
     careers = a.mean_score(panel, ["player_name"], "score", "career_avg")
     return rounded(top_n(latest.join(careers, "player_name"), "form", 20, ["player_name"]))
 
@@ -158,6 +157,16 @@ def insights_per_player(spark: SparkSession, sf: str) -> DataFrame:
     return a.aggregate_insights(turn_records(spark, sf), ["conv_id", "turn"])
 
 
+@register(
+    "insight_source_rows",
+    f"""WITH {TURNS} SELECT player_name, row_number() OVER (PARTITION BY player_name ORDER BY conv_id, turn) AS no,
+    source_url FROM tr""",
+)
+def insight_source_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = a.source_rows(turn_records(spark, sf), ["player_name"], "source_url", ["conv_id", "turn"])
+    return rows.select("player_name", "no", "source_url")
+
+
 @register(
     "context_rows_per_season",
     f"WITH {CO} SELECT year, count(*) AS count FROM co GROUP BY year",

@@ -53,6 +53,22 @@ def career_stats(df: DataFrame, panel: Panel = Panel()) -> DataFrame:
     )
 
 
+def latest_rolling_mean(df: DataFrame, panel: Panel, col: str, rows: int, name: str) -> DataFrame:
+    """The rolling mean of ``rows`` rows at the last row of each entity, null with fewer values.
+
+    Only the last rows of an entity can count, and that limit is applied in each map task; the
+    frame ends at the season of the last row.
+    """
+    latest = Window.partitionBy(*panel.entity).orderBy(*[F.col(c).desc() for c in panel.timeline])
+    few = df.withColumn("_place", F.row_number().over(latest)).filter(F.col("_place") <= rows)
+    value = F.col(col).cast("double")
+    mean = F.when(F.count(value) >= rows, F.avg(value)).alias("_mean")
+    by_season = few.groupBy(*panel.entity, *panel.season).agg(mean)
+    return by_season.groupBy(*panel.entity).agg(
+        F.max_by(F.struct("_mean"), F.struct(*panel.season))["_mean"].alias(name)
+    )
+
+
 def recent_form(df: DataFrame, season: int, panel: Panel = Panel()) -> DataFrame:
     """Means over the last rows of one season, and its last round and position.
 
@@ -149,10 +165,25 @@ def joined_text(
     return joined(split.cold, keys, col, order).unionByName(joined(parts, keys, name, [CHUNK]))
 
 
+def source_rows(
+    df: DataFrame, keys: Sequence[str], col: str, order: Sequence[str], hot_rows: int | None = None
+) -> DataFrame:
+    """(keys, no, text): the texts of each key as numbered rows, for keys of any size."""
+    slim = df.select(*dict.fromkeys([*keys, *order, col])).filter(F.col(col).isNotNull())
+    counted = running_before(
+        slim.withColumn("_one", F.lit(1)), keys, order, "_one", sum_as="_before", hot_rows=hot_rows
+    )
+    number = (F.coalesce(F.col("_before"), F.lit(0)) + 1).cast("bigint")
+    return counted.select(*keys, number.alias("no"), col)
+
+
 def aggregate_insights(
     records: DataFrame, order: Sequence[str], hot_rows: int | None = None
 ) -> DataFrame:
-    """One row per player: last facts, mean sentiment, most bullish advice, sources."""
+    """One row per player: last facts, mean sentiment, most bullish advice, sources.
+
+    ``sources`` is one text for a listing; ``source_rows`` gives the sources of players with any number of them.
+    """
     position = F.struct(*order)
     strongest = F.struct(F.col("sentiment_score"), position)
     grouped = records.groupBy("player_name").agg(

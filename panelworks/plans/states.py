@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +14,7 @@ from panelworks.operators.models import (
     persist_model,
     spread_vector,
 )
+from panelworks.session import stored_table
 from panelworks.sources.tables import read_table, write_table
 
 # Numeric inputs of the state model.
@@ -55,7 +55,7 @@ def player_states(
     """Identity columns with cluster, anomaly score and latent columns."""
     rows, inputs = state_inputs(gold, features)
     keep = [c for c in dict.fromkeys([*IDENTITY, order_by]) if c in rows.columns]
-    rows = rows.select(*keep, *inputs).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = stored_table(rows.select(*keep, *inputs))
     size = min(k_latent, len(inputs))
     projected, pca = latent_and_anomaly(rows, inputs, size)
     clustered, kmeans = cluster_states(projected.drop(*inputs), order_by, k_clusters)

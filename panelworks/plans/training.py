@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +23,7 @@ from panelworks.operators.models import (
 )
 from panelworks.operators.windows import lead_target
 from panelworks.panel import Panel
+from panelworks.session import stored_table
 from panelworks.sources.tables import export_csv, read_table
 
 # Text columns that become codes, and columns that are no features.
@@ -58,7 +58,7 @@ def train_scores(
 ) -> tuple[DataFrame, dict[str, Any]]:
     """Fit both learners; return all rows with their predictions, and the models."""
     features = list(features or select_features(rows, NOT_FEATURES))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = stored_table(rows)
     models = {
         "boosted": fit_score_model(rows, features, label, boosting),
         "forest": fit_forest(rows, features, label, forest),
@@ -89,7 +89,7 @@ def run_position_training(
     spark: SparkSession, gold_path: str, out: str, params: Mapping[str, Any] = {}
 ) -> None:
     """One model per position, each logged as its own run."""
-    rows = training_rows(read_table(spark, gold_path)).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = stored_table(training_rows(read_table(spark, gold_path)))
     features = select_features(rows, NOT_FEATURES)
     for value, model in fit_by_position(rows, features, "target_score", params=params).items():
         own = predict(model, rows.filter(F.col("primary_position") == value), features)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,12 +23,32 @@ RUNTIME_CONF = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to an existing session and send the package to its executors."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable on every executor, once for each session.
+
+    The archive is a file of the driver; Spark serves it to the executors.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_panelworks_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="panelworks-"), "panelworks.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                own = os.path.join(folder, name)
+                archive.write(own, os.path.relpath(own, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._panelworks_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder; make a temporary one only for a local master.
 
