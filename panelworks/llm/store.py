@@ -1,4 +1,4 @@
-"""Tables in the shared folder, batch sizes, and sending the package to the executors.
+"""Tables in the shared folder, and batch sizes.
 
 ``written`` cuts the lineage: what later steps read is a Parquet table in the folder of
 ``spark.checkpoint.dir``, so a lost executor repeats tasks and never a different result.
@@ -6,15 +6,10 @@
 
 from __future__ import annotations
 
-import io
-import os
-import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-import panelworks
 from panelworks.session import ensure_checkpoint_dir, tune
 
 #: Bytes of one Arrow batch; a row that is longer makes a batch of its own.
@@ -23,35 +18,13 @@ BATCH_ROWS = 2000
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """Apply the settings these operators count on and send the package to the executors."""
+    """Apply the settings these operators count on; ``tune`` also sends the package to the executors."""
     tune(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    ship(spark)
     return spark
 
 
-def ship(spark: SparkSession) -> None:
-    """Make the package importable on every executor, once for each session."""
-    sc = spark.sparkContext
-    if getattr(sc, "_panelworks_shipped", False):
-        return
-    root = os.path.dirname(os.path.abspath(panelworks.__file__))
-    packed = io.BytesIO()
-    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-        for folder, _, names in os.walk(root):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    archive.write(path, os.path.relpath(path, os.path.dirname(root)))
-    # the driver's own copy; addPyFile serves it to the executors
-    path = os.path.join(tempfile.mkdtemp(prefix="panelworks-"), "panelworks.zip")
-    with open(path, "wb") as out:
-        out.write(packed.getvalue())
-    sc.addPyFile(path)
-    sc._panelworks_shipped = True
-
-
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that the driver and all executors share."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
