@@ -48,8 +48,8 @@ BANDS = 32
 ROWS = 4
 #: Places of the permutations.
 PLACES = 1 << 20
-#: Members of a band that one group compares; larger bands are cut into blocks.
-BLOCK = 256
+#: Members of a band in one block; two blocks meet in one task at a time.
+BLOCK = 1024
 #: Coordinates of which one byte is kept to estimate a similarity; the first ones make the bands.
 MARKS = 256
 #: Share of equal bytes below which a pair cannot reach the threshold. At a similarity of 0.75 the
@@ -296,19 +296,19 @@ def _across(named: DataFrame, heads: DataFrame, docs: DataFrame, shingle: int, p
     of_base = F.transform(others, lambda j: F.struct(j.alias("x"), (-F.col("_slot") - 1).alias("y")))
     rows = rows.withColumn("_meet", F.explode(F.when(is_base, of_base).otherwise(F.concat(to_bases, to_others))))
     meeting = rows.select("_band", F.col("_meet.x").alias("_x"), F.col("_meet.y").alias("_y"), "doc_id", "component")
-    fields = ["n_shingles", "_mark", "_bands"]
-    meeting = meeting.join(heads.select("doc_id", *fields), "doc_id")
-    dealt = meeting.repartition(*key).sortWithinPartitions(*key, "doc_id").select(*key, "doc_id", "component", *fields)
+    fields = ["n_shingles", "_mark"]
+    dealt = meeting.join(heads.select("doc_id", *fields), "doc_id").repartition(*key).sortWithinPartitions(*key, "doc_id")
+    dealt = dealt.select(*key, "doc_id", "component", *fields)
     involved = store.written(
-        dealt.mapInArrow(_meetings(key, percent, least_share, False), "_band long, _x int, _y int, doc_id long"), "involved"
+        dealt.mapInArrow(_meetings(key, percent, least_share, False), "_band long, _x int, _y int, doc_id long, component long"), "involved"
     )
     sets = store.written(_sets(docs, involved.select("doc_id").distinct(), shingle), "sets")
     again = (
-        involved.join(meeting, [*key, "doc_id"])
+        involved.join(heads.select("doc_id", *fields, "_bands"), "doc_id")
         .join(sets, "doc_id")
         .repartition(*key)
         .sortWithinPartitions(*key, "doc_id")
-        .select(*key, "doc_id", "component", *fields, "_set")
+        .select(*key, "doc_id", "component", *fields, "_bands", "_set")
     )
     links = store.written(again.mapInArrow(_meetings(key, percent, least_share, True), "a long, b long"), "across")
     store.dropped(involved, sets)
@@ -348,7 +348,10 @@ def _meetings(key: list[str], percent: int, least_share: float, with_sets: bool)
         k = np.stack([table.column(c).to_numpy() for c in key])
         comp, n = (table.column(c).to_numpy() for c in ("component", "n_shingles"))
         marks = np.frombuffer(b"".join(table.column("_mark").to_pylist()), np.uint8).reshape(len(n), -1)
-        bands = table.column("_bands").combine_chunks().flatten().to_numpy().reshape(len(n), -1)
+        bands = table.column("_bands").combine_chunks().flatten().to_numpy().reshape(len(n), -1) if with_sets else None
+        first_marks = np.ascontiguousarray(marks[:, : marks.shape[1] // 4])
+        # twice the deviation of all bytes
+        quarter_share = percent / 100 - 2 * (percent / 100 - least_share)
         starts = np.concatenate([[0], np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1])
         lengths = np.diff(np.append(starts, len(n)))
         lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -362,19 +365,25 @@ def _meetings(key: list[str], percent: int, least_share: float, with_sets: bool)
                 x, y = x[keep], y[keep]
                 for first in range(0, len(x), 1 << 13):
                     u, v = x[first : first + (1 << 13)], y[first : first + (1 << 13)]
-                    shared = bands[u] == bands[v]
-                    here = bands[u, shared.argmax(axis=1)] == k[0][u]
-                    u, v = u[here], v[here]
+                    # a quarter of the bytes rules out most pairs
+                    near = (first_marks[u] == first_marks[v]).mean(axis=1) >= quarter_share
+                    u, v = u[near], v[near]
                     near = (marks[u] == marks[v]).mean(axis=1) >= least_share
-                    lefts.append(u[near])
-                    rights.append(v[near])
+                    u, v = u[near], v[near]
+                    if with_sets:
+                        # only in the first band that both share
+                        shared = bands[u] == bands[v]
+                        near = bands[u, shared.argmax(axis=1)] == k[0][u]
+                        u, v = u[near], v[near]
+                    lefts.append(u)
+                    rights.append(v)
         return np.concatenate(lefts), np.concatenate(rights)
 
     def compared(table: pa.Table) -> pa.RecordBatch:
         x, y = candidates(table)
         ids = table.column("doc_id").to_numpy()
         if not with_sets:
-            rows = table.select([*key, "doc_id"]).take(pa.array(T.distinct(np.concatenate([x, y]))))
+            rows = table.select([*key, "doc_id", "component"]).take(pa.array(T.distinct(np.concatenate([x, y]))))
             return rows.combine_chunks().to_batches()[0] if rows.num_rows else pa.RecordBatch.from_pylist([], rows.schema)
         sets = {}
         column = table.column("_set")
