@@ -1,10 +1,12 @@
 """Approximate nearest neighbours by a forest of random-projection trees.
 
-Each inner node of a tree cuts space by the direction between two random vectors of a sample, at the
-median of the sample. Every distinct vector is indexed: it lies in one leaf of each tree. A query goes
+Each inner node of a tree cuts space by the direction between two centres of a few random vectors of a
+sample. Every distinct vector is indexed: it lies in one leaf of each tree. A query goes
 through all trees at once with one priority queue, ordered by the smallest distance to a cut on the
 way; leaves come out of it until they hold ``candidates`` vectors. Those are ranked by their exact
-inner products in double precision.
+inner products in double precision. Unless it is given, ``candidates`` is measured: for ``TRIALS`` vectors of the
+sample the true neighbours in the sample are known, and so is how many candidates it takes to meet them; as many as give
+the recall ``TARGET`` are taken.
 
 Largest inner products become smallest distances by one more coordinate, the root of what a vector lacks to the
 longest one; for queries it is zero. So the trees need no vectors of equal length.
@@ -38,7 +40,10 @@ from panelworks.llm import store
 K = 20
 TREES = 16
 LEAF = 64
-CANDIDATES = 16_000
+TARGET = 0.97
+TRIALS = 96
+#: Vectors that one split looks at.
+SPLIT_POINTS = 256
 SAMPLE_ROWS = 65_536
 MOST_DEPTH = 12
 
@@ -49,8 +54,29 @@ def longer(vectors: np.ndarray, longest: float) -> np.ndarray:
     return np.concatenate([vectors, lack[:, None]], axis=1).astype(np.float32)
 
 
+def split(points: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, float]:
+    """Direction between two centres of some of the points, and where to cut.
+
+    The cut lies half-way between the centres, with at least a tenth of the points on either side.
+    """
+    if len(points) < 2:
+        direction = rng.normal(size=points.shape[1])
+        return direction / np.linalg.norm(direction), 0.0
+    some = points[rng.choice(len(points), min(len(points), SPLIT_POINTS), replace=False)].astype(float)
+    centres = some[:2]
+    for _ in range(5):
+        right = ((some - centres[0]) ** 2).sum(axis=1) > ((some - centres[1]) ** 2).sum(axis=1)
+        if right.all() or not right.any():
+            break
+        centres = np.stack([some[~right].mean(axis=0), some[right].mean(axis=0)])
+    direction = centres[1] - centres[0]
+    direction /= np.linalg.norm(direction) or 1.0
+    low, high = np.quantile(points @ direction, [0.1, 0.9])
+    return direction, float(np.clip(centres.mean(axis=0) @ direction, low, high))
+
+
 def grow(points: np.ndarray, depth: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Directions and medians of one tree, in the order of a heap."""
+    """Directions and cuts of one tree, in the order of a heap."""
     rng = np.random.default_rng(seed)
     direction = np.zeros((2**depth - 1, points.shape[1]), np.float32)
     median = np.zeros(2**depth - 1, np.float32)
@@ -60,15 +86,7 @@ def grow(points: np.ndarray, depth: int, seed: int) -> tuple[np.ndarray, np.ndar
         by = np.argsort(node, kind="stable")
         cut = np.searchsorted(node[by], np.arange(first, 2 * first + 2))
         for n in range(first, 2 * first + 1):
-            own = by[cut[n - first] : cut[n - first + 1]]
-            if len(own) < 2:
-                direction[n] = rng.normal(size=points.shape[1])
-            else:
-                a, b = points[rng.choice(own, 2, replace=False)]
-                direction[n] = a - b
-            direction[n] /= np.linalg.norm(direction[n]) or 1.0
-            if len(own):
-                median[n] = np.median(points[own] @ direction[n])
+            direction[n], median[n] = split(points[by[cut[n - first] : cut[n - first + 1]]], rng)
         node = 2 * node + 1 + ((points * direction[node]).sum(axis=1) > median[node])
     return direction, median
 
@@ -117,6 +135,27 @@ class Forest:
         return found
 
 
+def measured_candidates(forest: Forest, points: np.ndarray, k: int, target: float = TARGET, trials: int = TRIALS) -> int:
+    """Candidates, over all trees, that bring ``target`` of the ``k`` nearest among ``points``."""
+    leaves = forest.leaves(points)
+    sizes = np.stack([np.bincount(leaves[:, t], minlength=2**forest.depth) for t in range(forest.trees)])
+    rng = np.random.default_rng(5)
+    needed = []
+    for q in rng.choice(len(points), min(len(points), trials), replace=False):
+        score = points[:, :-1] @ points[q, :-1]
+        score[q] = -np.inf
+        true = np.argsort(-score)[: min(k, len(points) - 1)]
+        asked = np.append(points[q, :-1], np.float32(0))
+        order = forest.search(asked, sizes, int(sizes.sum()))
+        held = np.cumsum([sizes[t, leaf] for t, leaf in order])
+        place = np.full(sizes.shape, held[-1])
+        for (t, leaf), total in zip(order, held):
+            place[t, leaf] = total
+        # when the first tree brings the neighbour
+        needed += place[np.arange(forest.trees)[None, :], leaves[true]].min(axis=1).tolist()
+    return int(np.quantile(needed, target, method="higher")) if needed else k
+
+
 def usable(embeddings: DataFrame) -> DataFrame:
     """Rows (vec_id, embedding) that take part, whatever their dimension."""
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -129,7 +168,7 @@ def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False)).reshape(-1, dimension)
 
 
-def _fit(classes: DataFrame, dimension: int, trees: int, leaf: int, sample_rows: int) -> Forest:
+def _fit(classes: DataFrame, dimension: int, trees: int, leaf: int, sample_rows: int) -> tuple[Forest, np.ndarray]:
     spark = classes.sparkSession
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     known = classes.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("longest")).first()
@@ -147,12 +186,13 @@ def _fit(classes: DataFrame, dimension: int, trees: int, leaf: int, sample_rows:
     rows = spark.range(trees).repartition(trees).mapInArrow(grown, "tree long, direction binary, median binary").collect()
     rows = sorted(rows, key=lambda r: r["tree"])
     shared.unpersist()
-    return Forest(
+    forest = Forest(
         depth,
         known["longest"],
         np.stack([np.frombuffer(r["direction"], np.float32).reshape(-1, dimension + 1) for r in rows]),
         np.stack([np.frombuffer(r["median"], np.float32) for r in rows]),
     )
+    return forest, points
 
 
 def _dealt(classes: DataFrame, shared, dimension: int) -> DataFrame:
@@ -252,7 +292,7 @@ def nearest(
     k: int = K,
     trees: int = TREES,
     leaf: int = LEAF,
-    candidates: int = CANDIDATES,
+    candidates: int | None = None,
     sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest rows of ``embeddings`` found for each row of
@@ -279,15 +319,17 @@ def nearest(
     asked = usable(queries).filter(F.size("embedding") == dimension).distinct()
     asked = store.written(asked.join(classes.select("class", "embedding"), "embedding").select("vec_id", "class"), "queries")
 
-    forest = _fit(classes, dimension, trees, leaf, sample_rows)
+    forest, points = _fit(classes, dimension, trees, leaf, sample_rows)
+    if candidates is None:
+        candidates = measured_candidates(forest, points, k)
     shared = spark.sparkContext.broadcast(forest)
     members = store.written(_dealt(classes, shared, dimension), "cells")
     held = np.zeros((forest.trees, 2**forest.depth), np.int64)
     # at most trees x leaves numbers
     for r in members.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
         held[r["cell"] >> MOST_DEPTH, r["cell"] & ((1 << MOST_DEPTH) - 1)] = r["n"]
-    points = classes.join(asked.select("class").distinct(), "class", "left_semi")
-    probes = _probed(points, shared, spark.sparkContext.broadcast(held), dimension, candidates)
+    asking = classes.join(asked.select("class").distinct(), "class", "left_semi")
+    probes = _probed(asking, shared, spark.sparkContext.broadcast(held), dimension, candidates)
     found = _ranked(members, probes, dimension, k + 1)
     # a class that several trees brought counts once; a query keeps its best k + 1 classes, then ids
     single = found.groupBy("query", "class").agg(F.max("score").alias("score"))
