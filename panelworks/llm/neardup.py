@@ -156,14 +156,11 @@ def _sized(n_a: str, n_b: str, percent: int):
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Pairs whose full sets reach the threshold: (a, b)."""
+    """Pairs whose full sets reach the threshold: (a, b). ``docs`` has one text for each document."""
     pairs = store.written(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
     ids = store.written(ids, "pair-ids")
-    texts = store.written(
-        docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text")),
-        "pair-texts",
-    )
+    texts = store.written(docs.join(ids, "doc_id", "left_semi"), "pair-texts")
     left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = left.join(right, "b").select("a", "b", "text_a", "text_b")
@@ -296,7 +293,7 @@ def _across(named: DataFrame, heads: DataFrame, docs: DataFrame, shingle: int, p
     of_base = F.transform(others, lambda j: F.struct(j.alias("x"), (-F.col("_slot") - 1).alias("y")))
     rows = rows.withColumn("_meet", F.explode(F.when(is_base, of_base).otherwise(F.concat(to_bases, to_others))))
     meeting = rows.select("_band", F.col("_meet.x").alias("_x"), F.col("_meet.y").alias("_y"), "doc_id", "component")
-    fields = ["n_shingles", "_mark"]
+    fields = ["n_shingles", "_mark", "_bands"]
     dealt = meeting.join(heads.select("doc_id", *fields), "doc_id").repartition(*key).sortWithinPartitions(*key, "doc_id")
     dealt = dealt.select(*key, "doc_id", "component", *fields)
     involved = store.written(
@@ -304,11 +301,11 @@ def _across(named: DataFrame, heads: DataFrame, docs: DataFrame, shingle: int, p
     )
     sets = store.written(_sets(docs, involved.select("doc_id").distinct(), shingle), "sets")
     again = (
-        involved.join(heads.select("doc_id", *fields, "_bands"), "doc_id")
+        involved.join(heads.select("doc_id", *fields), "doc_id")
         .join(sets, "doc_id")
         .repartition(*key)
         .sortWithinPartitions(*key, "doc_id")
-        .select(*key, "doc_id", "component", *fields, "_bands", "_set")
+        .select(*key, "doc_id", "component", *fields, "_set")
     )
     links = store.written(again.mapInArrow(_meetings(key, percent, least_share, True), "a long, b long"), "across")
     store.dropped(involved, sets)
@@ -325,8 +322,7 @@ def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
                 found = [s.tobytes() for s in shingle_sets(data, offsets, shingle)]
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id")[lo:hi], "_set": pa.array(found, pa.binary())})
 
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").groupBy("doc_id")
-    return texts.agg(F.min_by("text", F.xxhash64("text")).alias("text")).mapInArrow(made, "doc_id long, _set binary")
+    return docs.join(ids, "doc_id", "left_semi").mapInArrow(made, "doc_id long, _set binary")
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:
@@ -348,7 +344,7 @@ def _meetings(key: list[str], percent: int, least_share: float, with_sets: bool)
         k = np.stack([table.column(c).to_numpy() for c in key])
         comp, n = (table.column(c).to_numpy() for c in ("component", "n_shingles"))
         marks = np.frombuffer(b"".join(table.column("_mark").to_pylist()), np.uint8).reshape(len(n), -1)
-        bands = table.column("_bands").combine_chunks().flatten().to_numpy().reshape(len(n), -1) if with_sets else None
+        bands = table.column("_bands").combine_chunks().flatten().to_numpy().reshape(len(n), -1)
         first_marks = np.ascontiguousarray(marks[:, : marks.shape[1] // 4])
         # twice the deviation of all bytes
         quarter_share = percent / 100 - 2 * (percent / 100 - least_share)
@@ -370,13 +366,11 @@ def _meetings(key: list[str], percent: int, least_share: float, with_sets: bool)
                     u, v = u[near], v[near]
                     near = (marks[u] == marks[v]).mean(axis=1) >= least_share
                     u, v = u[near], v[near]
-                    if with_sets:
-                        # only in the first band that both share
-                        shared = bands[u] == bands[v]
-                        near = bands[u, shared.argmax(axis=1)] == k[0][u]
-                        u, v = u[near], v[near]
-                    lefts.append(u)
-                    rights.append(v)
+                    # only in the first band that both share
+                    shared = bands[u] == bands[v]
+                    here = bands[u, shared.argmax(axis=1)] == k[0][u]
+                    lefts.append(u[here])
+                    rights.append(v[here])
         return np.concatenate(lefts), np.concatenate(rights)
 
     def compared(table: pa.Table) -> pa.RecordBatch:
@@ -449,6 +443,10 @@ def near_duplicates(
     hubs = store.written(hubs.filter("_rows > 1"), "hubs")
     members = store.written(in_bands.join(hubs, "_band").select("_band", "doc_id", "_hub"), "members")
     sizes = heads.select("doc_id", "n_shingles", "_mark")
+    # the texts that may have to be read again, one for each document that shares a band
+    shared = store.written(members.select("doc_id").distinct(), "shared-ids")
+    docs = docs.select("doc_id", "text").join(shared, "doc_id", "left_semi").groupBy("doc_id")
+    docs = store.written(docs.agg(F.min_by("text", F.xxhash64("text")).alias("text")), "shared-texts")
 
     tried = _near(_pairs(members), sizes, percent, least_share)
     links = _confirmed(tried, docs, shingle, percent)
@@ -463,7 +461,7 @@ def near_duplicates(
     # links between classes, and between the ids of rows of one class
     same = member_of.filter("doc_id <> _class").select(F.col("_class").alias("a"), F.col("doc_id").alias("b"))
     reach = store.written(components(links.union(more).union(same)), "components")
-    store.dropped(classes, hubs, members, named, tried, more, heads, member_of)
+    store.dropped(classes, hubs, members, named, tried, more, heads, member_of, shared, docs)
     component = F.coalesce(F.col("component"), F.col("doc_id"))
     return (
         seen.select("doc_id", "n_shingles")
