@@ -336,7 +336,7 @@ def job_roster(
     return round_roster(rows, None, season_rules(2026, JOB_RULES), both_positions)
 
 
-_GRID = ", ".join(f"({p})" for p in JOB_RULES.penalties)
+_GRID = ", ".join(f"({p})" for p in JOB_RULES.tried)
 JOB_ROSTER = f"""{PREDICTION_CTE},
 pool AS (SELECT player_name, position_2026 AS position, price_2026 AS price,
   CAST(round(round(adjusted_predicted_score, 4) * 1000) AS BIGINT) AS points

@@ -71,7 +71,7 @@ def best_per_slot(spark: SparkSession, sf: str) -> DataFrame:
     return roster.select("player_name", "assigned_position", "is_flex", "price")
 
 
-GRID = ", ".join(f"({p})" for p in RULES.penalties)
+GRID = ", ".join(f"({p})" for p in RULES.tried)
 CAPPED = f"""{POOL}, grid(penalty) AS (VALUES {GRID}),
 valued AS (SELECT *, CAST(round(adjusted_predicted_score * 1000) AS BIGINT) AS points,
   CAST(round(adjusted_predicted_score * 1000) AS BIGINT) * 1000 - penalty * price AS value

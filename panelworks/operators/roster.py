@@ -62,6 +62,11 @@ class RosterRules:
     def size(self) -> int:
         return sum(self.slots.values()) + self.flex
 
+    @property
+    def tried(self) -> tuple[int, ...]:
+        """The penalties, and in any case the one of the cheapest roster."""
+        return tuple(dict.fromkeys([*self.penalties, CHEAPEST]))
+
     @property
     def deepest(self) -> int:
         return max(self.slots.values()) + self.flex
@@ -132,7 +137,7 @@ def _valued(pool: DataFrame, rules: RosterRules, positions: list[str], most: int
     under any penalty; the others are left out before the copies are made.
     """
     points = F.round(F.col(rules.score) * 1000).cast("bigint")
-    grid = F.array(*[F.lit(p) for p in rules.penalties])
+    grid = F.array(*[F.lit(p) for p in rules.tried])
     price = F.col(rules.price).cast("bigint")
     alike = Window.partitionBy(*positions, rules.price).orderBy(
         F.col("_locked").desc(), F.col("_points").desc(), F.col(rules.player)
