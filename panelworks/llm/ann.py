@@ -39,13 +39,15 @@ from panelworks.llm import store
 
 K = 20
 TREES = 16
-LEAF = 64
-TARGET = 0.97
+LEAF = 128
+TARGET = 0.95
 TRIALS = 96
 #: Vectors that one split looks at.
 SPLIT_POINTS = 256
 SAMPLE_ROWS = 65_536
 MOST_DEPTH = 12
+#: Rows of results that a task puts together.
+HELD = 1 << 20
 
 
 def longer(vectors: np.ndarray, longest: float) -> np.ndarray:
@@ -239,15 +241,33 @@ def _probed(queries: DataFrame, shared, sizes, dimension: int, candidates: int)
 
 
 def _ranked(members: DataFrame, probes: DataFrame, dimension: int, keep: int) -> DataFrame:
-    """(query, class, score): the best ``keep`` members of each cell for each query that probes it.
+    """(query, class, score): the best ``keep`` members that a task finds for each query.
 
-    A cell arrives with its members first; of the queries, one batch at a time is in memory.
+    A cell arrives with its members first; of the queries, one batch at a time is in memory. What several cells
+    of a task give a query is put together before it leaves the task, or when it is more than ``HELD`` rows.
     """
     both = members.withColumn("_asks", F.lit(False)).unionByName(probes.withColumn("_asks", F.lit(True)))
     dealt = both.repartition("cell").sortWithinPartitions("cell", "_asks", "class")
 
+    def best(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        query, near, score = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((near, -score, query))
+        query, near, score = query[order], near[order], score[order]
+        # several trees bring the same member, with the same score
+        new = np.ones(len(query), bool)
+        new[1:] = (query[1:] != query[:-1]) | (near[1:] != near[:-1])
+        query, near, score = query[new], near[new], score[new]
+        first = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]]))
+        place = np.arange(len(query)) - np.repeat(first, np.diff(np.append(first, len(query))))
+        return query[place < keep], near[place < keep], score[place < keep]
+
+    def rows(found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["query", "class", "score"])
+
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, names, vectors = None, [], []
+        found: list[tuple[np.ndarray, ...]] = []
+        held = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -256,7 +276,6 @@ def _ranked(members: DataFrame, probes: DataFrame, dimension: int, keep: int) ->
             ids = batch.column("class").to_numpy()
             matrix = _matrix(batch.column("embedding"), dimension).astype(np.float64)
             cuts = np.concatenate([[0], np.flatnonzero((own[1:] != own[:-1]) | (asks[1:] != asks[:-1])) + 1, [len(own)]])
-            queries, near, scores = [], [], []
             for a, b in zip(cuts, cuts[1:]):
                 if own[a] != cell:
                     cell, names, vectors = own[a], [], []
@@ -275,13 +294,18 @@ def _ranked(members: DataFrame, probes: DataFrame, dimension: int, keep: int) ->
                     many = min(keep, product.shape[1])
                     # ties go to the smaller id: members are in their order
                     top = np.argsort(-product, axis=1, kind="stable")[:, :many]
-                    queries.append(np.repeat(ids[first:last], many))
-                    near.append(names[0][top].ravel())
-                    scores.append(np.take_along_axis(product, top, axis=1).ravel())
-            if queries:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in (queries, near, scores)], names=["query", "class", "score"]
-                )
+                    found.append(
+                        (np.repeat(ids[first:last], many), names[0][top].ravel(), np.take_along_axis(product, top, axis=1).ravel())
+                    )
+                    held += top.size
+                    if held > HELD:
+                        found = [best(found)]
+                        held = len(found[0][0])
+                        if held > HELD // 2:
+                            yield rows(found[0])
+                            found, held = [], 0
+        if found:
+            yield rows(best(found))
 
     return dealt.mapInArrow(scored, "query long, class long, score double")
 

@@ -408,7 +408,7 @@ def vectors(n=1500, seed=2):
 def test_neighbours(llm):
     every, good = vectors()
     emb = llm.createDataFrame(every, "vec_id long, embedding array<float>")
-    found = ann.nearest(emb, emb.filter("vec_id % 20 = 0"), k=10, trees=8, leaf=32, candidates=900).collect()
+    found = ann.nearest(emb, emb.filter("vec_id % 20 = 0"), k=10, trees=8, leaf=32).collect()
     x = np.array([v for _, v in good])
     names = np.array([i for i, _ in good])
     by_query = {}
