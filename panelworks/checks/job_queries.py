@@ -36,7 +36,7 @@ from panelworks.checks.summary_queries import CAREER, FORM, STRENGTH, TURNS
 from panelworks.checks.window_queries import LI_OVER, rank_sql
 from panelworks.operators.cleaning import conform_silver
 from panelworks.operators.joins import latest_matchup
-from panelworks.operators.roster import SLOTS, RosterRules
+from panelworks.operators.roster import RosterRules
 from panelworks.operators.topk import top_predictions
 from panelworks.plans import quality
 from panelworks.plans.context import match_context
@@ -323,8 +323,10 @@ def latest_matchup_means(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- roster -------------------------------------------------------------------------
 
-#: The slots of a squad under a cap that the test registry can meet.
-JOB_RULES = RosterRules(cap=195_000_000)
+#: A squad of 26 from slots and under a cap that the test registry can meet.
+JOB_RULES = RosterRules(
+    slots={"HOK": 3, "FRF": 5, "2RF": 5, "HFB": 4, "5_8": 3, "CTW": 3, "FLB": 2}, cap=520_000_000
+)
 
 
 def job_roster(
@@ -345,7 +347,7 @@ grid(penalty) AS (VALUES {_GRID}),
 valued AS (SELECT *, points * 1000 - penalty * price AS value FROM pool, grid),
 placed AS (SELECT *, row_number() OVER (PARTITION BY penalty, position ORDER BY value DESC, player_name)
   AS place FROM valued),
-needs AS (SELECT *, coalesce({sql_map(SLOTS)}[position], 0) AS need FROM placed),
+needs AS (SELECT *, coalesce({sql_map(JOB_RULES.slots)}[position], 0) AS need FROM placed),
 spare AS (SELECT *, row_number() OVER (PARTITION BY penalty, place > need ORDER BY value DESC, player_name)
   AS rest FROM needs),
 rosters AS (SELECT *, CASE WHEN place > need THEN 'FLEX' ELSE position END AS assigned_position
