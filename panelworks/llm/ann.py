@@ -357,6 +357,9 @@ def nearest(
     found = _ranked(members, probes, dimension, k + 1)
     # a class that several trees brought counts once; a query keeps its best k + 1 classes, then ids
     single = found.groupBy("query", "class").agg(F.max("score").alias("score"))
+    # the best scores first, with all that tie with the last of them; then their ids
+    scores = Window.partitionBy("query").orderBy(F.desc("score"))
+    single = single.withColumn("_place", F.rank().over(scores)).filter(F.col("_place") <= k + 1).drop("_place")
     single = single.join(classes.select("class", "ids"), "class").withColumn("_least", F.col("ids")[0])
     order = Window.partitionBy("query").orderBy(F.desc("score"), "_least")
     best = single.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= k + 1)
