@@ -54,9 +54,9 @@ def run_context(
 
 
 def run_fixtures(
-    spark: SparkSession, pages_path: str, path: str, rejected_path: str, host: str = "https://www.nrl.com"
+    spark: SparkSession, pages_path: str, path: str, rejected_path: str, host: str = ""
 ) -> bool:
-    """Draw pages (year, round, html) to the fixture table; False if there are none.
+    """Draw pages (year, round, html) to the fixture table; False if there are none. ``host`` precedes the match paths.
 
     Pages whose data cannot be read go to ``rejected_path``.
     """
