@@ -4,9 +4,9 @@ Each inner node of a tree cuts space by the direction between two centres of a f
 sample. Every distinct vector is indexed: it lies in one leaf of each tree. A query goes
 through all trees at once with one priority queue, ordered by the smallest distance to a cut on the
 way; leaves come out of it until they hold ``candidates`` vectors. Those are ranked by their exact
-inner products in double precision. Unless it is given, ``candidates`` is measured: for ``TRIALS`` vectors of the
-sample the true neighbours in the sample are known, and so is how many candidates it takes to meet them; as many as give
-the recall ``TARGET`` are taken.
+inner products in double precision. Unless it is given, ``candidates`` is measured on the whole index: for ``TRIALS``
+of the queries the true neighbours are looked for among all distinct vectors, and so it is known how many candidates it
+takes to meet them; as many as give the recall ``TARGET`` are taken.
 
 Largest inner products become smallest distances by one more coordinate, the root of what a vector lacks to the
 longest one; for queries it is zero. So the trees need no vectors of equal length.
@@ -16,7 +16,7 @@ could be in a result, so a vector that a third of all rows share costs no more t
 
 The trees are fitted on at most ``SAMPLE_ROWS`` distinct vectors and have at most ``2 ** MOST_DEPTH`` leaves each, the
 bounds of what is collected and broadcast. Up to ``2 ** MOST_DEPTH`` times ``LEAF`` distinct vectors a leaf
-holds about ``LEAF`` of them; beyond, leaves grow, and a query visits fewer of them.
+holds about ``LEAF`` of them; beyond, leaves grow, and ``candidates`` with them.
 
 Rows without an id, and vectors that are null, zero, of another than the most frequent dimension, or hold null or
 non-finite components take no part. Rows that repeat an id and a vector count once; rows that repeat an id with
@@ -137,25 +137,21 @@ class Forest:
         return found
 
 
-def measured_candidates(forest: Forest, points: np.ndarray, k: int, target: float = TARGET, trials: int = TRIALS) -> int:
-    """Candidates, over all trees, that bring ``target`` of the ``k`` nearest among ``points``."""
-    leaves = forest.leaves(points)
-    sizes = np.stack([np.bincount(leaves[:, t], minlength=2**forest.depth) for t in range(forest.trees)])
-    rng = np.random.default_rng(5)
+def measured_candidates(forest: Forest, sizes: np.ndarray, asked: np.ndarray, near: list[np.ndarray], least: int, target: float = TARGET) -> int:
+    """Candidates, over all trees, that bring ``target`` of the neighbours whose leaves (neighbours x trees) are ``near``.
+
+    ``sizes`` counts all indexed vectors of each leaf, so the number holds for the index that is searched.
+    """
     needed = []
-    for q in rng.choice(len(points), min(len(points), trials), replace=False):
-        score = points[:, :-1] @ points[q, :-1]
-        score[q] = -np.inf
-        true = np.argsort(-score)[: min(k, len(points) - 1)]
-        asked = np.append(points[q, :-1], np.float32(0))
-        order = forest.search(asked, sizes, int(sizes.sum()))
+    for point, leaves in zip(asked, near):
+        order = forest.search(point, sizes, int(sizes.sum()))
         held = np.cumsum([sizes[t, leaf] for t, leaf in order])
         place = np.full(sizes.shape, held[-1])
         for (t, leaf), total in zip(order, held):
             place[t, leaf] = total
         # when the first tree brings the neighbour
-        needed += place[np.arange(forest.trees)[None, :], leaves[true]].min(axis=1).tolist()
-    return int(np.quantile(needed, target, method="higher")) if needed else k
+        needed += place[np.arange(forest.trees)[None, :], leaves].min(axis=1).tolist()
+    return int(np.quantile(needed, target, method="higher")) if needed else least
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
@@ -170,7 +166,7 @@ def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False)).reshape(-1, dimension)
 
 
-def _fit(classes: DataFrame, dimension: int, trees: int, leaf: int, sample_rows: int) -> tuple[Forest, np.ndarray]:
+def _fit(classes: DataFrame, dimension: int, trees: int, leaf: int, sample_rows: int) -> Forest:
     spark = classes.sparkSession
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     known = classes.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("longest")).first()
@@ -188,13 +184,79 @@ def _fit(classes: DataFrame, dimension: int, trees: int, leaf: int, sample_rows:
     rows = spark.range(trees).repartition(trees).mapInArrow(grown, "tree long, direction binary, median binary").collect()
     rows = sorted(rows, key=lambda r: r["tree"])
     shared.unpersist()
-    forest = Forest(
+    return Forest(
         depth,
         known["longest"],
         np.stack([np.frombuffer(r["direction"], np.float32).reshape(-1, dimension + 1) for r in rows]),
         np.stack([np.frombuffer(r["median"], np.float32) for r in rows]),
     )
-    return forest, points
+
+
+def _true_neighbours(classes: DataFrame, asked: np.ndarray, own: np.ndarray, dimension: int, k: int) -> np.ndarray:
+    """The classes (asked x k, -1 where there are fewer) nearest to each vector of ``asked``, by comparison with all.
+
+    ``own`` names the classes of ``asked``, which are no neighbours of themselves. A task gives one row.
+    """
+    shared = classes.sparkSession.sparkContext.broadcast((asked.astype(np.float64), own))
+
+    def merged(score: np.ndarray, names: np.ndarray, more: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        score, names = np.concatenate([score, more], axis=1), np.concatenate([names, others], axis=1)
+        first = np.lexsort((names, -score), axis=1)[:, :k]
+        return np.take_along_axis(score, first, axis=1), np.take_along_axis(names, first, axis=1)
+
+    def none() -> tuple[np.ndarray, np.ndarray]:
+        return np.full((len(own), k), -np.inf), np.full((len(own), k), -1)
+
+    def row(score: np.ndarray, names: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"score": pa.array([score.tobytes()], pa.binary()), "names": pa.array([names.tobytes()], pa.binary())})
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, themselves = shared.value
+        score, names = none()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch.column("class").to_numpy()
+            product = np.einsum("qd,md->qm", queries, _matrix(batch.column("embedding"), dimension).astype(np.float64))
+            product[themselves[:, None] == ids[None, :]] = -np.inf
+            some = (product >= score[:, -1:]).any(axis=0)
+            product = product[:, some]
+            others = np.where(np.isneginf(product), -1, ids[None, some])
+            score, names = merged(score, names, product, others)
+        if (names != -1).any():
+            yield row(score, names)
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score, names = none()
+        for batch in batches:
+            for r in batch.to_pylist():
+                score, names = merged(score, names, np.frombuffer(r["score"]).reshape(-1, k), np.frombuffer(r["names"], np.int64).reshape(-1, k))
+        yield row(score, names)
+
+    schema = "score binary, names binary"
+    best = classes.select("class", "embedding").mapInArrow(compared, schema).repartition(1).mapInArrow(together, schema).first()
+    shared.unpersist()
+    return np.frombuffer(best["names"], np.int64).reshape(-1, k) if best else none()[1]
+
+
+def _budget(forest: Forest, sizes: np.ndarray, classes: DataFrame, asking: DataFrame, dimension: int, k: int, trials: int = TRIALS) -> int:
+    """``measured_candidates`` of at most ``trials`` queries, against all classes."""
+    # another order than that of the vectors the trees are fitted on
+    few = asking.orderBy(F.xxhash64("class", F.lit(1)), "class").limit(trials).select("class", "embedding").toArrow()
+    if not few.num_rows:
+        return k
+    own = few.column("class").to_numpy()
+    asked = _matrix(few.column("embedding").combine_chunks(), dimension)
+    true = _true_neighbours(classes, asked, own, dimension, k)
+    # at most trials x k vectors
+    names = classes.sparkSession.createDataFrame([(i,) for i in np.unique(true[true != -1]).tolist()], "class long")
+    met = classes.select("class", "embedding").join(F.broadcast(names), "class").toArrow()
+    if not met.num_rows:
+        return k
+    leaves = forest.leaves(longer(_matrix(met.column("embedding").combine_chunks(), dimension), forest.longest))
+    by_name = dict(zip(met.column("class").to_pylist(), leaves))
+    near = [np.array([by_name[i] for i in row if i != -1], np.int64).reshape(-1, forest.trees) for row in true.tolist()]
+    return measured_candidates(forest, sizes, np.append(asked.astype(np.float32), np.zeros((len(asked), 1), np.float32), axis=1), near, k)
 
 
 def _dealt(classes: DataFrame, shared, dimension: int) -> DataFrame:
@@ -343,9 +405,7 @@ def nearest(
     asked = usable(queries).filter(F.size("embedding") == dimension).distinct()
     asked = store.written(asked.join(classes.select("class", "embedding"), "embedding").select("vec_id", "class"), "queries")
 
-    forest, points = _fit(classes, dimension, trees, leaf, sample_rows)
-    if candidates is None:
-        candidates = measured_candidates(forest, points, k)
+    forest = _fit(classes, dimension, trees, leaf, sample_rows)
     shared = spark.sparkContext.broadcast(forest)
     members = store.written(_dealt(classes, shared, dimension), "cells")
     held = np.zeros((forest.trees, 2**forest.depth), np.int64)
@@ -353,6 +413,8 @@ def nearest(
     for r in members.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
         held[r["cell"] >> MOST_DEPTH, r["cell"] & ((1 << MOST_DEPTH) - 1)] = r["n"]
     asking = classes.join(asked.select("class").distinct(), "class", "left_semi")
+    if candidates is None:
+        candidates = _budget(forest, held, classes, asking, dimension, k)
     probes = _probed(asking, shared, spark.sparkContext.broadcast(held), dimension, candidates)
     found = _ranked(members, probes, dimension, k + 1)
     # a class that several trees brought counts once; a query keeps its best k + 1 classes, then ids

@@ -427,6 +427,17 @@ def test_neighbours(llm):
     assert hits / total >= 0.9
 
 
+def test_neighbours_when_the_sample_is_a_small_part(llm):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(4000, 16)).astype(np.float32)
+    emb = llm.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = ann.nearest(emb, emb.filter("vec_id % 20 = 0"), k=10, trees=8, leaf=32, sample_rows=256).collect()
+    score = x[::20].astype(float) @ x.astype(float).T
+    score[np.arange(200), np.arange(0, 4000, 20)] = -np.inf
+    true = {(20 * q, int(i)) for q, row in enumerate(score) for i in np.argsort(-row)[:10]}
+    assert len(true & {(r["query_id"], r["vec_id"]) for r in found}) / len(true) >= 0.9
+
+
 def test_neighbours_of_few_and_none(llm):
     schema = "vec_id long, embedding array<float>"
     three = llm.createDataFrame([(0, [1.0, 0.0]), (20, [1.0, 0.0]), (7, [2.0, 1.0]), (20, [1.0, 0.0])], schema)
