@@ -12,7 +12,7 @@ is the column-wise minimum of slices.
 Steps, all on Spark:
 
 1. one pass over the texts gives set size, set fingerprint, band hashes and one byte of each
-   coordinate; texts with the same set become one class, known by its smallest id;
+   coordinate; texts with the same set become one class, known by a hash of that set, whatever their ids;
 2. classes that share a band are candidates. Each is first compared with one class of the band
    only (a star, never all pairs), another one in each band, and the links found give components.
    In bands that still hold several components, the members outside the largest one are compared
@@ -24,9 +24,8 @@ Steps, all on Spark:
 5. smallest ids spread over the links until nothing changes.
 
 Null, empty and blank texts have an empty set, are linked with nothing and kept. Every row is
-returned. Rows of one id are one document; if their texts differ, it reaches the copies of each of
-them and the near copies of the one with the smallest hash. Rows without an id have no component
-and are kept.
+returned. Rows of one id are one document; if their texts differ, it reaches the copies and near copies of
+each of them. Rows without an id have no component and are kept.
 """
 
 from __future__ import annotations
@@ -156,13 +155,13 @@ def _sized(n_a: str, n_b: str, percent: int):
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Pairs whose full sets reach the threshold: (a, b). ``docs`` has one text for each document."""
+    """Pairs whose full sets reach the threshold: (a, b). ``docs`` has one text for each class."""
     pairs = store.written(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    ids = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     ids = store.written(ids, "pair-ids")
-    texts = store.written(docs.join(ids, "doc_id", "left_semi"), "pair-texts")
-    left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    texts = store.written(docs.join(ids, "node", "left_semi"), "pair-texts")
+    left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = left.join(right, "b").select("a", "b", "text_a", "text_b")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,25 +225,25 @@ def components(links: DataFrame) -> DataFrame:
 
 def _near(pairs: DataFrame, sizes: DataFrame, percent: int, least_share: float) -> DataFrame:
     """Of the candidates (a, b), those that sizes and signature bytes leave open; stored."""
-    left = pairs.join(sizes.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("_mark").alias("mark_a")), "a")
-    both = left.join(sizes.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("_mark").alias("mark_b")), "b")
+    left = pairs.join(sizes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("_mark").alias("mark_a")), "a")
+    both = left.join(sizes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("_mark").alias("mark_b")), "b")
     fit = both.filter(_sized("n_a", "n_b", percent)).select("a", "b", "mark_a", "mark_b")
     return store.written(_close(fit, percent, least_share), "near")
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
     """Distinct (a, b), a < b, of each member and the hub of its band; stored."""
-    pair = [F.least("_hub", "doc_id").alias("a"), F.greatest("_hub", "doc_id").alias("b")]
-    return store.written(rows.filter(F.col("_hub") != F.col("doc_id")).select(*pair).distinct(), "star")
+    pair = [F.least("_hub", "node").alias("a"), F.greatest("_hub", "node").alias("b")]
+    return store.written(rows.filter(F.col("_hub") != F.col("node")).select(*pair).distinct(), "star")
 
 
 def _named(members: DataFrame, known: DataFrame) -> DataFrame:
     """Members of the bands that still hold several components, with the largest one of the band; stored.
 
-    (_band, doc_id, component, _base, _bases, _others): the last two are numbers of members.
+    (_band, node, component, _base, _bases, _others): the last two are numbers of members.
     """
-    named = members.select("_band", "doc_id").join(known.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-    named = store.written(named.withColumn("component", F.coalesce("component", "doc_id")), "band-members")
+    named = members.select("_band", "node").join(known, "node", "left")
+    named = store.written(named.withColumn("component", F.coalesce("component", "node")), "band-members")
     parts = named.groupBy("_band", "component").agg(F.count(F.lit(1)).alias("_rows"))
     bands = (
         parts.groupBy("_band")
@@ -266,7 +265,7 @@ def _named(members: DataFrame, known: DataFrame) -> DataFrame:
 def _second_star(named: DataFrame) -> DataFrame:
     """Candidates: members outside the largest component of a band, with one member of it."""
     base = named.filter(F.col("component") == F.col("_base"))
-    hubs = base.groupBy("_band").agg(F.min_by("doc_id", F.xxhash64("doc_id", "_band", F.lit(2))).alias("_hub"))
+    hubs = base.groupBy("_band").agg(F.min_by("node", F.xxhash64("node", "_band", F.lit(2))).alias("_hub"))
     hubs = store.written(hubs, "hubs")
     found = _pairs(named.filter(F.col("component") != F.col("_base")).join(hubs, "_band"))
     store.dropped(hubs)
@@ -284,7 +283,7 @@ def _across(named: DataFrame, heads: DataFrame, docs: DataFrame, shingle: int, p
     key = ["_band", "_x", "_y"]
     cut = {c: F.ceil(F.col(c) / block).cast("int") for c in ("_bases", "_others")}
     is_base = F.col("component") == F.col("_base")
-    slot = F.pmod(F.xxhash64("doc_id"), F.when(is_base, F.col("_bases")).otherwise(F.col("_others"))).cast("int")
+    slot = F.pmod(F.xxhash64("node"), F.when(is_base, F.col("_bases")).otherwise(F.col("_others"))).cast("int")
     rows = named.withColumns(cut).withColumn("_slot", slot)
     # a base block meets each block of others; a block of others meets itself, the later and the earlier ones
     others = F.sequence(F.lit(0), F.col("_others") - 1)
@@ -292,20 +291,20 @@ def _across(named: DataFrame, heads: DataFrame, docs: DataFrame, shingle: int, p
     to_others = F.transform(others, lambda j: F.struct(F.least("_slot", j).alias("x"), F.greatest("_slot", j).alias("y")))
     of_base = F.transform(others, lambda j: F.struct(j.alias("x"), (-F.col("_slot") - 1).alias("y")))
     rows = rows.withColumn("_meet", F.explode(F.when(is_base, of_base).otherwise(F.concat(to_bases, to_others))))
-    meeting = rows.select("_band", F.col("_meet.x").alias("_x"), F.col("_meet.y").alias("_y"), "doc_id", "component")
+    meeting = rows.select("_band", F.col("_meet.x").alias("_x"), F.col("_meet.y").alias("_y"), "node", "component")
     fields = ["n_shingles", "_mark", "_bands"]
-    dealt = meeting.join(heads.select("doc_id", *fields), "doc_id").repartition(*key).sortWithinPartitions(*key, "doc_id")
-    dealt = dealt.select(*key, "doc_id", "component", *fields)
+    dealt = meeting.join(heads.select("node", *fields), "node").repartition(*key).sortWithinPartitions(*key, "node")
+    dealt = dealt.select(*key, "node", "component", *fields)
     involved = store.written(
-        dealt.mapInArrow(_meetings(key, percent, least_share, False), "_band long, _x int, _y int, doc_id long, component long"), "involved"
+        dealt.mapInArrow(_meetings(key, percent, least_share, False), "_band long, _x int, _y int, node long, component long"), "involved"
     )
-    sets = store.written(_sets(docs, involved.select("doc_id").distinct(), shingle), "sets")
+    sets = store.written(_sets(docs, involved.select("node").distinct(), shingle), "sets")
     again = (
-        involved.join(heads.select("doc_id", *fields), "doc_id")
-        .join(sets, "doc_id")
+        involved.join(heads.select("node", *fields), "node")
+        .join(sets, "node")
         .repartition(*key)
-        .sortWithinPartitions(*key, "doc_id")
-        .select(*key, "doc_id", "component", *fields, "_set")
+        .sortWithinPartitions(*key, "node")
+        .select(*key, "node", "component", *fields, "_set")
     )
     links = store.written(again.mapInArrow(_meetings(key, percent, least_share, True), "a long, b long"), "across")
     store.dropped(involved, sets)
@@ -313,16 +312,16 @@ def _across(named: DataFrame, heads: DataFrame, docs: DataFrame, shingle: int, p
 
 
 def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, _set): the full shingle sets of the documents in ``ids``."""
+    """(node, _set): the full shingle sets of the classes in ``ids``."""
     ids = store.written(ids, "set-ids")
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in T.byte_slices(batch.column("text")):
                 found = [s.tobytes() for s in shingle_sets(data, offsets, shingle)]
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id")[lo:hi], "_set": pa.array(found, pa.binary())})
+                yield pa.RecordBatch.from_pydict({"node": batch.column("node")[lo:hi], "_set": pa.array(found, pa.binary())})
 
-    return docs.join(ids, "doc_id", "left_semi").mapInArrow(made, "doc_id long, _set binary")
+    return docs.join(ids, "node", "left_semi").mapInArrow(made, "node long, _set binary")
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:
@@ -375,9 +374,9 @@ def _meetings(key: list[str], percent: int, least_share: float, with_sets: bool)
 
     def compared(table: pa.Table) -> pa.RecordBatch:
         x, y = candidates(table)
-        ids = table.column("doc_id").to_numpy()
+        ids = table.column("node").to_numpy()
         if not with_sets:
-            rows = table.select([*key, "doc_id", "component"]).take(pa.array(T.distinct(np.concatenate([x, y]))))
+            rows = table.select([*key, "node", "component"]).take(pa.array(T.distinct(np.concatenate([x, y]))))
             return rows.combine_chunks().to_batches()[0] if rows.num_rows else pa.RecordBatch.from_pylist([], rows.schema)
         sets = {}
         column = table.column("_set")
@@ -415,57 +414,70 @@ def _meetings(key: list[str], percent: int, least_share: float, with_sets: bool)
     return run
 
 
-def near_duplicates(
-    docs: DataFrame,
-    shingle: int = SHINGLE,
-    percent: int = PERCENT,
-    bands: int = BANDS,
-    rows: int = ROWS,
-    block: int = BLOCK,
-    least_share: float = LEAST_SHARE,
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text)."""
-    seen = store.written(_features(docs, shingle, bands, rows), "signatures")
-    full = seen.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = store.written(
-        full.groupBy("n_shingles", "_f1", "_f2").agg(F.min("doc_id").alias("_class")), "classes"
-    )
-    keys = ["n_shingles", "_f1", "_f2"]
-    member_of = store.written(full.select("doc_id", *keys).join(classes, keys).select("doc_id", "_class").distinct(), "class-of")
-    # one row for each class, that of its smallest id
-    heads = full.join(classes.withColumn("doc_id", F.col("_class")), ["doc_id", *keys])
-    heads = heads.groupBy("doc_id").agg(F.min_by(F.struct("n_shingles", "_mark", "_bands"), "_order").alias("_head"))
-    heads = store.written(heads.select("doc_id", "_head.*"), "heads")
-    in_bands = heads.select("doc_id", F.explode("_bands").alias("_band"))
+def _linked(
+    docs: DataFrame, shingle: int, percent: int, bands: int, rows: int, block: int, least_share: float
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows of ``docs`` with their class, which is null without an id or a shingle; the first row of each class,
+    by id and text hash; and the links (a, b) between classes."""
+    features = _features(docs, shingle, bands, rows)
+    own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.xxhash64("n_shingles", "_f1", "_f2"))
+    seen = store.written(features.withColumn("_class", own).drop("_f1", "_f2"), "signatures")
+    head = F.struct("doc_id", "_order", "n_shingles", "_mark", "_bands")
+    heads = seen.filter("_class IS NOT NULL").groupBy(F.col("_class").alias("node")).agg(F.min_by(head, F.struct("doc_id", "_order")).alias("_head"))
+    heads = store.written(heads.select("node", "_head.*"), "heads")
+    in_bands = heads.select("node", F.explode("_bands").alias("_band"))
     hubs = in_bands.groupBy("_band").agg(
-        F.min_by("doc_id", F.xxhash64("doc_id", "_band")).alias("_hub"), F.count(F.lit(1)).alias("_rows")
+        F.min_by("node", F.xxhash64("node", "_band")).alias("_hub"), F.count(F.lit(1)).alias("_rows")
     )
     hubs = store.written(hubs.filter("_rows > 1"), "hubs")
-    members = store.written(in_bands.join(hubs, "_band").select("_band", "doc_id", "_hub"), "members")
-    sizes = heads.select("doc_id", "n_shingles", "_mark")
-    # the texts that may have to be read again, one for each document that shares a band
-    shared = store.written(members.select("doc_id").distinct(), "shared-ids")
-    docs = docs.select("doc_id", "text").join(shared, "doc_id", "left_semi").groupBy("doc_id")
-    docs = store.written(docs.agg(F.min_by("text", F.xxhash64("text")).alias("text")), "shared-texts")
+    members = store.written(in_bands.join(hubs, "_band").select("_band", "node", "_hub"), "members")
+    sizes = heads.select("node", "n_shingles", "_mark")
+    # the texts that may have to be read again, one for each class that shares a band: that of its first row
+    shared = heads.select("node", "doc_id", "_order").join(members.select("node").distinct(), "node", "left_semi")
+    shared = store.written(shared, "shared-ids")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_order")).join(shared, ["doc_id", "_order"])
+    texts = store.written(texts.groupBy("node").agg(F.min("text").alias("text")), "shared-texts")
 
     tried = _near(_pairs(members), sizes, percent, least_share)
-    links = _confirmed(tried, docs, shingle, percent)
+    links = _confirmed(tried, texts, shingle, percent)
     named = _named(members, components(links))
     for _ in range(STARS - 1):
         more = _near(_second_star(named), sizes, percent, least_share)
         more = store.written(more.join(tried, ["a", "b"], "left_anti"), "star")
-        links = store.written(links.union(_confirmed(more, docs, shingle, percent)), "links")
+        links = store.written(links.union(_confirmed(more, texts, shingle, percent)), "links")
         tried = store.written(tried.union(more), "tried")
         named = _named(members, components(links))
-    more = _across(named, heads, docs, shingle, percent, least_share, block)
-    # links between classes, and between the ids of rows of one class
-    same = member_of.filter("doc_id <> _class").select(F.col("_class").alias("a"), F.col("doc_id").alias("b"))
-    reach = store.written(components(links.union(more).union(same)), "components")
-    store.dropped(classes, hubs, members, named, tried, more, heads, member_of, shared, docs)
-    component = F.coalesce(F.col("component"), F.col("doc_id"))
+    links = store.written(links.union(_across(named, heads, texts, shingle, percent, least_share, block)), "links")
+    store.dropped(hubs, members, named, tried, shared, texts)
+    return seen, heads, links
+
+
+def near_duplicates(
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    percent: int = PERCENT,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    block: int = BLOCK,
+    least_share: float = LEAST_SHARE,
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text)."""
+    seen, heads, links = _linked(docs, shingle, percent, bands, rows, block, least_share)
+    class_of = store.written(seen.filter("_class IS NOT NULL").select("doc_id", "_class").distinct(), "class-of")
+    # rows of one id are one document: their classes are linked
+    several = class_of.groupBy("doc_id").agg(F.min("_class").alias("a"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    same = class_of.join(store.written(several, "several"), "doc_id").filter("_class <> a").select("a", F.col("_class").alias("b"))
+    named = heads.select("node", "doc_id").join(components(links.union(same)), "node", "left")
+    named = store.written(named.withColumn("component", F.coalesce("component", "node")), "named")
+    least = store.written(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
+    of_class = store.written(named.join(least, "component").select(F.col("node").alias("_class"), "component_id"), "of-class")
+    reach = class_of.join(of_class, "_class").filter("component_id <> doc_id").select("doc_id", "component_id").distinct()
+    reach = store.written(reach, "components")
+    store.dropped(heads, links, class_of, named, least, of_class)
+    component = F.coalesce(F.col("component_id"), F.col("doc_id"))
     return (
         seen.select("doc_id", "n_shingles")
-        .join(reach.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        .join(reach, "doc_id", "left")
         .select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
     )
 

@@ -98,6 +98,14 @@ def test_near_duplicates_across_components(llm):
     same(rows_of(neardup.near_duplicates(frame(llm, rows), block=2), *NEAR), brute.near(rows))
 
 
+def test_near_duplicates_of_an_id_with_several_texts(llm):
+    one, other = (" ".join(f"{c}{k}" for k in range(60)) for c in "xy")
+    # whatever the order of their hashes, one of the blank texts comes before the full one
+    blanks = [(5, b) for b in (None, "", *(" " * n for n in range(1, 12)))]
+    rows = [(5, one), (5, other), (7, one + " and one more"), (3, other + " and the end"), (9, "alone"), *blanks]
+    same(rows_of(neardup.near_duplicates(frame(llm, rows)), *NEAR), brute.near(rows))
+
+
 def test_near_duplicates_of_repeated_and_unnamed_rows(llm):
     text = prose(random.Random(4), 50)
     rows = [(5, text), (5, text), (3, text), (None, text), (9, None), (9, None)]
