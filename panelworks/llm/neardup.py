@@ -483,18 +483,26 @@ def near_duplicates(
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose component has a smaller id; of equal ids one row stays.
+    """``docs`` with one row of each component; a document is one (doc_id, text).
 
-    Of the rows of one id that is kept, the one with the smallest text hash stays.
+    Of the texts of a component the one of the smallest id stays, of several of them that with the smallest hash. Texts
+    that are linked with nothing stay whatever their id; rows that repeat an id and a text count once.
     """
-    gone = store.written(near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "copies")
-    left = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-    repeated = store.written(
-        docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"), F.min(F.xxhash64("text")).alias("_first")).filter("_n > 1"), "repeated-ids"
-    )
+    seen, heads, links = _linked(docs, SHINGLE, PERCENT, BANDS, ROWS, BLOCK, LEAST_SHARE)
+    named = heads.select("node", "doc_id", "_order").join(components(links), "node", "left")
+    named = store.written(named.withColumn("component", F.coalesce("component", "node")), "named")
+    first = store.written(named.groupBy("component").agg(F.min(F.struct("doc_id", "_order")).alias("_first")), "first")
+    of_class = store.written(named.join(first, "component").select(F.col("node").alias("_class"), F.col("_first.doc_id").alias("_id"), F.col("_first._order").alias("_least")), "of-class")
+    texts = store.written(seen.filter("_class IS NOT NULL").select("doc_id", "_order", "_class").distinct(), "class-of")
+    gone = texts.join(of_class, "_class").filter("doc_id <> _id OR _order <> _least")
+    gone = store.written(gone.select(F.col("doc_id").alias("_gone"), F.col("_order").alias("_text")), "copies")
+    repeated = seen.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_rid"), F.col("_order").alias("_text")).count()
+    repeated = store.written(repeated.filter("count > 1").select("_rid", "_text"), "repeated-rows")
+    store.dropped(seen, heads, links, named, first, of_class, texts)
+    left = docs.join(gone, (docs["doc_id"] == gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["_text"]), "left_anti")
     if not repeated.limit(1).count():
         return left
-    names = repeated.select(F.col("doc_id").alias("_rid"), F.col("_first"))
-    single = left.join(names.select("_rid"), left["doc_id"] == F.col("_rid"), "left_anti")
-    several = left.join(names, (left["doc_id"] == F.col("_rid")) & (F.xxhash64(left["text"]) == F.col("_first")))
-    return single.union(several.dropDuplicates(["_rid"]).select(*[several[c] for c in docs.columns]))
+    twice = (left["doc_id"] == repeated["_rid"]) & (F.xxhash64(left["text"]) == repeated["_text"])
+    single = left.join(repeated, twice, "left_anti")
+    several = left.join(repeated, twice).dropDuplicates(["_rid", "_text"])
+    return single.union(several.select(*[several[c] for c in docs.columns]))

@@ -115,6 +115,14 @@ def test_near_duplicates_of_repeated_and_unnamed_rows(llm):
     assert rows_of(left, "doc_id") == sorted([(3,), (9,), (None,)], key=repr)
 
 
+def test_clean_texts_of_a_repeated_id_stay(llm):
+    rng = random.Random(6)
+    one, other, third = (prose(rng, 60) for _ in range(3))
+    rows = [(1, one), (1, other), (1, one), (2, one), (3, third), (3, other + " end"), (4, None), (4, None), (4, ""), (None, one)]
+    left = neardup.without_copies(frame(llm, rows))
+    assert rows_of(left, "doc_id", "text") == sorted([(1, one), (1, other), (3, third), (4, None), (4, ""), (None, one)], key=repr)
+
+
 def test_circulant_signature_is_the_shifted_permutation():
     h = T.mixed(np.arange(40, dtype=np.uint64))
     places, k = 1 << 10, 16
