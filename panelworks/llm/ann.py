@@ -260,7 +260,7 @@ def _budget(forest: Forest, sizes: np.ndarray, classes: DataFrame, asking: DataF
 
 
 def _dealt(classes: DataFrame, shared, dimension: int) -> DataFrame:
-    """(cell, class, embedding): each class in its leaf of every tree."""
+    """(cell, class, least, embedding): each class, with its smallest id, in its leaf of every tree."""
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = shared.value
@@ -271,11 +271,13 @@ def _dealt(classes: DataFrame, shared, dimension: int) -> DataFrame:
             cells = leaves + (np.arange(forest.trees) << MOST_DEPTH)
             for t in range(forest.trees):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cells[:, t]), batch.column("class"), batch.column("embedding")], names=["cell", "class", "embedding"]
+                    [pa.array(cells[:, t]), batch.column("class"), batch.column("least"), batch.column("embedding")],
+                    names=["cell", "class", "least", "embedding"],
                 )
 
     kind = classes.schema["embedding"].dataType.simpleString()
-    return classes.select("class", "embedding").mapInArrow(placed, f"cell long, class long, embedding {kind}")
+    least = F.col("ids")[0].cast("long").alias("least")
+    return classes.select("class", least, "embedding").mapInArrow(placed, f"cell long, class long, least long, embedding {kind}")
 
 
 def _probed(queries: DataFrame, shared, sizes, dimension: int, candidates: int) -> DataFrame:
@@ -308,26 +310,28 @@ def _ranked(members: DataFrame, probes: DataFrame, dimension: int, keep: int) ->
     A cell arrives with its members first; of the queries, one batch at a time is in memory. What several cells
     of a task give a query is put together before it leaves the task, or when it is more than ``HELD`` rows.
     """
-    both = members.withColumn("_asks", F.lit(False)).unionByName(probes.withColumn("_asks", F.lit(True)))
-    dealt = both.repartition("cell").sortWithinPartitions("cell", "_asks", "class")
+    asks = probes.withColumns({"least": F.lit(0).cast("long"), "_asks": F.lit(True)})
+    both = members.withColumn("_asks", F.lit(False)).unionByName(asks)
+    dealt = both.repartition("cell").sortWithinPartitions("cell", "_asks", "least", "class")
 
     def best(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-        query, near, score = (np.concatenate(c) for c in zip(*found))
-        order = np.lexsort((near, -score, query))
-        query, near, score = query[order], near[order], score[order]
+        query, near, least, score = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((near, least, -score, query))
+        query, near, least, score = query[order], near[order], least[order], score[order]
         # several trees bring the same member, with the same score
         new = np.ones(len(query), bool)
         new[1:] = (query[1:] != query[:-1]) | (near[1:] != near[:-1])
-        query, near, score = query[new], near[new], score[new]
+        query, near, least, score = query[new], near[new], least[new], score[new]
         first = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]]))
         place = np.arange(len(query)) - np.repeat(first, np.diff(np.append(first, len(query))))
-        return query[place < keep], near[place < keep], score[place < keep]
+        return query[place < keep], near[place < keep], least[place < keep], score[place < keep]
 
     def rows(found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["query", "class", "score"])
+        query, near, _, score = found
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (query, near, score)], names=["query", "class", "score"])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, names, vectors = None, [], []
+        cell, names, least, vectors = None, [], [], []
         found: list[tuple[np.ndarray, ...]] = []
         held = 0
         for batch in batches:
@@ -336,19 +340,21 @@ def _ranked(members: DataFrame, probes: DataFrame, dimension: int, keep: int) ->
             own = batch.column("cell").to_numpy()
             asks = batch.column("_asks").to_numpy(zero_copy_only=False)
             ids = batch.column("class").to_numpy()
+            smallest = batch.column("least").to_numpy()
             matrix = _matrix(batch.column("embedding"), dimension).astype(np.float64)
             cuts = np.concatenate([[0], np.flatnonzero((own[1:] != own[:-1]) | (asks[1:] != asks[:-1])) + 1, [len(own)]])
             for a, b in zip(cuts, cuts[1:]):
                 if own[a] != cell:
-                    cell, names, vectors = own[a], [], []
+                    cell, names, least, vectors = own[a], [], [], []
                 if not asks[a]:
                     names.append(ids[a:b])
+                    least.append(smallest[a:b])
                     vectors.append(matrix[a:b])
                     continue
                 if not names:
                     continue
                 if len(names) > 1:
-                    names, vectors = [np.concatenate(names)], [np.concatenate(vectors)]
+                    names, least, vectors = ([np.concatenate(c)] for c in (names, least, vectors))
                 block = max(1, (1 << 22) // max(1, vectors[0].size))
                 for first in range(a, b, block):
                     last = min(b, first + block)
@@ -357,7 +363,7 @@ def _ranked(members: DataFrame, probes: DataFrame, dimension: int, keep: int) ->
                     # ties go to the smaller id: members are in their order
                     top = np.argsort(-product, axis=1, kind="stable")[:, :many]
                     found.append(
-                        (np.repeat(ids[first:last], many), names[0][top].ravel(), np.take_along_axis(product, top, axis=1).ravel())
+                        (np.repeat(ids[first:last], many), names[0][top].ravel(), least[0][top].ravel(), np.take_along_axis(product, top, axis=1).ravel())
                     )
                     held += top.size
                     if held > HELD:

@@ -454,6 +454,13 @@ def test_neighbours_when_the_sample_is_a_small_part(llm):
     assert len(true & {(r["query_id"], r["vec_id"]) for r in found}) / len(true) >= 0.9
 
 
+def test_neighbours_that_tie_come_by_id(llm):
+    rows = [(i, [1.0, *(float(i >> b & 1) for b in range(7))]) for i in range(128)]
+    emb = llm.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = rows_of(ann.nearest(emb, emb.filter("vec_id = 0"), k=5), "query_id", "rank", "vec_id", "score")
+    assert found == [(0, r, r, 1.0) for r in range(1, 6)]
+
+
 def test_neighbours_of_few_and_none(llm):
     schema = "vec_id long, embedding array<float>"
     three = llm.createDataFrame([(0, [1.0, 0.0]), (20, [1.0, 0.0]), (7, [2.0, 1.0]), (20, [1.0, 0.0])], schema)
