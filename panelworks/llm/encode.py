@@ -5,7 +5,8 @@ cut is made here for many texts at once, the library encodes the words not seen
 worker, and the ids of a text are those of its words. Texts that hold one of the tokenizer's special
 strings, and all texts of tokenizers that cut in another way, go to the library as a whole.
 
-A word is known by a 64-bit hash of its characters and its length.
+A word is looked up by a 64-bit hash and its characters are compared with those of the known word; words of
+more than ``LONG`` characters are not kept.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ SPLITS = {
 }
 #: Words kept by one worker; beyond that the memory is emptied.
 MOST_WORDS = 600_000
+#: Characters of the longest word that is kept.
+LONG = 64
 #: Bytes of text cut at a time.
 SLICE_BYTES = 1 << 19
 
@@ -123,8 +126,14 @@ def cut_words(codes: np.ndarray, offsets: np.ndarray, kind: str) -> tuple[np.nda
     return starts, edge[at + 1] if len(at) else starts, np.searchsorted(starts, offsets)
 
 
+def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions of all elements of the runs, one run after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Words:
-    """An open-addressing table from word hashes to runs of ids, filled as words appear."""
+    """An open-addressing table from word hashes to runs of ids and characters, filled as words appear."""
 
     def __init__(self) -> None:
         self.clear()
@@ -138,6 +147,20 @@ class Words:
         self.length = np.zeros(1 << 16, np.int64)
         self.used = 0
         self.ids = np.zeros(1 << 18, np.uint32)
+        self.spelt = np.zeros(1 << 16, np.int64)
+        self.size = np.zeros(1 << 16, np.int64)
+        self.chars = np.zeros(1 << 19, np.uint32)
+        self.written = 0
+
+    def differs(self, number: np.ndarray, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Which words are spelt in another way than the known ones of these numbers."""
+        out = self.size[number] != sizes
+        same = np.flatnonzero(~out & (sizes > 0))
+        own, known = runs(starts[same], sizes[same]), runs(self.spelt[number[same]], sizes[same])
+        unequal = codes[own] != self.chars[known]
+        if unequal.any():
+            out[same] = np.logical_or.reduceat(unequal, np.cumsum(sizes[same]) - sizes[same])
+        return out
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Number of each word, -1 if it is not known."""
@@ -168,20 +191,31 @@ class Words:
             todo = todo[lost[todo]]
             at[todo] = (at[todo] + 1) & (self.slots - 1)
 
-    def add(self, h: np.ndarray, ids: list[np.ndarray]) -> None:
+    def _append(self, ids: list[np.ndarray], chars: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         total = int(lengths.sum())
-        while self.count + len(h) > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
+        while self.count + len(ids) > len(self.start):
+            for held in ("start", "length", "spelt", "size"):
+                setattr(self, held, np.concatenate([getattr(self, held), np.zeros_like(self.start)]))
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        number = np.arange(self.count, self.count + len(h), dtype=np.int32)
+        while self.written + len(chars) > len(self.chars):
+            self.chars = np.concatenate([self.chars, np.zeros_like(self.chars)])
+        number = np.arange(self.count, self.count + len(ids), dtype=np.int32)
+        self.spelt[number] = self.written + np.cumsum(sizes) - sizes
+        self.size[number] = sizes
+        self.chars[self.written : self.written + len(chars)] = chars
+        self.written += len(chars)
         self.start[number] = self.used + np.cumsum(lengths) - lengths
         self.length[number] = lengths
         self.ids[self.used : self.used + total] = np.concatenate(ids) if ids else []
-        self.count += len(h)
+        self.count += len(ids)
         self.used += total
+        return number
+
+    def add(self, h: np.ndarray, ids: list[np.ndarray], chars: np.ndarray, sizes: np.ndarray) -> None:
+        """Keep words under their hashes."""
+        number = self._append(ids, chars, sizes)
         if self.count * 2 > self.slots:
             keys, numbers = self.keys, self.number
             while self.count * 2 > self.slots:
@@ -191,20 +225,34 @@ class Words:
             self._place(keys[old], numbers[old])
         self._place(h, number)
 
+    def aside(self, ids: list[np.ndarray]) -> np.ndarray:
+        """Numbers of words that cannot be found again."""
+        return self._append(ids, np.zeros(0, np.uint32), np.zeros(len(ids), np.int64))
+
 
 class Encoder:
-    """Ids of texts, the same as the library gives for each whole text."""
+    """Ids of texts, the same as the library gives for each whole text.
+
+    With ``plain_special`` the tokenizer's special strings inside a text are text like any other.
+    """
 
-    def __init__(self, content: str) -> None:
+    def __init__(self, content: str, plain_special: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         config = json.loads(content)
         self.tokenizer = Tokenizer.from_str(content)
+        self.tokenizer.encode_special_tokens = plain_special
         self.kind = split_kind(config)
-        self.special = [t["content"] for t in config.get("added_tokens", ())]
+        self.special = [] if plain_special else [t["content"] for t in config.get("added_tokens", ())]
         self.words = Words()
 
+    def _cleaned(self, texts: list[str]) -> list[str]:
+        return [cleaned(t) for t in texts] if self.kind == "lower" else texts
+
+    def _cut(self, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return cut_words(codes, offsets, self.kind)
+
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
@@ -229,31 +277,45 @@ class Encoder:
         return out
 
     def _by_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if self.kind == "lower":
-            texts = [cleaned(t) for t in texts]
+        texts = self._cleaned(texts)
         joined = "".join(texts)
         codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))]).astype(np.int64)
         if not len(codes):
             return np.zeros(0, np.uint32), offsets
-        starts, ends, bounds = cut_words(codes, offsets, self.kind)
+        starts, ends, bounds = self._cut(codes, offsets)
+        sizes = ends - starts
         h = T.span_hashes(codes.astype(np.uint64) + np.uint64(0x5BD1E995), starts, ends)
         h[h == 0] = 1
-        if self.words.count > MOST_WORDS:
-            self.words.clear()
-        number = self.words.find(h)
-        miss = np.flatnonzero(number < 0)
+        words = self.words
+        if words.count > MOST_WORDS:
+            words.clear()
+        number = np.full(len(h), -1, np.int32)
+        short = np.flatnonzero(sizes <= LONG)
+        number[short] = words.find(h[short])
+        miss = short[number[short] < 0]
         if len(miss):
             by = np.argsort(h[miss], kind="stable")
             own = h[miss][by]
             keep = np.concatenate([[True], own[1:] != own[:-1]])
             at = miss[by[keep]]
-            self.words.add(own[keep], self._each([joined[a:b] for a, b in zip(starts[at], ends[at])]))
-            number[miss] = self.words.find(h[miss])
-        length = self.words.length[number]
+            words.add(own[keep], self._each([joined[a:b] for a, b in zip(starts[at], ends[at])]), codes[runs(starts[at], sizes[at])], sizes[at])
+            number[miss] = words.find(h[miss])
+        other = np.ones(len(h), bool)
+        other[short] = words.differs(number[short], codes, starts[short], sizes[short])
+        other = np.flatnonzero(other)
+        if len(other):  # long words, and words that share their hash with another one
+            spelt = [joined[a:b] for a, b in zip(starts[other], ends[other])]
+            distinct = list(dict.fromkeys(spelt))
+            kept = words.used, words.count
+            known = dict(zip(distinct, words.aside(self._each(distinct))))
+            number[other] = [known[w] for w in spelt]
+        length = words.length[number]
         cut = np.concatenate([[0], np.cumsum(length)])
-        where = np.repeat(self.words.start[number] - cut[:-1], length) + np.arange(cut[-1])
-        return self.words.ids[where], cut[bounds]
+        ids = words.ids[runs(words.start[number], length)]
+        if len(other):
+            words.used, words.count = kept
+        return ids, cut[bounds]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where the ids of each text start and end."""
