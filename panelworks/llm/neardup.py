@@ -11,10 +11,11 @@ is the column-wise minimum of slices.
 
 Steps, all on Spark:
 
-1. one pass over the texts gives set size, set fingerprint, band hashes and one byte of each
-   coordinate; texts with the same set become one class, known by a hash of that set, whatever their ids;
+1. one pass over the texts gives set size, set fingerprint and band hashes; texts with the same set
+   become one class, known by a hash of that set, whatever their ids. One text of each class that shares a
+   band is stored, with one byte of each coordinate of its signature;
 2. classes that share a band are candidates. Each is first compared with one class of the band
-   only (a star, never all pairs), another one in each band, and the links found give components.
+   only (a star, never all pairs), the smallest one, and the links found give components.
    In bands that still hold several components, the members outside the largest one are compared
    with one member of it, again another one in each band;
 3. what is still apart after that is compared across the components of its bands, in blocks of
@@ -91,7 +92,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> Iterato
     """The sorted distinct shingle hashes of each text."""
     lowered = T.LOWER[data]
     starts, ends, bounds = T.words(lowered, offsets, T.NOT_SPACE)
-    h = T.word_hashes(lowered, starts, ends)
+    h = T.sure_word_hashes(lowered, starts, ends)
     grams = T.gram_hashes(h, shingle)
     for a, b in zip(bounds, bounds[1:]):
         if b - a >= shingle:
@@ -106,17 +107,14 @@ def _features(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in T.byte_slices(batch.column("text")):
-                sizes, first, second, marks, keys = [], [], [], [], []
+                sizes, first, second, keys = [], [], [], []
                 for s in shingle_sets(data, offsets, shingle):
                     sizes.append(len(s))
                     first.append(int(T.mixed(s).sum(dtype=np.uint64).view(np.int64)))
                     second.append(int(T.mixed(s ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64).view(np.int64)))
                     if len(s):
-                        sig = signature(s, max(MARKS, bands * rows))
-                        marks.append(sig.astype(np.uint8).tobytes())
-                        keys.append(band_hashes(sig[: bands * rows], bands, rows).view(np.int64))
+                        keys.append(band_hashes(signature(s, bands * rows), bands, rows).view(np.int64))
                     else:
-                        marks.append(None)
                         keys.append(None)
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -125,16 +123,33 @@ def _features(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame
                         "n_shingles": pa.array(sizes, pa.int64()),
                         "_f1": pa.array(first, pa.int64()),
                         "_f2": pa.array(second, pa.int64()),
-                        "_mark": pa.array(marks, pa.binary()),
                         "_bands": pa.array(keys, pa.list_(pa.int64())),
                     }
                 )
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("_order")).mapInArrow(
-        made, "doc_id long, _order long, n_shingles long, _f1 long, _f2 long, _mark binary, _bands array<long>"
+        made, "doc_id long, _order long, n_shingles long, _f1 long, _f2 long, _bands array<long>"
     )
 
 
+def _marked(texts: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
+    """(node, n_shingles, _mark, _bands) of the classes that share a band, from their texts."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in T.byte_slices(batch.column("text")):
+                sizes, marks, keys = [], [], []
+                for s in shingle_sets(data, offsets, shingle):
+                    sig = signature(s, max(MARKS, bands * rows))
+                    sizes.append(len(s))
+                    marks.append(sig.astype(np.uint8).tobytes())
+                    keys.append(band_hashes(sig[: bands * rows], bands, rows).view(np.int64))
+                arrays = [batch.column("node")[lo:hi], pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["node", "n_shingles", "_mark", "_bands"])
+
+    return texts.mapInArrow(made, "node long, n_shingles long, _mark binary, _bands array<long>")
+
+
 def _close(pairs: DataFrame, percent: int, least_share: float) -> DataFrame:
     """Pairs (a, b, mark_a, mark_b) whose signature bytes agree often enough: (a, b)."""
 
@@ -156,13 +171,9 @@ def _sized(n_a: str, n_b: str, percent: int):
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Pairs whose full sets reach the threshold: (a, b). ``docs`` has one text for each class."""
-    pairs = store.written(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    ids = store.written(ids, "pair-ids")
-    texts = store.written(docs.join(ids, "node", "left_semi"), "pair-texts")
-    left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    both = left.join(right, "b").select("a", "b", "text_a", "text_b")
+    left = pairs.join(docs.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
+    right = docs.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    both = left.join(right.hint("merge"), "b").select("a", "b", "text_a", "text_b")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,9 +199,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_pydict({"a": batch.column("a").filter(keep), "b": batch.column("b").filter(keep)})
 
-    links = store.written(both.mapInArrow(linked, "a long, b long"), "links")
-    store.dropped(pairs, ids, texts)
-    return links
+    return store.written(both.mapInArrow(linked, "a long, b long"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -225,8 +234,8 @@ def components(links: DataFrame) -> DataFrame:
 
 def _near(pairs: DataFrame, sizes: DataFrame, percent: int, least_share: float) -> DataFrame:
     """Of the candidates (a, b), those that sizes and signature bytes leave open; stored."""
-    left = pairs.join(sizes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("_mark").alias("mark_a")), "a")
-    both = left.join(sizes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("_mark").alias("mark_b")), "b")
+    left = pairs.join(sizes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("_mark").alias("mark_a")).hint("merge"), "a")
+    both = left.join(sizes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("_mark").alias("mark_b")).hint("merge"), "b")
     fit = both.filter(_sized("n_a", "n_b", percent)).select("a", "b", "mark_a", "mark_b")
     return store.written(_close(fit, percent, least_share), "near")
 
@@ -422,21 +431,20 @@ def _linked(
     features = _features(docs, shingle, bands, rows)
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.xxhash64("n_shingles", "_f1", "_f2"))
     seen = store.written(features.withColumn("_class", own).drop("_f1", "_f2"), "signatures")
-    head = F.struct("doc_id", "_order", "n_shingles", "_mark", "_bands")
+    head = F.struct("doc_id", "_order", "_bands")
     heads = seen.filter("_class IS NOT NULL").groupBy(F.col("_class").alias("node")).agg(F.min_by(head, F.struct("doc_id", "_order")).alias("_head"))
     heads = store.written(heads.select("node", "_head.*"), "heads")
     in_bands = heads.select("node", F.explode("_bands").alias("_band"))
-    hubs = in_bands.groupBy("_band").agg(
-        F.min_by("node", F.xxhash64("node", "_band")).alias("_hub"), F.count(F.lit(1)).alias("_rows")
-    )
-    hubs = store.written(hubs.filter("_rows > 1"), "hubs")
-    members = store.written(in_bands.join(hubs, "_band").select("_band", "node", "_hub"), "members")
-    sizes = heads.select("node", "n_shingles", "_mark")
+    # classes are hashes, so the smallest one is any of them; the same one in all bands of a group makes few pairs
+    hubs = in_bands.groupBy("_band").agg(F.min("node").alias("_hub"), F.max("node").alias("_last"))
+    hubs = store.written(hubs.filter("_hub < _last").drop("_last"), "hubs")
+    members = store.written(in_bands.join(hubs.hint("merge"), "_band").select("_band", "node", "_hub"), "members")
     # the texts that may have to be read again, one for each class that shares a band: that of its first row
     shared = heads.select("node", "doc_id", "_order").join(members.select("node").distinct(), "node", "left_semi")
     shared = store.written(shared, "shared-ids")
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_order")).join(shared, ["doc_id", "_order"])
-    texts = store.written(texts.groupBy("node").agg(F.min("text").alias("text")), "shared-texts")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_order")).join(shared.hint("merge"), ["doc_id", "_order"])
+    texts = store.written(texts.groupBy("doc_id", "_order", "node").agg(F.min("text").alias("text")).select("node", "text"), "shared-texts")
+    sizes = store.written(_marked(texts, shingle, bands, rows), "marks")
 
     tried = _near(_pairs(members), sizes, percent, least_share)
     links = _confirmed(tried, texts, shingle, percent)
@@ -447,8 +455,8 @@ def _linked(
         links = store.written(links.union(_confirmed(more, texts, shingle, percent)), "links")
         tried = store.written(tried.union(more), "tried")
         named = _named(members, components(links))
-    links = store.written(links.union(_across(named, heads, texts, shingle, percent, least_share, block)), "links")
-    store.dropped(hubs, members, named, tried, shared, texts)
+    links = store.written(links.union(_across(named, sizes, texts, shingle, percent, least_share, block)), "links")
+    store.dropped(hubs, members, named, tried, shared, texts, sizes)
     return seen, heads, links
 
 
@@ -495,14 +503,15 @@ def without_copies(docs: DataFrame) -> DataFrame:
     of_class = store.written(named.join(first, "component").select(F.col("node").alias("_class"), F.col("_first.doc_id").alias("_id"), F.col("_first._order").alias("_least")), "of-class")
     texts = store.written(seen.filter("_class IS NOT NULL").select("doc_id", "_order", "_class").distinct(), "class-of")
     gone = texts.join(of_class, "_class").filter("doc_id <> _id OR _order <> _least")
-    gone = store.written(gone.select(F.col("doc_id").alias("_gone"), F.col("_order").alias("_text")), "copies")
-    repeated = seen.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_rid"), F.col("_order").alias("_text")).count()
-    repeated = store.written(repeated.filter("count > 1").select("_rid", "_text"), "repeated-rows")
+    own_id, own_text = store.free_names(docs, "_rid", "_text")
+    gone = store.written(gone.select(F.col("doc_id").alias(own_id), F.col("_order").alias(own_text)), "copies")
+    repeated = seen.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(own_id), F.col("_order").alias(own_text)).count()
+    repeated = store.written(repeated.filter("count > 1").select(own_id, own_text), "repeated-rows")
     store.dropped(seen, heads, links, named, first, of_class, texts)
-    left = docs.join(gone, (docs["doc_id"] == gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["_text"]), "left_anti")
+    keyed = docs.select("*", F.col("doc_id").alias(own_id), F.xxhash64("text").alias(own_text))
+    left = keyed.join(gone, [own_id, own_text], "left_anti")
     if not repeated.limit(1).count():
-        return left
-    twice = (left["doc_id"] == repeated["_rid"]) & (F.xxhash64(left["text"]) == repeated["_text"])
-    single = left.join(repeated, twice, "left_anti")
-    several = left.join(repeated, twice).dropDuplicates(["_rid", "_text"])
-    return single.union(several.select(*[several[c] for c in docs.columns]))
+        return left.select(*docs.columns)
+    single = left.join(repeated, [own_id, own_text], "left_anti")
+    several = left.join(repeated, [own_id, own_text], "left_semi").dropDuplicates([own_id, own_text])
+    return single.union(several).select(*docs.columns)

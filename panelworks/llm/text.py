@@ -109,6 +109,33 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return span_hashes(_symbols()[data], starts, ends)
 
 
+#: Two primes and bases drawn for them.
+FIELDS = ((2147483647, 1103515245), (2147483629, 1664525123))
+
+
+@lru_cache(maxsize=4)
+def _field_powers(prime: int, base: int, size: int) -> np.ndarray:
+    """base ** 0 ... base ** (size - 1) modulo ``prime``, by doubling."""
+    held = np.ones(1, np.uint64)
+    while len(held) < size:
+        held = np.concatenate([held, held * U64(pow(base, len(held), prime)) % U64(prime)])
+    return held[:size]
+
+
+def sure_word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """62-bit hash of each word by two polynomials modulo primes; unlike those modulo 2 ** 64 they have no words
+    that collide for every base."""
+    size = 1 << max(SLICE_BYTES, len(data)).bit_length()
+    total = np.zeros(len(data) + 1, np.uint64)
+    both = (ends - starts).astype(np.uint64)
+    for prime, base in FIELDS:
+        symbols = _symbols() % U64(prime)
+        np.cumsum(symbols[data] * _field_powers(prime, base, size)[: len(data)] % U64(prime), out=total[1:])
+        own = (total[ends] - total[starts]) % U64(prime) * _field_powers(prime, pow(base, -1, prime), size)[starts] % U64(prime)
+        both = (both << U64(32)) ^ own
+    return mixed(both ^ mixed((ends - starts).astype(np.uint64)))
+
+
 def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of ``n`` consecutive word hashes (len(h) - n + 1 of them)."""
     if len(h) < n:
