@@ -50,5 +50,27 @@ def dropped(*stored: DataFrame) -> None:
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def spread(files: DataFrame, by: str) -> DataFrame:
+    """The rows, one for each file, dealt out so that about as many tasks read as there are files.
+
+    The number is given, so adaptive execution does not merge the few small rows into one task; beyond eight tasks a
+    core each task reads several files.
+    """
+    most = 8 * files.sparkSession.sparkContext.defaultParallelism
+    return files.repartitionByRange(max(1, min(files.count(), most)), by)
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The names, with more underscores where ``df`` has such a column already."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{sf_dir}/{table}.parquet")

@@ -228,4 +228,4 @@ def read_shards(shards: DataFrame) -> DataFrame:
                             }
                         )
 
-    return shards.repartition("path").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return store.spread(shards, "path").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")

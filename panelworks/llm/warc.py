@@ -252,7 +252,7 @@ def read_bundles(index: DataFrame) -> DataFrame:
                 if found:
                     yield batch_of(found)
 
-    bundles = index.select("bundle").distinct()
-    return bundles.repartition("bundle").mapInArrow(
+    bundles = store.written(index.select("bundle").distinct(), "bundles")
+    return store.spread(bundles, "bundle").mapInArrow(
         read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     )
