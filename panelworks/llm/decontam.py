@@ -13,7 +13,7 @@ blocks are added up per text.
 
 Null and empty texts have no words and are clean. Null, empty and wordless items have no window.
 Rows that repeat an id are judged one by one. An item id that comes with several texts counts once
-if any of them occurs.
+if any of them occurs. A null item id is an item named ``None``.
 """
 
 from __future__ import annotations

@@ -160,7 +160,7 @@ def plan(histogram: np.ndarray, capacity: int = CAPACITY) -> Plan:
         patterns = exact_patterns(lengths, capacity)
         active, x = nonnegative_fit(patterns, histogram.copy())
         many = None
-        for share in (1.0, 0.9, 0.7, 0.4, 0.0):
+        for share in (1.0, 0.9, 0.7, 0.4, 0.2):
             left = histogram.copy()
             tried = []
             for p in active[np.argsort(-x, kind="stable")]:

@@ -175,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
                 )
 
     found = sample.mapInArrow(some_chunks, "doc_id long, label int, chunks binary").collect()
-    found = sorted({r["doc_id"]: r for r in found}.values(), key=lambda r: r["doc_id"])
+    found.sort(key=lambda r: r["doc_id"])
     if found:
         parts = [np.frombuffer(r["chunks"], np.uint8).reshape(-1, CHUNK) for r in found]
         label_of = np.repeat([r["label"] for r in found], [len(c) for c in parts])
@@ -198,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
                 )
 
     rows = sample.mapInArrow(whole, "doc_id long, label int, x binary").collect()
-    rows = sorted({r["doc_id"]: r for r in rows}.values(), key=lambda r: r["doc_id"])
+    rows.sort(key=lambda r: r["doc_id"])
     x = np.stack([np.frombuffer(r["x"], np.float32) for r in rows]).astype(float)
     y = np.array([r["label"] for r in rows], float)
     network.mean, network.scale = x.mean(axis=0), x.std(axis=0) + 1e-6

@@ -111,8 +111,8 @@ def blind_trie(strings: list[bytes]) -> list[int]:
 
     root: list | int = 0
     same: dict[int, list[int]] = {0: [0]}
-    numbers = [int.from_bytes(s.ljust(max(map(len, strings)), b"\0"), "big") for s in strings]
     width = max(map(len, strings))
+    numbers = [int.from_bytes(s.ljust(width, b"\0"), "big") for s in strings]
 
     def common(i: int, j: int) -> int:
         differ = numbers[i] ^ numbers[j]
@@ -486,7 +486,9 @@ def removal_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with the repeated strings cut out of ``text``; all other columns as they are."""
     rows, suspects = repeated_ranges(docs, length)
-    changed = store.written(_kept(rows, texts=True).select("_id", "_text", "kept").dropDuplicates(["_id", "_text"]), "changed")
+    own = store.free_names(docs, "_id", "_text", "kept")
+    changed = _kept(rows, texts=True).select("_id", "_text", "kept").dropDuplicates(["_id", "_text"]).toDF(*own)
+    changed = store.written(changed, "changed")
     store.dropped(suspects)
-    keyed = docs.select("*", *_row_key()).join(changed, ["_id", "_text"], "left")
-    return keyed.withColumn("text", F.coalesce("kept", "text")).select(*docs.columns)
+    keyed = docs.select("*", *(key.alias(name) for key, name in zip(_row_key(), own))).join(changed, own[:2], "left")
+    return keyed.withColumn("text", F.coalesce(own[2], "text")).select(*docs.columns)

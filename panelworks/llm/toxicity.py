@@ -111,7 +111,10 @@ def _hashed(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], np
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """At most ``rows`` labelled texts, the first by a hash of the id: (doc_id, text, _label)."""
+    """At most ``rows`` labelled texts, the first by a hash of the id: (doc_id, text, _label).
+
+    Of several texts of one id the one with the smallest hash counts; they are folded in the map tasks.
+    """
     chosen = (
         labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
@@ -120,7 +123,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -
         .limit(rows)
     )
     # ``rows`` ids and labels: a proven bound for the broadcast
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    return texts.groupBy("doc_id", "_label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS, bits: int = BITS) -> Model:
@@ -142,9 +146,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
 
     sample = labelled_sample(docs, labels, label, sample_rows)
     rows = sample.mapInArrow(featurized, "doc_id long, label int, at binary").collect()
-    rows = {r["doc_id"]: r for r in rows}  # a repeated id counts once
-    ordered = sorted(rows.values(), key=lambda r: int(T.mixed(np.array([r["doc_id"]]).astype(np.uint64))[0]))
-    return ftrl([(np.frombuffer(r["at"], np.int32).astype(np.int64), r["label"]) for r in ordered], bits)
+    rows.sort(key=lambda r: int(T.mixed(np.array([r["doc_id"]]).astype(np.uint64))[0]))
+    return ftrl([(np.frombuffer(r["at"], np.int32), r["label"]) for r in rows], bits)
 
 
 def scores(data: np.ndarray, offsets: np.ndarray, model: Model, dense: np.ndarray) -> np.ndarray:
