@@ -12,6 +12,11 @@ from panelworks.llm import decontam, neardup, packing, store, suffixdedup, toxic
 from panelworks.llm.queries import held_out, vocabulary
 
 
+#: Bytes of a repeated string that goes. Fifty words of the shortest kind, of four letters and a blank, are as long;
+#: the words of the documents take about six bytes.
+PASSAGE_BYTES = 250
+
+
 def toxic_texts_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the toxicity classifier does not reject; a document is one (doc_id, text)."""
     labels = store.read(spark, sf_dir, "labels")
@@ -29,7 +34,7 @@ def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_strings_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without its repeated strings."""
     store.prepared(spark)
-    return suffixdedup.without_repeats(docs)
+    return suffixdedup.without_repeats(docs, PASSAGE_BYTES)
 
 
 def benchmark_texts_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,5 +66,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = len(STAGES) - 1
     for number, (name, stage) in enumerate(STAGES):
         kept = stage(spark, docs, sf_dir)
-        docs = kept if number == last else store.written(kept, name)
+        if number == last:
+            return kept
+        before, docs = docs, store.written(kept, name)
+        store.dropped(before)  # only the tables written here
     return docs
