@@ -34,6 +34,8 @@ from panelworks.llm.encode import runs
 
 #: Bytes of text in one slice; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
+#: Words kept by each of the two encoders of a worker.
+MOST_WORDS = 150_000
 #: A tokens after which a lane looks for a place to end, and how far it looks.
 LANE, REACH = 256, 64
 #: Links of one group that are listed one by one; a larger group is counted by its distinct ids.
@@ -71,6 +73,7 @@ class Pieces(encode.Encoder):
         self.blank = np.array([self.model.piece_to_id("▁")], np.uint32)
         self.special = []
         self.words = encode.Words()
+        self.most_words = MOST_WORDS
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(ids, np.uint32) for ids in self.model.encode([t[1:] for t in texts], num_threads=1)]
@@ -106,6 +109,7 @@ class Side:
 @lru_cache(maxsize=4)
 def byte_level(content: str) -> Side:
     own = encode.Encoder(content, plain_special=True)
+    own.most_words = MOST_WORDS
     letters = byte_letters()
     tokens = [b""] * own.tokenizer.get_vocab_size()
     for token, i in own.tokenizer.get_vocab(with_added_tokens=False).items():

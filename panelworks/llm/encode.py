@@ -236,6 +236,8 @@ class Encoder:
     With ``plain_special`` the tokenizer's special strings inside a text are text like any other.
     """
 
+    most_words = MOST_WORDS
+
     def __init__(self, content: str, plain_special: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -288,7 +290,7 @@ class Encoder:
         h = T.span_hashes(codes.astype(np.uint64) + np.uint64(0x5BD1E995), starts, ends)
         h[h == 0] = 1
         words = self.words
-        if words.count > MOST_WORDS:
+        if words.count > self.most_words:
             words.clear()
         number = np.full(len(h), -1, np.int32)
         short = np.flatnonzero(sizes <= LONG)
