@@ -32,6 +32,7 @@ from panelworks.checks.source_queries import (
     season_feeds,
     weather_pages,
 )
+from panelworks.checks.roster_queries import searched
 from panelworks.checks.summary_queries import CAREER, FORM, STRENGTH, TURNS
 from panelworks.checks.window_queries import LI_OVER, rank_sql
 from panelworks.operators.cleaning import conform_silver
@@ -338,23 +339,11 @@ def job_roster(
     return round_roster(rows, None, season_rules(2026, JOB_RULES), both_positions)
 
 
-_GRID = ", ".join(f"({p})" for p in JOB_RULES.tried)
 JOB_ROSTER = f"""{PREDICTION_CTE},
-pool AS (SELECT player_name, position_2026 AS position, price_2026 AS price,
+pool AS (SELECT player_name, position_2026 AS position, price_2026 AS price, false AS locked,
   CAST(round(round(adjusted_predicted_score, 4) * 1000) AS BIGINT) AS points
   FROM predictions WHERE likely_to_play AND NOT is_bye),
-grid(penalty) AS (VALUES {_GRID}),
-valued AS (SELECT *, points * 1000 - penalty * price AS value FROM pool, grid),
-placed AS (SELECT *, row_number() OVER (PARTITION BY penalty, position ORDER BY value DESC, player_name)
-  AS place FROM valued),
-needs AS (SELECT *, coalesce({sql_map(JOB_RULES.slots)}[position], 0) AS need FROM placed),
-spare AS (SELECT *, row_number() OVER (PARTITION BY penalty, place > need ORDER BY value DESC, player_name)
-  AS rest FROM needs),
-rosters AS (SELECT *, CASE WHEN place > need THEN 'FLEX' ELSE position END AS assigned_position
-  FROM spare WHERE place <= need OR rest <= 1),
-fits AS (SELECT penalty FROM rosters GROUP BY penalty HAVING count(*) = {JOB_RULES.size}
-  AND sum(price) <= {JOB_RULES.cap} ORDER BY sum(points) DESC, penalty LIMIT 1),
-capped AS (SELECT * FROM rosters WHERE penalty IN (SELECT penalty FROM fits))"""
+{searched(JOB_RULES, sql_map(JOB_RULES.slots))}"""
 
 
 @register(

@@ -49,16 +49,36 @@ def slot_eligibility(spark: SparkSession, sf: str) -> DataFrame:
     return r.slot_eligibility(pool(spark, sf), RULES).select("player_name", "slot", "need")
 
 
-def filled(source: str, value: str, per: str = "") -> str:
+def filled(source: str, value: str, per: str = "", need: str = NEED) -> str:
     """SQL that fills the slots, then takes the best of the rest as flex."""
     best = f"locked DESC, {value} DESC, player_name"
     slots = f"PARTITION BY {per}{', ' if per else ''}position"
-    rest = f"PARTITION BY {per}{', ' if per else ''}place > {NEED}[position]"
-    return f"""(SELECT *, place > {NEED}[position] AS is_flex,
-      CASE WHEN place > {NEED}[position] THEN 'FLEX' ELSE position END AS assigned_position
+    spare = f"place > coalesce({need}[position], 0)"
+    rest = f"PARTITION BY {per}{', ' if per else ''}{spare}"
+    return f"""(SELECT *, {spare} AS is_flex,
+      CASE WHEN {spare} THEN 'FLEX' ELSE position END AS assigned_position
       FROM (SELECT *, row_number() OVER ({rest} ORDER BY {best}) AS rest
         FROM (SELECT *, row_number() OVER ({slots} ORDER BY {best}) AS place FROM {source}))
-      WHERE place <= {NEED}[position] OR rest <= 1)"""
+      WHERE NOT ({spare}) OR rest <= 1)"""
+
+
+def searched(rules: r.RosterRules, need: str = NEED) -> str:
+    """SQL that narrows the penalties of ``pool`` in six passes down to the least one within the cap, as ``capped``."""
+    powers = ", ".join(f"({p})" for p in (0, *(2**k for k in range(31))))
+    parts = [f"grid0(penalty) AS (VALUES {powers})", "range0 AS (SELECT -1 AS lo)"]
+    for k in range(6):
+        value = f"(SELECT *, points * 1000 - penalty * price AS value FROM pool, grid{k})"
+        parts.append(f"rosters{k} AS MATERIALIZED (SELECT * FROM {filled(value, 'value', 'penalty', need)})")
+        parts.append(f"""totals{k} AS MATERIALIZED (SELECT penalty, count(*) = {rules.size} AS complete,
+          sum(price) <= {rules.cap} AS within, sum(value) + penalty * CAST({rules.cap} AS BIGINT) AS top FROM rosters{k} GROUP BY penalty)""")
+        parts.append(f"""range{k + 1} AS MATERIALIZED (SELECT min(penalty) FILTER (complete AND within) AS hi,
+          greatest(max(penalty) FILTER (complete AND NOT within), (SELECT lo FROM range{k})) AS lo FROM totals{k})""")
+        parts.append(f"""grid{k + 1} AS MATERIALIZED (SELECT DISTINCT least(hi, lo + 1 + j * CAST(ceil((hi - lo - 1) / 64.0) AS BIGINT)) AS penalty
+          FROM range{k + 1}, range(65) AS s(j) WHERE hi IS NOT NULL)""")
+    tops = " UNION ALL ".join(f"SELECT penalty, top FROM totals{k} WHERE complete" for k in range(6))
+    parts.append(f"""capped AS (SELECT *, (SELECT min(top) FROM ({tops})) / 1e6 AS score_bound FROM rosters5
+      WHERE penalty = (SELECT hi FROM range6))""")
+    return ", ".join(parts)
 
 
 @register(
@@ -71,26 +91,23 @@ def best_per_slot(spark: SparkSession, sf: str) -> DataFrame:
     return roster.select("player_name", "assigned_position", "is_flex", "price")
 
 
-GRID = ", ".join(f"({p})" for p in RULES.tried)
-CAPPED = f"""{POOL}, grid(penalty) AS (VALUES {GRID}),
-valued AS (SELECT *, CAST(round(adjusted_predicted_score * 1000) AS BIGINT) AS points,
-  CAST(round(adjusted_predicted_score * 1000) AS BIGINT) * 1000 - penalty * price AS value
-  FROM pool, grid),
-rosters AS (SELECT * FROM {filled('valued', 'value', 'penalty')}),
-fits AS (SELECT penalty FROM rosters GROUP BY penalty HAVING count(*) = {RULES.size}
-  AND sum(price) <= {RULES.cap} ORDER BY sum(points) DESC, penalty LIMIT 1),
-capped AS (SELECT * FROM rosters WHERE penalty IN (SELECT penalty FROM fits))"""
+def capped_sql(rules: r.RosterRules) -> str:
+    points = "CAST(round(adjusted_predicted_score * 1000) AS BIGINT) AS points"
+    return f"{POOL.replace('pool AS (', 'found AS (')}, pool AS (SELECT *, {points} FROM found), {searched(rules)}"
+
+
+CAPPED = capped_sql(RULES)
 
 
 @register(
     "capped_roster",
     f"""WITH {CAPPED} SELECT player_name, assigned_position, is_flex, price,
-    adjusted_predicted_score FROM capped""",
+    adjusted_predicted_score, {r8('score_bound', 'score_bound')} FROM capped""",
 )
 def capped_roster(spark: SparkSession, sf: str) -> DataFrame:
-    return r.capped_roster(pool(spark, sf), RULES).select(
-        "player_name", "assigned_position", "is_flex", "price", "adjusted_predicted_score"
-    )
+    roster = r.capped_roster(pool(spark, sf), RULES)
+    columns = ["player_name", "assigned_position", "is_flex", "price", "adjusted_predicted_score"]
+    return roster.select(*columns, F.round("score_bound", 8).alias("score_bound"))
 
 
 def rule_sql(name: str, found: str, need: object, op: str = "=") -> str:
@@ -172,7 +189,7 @@ def listing(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "roster_for_tight_cap",
-    f"""WITH {CAPPED.replace(str(RULES.cap), '6000000')} SELECT player_name, assigned_position, price FROM capped""",
+    f"""WITH {capped_sql(replace(RULES, cap=6_000_000))} SELECT player_name, assigned_position, price FROM capped""",
 )
 def tight_roster(spark: SparkSession, sf: str) -> DataFrame:
     rules = replace(RULES, cap=6_000_000)

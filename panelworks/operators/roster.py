@@ -1,20 +1,20 @@
 """Slot-constrained rosters under a price cap.
 
 The roster is found by price penalties: for a penalty ``p`` each slot takes the
-players with the best ``score - p * price``; of all penalties whose roster is
-within the cap, the one with the best total score wins. The roster of a penalty is
+players with the best ``score - p * price``. The roster of a penalty is
 the best for that penalty, either over first positions alone, as plain window
-ranks, or over both positions, by matching a bounded number of contenders.
-Penalties grow in steps of a tenth from none to one so large that only the price
-counts. That last roster is the cheapest there is: if it is over the cap, no full
-roster is within it, and if not, the result is never empty. Among the rosters
-within the cap a better one may lie between two penalties. Scores and
-prices are integers inside the search, which makes it exact and repeatable.
+ranks, or over both positions, by matching a bounded number of contenders. Its price
+never grows with the penalty, so the range between the last whole penalty over the cap and
+the first one within it is narrowed, a few dozen penalties a pass, until the two are neighbours; the roster of the
+latter is taken. At the largest penalty only the price counts. That roster is the cheapest there is: if it is over
+the cap, no full roster is within it, and if not, the result is never empty. For any penalty the value of its roster
+plus the penalty times the cap is a bound on the points of every roster within the cap; the least of
+them comes with the result. Scores and prices are integers inside the search, which makes it exact and repeatable.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -23,24 +23,16 @@ from pyspark.sql import functions as F
 
 from panelworks.functions.scalars import literal_map
 from panelworks.operators.joins import exclude_by_name, exclude_list
+from panelworks.session import stored_table
 
 # Players needed per slot and the price cap.
 SLOTS = {"HOK": 2, "FRF": 4, "2RF": 6, "HFB": 2, "5_8": 2, "CTW": 7, "FLB": 2}
 SALARY_CAP = 11_950_000
 FLEX = "FLEX"
 
-#: A penalty next to which no score counts.
-CHEAPEST = 10**9
-
-
-def growing_penalties(largest: int = 1_000_000, step: float = 1.1) -> tuple[int, ...]:
-    """0, then whole numbers growing by ``step``, then the penalty of the cheapest roster."""
-    found, now = [0], 1.0
-    while now <= largest:
-        if int(now) > found[-1]:
-            found.append(int(now))
-        now *= step
-    return (*found, CHEAPEST)
+#: A penalty next to which no score counts, and how many parts a pass cuts the range of penalties into.
+CHEAPEST = 1 << 30
+WAYS = 64
 
 
 @dataclass(frozen=True)
@@ -55,18 +47,11 @@ class RosterRules:
     secondary: str = "secondary_position"
     price: str = "price"
     score: str = "adjusted_predicted_score"
-    #: price penalties tried, in thousandths of a point per 1000 of price
-    penalties: tuple[int, ...] = growing_penalties()
 
     @property
     def size(self) -> int:
         return sum(self.slots.values()) + self.flex
 
-    @property
-    def tried(self) -> tuple[int, ...]:
-        """The penalties, and in any case the one of the cheapest roster."""
-        return tuple(dict.fromkeys([*self.penalties, CHEAPEST]))
-
     @property
     def deepest(self) -> int:
         return max(self.slots.values()) + self.flex
@@ -130,37 +115,42 @@ def slot_topk(pool: DataFrame, rules: RosterRules) -> DataFrame:
     return _fill_slots(pool, rules, rules.score, [])
 
 
-def _valued(pool: DataFrame, rules: RosterRules, positions: list[str], most: int) -> DataFrame:
-    """Each candidate once per price penalty, with its whole-number value.
+def contenders(pool: DataFrame, rules: RosterRules, both_positions: bool) -> DataFrame:
+    """Candidates that some penalty may choose, with their whole-number points.
 
-    Of the candidates with the same ``positions`` and price, only the ``most`` best can be chosen
-    under any penalty; the others are left out before the copies are made.
+    Of the candidates with the same positions and price, only so many of the best can be chosen under any penalty as
+    the slots have room.
     """
-    points = F.round(F.col(rules.score) * 1000).cast("bigint")
-    grid = F.array(*[F.lit(p) for p in rules.tried])
-    price = F.col(rules.price).cast("bigint")
+    positions = [rules.position, *([rules.secondary] if both_positions else [])]
+    most = rules.size if both_positions else rules.deepest
     alike = Window.partitionBy(*positions, rules.price).orderBy(
         F.col("_locked").desc(), F.col("_points").desc(), F.col(rules.player)
     )
     return (
-        pool.withColumn("_points", points)
+        pool.withColumn("_points", F.round(F.col(rules.score) * 1000).cast("bigint"))
         .withColumn("_locked", rules.is_locked())
         .withColumn("_alike", F.row_number().over(alike))
         .filter(F.col("_alike") <= most)
         .drop("_alike", "_locked")
-        .withColumn("penalty", F.explode(grid))
-        .withColumn("_value", F.col("_points") * 1000 - F.col("penalty") * price)
     )
 
 
-def penalised_rosters(pool: DataFrame, rules: RosterRules) -> DataFrame:
-    """One roster per price penalty, from first positions."""
-    valued = _valued(pool, rules, [rules.position], rules.deepest)
-    return _fill_slots(valued, rules, "_value", ["penalty"]).drop("_value")
+def _valued(pool: DataFrame, rules: RosterRules, penalties: Sequence[int]) -> DataFrame:
+    """Each contender once per price penalty (thousandths of a point per 1000 of price), with its value."""
+    price = F.col(rules.price).cast("bigint")
+    grid = F.array(*[F.lit(p).cast("bigint") for p in penalties])
+    return pool.withColumn("penalty", F.explode(grid)).withColumn(
+        "_value", F.col("_points") * 1000 - F.col("penalty") * price
+    )
+
 
+def penalised_rosters(pool: DataFrame, rules: RosterRules, penalties: Sequence[int]) -> DataFrame:
+    """One roster of the contenders per price penalty, from first positions."""
+    return _fill_slots(_valued(pool, rules, penalties), rules, "_value", ["penalty"])
 
-def matched_rosters(pool: DataFrame, rules: RosterRules) -> DataFrame:
-    """One roster per price penalty, from first and second positions.
+
+def matched_rosters(pool: DataFrame, rules: RosterRules, penalties: Sequence[int]) -> DataFrame:
+    """One roster of the contenders per price penalty, from first and second positions.
 
     For a given penalty the roster is the best there is. Only the ``size`` best
     players of a slot can be in it, so the matching sees at most
@@ -170,8 +160,8 @@ def matched_rosters(pool: DataFrame, rules: RosterRules) -> DataFrame:
     positions = F.array(F.col(rules.position), F.col(rules.secondary))
     usable = F.filter(positions, lambda p: p.isin(*rules.slots))
     in_slot = Window.partitionBy("penalty", "_slot").orderBy(*best)
-    contenders = (
-        _valued(pool, rules, [rules.position, rules.secondary], rules.size)
+    best_of = (
+        _valued(pool, rules, penalties)
         .withColumn("_locked", rules.is_locked())
         .withColumn("_slot", F.explode(F.array_union(usable, F.array(F.lit(FLEX)))))
         .withColumn("_place", F.row_number().over(in_slot))
@@ -182,7 +172,7 @@ def matched_rosters(pool: DataFrame, rules: RosterRules) -> DataFrame:
     one = Window.partitionBy("penalty", rules.player).orderBy(
         F.col("_value").desc(), F.col(rules.price), F.col(rules.position), F.col(rules.secondary)
     )
-    contenders = contenders.withColumn("_one", F.row_number().over(one)).filter("_one = 1").drop("_one")
+    best_of = best_of.withColumn("_one", F.row_number().over(one)).filter("_one = 1").drop("_one")
     room = {**rules.slots, FLEX: rules.flex}
 
     def match(group: pd.DataFrame) -> pd.DataFrame:
@@ -195,7 +185,7 @@ def matched_rosters(pool: DataFrame, rules: RosterRules) -> DataFrame:
         )
 
     chosen = (
-        contenders.select(
+        best_of.select(
             "penalty",
             F.col(rules.player).alias("player"),
             F.col(rules.position).alias("first"),
@@ -204,11 +194,11 @@ def matched_rosters(pool: DataFrame, rules: RosterRules) -> DataFrame:
             "_value",
         )
         .groupBy("penalty")
-        .applyInPandas(match, "penalty int, player string, assigned_position string")
+        .applyInPandas(match, "penalty bigint, player string, assigned_position string")
         .withColumnRenamed("player", rules.player)
     )
-    rosters = contenders.join(chosen, ["penalty", rules.player])
-    return rosters.withColumn("is_flex", F.col("assigned_position") == FLEX).drop("_locked", "_value")
+    rosters = best_of.join(chosen, ["penalty", rules.player])
+    return rosters.withColumn("is_flex", F.col("assigned_position") == FLEX).drop("_locked")
 
 
 def match_slots(
@@ -243,23 +233,50 @@ def match_slots(
     return {player: slot for slot, players in slots.items() for player in players}
 
 
+def cap_penalty(
+    rosters_of: Callable[[Sequence[int]], DataFrame], rules: RosterRules
+) -> tuple[int, int] | None:
+    """The least whole penalty whose roster is full and within the cap, and the bound on the points of any such
+    roster, in millionths; None if there is no such roster.
+
+    ``rosters_of`` gives the rosters of some penalties. The first pass tries the powers of two, each further one cuts
+    the range that is left into ``WAYS`` parts; a pass brings one row per penalty to the driver.
+    """
+    tried = [0, *(1 << k for k in range(CHEAPEST.bit_length()))]
+    over, bound = -1, None
+    while True:
+        totals = rosters_of(tried).groupBy("penalty").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.col(rules.price).cast("bigint")).alias("spent"),
+            F.sum("_value").alias("value"),
+        )
+        found = {r["penalty"]: r for r in totals.collect()}
+        full = [p for p in tried if p in found and found[p]["n"] == rules.size]
+        within = [p for p in full if found[p]["spent"] <= rules.cap]
+        if not within:
+            return None
+        first = min(within)
+        over = max([over, *(p for p in full if p < first)])
+        bounds = [found[p]["value"] + p * rules.cap for p in full if p in (over, first)]
+        bound = min(bounds if bound is None else [bound, *bounds])
+        if first - over == 1:
+            return first, bound
+        step = -(-(first - over - 1) // WAYS)
+        tried = sorted({min(first, over + 1 + k * step) for k in range(WAYS + 1)})
+
+
 def capped_roster(pool: DataFrame, rules: RosterRules, both_positions: bool = False) -> DataFrame:
-    """The best full roster within the cap that a penalty gives; empty only if there is none at all.
+    """The roster of the least penalty within the cap; empty only if no full roster is within it.
 
-    Each roster is gathered into one row, ``size`` players at most, so the pool
-    is read once for choosing and for listing.
+    ``score_bound`` is a total score that no roster within the cap exceeds, scores counted in thousandths.
     """
-    rosters = (matched_rosters if both_positions else penalised_rosters)(pool, rules)
-    columns = [c for c in rosters.columns if c not in ("penalty", "_points")]
-    whole = rosters.groupBy("penalty").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col(rules.price).cast("bigint")).alias("spent"),
-        F.sum("_points").alias("points"),
-        F.collect_list(F.struct(*columns)).alias("players"),
-    )
-    fits = whole.filter((F.col("n") == rules.size) & (F.col("spent") <= rules.cap))
-    best = fits.orderBy(F.col("points").desc(), "penalty").limit(1)
-    return best.select(F.inline("players"))
+    few = stored_table(contenders(pool, rules, both_positions))
+    make = matched_rosters if both_positions else penalised_rosters
+    found = cap_penalty(lambda penalties: make(few, rules, penalties), rules)
+    penalty, bound = found or (CHEAPEST, 0)
+    roster = make(few, rules, [penalty]).drop("penalty", "_points", "_value")
+    roster = roster.withColumn("score_bound", F.lit(bound / 1e6))
+    return roster if found else roster.limit(0)
 
 
 def audit_roster(roster: DataFrame, pool: DataFrame, rules: RosterRules) -> DataFrame:

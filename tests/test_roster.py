@@ -13,7 +13,7 @@ SCHEMA = (
     "player_name string, position string, secondary_position string, price bigint, "
     "adjusted_predicted_score double, is_bye boolean, likely_to_play boolean"
 )
-RULES = r.RosterRules(slots={"A": 1, "B": 2}, flex=1, cap=1000, penalties=tuple(range(0, 400_000, 2000)))
+RULES = r.RosterRules(slots={"A": 1, "B": 2}, flex=1, cap=1000)
 
 
 def pool(spark, rows):
@@ -184,9 +184,42 @@ def test_totals_are_on_every_row(spark):
 
 
 def test_each_task_forwards_a_few_rows_per_slot(spark):
-    plan = r.capped_roster(pool(spark, PLAYERS), RULES)._jdf.queryExecution().executedPlan().toString()
+    rows = r.contenders(pool(spark, PLAYERS), RULES, False)
+    plan = r.penalised_rosters(rows, RULES, [0, 5])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_gap_to_the_best_roster_on_pools_of_forty(spark, seed, record_property):
+    """The result, the best roster there is, and the bound follow one another; the gap is reported."""
+    pick = random.Random(20 + seed)
+    rows = [(f"p{i:02d}", "AB"[i % 2], None, pick.randrange(50, 500), pick.randrange(100)) for i in range(40)]
+    players = pool(spark, rows)
+    for cap in (400, 700, 1000):
+        rules = replace(RULES, cap=cap)
+        found = r.capped_roster(players, rules).collect()
+        total, best = sum(x["adjusted_predicted_score"] for x in found), brute_force(rows, cap)
+        assert total <= best <= found[0]["score_bound"] + 1e-9
+        record_property(f"gap {cap}", best - total)
+        assert best - total <= 0.1 * best
+
+
+@pytest.mark.parametrize("both", [False, True])
+def test_the_penalty_is_the_least_whole_one_within_the_cap(spark, both):
+    pick = random.Random(7)
+    rows = [(f"p{i:02d}", "AB"[i % 2], "BA"[i % 2], pick.randrange(50, 500), pick.randrange(100)) for i in range(14)]
+    few = r.contenders(pool(spark, rows), RULES, both).cache()
+    make = r.matched_rosters if both else r.penalised_rosters
+    rules = replace(RULES, cap=700)
+    penalty, bound = r.cap_penalty(lambda penalties: make(few, rules, penalties), rules)
+
+    def spent(p):
+        return sum(x["price"] for x in make(few, rules, [p]).collect())
+
+    assert spent(penalty) <= 700 and (penalty == 0 or spent(penalty - 1) > 700)
+    sampled = {p: make(few, rules, [p]).collect() for p in (0, 1, penalty, 10 * penalty + 7, 1 << 30)}
+    assert all(bound <= sum(x["_value"] for x in rows_) + p * 700 for p, rows_ in sampled.items())
+
+
 def test_the_default_rules_are_a_squad_of_26():
     assert r.RosterRules().size == 26 and r.RosterRules().cap == 11_950_000
