@@ -1,6 +1,8 @@
 """Rows from HTML columns, with regular expressions inside the JVM.
 
-Each operator maps one page to its rows without a shuffle. Elements are found by
+Each operator maps one page to its rows without a shuffle. A page is read as a sequence of tokens
+(comments, scripts and styles, tags with their quoted attributes, text) and written again in one plain form: no
+hidden parts, attribute values in double quotes and without angle brackets. Elements are then found by
 cutting the page at opening tags and each piece at its closing tag, which also
 covers the tags authors leave open.
 """
@@ -37,10 +39,44 @@ PARENTS = {
 
 HIDDEN = r"(?is)<(?:script[^>]*>.*?</script>|style[^>]*>.*?</style>|!--.*?-->)"
 
+#: The inside of a tag: what is quoted in it may hold any character.
+INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+#: One token of a page: something hidden, a tag, text, or a bracket that begins no tag.
+TOKEN = (
+    rf"(?is)<!--.*?-->|<script(?=[\s>]){INSIDE}>.*?</script\s*>|<style(?=[\s>]){INSIDE}>.*?</style\s*>"
+    rf"|</?[a-z]{INSIDE}>|[^<]++|<"
+)
+#: Pages that are not in the plain form yet: single quotes, or brackets inside quotes, in a tag.
+UNPLAIN = r"""(?s)<[a-zA-Z][^<>]*(?:'|"[^"<>]*[<>])"""
+
+
+def plain_tag(tag: Column) -> Column:
+    """A tag with its attribute values in double quotes and without angle brackets."""
+    parts = F.regexp_extract_all(tag, F.lit(r"""(?s)"[^"]*"|'[^']*'|[^"']+"""), F.lit(0))
+
+    def value(part: Column) -> Column:
+        inner = F.substring(part, F.lit(2), F.length(part) - 2)
+        for char, entity in (("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+            inner = F.replace(inner, F.lit(char), F.lit(entity))
+        return F.concat(F.lit('"'), inner, F.lit('"'))
+
+    quoted = lambda part: F.startswith(part, F.lit('"')) | F.startswith(part, F.lit("'"))
+    return F.array_join(F.transform(parts, lambda part: F.when(quoted(part), value(part)).otherwise(part)), "")
+
+
+def page_tokens(html: Column | str) -> Column:
+    """The tokens of a page in its plain form, without what is hidden."""
+    tokens = F.regexp_extract_all(col_of(html), F.lit(TOKEN), F.lit(0))
+    shown = F.filter(tokens, lambda t: ~t.rlike(r"(?i)^<(?:!--|(?:script|style)[\s>])"))
+    odd = lambda t: t.rlike(r"""(?s)^<[a-zA-Z].*["']""")
+    # a bracket that begins no tag is text
+    return F.transform(shown, lambda t: F.when(odd(t), plain_tag(t)).when(t == "<", F.lit("&lt;")).otherwise(t))
+
 
 def visible(html: Column | str) -> Column:
-    """The page without scripts, styles and comments."""
-    return F.regexp_replace(col_of(html), HIDDEN, "")
+    """The page in its plain form, without scripts, styles and comments."""
+    page = col_of(html)
+    return F.when(page.rlike(UNPLAIN), F.array_join(page_tokens(page), "")).otherwise(F.regexp_replace(page, HIDDEN, ""))
 
 
 def opening(tag: str) -> str:
@@ -51,7 +87,23 @@ def closing(*tags: str) -> str:
     return rf"(?i)</(?:{'|'.join(tags)})\s*>"
 
 
+def numeric_entities(text: Column) -> Column:
+    """The text with ``&#8217;`` and ``&#x2019;`` as the characters they number; other numbers stay as they are."""
+
+    def character(entity: Column) -> Column:
+        digits = F.regexp_extract(entity, r"&#[xX]?([0-9a-fA-F]+);", 1)
+        code = F.when(entity.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("int")
+        known = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(entity)
+
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(0)))
+    replaced = F.aggregate(found, text, lambda done, entity: F.replace(done, entity, character(entity)))
+    return F.when(F.contains(text, F.lit("&#")), replaced).otherwise(text)
+
+
 def decode(text: Column) -> Column:
+    """The text with its entities as characters, the ampersand last."""
+    text = numeric_entities(text)
     for entity, char in ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text
@@ -167,8 +219,8 @@ def grid_rows(
     )
 
 
-#: A start tag; what is quoted in it may hold any character.
-START_TAG = r"""(?s)<[a-zA-Z][a-zA-Z0-9]*+(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+#: A start tag.
+START_TAG = rf"(?s)<[a-zA-Z][a-zA-Z0-9]*+{INSIDE}>"
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -218,10 +270,10 @@ def labelled_values(
 ) -> DataFrame:
     """Values of labelled paragraphs as columns; "" where a label is missing.
 
-    ``labels`` maps a word of the paragraph to the output column. A paragraph
+    ``css_class`` may be one of several classes, in any quotes. ``labels`` maps a word of the paragraph to the output column. A paragraph
     counts for the first word it contains; the last such paragraph wins.
     """
-    opened = rf'(?is)<{tag}\s[^>]*class="{css_class}"[^>]*>(.*?)</{tag}\s*>'
+    opened = rf'(?is)<{tag}\s(?:[^>]*\s)?class\s*=\s*(?:"(?:[^"]*\s)?{css_class}(?:\s[^"]*)?"|{css_class}(?=[\s>]))[^>]*>(.*?)</{tag}\s*>'
     paragraphs = F.regexp_extract_all(visible(html), F.lit(opened), F.lit(1))
     words = list(labels)
 

@@ -298,3 +298,38 @@ def test_unreadable_feeds_are_kept_aside(spark):
     assert feeds.feed_flatten(df).count() == 1
     rejected = feeds.unreadable_feeds(df).collect()
     assert sorted((r["year"], r["rejected"]) for r in rejected) == [(2026, '{"NRL":[{"1":[{"A v'), (2027, None)]
+
+
+HARD_PAGE = """<html><!-- <tr><td>no</td></tr> --><script>var a = "<tr><td>no</td></tr>";</script>
+<table title='2 > 1 <b>'><tr data-x="a>b"><td class='cell first' title="x < y > z">O&#8217;Neil</td><td>&#x41;&#66; &#39;q&#39;</td>
+<tr><td alt='say "hi" > now'>open<td>3 < 4</table>
+<p class='match-weather__text big'>Weather: <span>Wet &amp; cold</span></p>
+<p title="a > b" class="small match-weather__text">Ground: <span>Good&#160;one</span></p>
+<p class="match-weather__texts">Weather: <span>other</span></p>
+<img alt='Team logo > big' src="x"><div><strong title="1 > 0">1.</strong> Ann Lee</div>
+<article data-a="</article>"><p>First &gt; second</p><p title='</p>'>Next &#9731;</article></html>"""
+
+
+def test_pages_with_brackets_in_attributes_and_open_tags(spark):
+    page = spark.createDataFrame([(1, HARD_PAGE)], "page_id long, html string")
+    rows = markup.grid_rows(page).orderBy("row_no").collect()
+    assert [r["cells"] for r in rows] == [["O’Neil", "AB 'q'"], ["open", "3 < 4"]]
+    values = markup.labelled_values(page, {"Weather": "weather", "Ground": "ground"}).first()
+    assert (values["weather"], values["ground"]) == ("Wet & cold", "Good one")
+    items = markup.token_stream(page, "img", "strong", header_attr="alt", keywords=["logo"], item_pattern=r"^(\d+)\.$").collect()
+    assert [(r["label"], r["text"]) for r in items] == [("1", "Ann Lee")]
+    assert markup.article_text(page).first()["body"] == "First > second\n\nNext ☃"
+
+
+def test_numeric_entities(spark):
+    texts = ["&#8217;", "&#x1F600; &#x1f600;", "&#0; &#55296; &#x110000;", "&amp;#65;", "a &# b", "&#99999999;", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r[0] for r in df.select(markup.decode(F.col("t"))).collect()]
+    assert found == ["’", "😀 😀", "&#0; &#55296; &#x110000;", "&#65;", "a &# b", "&#99999999;", None]
+
+
+def test_plain_pages_read_the_same_either_way(spark):
+    text = '<ul id="a"><li>x</li><li>y<style>li {}</style></ul><!-- - --> 1 &lt; 2 <br/>'
+    df = spark.createDataFrame([(text,)], "html string")
+    row = df.select(markup.visible("html").alias("a"), F.array_join(markup.page_tokens("html"), "").alias("b")).first()
+    assert row["a"] == row["b"]
