@@ -453,4 +453,9 @@ def training_query(spark: SparkSession, sf: str) -> DataFrame:
     """Errors of both learners and their mean, per split, with the whole budgets and all features."""
     scored, _ = train_scores(training_rows(stored(gold(spark, sf)), SUPPLY))
     errors = metric_rows(scored, "target_score", ["boosted", "forest", "ensemble"])
-    return errors.select("model", "split", "n", (F.col("mae") <= F.col("rmse")).alias("sound"))
+    mean = scored.filter("split = 'train'").agg(F.avg("target_score")).scalar()
+    naive = metric_rows(scored.withColumn("mean", mean), "target_score", ["mean"])
+    both = errors.join(naive.select("split", F.col("rmse").alias("_naive")), "split")
+    # on the training seasons a constant learner is not better than their mean
+    better = (F.col("split") != "train") | (F.col("rmse") < F.col("_naive") * 0.999)
+    return both.select("model", "split", "n", (better & (F.col("mae") <= F.col("rmse"))).alias("sound"))

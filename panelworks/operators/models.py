@@ -10,7 +10,7 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,6 +70,57 @@ def fit_score_model(
     return learner.fit(rows)
 
 
+def fit_best_rounds(
+    rows: DataFrame,
+    label: str,
+    params: Mapping[str, Any] = {},
+    patience: int = 20,
+    split: str = "split",
+    features: str = "features",
+) -> tuple[Model, list[float]]:
+    """Boosted trees on the training seasons, cut off after the round that is best on the validation season.
+
+    ``rows`` have a feature vector. The search for the best round ends where ``patience`` rounds in a row bring no
+    improvement. Returns the model of that many trees and the mean absolute error of every round; without validation
+    rows all trees stay.
+    """
+    ensure_checkpoint_dir(rows.sparkSession)
+    rows = rows.withColumn("_label", F.col(label).cast("double"))
+    learner = GBTRegressor(featuresCol=features, labelCol="_label", **{**BOOSTING, **params})
+    model = learner.fit(rows.filter(F.col(split) == "train"))
+    held = rows.filter(F.col(split) == "val")
+    if not held.limit(1).count():
+        return model, []
+    errors = list(model.evaluateEachIteration(held, "absolute"))
+    return first_rounds(model, best_round(errors, patience)), errors
+
+
+def best_round(errors: Sequence[float], patience: int) -> int:
+    """Number of rounds up to the least error, before ``patience`` rounds in a row are no better."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_rounds(model: Model, rounds: int) -> Model:
+    """A boosted model of the first trees of another one."""
+    java, sc = model._java_obj, SparkSession.active().sparkContext
+    jvm = sc._jvm
+    trees = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = sc._gateway.new_array(jvm.double, rounds)
+    all_trees, all_weights = java.trees(), java.treeWeights()
+    for i in range(rounds):
+        trees[i], weights[i] = all_trees[i], all_weights[i]
+    own = jvm.org.apache.spark.ml.regression.GBTRegressionModel(f"{model.uid}_{rounds}", trees, weights)
+    own.setFeaturesCol(model.getFeaturesCol())
+    own.setPredictionCol(model.getPredictionCol())
+    return GBTRegressionModel(own)
+
+
 def fit_forest(
     df: DataFrame,
     features: Sequence[str],

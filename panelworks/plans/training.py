@@ -8,8 +8,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelworks.operators.aggregates import baseline_metrics
-from panelworks.operators.features import encode_codes, season_split, select_features
+from panelworks.operators.aggregates import baseline_metrics, regression_metrics
+from panelworks.operators.features import LEAKING_COLUMNS, encode_codes, season_split, select_features
 from panelworks.operators.models import (
     ensemble_mean,
     feature_importance,
@@ -49,6 +49,12 @@ def metric_rows(scored: DataFrame, label: str, predictions: Sequence[str]) -> Da
     return result.select("model", "split", "n", "mae", "rmse")
 
 
+def feature_set(rows: DataFrame, name: str = "known_before") -> list[str]:
+    """``known_before``: without the columns known only after the round; ``all``: every number but the target."""
+    left_out = {"all": NOT_FEATURES, "known_before": [*NOT_FEATURES, *LEAKING_COLUMNS]}[name]
+    return select_features(rows, left_out)
+
+
 def train_scores(
     rows: DataFrame,
     features: Sequence[str] | None = None,
@@ -68,17 +74,34 @@ def train_scores(
     return ensemble_mean(scored, "boosted", "forest"), {**models, "features": features}
 
 
+def position_errors(scored: DataFrame, label: str, prediction: str, position: str) -> DataFrame:
+    """(position, n, mae, rmse) of every position, the worst first."""
+    errors = regression_metrics(scored, label, prediction, by=position, min_rows=1)
+    return errors.withColumnRenamed(position, "position").orderBy(F.col("mae").desc(), "position")
+
+
 def run_training(
-    spark: SparkSession, gold_path: str, out: str, run_name: str, params: Mapping[str, Any] = {}
+    spark: SparkSession,
+    gold_path: str,
+    out: str,
+    run_name: str,
+    params: Mapping[str, Any] = {},
+    features: str = "known_before",
+    position: str = "primary_position",
 ) -> None:
+    """Fit on a named feature set; errors per split, per position of the test season and of naive predictions are logged."""
     rows = training_rows(read_table(spark, gold_path))
-    scored, fitted = train_scores(rows, boosting=params)
+    scored, fitted = train_scores(rows, feature_set(rows, features), boosting=params)
+    scored = stored_table(scored)
     table = metric_rows(scored, "target_score", ["boosted", "forest", "ensemble"])
     validation = scored.filter(F.col("split") == "val")
     naive = baseline_metrics(validation, "target_score", ["score_lag_1", "rolling_avg_3"])
-    metrics = {f"{r.model}_{r.split}_mae": r.mae for r in table.collect()}
-    metrics |= {f"baseline_{r.baseline}_mae": r.mae for r in naive.collect()}
-    log_run(spark, f"{out}/runs", run_name, params, metrics)
+    metrics = {f"{r.model}_{r.split}_{m}": r[m] for r in table.collect() for m in ("mae", "rmse")}
+    metrics |= {f"baseline_{r.baseline}_{m}": r[m] for r in naive.collect() for m in ("mae", "rmse")}
+    tested = scored.filter(F.col("split") == "test")
+    by_position = position_errors(tested, "target_score", "ensemble", position)
+    metrics |= {f"test_{r.position}_{m}": r[m] for r in by_position.collect() for m in ("mae", "rmse")}
+    log_run(spark, f"{out}/runs", run_name, params, metrics, {"features": features})
     importance = feature_importance(spark, fitted["boosted"], fitted["features"])
     export_csv(importance, f"{out}/importance", F.col("importance").desc(), "feature")
     persist_model(fitted["boosted"], f"{out}/boosted")

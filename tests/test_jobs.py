@@ -156,7 +156,7 @@ def test_training_logs_models_and_metrics(spark, week, tmp_path):
     out = str(tmp_path / "models")
     run_training(spark, week("gold/features"), out, "small", {"maxIter": 2, "maxDepth": 2})
     logged = {r["name"] for r in spark.read.parquet(f"{out}/runs").filter("kind = 'metric'").collect()}
-    assert {"boosted_val_mae", "ensemble_test_mae", "baseline_score_lag_1_mae"} <= logged
+    assert {"boosted_val_mae", "ensemble_test_rmse", "baseline_score_lag_1_mae", "test_HOK_mae"} <= logged
     assert (tmp_path / "models" / "boosted" / "metadata").exists()
     run_position_training(spark, week("gold/features"), out, {"maxIter": 1, "maxDepth": 1})
     names = {r["run_name"] for r in spark.read.parquet(f"{out}/runs").collect()}

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from panelworks.operators import features as f
 from panelworks.operators import models as m
+from panelworks.operators import prepared
 from panelworks.operators.aggregates import (
     aggregate_insights,
     baseline_metrics,
@@ -174,3 +176,41 @@ def test_insights(spark):
     assert (a["sentiment_score"], a["confidence"]) == (0.3, 0.75)
     assert (a["recommendation"], a["sources"]) == ("buy", "u1, u2")
     assert b["sources"] == "u1"
+
+
+def test_a_stored_pipeline_prepares_rows_as_it_did_at_first(spark, tmp_path):
+    train = spark.createDataFrame([("b", 1.0, 5), ("a", None, 7), (None, 3.0, 9), ("a", 8.0, None)], "p string, x double, n int")
+    fitted = prepared.fit_preparation(train, ["p"], ["x", "n"])
+    m.persist_model(fitted, str(tmp_path / "pipeline"))
+    loaded = m.load_model(str(tmp_path / "pipeline"))
+    new = spark.createDataFrame([("a", None, 7), ("z", 3.0, None), (None, 1.0, 9)], "p string, x double, n int")
+    rows = loaded.transform(new).collect()
+    assert [r["p_enc"] for r in rows] == [0.0, -1.0, 2.0]
+    x, n = [1.0, 3.0, 3.0, 8.0], [5.0, 7.0, 9.0, 7.0]  # nulls are the medians
+    scale = lambda v, own: (v - np.mean(own)) / np.std(own)
+    wanted = [[0, scale(3.0, x), scale(7, n)], [-1, scale(3.0, x), scale(7, n)], [2, scale(1.0, x), scale(9, n)]]
+    assert np.allclose([r["features"].toArray() for r in rows], wanted)
+    assert loaded.transform(new).columns == ["p", "x", "n", "p_enc", "features"]
+    assert prepared.feature_names(loaded) == ["p_enc", "x", "n"]
+
+
+def test_trees_after_the_best_round_are_cut_off(spark, tmp_path):
+    """Labels of chance: more trees fit the training rows better and the validation rows worse."""
+    rows = spark.range(400).selectExpr(
+        "if(id % 2 = 0, 'train', 'val') as split", "rand(1) as x", "rand(2) as y", "id % 4 as z", "randn(3) + if(id % 4 = 0, 1, 0) as target"
+    )
+    vectors = m.assemble(rows, ["x", "y", "z"]).cache()
+    model, errors = m.fit_best_rounds(vectors, "target", {"maxIter": 40, "maxDepth": 4, "stepSize": 0.3}, patience=100)
+    kept = m.best_round(errors, 100)
+    assert model.getNumTrees == kept < len(errors) == 40 and errors[kept - 1] == min(errors[: kept + 100])
+    own = m.split_metrics(model.transform(vectors), "target", "prediction").filter("split = 'val'").first()
+    assert abs(own["mae"] - errors[kept - 1]) < 1e-9
+    m.persist_model(model, str(tmp_path / "cut"))
+    again = m.load_model(str(tmp_path / "cut")).transform(vectors)
+    assert m.split_metrics(again, "target", "prediction").filter("split = 'val'").first()["mae"] == own["mae"]
+
+
+def test_best_round_and_patience():
+    assert m.best_round([5, 4, 3, 4, 5, 2], 10) == 6
+    assert m.best_round([5, 4, 3, 4, 5, 2], 2) == 3
+    assert m.best_round([1.0], 3) == 1
