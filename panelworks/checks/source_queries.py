@@ -18,6 +18,7 @@ from panelworks.checks.summary_queries import TURNS, turn_records
 from panelworks.operators.aggregates import count_by
 from panelworks.session import ensure_checkpoint_dir
 from panelworks.sources import articles, feeds, markup, tables
+from panelworks.streaming.landing import land_season_files
 
 
 @register("scanned_table", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
@@ -487,6 +488,22 @@ def landed_in_parts(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_table(spark, path).select("o_orderkey", "o_orderstatus", "year")
 
 
+@register(
+    "landed_by_file",
+    "SELECT o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders",
+)
+def landed_by_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Two feeds land in one table, and the first of them once more after its progress is lost."""
+    path, orders = scratch(spark, "by-file"), season_orders(spark, sf)
+    finished = F.col("o_orderstatus") == "F"
+    feeds_of = {scratch(spark, "feed"): own for own in (finished, ~finished)}
+    for folder, own in feeds_of.items():
+        orders.filter(own).write.parquet(folder)
+    for folder in [*feeds_of, next(iter(feeds_of))]:
+        land_season_files(spark, orders.schema, folder, path, scratch(spark, "progress"), clean=lambda df: df)
+    return tables.read_table(spark, path).select("o_orderkey", "o_orderstatus", "year")
+
+
 @register(
     "exported_csv",
     "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CAST(p_size AS VARCHAR) AS p_size FROM part",

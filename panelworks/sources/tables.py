@@ -136,6 +136,46 @@ def land_part(incoming: DataFrame, path: str, part: str | int, key: str = "year"
     )
 
 
+#: Column with the name of the file that a row comes from.
+SOURCE_FILE = "_source_file"
+
+
+def land_files(incoming: DataFrame, cleaned: DataFrame, path: str, key: str = "year") -> None:
+    """Add the rows of files to a dataset, in folders by the file they come from (``part``) and by season.
+
+    Both frames have the column ``_source_file``; ``cleaned`` holds the rows to land, ``incoming`` is what they were made
+    of. A file that is landed again replaces all its rows: the seasons it still has in one commit of
+    the write, those it no longer has right after. An interrupted run is put right by running it again.
+    A file without any row leaves the table as it is.
+    """
+    if SOURCE_FILE not in cleaned.columns:
+        raise ValueError(f"the cleaning has to keep the column {SOURCE_FILE}")
+    spark = incoming.sparkSession
+    # begins with a letter that no number begins with, so the folder name is read back as text
+    part = F.concat(F.lit("file-"), F.substring(F.sha2(F.col(SOURCE_FILE), 256), 1, 32)).alias("part")
+    rows = cleaned.select(*(c for c in cleaned.columns if c not in (SOURCE_FILE, "part")), part)
+    schema = T.StructType([T.StructField("part", T.StringType()), cleaned.schema[key]])
+
+    def folders(df: DataFrame) -> set[tuple[str, str | None]]:
+        """(part, season) pairs, one for each folder of the files at hand."""
+        found = df.select("part", F.col(key).cast("string").alias("season")).distinct()
+        return {(r.part, r.season) for r in found.toLocalIterator()}
+
+    arrived = incoming.select(part).distinct()
+    before = folders(read_optional(spark, path, schema).join(arrived, "part", "left_semi"))
+    gone = before - folders(rows) if before else before
+    (
+        rows.hint("rebalance", key)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("part", key)
+        .parquet(path)
+    )
+    for own, season in gone:
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/part={own}/{key}={'__HIVE_DEFAULT_PARTITION__' if season is None else season}")
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def export_csv(df: DataFrame, path: str, *order: Column | str) -> None:
     """Ranked listing as CSV; range-partitioned, so the files follow the order."""
     df.orderBy(*order).write.mode("overwrite").option("header", "true").csv(path)
