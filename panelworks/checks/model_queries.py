@@ -213,6 +213,49 @@ def tuned(spark: SparkSession, sf: str) -> DataFrame:
     return metric_leaderboard(trials).select("params", (F.col("val_mae") <= F.col("val_rmse")).alias("has_errors"))
 
 
+@register(
+    "tuned_per_position",
+    f"""WITH {EV}, t AS (SELECT *, lead(score) OVER ({OVER}) AS target, lag(score) OVER ({OVER}) AS before FROM ev),
+    rows AS (SELECT primary_position AS position, target, coalesce(before, 0) AS before, year FROM t
+      WHERE target IS NOT NULL AND mins >= 5 AND year <= 2025)
+    SELECT position, count(*) FILTER (year = 2025) AS n, {r8('avg(abs(before - target)) FILTER (year = 2025)', 'naive_mae')},
+    true AS better_than_naive, true AS better_than_mean, CAST(6 AS BIGINT) AS trials, CAST(1 AS BIGINT) AS winners
+    FROM rows GROUP BY position
+    HAVING count(*) FILTER (year <= 2023) > 0 AND count(*) FILTER (year = 2024) > 0 AND n > 0""",
+)
+def tuned_per_position(spark: SparkSession, sf: str) -> DataFrame:
+    """Four settings a position, halved twice; the winner against the score before on the test season, and the mean of the training rows."""
+    rows = model_rows(spark, sf)
+    _, trials, errors = m.tune_by_position(rows, FEATURES, "target_score", m.drawn_settings(4), rungs=(4, 8), budget=40)
+    position = F.col("primary_position").alias("position")
+    test, train = (rows.filter(F.col("split") == s) for s in ("test", "train"))
+    before = test.withColumn("_before", F.coalesce(F.col("score_lag_1"), F.lit(0)))
+    naive = m.regression_metrics(before, "target_score", "_before", by="primary_position", min_rows=1)
+    naive = naive.select(position, F.col("mae").alias("naive_mae"))
+    # the error of the mean is the deviation
+    mean = train.groupBy(position).agg(F.stddev_pop("target_score").alias("_mean_rmse"))
+    counted = trials.groupBy("position").agg(
+        F.count(F.lit(1)).alias("trials"), F.count_if((F.col("rung") == 1) & F.col("kept")).alias("winners")
+    )
+    own = errors.groupBy("position").agg(
+        F.max(F.when(F.col("split") == "test", F.col("n"))).alias("n"),
+        F.max(F.when(F.col("split") == "test", F.col("mae"))).alias("_mae"),
+        F.max(F.when(F.col("split") == "train", F.col("rmse"))).alias("_rmse"),
+    )
+    whole = own.join(naive, "position").join(mean, "position").join(counted, "position")
+    return rounded(
+        whole.select(
+            "position",
+            "n",
+            "naive_mae",
+            (F.col("_mae") < F.col("naive_mae")).alias("better_than_naive"),
+            (F.col("_rmse") < F.col("_mean_rmse") * 0.999).alias("better_than_mean"),
+            "trials",
+            "winners",
+        )
+    )
+
+
 def vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
     rows = table(spark, sf, "embeddings")
     names = [f"e{i}" for i in range(64)]

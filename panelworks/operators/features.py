@@ -117,36 +117,66 @@ def fill_sentinel(df: DataFrame, cols: Sequence[str], value: float = MISSING) ->
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float(value))) for c in cols})
 
 
+LEAST, LARGEST = float("-inf"), float("nan")  # the ends of Spark's order of doubles
+
+
 def exact_medians(
-    df: DataFrame, cols: Sequence[str], hot_rows: int | None = None
+    df: DataFrame, cols: Sequence[str], hot_rows: int | None = None, accuracy: int = 10_000
 ) -> DataFrame:
-    """(column, median) of every column, exact, in one pass over the rows.
+    """(column, median) of every column that holds a value, exact, in two passes over the rows.
 
-    Values are counted before the shuffle and the counts stored; running counts
-    give each value its ranks, and the middle ranks are read off. No task holds a
-    whole column.
+    The first pass sketches the quantiles of all columns and takes two values that lie around the middle of each, by a
+    share of ``4 / accuracy`` of the rows. The second counts the values between them, and as one number those
+    below; running counts give each value its ranks, and the middle ranks are read off. Only what lies
+    in a bracket is shuffled, counted before, and no task holds a whole column. Should a bracket miss a
+    middle rank, its column is counted whole.
     """
-    entries = [
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols
-    ]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, median double")
+    margin = 2.0 / accuracy
+    value = {c: F.col(c).cast("double") for c in cols}
+    sketched = [F.percentile_approx(value[c], [0.5 - margin, 0.5 + margin], accuracy) for c in cols]
+    found = df.agg(F.array(*(F.count(value[c]) for c in cols)), F.array(*sketched)).first()
+    brackets = {c: (n, *ends) for c, n, ends in zip(cols, *found) if n}
+    medians = _medians_within(df, brackets, hot_rows)
+    missed = {c: (n, LEAST, LARGEST) for c, (n, *_) in brackets.items() if c not in medians}
+    medians |= _medians_within(df, missed, hot_rows)
+    return df.sparkSession.createDataFrame(list(medians.items()), "column string, median double")
+
+
+def _medians_within(
+    df: DataFrame, brackets: Mapping[str, tuple[int, float, float]], hot_rows: int | None
+) -> dict[str, float]:
+    """Medians of the columns whose middle ranks lie in their bracket (number of values, least, largest)."""
+    if not brackets:
+        return {}
+    entries = []
+    for c, (_, low, high) in brackets.items():
+        v = F.col(c).cast("double")
+        inside = F.when(v < F.lit(low), F.lit(LEAST)).otherwise(v)
+        entries.append(F.when(v <= F.lit(high), F.struct(F.lit(c).alias("column"), inside.alias("value"))))
     counts = persist_point(
         df.select(F.explode(F.array(*entries)).alias("_e"))
+        .filter(F.col("_e").isNotNull())
         .select("_e.*")
-        .filter(F.col("value").isNotNull())
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     below = F.coalesce(F.col("_below"), F.lit(0))
-    # one row per requested column
-    totals = F.broadcast(counts.groupBy("column").agg(F.sum("n").alias("total")))
     ranked = running_before(counts, ["column"], ["value"], "n", "_below", hot_rows=hot_rows)
+    # one row per requested column
+    known = [(c, n, low != LEAST) for c, (n, low, _) in brackets.items()]
+    totals = F.broadcast(df.sparkSession.createDataFrame(known, "column string, total long, clamped boolean"))
 
     def covers(rank: Column) -> Column:
-        return ((rank > below) & (rank <= below + F.col("n"))).cast("double")
-
-    low, high = F.expr("(total + 1) div 2"), F.expr("(total + 2) div 2")
-    share = F.col("value") * (covers(low) + covers(high)) / 2
-    return ranked.join(totals, "column").groupBy("column").agg(F.sum(share).alias("median"))
+        return ((rank > below) & (rank <= below + F.col("n"))).cast("int")
+
+    times = covers(F.expr("(total + 1) div 2")) + covers(F.expr("(total + 2) div 2"))
+    middle = ranked.join(totals, "column").withColumn("times", times).filter("times > 0")
+    middle = middle.filter(~(F.col("clamped") & (F.col("value") == F.lit(LEAST))))
+    share = F.sum(F.col("value") * F.col("times") / 2).alias("median")
+    rows = middle.groupBy("column").agg(share, F.sum("times").alias("times")).filter("times = 2").collect()
+    return {r["column"]: r["median"] for r in rows}
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], hot_rows: int | None = None) -> DataFrame:

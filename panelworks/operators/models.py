@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from itertools import product
+from multiprocessing.pool import ThreadPool
+from random import Random
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -18,6 +23,7 @@ from pyspark.sql import types as T
 from panelworks.operators.aggregates import regression_metrics
 from panelworks.operators.features import MISSING, fill_sentinel
 from panelworks.session import ensure_checkpoint_dir
+from panelworks.sources.tables import write_table
 
 # The boosted-tree budget.
 BOOSTING = {
@@ -214,6 +220,107 @@ def tune_fixed_validation(
     return best[1], table, best[2]
 
 
+@dataclass
+class Tuned:
+    """The best settings, the model fitted with them, and one entry for each trial."""
+
+    settings: dict[str, Any]
+    model: Model
+    trials: list[dict[str, Any]]
+
+
+def drawn_settings(count: int, seed: int = 42) -> list[dict[str, Any]]:
+    """Settings of boosted trees, drawn independently from the ranges of the search."""
+    draw = Random(seed)
+    return [
+        {
+            "maxDepth": draw.randint(3, 10),
+            "stepSize": round(0.01 * 30 ** draw.random(), 4),
+            "subsamplingRate": round(draw.uniform(0.5, 1.0), 3),
+            "featureSubsetStrategy": str(round(draw.uniform(0.5, 0.999), 3)),
+            "minInstancesPerNode": draw.randint(5, 50),
+        }
+        for _ in range(count)
+    ]
+
+
+def successive_halving(
+    rows: DataFrame,
+    label: str,
+    settings: Sequence[Mapping[str, Any]],
+    rungs: Sequence[int] = (25, 50, 100),
+    budget: int = 500,
+    patience: int = 20,
+    split: str = "split",
+    features: str = "features",
+) -> Tuned:
+    """Try settings with growing numbers of trees; after each rung the better half goes on.
+
+    ``rows`` have a feature vector, and rows of both splits. A trial is judged by the least mean absolute error of any of its rounds on
+    the validation season, which is fixed; of equal ones the earlier setting stays. The last one left is
+    fitted again with ``budget`` trees, cut off after its best round.
+    """
+    alive, trials = list(range(len(settings))), []
+    for rung, trees in enumerate(rungs):
+        error = {}
+        for i in alive:
+            _, errors = fit_best_rounds(rows, label, {**settings[i], "maxIter": trees}, patience, split, features)
+            error[i] = errors[best_round(errors, patience) - 1]
+        better = sorted(alive, key=lambda i: (error[i], i))
+        kept = better[: 1 if rung == len(rungs) - 1 else (len(better) + 1) // 2]
+        trials += [
+            {"rung": rung, "trees": trees, "trial": i, "params": str(dict(settings[i])), "val_mae": error[i], "kept": i in kept}
+            for i in alive
+        ]
+        alive = kept
+    best = dict(settings[alive[0]])
+    model, _ = fit_best_rounds(rows, label, {**best, "maxIter": budget}, patience, split, features)
+    return Tuned(best, model, trials)
+
+
+TRIAL_SCHEMA = "position string, rung int, trees int, trial int, params string, val_mae double, kept boolean"
+
+
+def tune_by_position(
+    rows: DataFrame,
+    features: Sequence[str],
+    label: str,
+    settings: Sequence[Mapping[str, Any]],
+    position: str = "primary_position",
+    rungs: Sequence[int] = (25, 50, 100),
+    budget: int = 500,
+    patience: int = 20,
+    parallelism: int = 4,
+) -> tuple[dict[str, Tuned], DataFrame, DataFrame]:
+    """The best boosted trees of every position that has rows in the training and the validation season.
+
+    The feature vector is made once and stored in a folder for each position, so a trial reads the rows
+    of its own only. ``parallelism`` positions are tuned at a time; every fit is a distributed job. Returns what was found,
+    all trials (position, rung, trees, trial, params, val_mae, kept) and the errors of the models (position, split, n, mae, rmse).
+    """
+    spark = rows.sparkSession
+    at = f"{ensure_checkpoint_dir(spark)}/vectors-{uuid.uuid4().hex}"
+    vectors = assemble(rows.filter(F.col(position).isNotNull()), features, "_vector").select(
+        F.col(position).cast("string").alias("position"), "split", F.col(label).cast("double").alias("target"), F.col("_vector").alias("features")
+    )
+    write_table(vectors, at, ["position"])
+    vectors = spark.read.schema(vectors.schema).parquet(at)
+    usable = vectors.groupBy("position").agg(F.count_if(F.col("split") == "train").alias("t"), F.count_if(F.col("split") == "val").alias("v"))
+    values = position_values(usable.filter((F.col("t") > 0) & (F.col("v") > 0)), "position")
+
+    def tuned(value: str) -> Tuned:
+        return successive_halving(vectors.filter(F.col("position") == value), "target", settings, rungs, budget, patience)
+
+    with ThreadPool(max(1, parallelism)) as pool:
+        found = dict(zip(values, pool.map(inheritable_thread_target(spark)(tuned), values)))
+    trials = [{"position": value, **trial} for value, t in found.items() for trial in t.trials]
+    errors = spark.createDataFrame([], "position string, split string, n long, mae double, rmse double")
+    for value, t in found.items():
+        own = split_metrics(t.model.transform(vectors.filter(F.col("position") == value)), "target", "prediction")
+        errors = errors.unionByName(own.select(F.lit(value).alias("position"), "split", "n", "mae", "rmse"))
+    return found, spark.createDataFrame(trials, TRIAL_SCHEMA), errors
+
+
 def feature_importance(spark: SparkSession, model: Model, features: Sequence[str]) -> DataFrame:
     weights = model.featureImportances.toArray()
     rows = [(name, float(w)) for name, w in zip(features, weights)]

@@ -72,6 +72,39 @@ def test_tuning_keeps_the_best_trial(planted):
     assert model.getOrDefault("maxDepth") == 4
 
 
+def test_halving_drops_the_worse_half_and_fits_the_winner_again(planted):
+    rows = m.assemble(planted, FEATURES)
+    settings = [{"maxDepth": d, "stepSize": step, "subsamplingRate": 1.0} for d in (1, 4) for step in (0.01, 0.4)]
+    tuned = m.successive_halving(rows, "target", settings, rungs=(2, 6), budget=25)
+    assert tuned.settings == settings[3]
+    assert [(t["rung"], t["trees"], t["trial"]) for t in tuned.trials[:4]] == [(0, 2, i) for i in range(4)]
+    for rung, kept in ((0, 2), (1, 1)):
+        own = sorted((t for t in tuned.trials if t["rung"] == rung), key=lambda t: (t["val_mae"], t["trial"]))
+        assert [t["kept"] for t in own] == [True] * kept + [False] * (len(own) - kept)
+    assert {t["trial"] for t in tuned.trials if t["rung"] == 1} == {t["trial"] for t in tuned.trials if t["rung"] == 0 and t["kept"]}
+    assert 6 < tuned.model.getNumTrees <= 25
+
+
+def test_every_position_is_tuned_on_its_own_rows(spark, planted):
+    rows = planted.withColumn("primary_position", F.when(F.col("id") > 890, "late").otherwise(F.col("primary_position")))
+    rows = rows.filter("primary_position <> 'late' or split = 'train'")
+    settings = [{"maxDepth": 1, "stepSize": 0.01}, {"maxDepth": 4, "stepSize": 0.4}, {"maxDepth": 2, "stepSize": 0.1}]
+    found, trials, errors = m.tune_by_position(rows, FEATURES, "target", settings, rungs=(2, 4), budget=10)
+    assert set(found) == {"P0", "P1"} and all(t.settings == settings[1] for t in found.values())
+    assert {(r["position"], r["n"]) for r in trials.groupBy("position").agg(F.count(F.lit(1)).alias("n")).collect()} == {("P0", 5), ("P1", 5)}
+    wanted = rows.filter("primary_position <> 'late'").groupBy("primary_position", "split").count().collect()
+    assert {(r["position"], r["split"], r["n"]) for r in errors.collect()} == {tuple(r) for r in wanted}
+    deviation = planted.agg(F.stddev_pop("target")).first()[0]
+    assert all(r["rmse"] < 0.5 * deviation for r in errors.collect())
+
+
+def test_drawn_settings_stay_in_their_ranges():
+    drawn = m.drawn_settings(200)
+    assert drawn == m.drawn_settings(200) and drawn[:5] == m.drawn_settings(5)
+    assert all(3 <= s["maxDepth"] <= 10 and 0.01 <= s["stepSize"] <= 0.3 and 5 <= s["minInstancesPerNode"] <= 50 for s in drawn)
+    assert all(0.5 <= s["subsamplingRate"] <= 1 and 0.5 <= float(s["featureSubsetStrategy"]) < 1 for s in drawn)
+
+
 def test_ensemble_is_the_mean(spark):
     df = m.ensemble_mean(spark.createDataFrame([(1.0, 3.0)], "a double, b double"), "a", "b")
     assert df.first()["ensemble"] == 2.0
@@ -120,6 +153,28 @@ def test_medians_are_exact(spark):
     assert sorted(r["a"] for r in filled.collect()) == [1.0, 2.0, 2.5, 3.0, 10.0]
 
 
+@pytest.mark.parametrize("rows, accuracy", [(1, 10_000), (2, 10_000), (999, 10), (1000, 10), (3000, 200), (3000, 10_000)])
+def test_medians_by_bracket_are_exact_with_ties_and_hot_values(spark, rows, accuracy):
+    df = spark.range(rows).selectExpr(
+        "(id * 7919 % 1009) / 7.0 as spread",
+        "if(id % 3 = 0, id % 50, 4) as hot",
+        "if(id % 5 = 0, null, id * id % 13) as ties",
+        "if(id % 2 = 0, double('-infinity'), id) as ends",
+        "cast(null as double) as nothing",
+    ).repartition(7)
+    found = {r["column"]: r["median"] for r in f.exact_medians(df, df.columns, accuracy=accuracy).collect()}
+    own = df.toPandas()
+    wanted = {c: float(np.median(own[c].dropna().astype(float))) for c in df.columns if own[c].notna().any()}
+    assert found == wanted
+
+
+def test_a_bracket_that_misses_the_middle_gives_nothing(spark):
+    df = spark.range(100).selectExpr("id as x")
+    for low, high in ((60.0, 80.0), (0.0, 20.0), (50.0, 50.0), (0.0, 49.0)):
+        assert f._medians_within(df, {"x": (100, low, high)}, None) == {}
+    assert f._medians_within(df, {"x": (100, 49.0, 50.0)}, None) == {"x": 49.5}
+
+
 def test_all_null_columns_stay_null(spark):
     df = spark.createDataFrame([(None,), (None,)], "a double")
     assert [r["a"] for r in f.impute_median(df, ["a"]).collect()] == [None, None]
