@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from panelworks.operators.aggregates import baseline_metrics, regression_metrics
 from panelworks.operators.features import LEAKING_COLUMNS, encode_codes, season_split, select_features
 from panelworks.operators.models import (
+    drawn_settings,
     ensemble_mean,
     feature_importance,
     fit_by_position,
@@ -20,11 +21,12 @@ from panelworks.operators.models import (
     persist_model,
     predict,
     split_metrics,
+    tune_by_position,
 )
 from panelworks.operators.windows import lead_target
 from panelworks.panel import Panel
 from panelworks.session import stored_table
-from panelworks.sources.tables import export_csv, read_table
+from panelworks.sources.tables import export_csv, read_table, write_table
 
 # Text columns that become codes, and columns that are no features.
 CODED = ["position", "primary_position", "team", "opponent", "ground_condition", "weather_condition"]
@@ -120,3 +122,32 @@ def run_position_training(
         metrics = {f"{r.split}_{m}": r[m] for r in errors for m in ("mae", "rmse")}
         log_run(spark, f"{out}/runs", f"position {value}", params, metrics, {"position": value})
         persist_model(model, f"{out}/position={value}")
+
+
+def run_tuning(
+    spark: SparkSession,
+    gold_path: str,
+    out: str,
+    settings: Sequence[Mapping[str, Any]] | None = None,
+    features: str = "known_before",
+    position: str = "primary_position",
+    **search: Any,
+) -> None:
+    """Tune boosted trees for each position; all trials, the winners with their errors, and the models are kept.
+
+    ``settings`` are 50 drawn ones by default, ``search`` goes to ``tune_by_position``. The summary lists the
+    positions by their error on the validation season.
+    """
+    rows = training_rows(read_table(spark, gold_path))
+    settings = drawn_settings(50) if settings is None else settings
+    found, trials, errors = tune_by_position(rows, feature_set(rows, features), "target_score", settings, position, **search)
+    write_table(trials, f"{out}/trials")
+    errors = stored_table(errors)
+    metrics: dict[str, dict[str, float]] = {}
+    for r in errors.collect():  # a few numbers for each position
+        metrics.setdefault(r.position, {}).update({f"{r.split}_{m}": r[m] for m in ("mae", "rmse")})
+    for value, tuned in found.items():
+        log_run(spark, f"{out}/runs", f"tuning {value}", tuned.settings, metrics[value], {"position": value, "features": features})
+        persist_model(tuned.model, f"{out}/position={value}")
+    named = [F.max(F.when(F.col("split") == s, F.col(m))).alias(f"{s}_{m}") for s in ("val", "test") for m in ("mae", "rmse")]
+    export_csv(errors.groupBy("position").agg(*named), f"{out}/summary", "val_mae", "position")

@@ -14,7 +14,7 @@ from panelworks.operators.roster import SLOTS, RosterRules
 from panelworks.plans import quality
 from panelworks.plans.gold import gold_features
 from panelworks.plans.registry import current_players, player_registry, players_from_gold
-from panelworks.plans.training import run_position_training, run_training
+from panelworks.plans.training import run_position_training, run_training, run_tuning
 from panelworks.plans.weekly import Lake, run_week
 
 NAMES = {code: name for name, code in TEAM_CODES.items()}
@@ -163,6 +163,26 @@ def test_training_logs_models_and_metrics(spark, week, tmp_path):
     assert "position HOK" in names and len(names) == 8
 
 
+def test_tuning_logs_all_trials_and_the_errors_of_the_winners(spark, week, tmp_path):
+    out = str(tmp_path / "tuned")
+    settings = [{"maxDepth": d, "stepSize": s, "minInstancesPerNode": 1} for d, s in ((1, 0.1), (3, 0.1), (2, 0.3))]
+    run_tuning(spark, week("gold/features"), out, settings, rungs=(1, 2), budget=3)
+    trials = spark.read.parquet(f"{out}/trials").collect()
+    positions = {r["position"] for r in trials}
+    assert "HOK" in positions
+    for p in positions:
+        own = [r for r in trials if r["position"] == p]
+        assert [sum(r["rung"] == i for r in own) for i in (0, 1)] == [3, 2]
+        assert sum(r["kept"] for r in own if r["rung"] == 1) == 1
+    runs = spark.read.parquet(f"{out}/runs").collect()
+    assert {r["run_name"] for r in runs} == {f"tuning {p}" for p in positions}
+    assert {"test_mae", "test_rmse", "val_mae", "maxDepth"} <= {r["name"] for r in runs}
+    summary = spark.read.option("header", True).option("inferSchema", True).csv(f"{out}/summary").collect()
+    assert {r["position"] for r in summary} == positions
+    assert all(r["test_mae"] <= r["test_rmse"] + 1e-9 for r in summary)
+    assert (tmp_path / "tuned" / "position=HOK" / "metadata").exists()
+
+
 def test_gold_is_the_same_with_split_groups(spark, week):
     silver = spark.read.parquet(week("silver/player_rounds"))
     for point_in_time in (False, True):
