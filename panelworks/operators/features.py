@@ -141,7 +141,10 @@ def exact_medians(
     medians = _medians_within(df, brackets, hot_rows)
     missed = {c: (n, LEAST, LARGEST) for c, (n, *_) in brackets.items() if c not in medians}
     medians |= _medians_within(df, missed, hot_rows)
-    return df.sparkSession.createDataFrame(list(medians.items()), "column string, median double")
+    if not medians:
+        return df.sparkSession.createDataFrame([], "column string, median double")
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(m).cast("double").alias("median")) for c, m in medians.items()]
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
 def _medians_within(
@@ -164,16 +167,16 @@ def _medians_within(
     )
     below = F.coalesce(F.col("_below"), F.lit(0))
     ranked = running_before(counts, ["column"], ["value"], "n", "_below", hot_rows=hot_rows)
-    # one row per requested column
-    known = [(c, n, low != LEAST) for c, (n, low, _) in brackets.items()]
-    totals = F.broadcast(df.sparkSession.createDataFrame(known, "column string, total long, clamped boolean"))
+    total = F.create_map(*(F.lit(x) for c, (n, *_) in brackets.items() for x in (c, n)))[F.col("column")]
 
     def covers(rank: Column) -> Column:
         return ((rank > below) & (rank <= below + F.col("n"))).cast("int")
 
+    ranked = ranked.withColumn("total", total)
     times = covers(F.expr("(total + 1) div 2")) + covers(F.expr("(total + 2) div 2"))
-    middle = ranked.join(totals, "column").withColumn("times", times).filter("times > 0")
-    middle = middle.filter(~(F.col("clamped") & (F.col("value") == F.lit(LEAST))))
+    middle = ranked.withColumn("times", times).filter("times > 0")
+    clamped = F.col("column").isin([c for c, (_, low, _) in brackets.items() if low != LEAST])
+    middle = middle.filter(~(clamped & (F.col("value") == F.lit(LEAST))))
     share = F.sum(F.col("value") * F.col("times") / 2).alias("median")
     rows = middle.groupBy("column").agg(share, F.sum("times").alias("times")).filter("times = 2").collect()
     return {r["column"]: r["median"] for r in rows}
