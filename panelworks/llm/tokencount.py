@@ -13,10 +13,12 @@ many tokens it is away. Both are bounded by the longest token. States are compil
 first needs them and kept by the worker; beyond ``MOST_STATES`` the compilation starts anew.
 
 Parallel prefix scan: the symbols are cut into chunks of equal size and all chunks move in step. The
-map of a chunk (from the state before it to the state after it) is constant once the chunk holds the end
-of a word, so it is known without the chunks before it. The maps are composed in order: a chunk after a
-constant one knows its state at once, one inside a long word waits for the one before it. Then the part of
-each chunk up to its first word end is counted from the right state.
+map of a chunk (from the state before it to the state after it and the tokens it adds) is constant once the chunk
+holds the end of a word, so it is known without the chunks before it. A chunk inside a long word has a map over
+the states that can reach it: first the start state, then the states after the chunk before it, from any of
+its own. Tokens forget what is far behind them, so few states are found; chunks of equal symbols share one map.
+The maps are composed by pointer doubling, in as many steps as the logarithm of the chunks. Then the part of each
+chunk up to its first word end is counted from the right state.
 
 A null is an empty text and has no tokens. Texts with special strings of the tokenizer, and all texts
 of tokenizers that are not byte-level BPE with a known cut, are counted by the library.
@@ -38,6 +40,8 @@ from panelworks.llm import text as T
 LIMIT = 2048
 CHUNK = 128
 MOST_STATES = 120_000
+#: Rounds in which the maps of all chunks grow; later ones follow the states that were really reached.
+GROWING_ROUNDS = 64
 #: A transition is next state << SHIFT | added tokens + BIAS.
 SHIFT, BIAS = 6, 32
 
@@ -227,10 +231,10 @@ class Transducer:
         padded = np.full(lanes * chunk, symbols[-1], np.int64)
         padded[:n] = symbols
         grid = np.ascontiguousarray(padded.reshape(lanes, chunk).T)
-        out = np.zeros((chunk, lanes), np.int8)
+        out = np.zeros((chunk, lanes), np.int32)
         ends = grid >= 256
         constant = ends.any(axis=0)
-        first_end = np.where(constant, ends.argmax(axis=0), chunk - 1)
+        first_end = np.where(constant, ends.argmax(axis=0), -1)
         # behind its first word end each chunk goes its way from the start state
         state = np.zeros(lanes, np.int64)
         for j in range(1, chunk):
@@ -239,22 +243,78 @@ class Transducer:
             state[live] = value >> SHIFT
             out[j, live] = (value & ((1 << SHIFT) - 1)) - BIAS
         # composition of the maps, then the beginnings of the chunks
+        before, out[0, ~constant] = self.composed(grid, constant, state)
+        for j in range(int(first_end.max()) + 1):
+            live = np.flatnonzero(first_end >= j)
+            value = self.step(before[live], grid[j, live])
+            before[live] = value >> SHIFT
+            out[j, live] = (value & ((1 << SHIFT) - 1)) - BIAS
+        return out.T.ravel()[:n]
+
+    def through(self, state: np.ndarray, grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after whole columns of ``grid``, and the tokens the columns add."""
+        tokens = np.zeros(len(state), np.int64)
+        for symbols in grid:
+            value = self.step(state, symbols)
+            state = (value >> SHIFT).astype(np.int64)
+            tokens += (value & ((1 << SHIFT) - 1)) - BIAS
+        return state, tokens
+
+    def composed(self, grid: np.ndarray, constant: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The state before each chunk, and the tokens added by each chunk without a word end.
+
+        ``after`` is the state after the chunks with constant maps. The last chunk always has one.
+        """
+        lanes = len(constant)
         before = np.full(lanes, -1, np.int64)
         before[0] = 0
-        before[1:][constant[:-1]] = state[:-1][constant[:-1]]
-        ready = np.flatnonzero(before >= 0)
-        while len(ready):
-            now = before[ready]
-            for j in range(int(first_end[ready].max()) + 1):
-                live = np.flatnonzero(first_end[ready] >= j)
-                lane = ready[live]
-                value = self.step(now[live], grid[j, lane])
-                now[live] = value >> SHIFT
-                out[j, lane] = (value & ((1 << SHIFT) - 1)) - BIAS
-            waiting = ~constant[ready] & (ready + 1 < lanes)
-            ready, now = ready[waiting] + 1, now[waiting]
-            before[ready] = now
-        return out.T.ravel()[:n]
+        before[1:][constant[:-1]] = after[:-1][constant[:-1]]
+        inner = np.flatnonzero(~constant)
+        if not len(inner):
+            return before, np.zeros(0, np.int64)
+        low = (1 << 32) - 1
+        columns = np.ascontiguousarray(grid[:, inner].T)
+        whole = columns.view(np.dtype((np.void, columns.itemsize * columns.shape[1]))).ravel()
+        _, sample, content = np.unique(whole, return_index=True, return_inverse=True)
+        shared = np.full(lanes, -1, np.int64)
+        shared[inner] = content.ravel()
+        # maps: (content, state before) -> state after, tokens; nodes: (chunk, state before)
+        maps = np.zeros(0, np.int64)
+        exits = gains = np.zeros(0, np.int64)
+        known = before[inner] >= 0
+        nodes = np.zeros(0, np.int64)
+        new = inner << 32 | np.where(known, before[inner], 0)
+        roots = new[known]
+        for rounds in range(lanes + 1):
+            missing = np.setdiff1d(shared[new >> 32] << 32 | new & low, maps)
+            if len(missing):
+                made = self.through(missing & low, grid[:, inner[sample[missing >> 32]]])
+                maps = np.concatenate([maps, missing])
+                order = np.argsort(maps)
+                maps = maps[order]
+                exits, gains = (np.concatenate([x, y])[order] for x, y in zip((exits, gains), made))
+            nodes = np.union1d(nodes, new)
+            chunk_of = nodes >> 32
+            at = np.searchsorted(maps, shared[chunk_of] << 32 | nodes & low)
+            wanted = chunk_of + 1 << 32 | exits[at]
+            follows = np.searchsorted(nodes, wanted)
+            found = np.take(nodes, follows, mode="clip") == wanted
+            n = len(nodes)
+            jump = np.append(np.where(found, follows, n), n)
+            reached = np.zeros(n + 1, bool)
+            reached[np.searchsorted(nodes, roots)] = True
+            for _ in range(n.bit_length()):
+                reached[jump[reached]] = True
+                jump = jump[jump]
+            reached = reached[:n]
+            absent = ~found & ~constant[chunk_of + 1]
+            if not (absent & reached).any():
+                break
+            new = np.unique(wanted[absent if rounds < GROWING_ROUNDS else absent & reached])
+        before[chunk_of[reached] + 1] = exits[at[reached]]
+        tokens = np.zeros(lanes, np.int64)
+        tokens[chunk_of[reached]] = gains[at[reached]]
+        return before, tokens[inner]
 
 
 class Counter:
