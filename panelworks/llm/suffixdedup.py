@@ -13,6 +13,9 @@ corpus, in the same text or another one. Strings are judged on the input, not on
    comes before it, read backwards. Deep-shallow sorting: a multikey quicksort on words of eight
    bytes to a shallow depth, then a blind trie for each group that is still tied. The common
    prefixes of neighbours in both orders tell, for each distance, which windows are equal.
+   A run with very many contexts is dealt by a longer run: windows whose place is about equally far from their
+   start have most of their bytes in common positions, and equal windows agree on those. The pieces of the
+   contexts are sorted in the same way, and dealt again, down to single windows, where a run still has too many.
 4. The covered ranges go back to their texts.
 
 Null and empty texts, and texts shorter than ``length``, lose nothing. Every row is a text of its own:
@@ -40,8 +43,10 @@ GRAM = 64
 SHALLOW = 72
 #: Contexts sorted at a time; a longer group of one run is sorted as a whole.
 CHUNK = 8192
-#: Distinct contexts of one run from which its windows are compared one by one, as rows.
-HOT_CONTEXTS = 100_000
+#: Distinct contexts of one run above which it is dealt by longer runs.
+HOT_CONTEXTS = 2048
+#: Windows that share a longer run, as parts of ``length``; the last longer run is the window itself.
+FINER = (8, LENGTH)
 
 PLACE_BITS = np.uint64(24)
 PLACE_MASK = np.uint64((1 << 24) - 1)
@@ -341,43 +346,84 @@ def _sorted_runs(contexts: DataFrame, length: int, gram: int) -> DataFrame:
     return dealt.mapInArrow(sorted_, "_c1 long, _c2 long, _low long, _high long")
 
 
-def _window_by_window(contexts: DataFrame, length: int) -> DataFrame:
-    """The same result for runs with very many contexts: windows as rows, counted map-side."""
+def _pieces(contexts: DataFrame, length: int, width: int) -> DataFrame:
+    """Contexts cut into their windows with the place at ``width`` neighbouring distances, as contexts of a longer run.
+
+    All windows of a piece, whole or not, hold the same ``length - width + 1`` bytes around the place. (_p1, _p2)
+    is the context that was cut.
+    """
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                data = np.frombuffer(batch.column("_context")[row].as_buffer(), np.uint8)
-                start = np.arange(len(data) - length + 1)
-                ahead = batch.column("_ahead")[row].as_py()
-                w1 = T.word_hashes(data, start, start + length)
-                w2 = T.span_hashes(T.mixed(data.astype(np.uint64) + np.uint64(0x51ED27)), start, start + length)
-                n = len(start)
+                raw = batch.column("_context")[row].as_buffer().to_pybytes()
+                data = np.frombuffer(raw, np.uint8)
+                other = T.mixed(data.astype(np.uint64) + np.uint64(0x51ED27))
+                most = batch.column("_ahead")[row].as_py()
+                least = most - (len(raw) - length)
+                nearest = np.arange(least // width, most // width + 1) * width
+                farthest = nearest + width - 1
+                run = T.word_hashes(data, most - nearest, most - farthest + length)
+                run = T.mixed(run + T.mixed(nearest.astype(np.uint64) + np.uint64(batch.column("_run")[row].as_py() % (1 << 64))))
+                far = np.minimum(farthest, most)
+                lo, hi = most - far, most - np.maximum(nearest, least) + length
+                c1 = T.word_hashes(data, lo, hi) + far.astype(np.uint64)
+                c2 = T.span_hashes(other, lo, hi)
+                n = len(run)
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "_w1": pa.array(w1.view(np.int64)),
-                        "_w2": pa.array(w2.view(np.int64)),
-                        "_c1": pa.array(np.full(n, batch.column("_c1")[row].as_py())),
-                        "_c2": pa.array(np.full(n, batch.column("_c2")[row].as_py())),
-                        "_distance": pa.array(ahead - start, pa.int64()),
-                        "_count": pa.array(np.full(n, batch.column("_count")[row].as_py())),
+                        "_p1": pa.array(np.full(n, batch.column("_c1")[row].as_py()), pa.int64()),
+                        "_p2": pa.array(np.full(n, batch.column("_c2")[row].as_py()), pa.int64()),
+                        "_run": pa.array(run.view(np.int64), pa.int64()),
+                        "_c1": pa.array(c1.view(np.int64), pa.int64()),
+                        "_c2": pa.array(c2.view(np.int64), pa.int64()),
+                        "_ahead": pa.array(far.astype(np.int32), pa.int32()),
+                        "_count": pa.array(np.full(n, batch.column("_count")[row].as_py()), pa.int64()),
+                        "_context": pa.array([raw[x:y] for x, y in zip(lo, hi)], pa.binary()),
                     }
                 )
 
-    windows = store.written(
-        contexts.mapInArrow(made, "_w1 long, _w2 long, _c1 long, _c2 long, _distance long, _count long"), "windows"
+    return contexts.mapInArrow(
+        made, "_p1 long, _p2 long, _run long, _c1 long, _c2 long, _ahead int, _count long, _context binary"
     )
-    repeated = store.written(
-        windows.groupBy("_w1", "_w2").agg(F.sum("_count").alias("_n")).filter("_n > 1").drop("_n"), "repeated-windows"
+
+
+def _distinct(contexts: DataFrame, count: Column) -> DataFrame:
+    """Equal contexts of a run as one with their number."""
+    return (
+        contexts.groupBy("_c1", "_c2", "_run", "_ahead")
+        .agg(count.alias("_count"), F.first("_context").alias("_context"))
+        .withColumn("_size", F.octet_length("_context").cast("long"))
     )
-    found = store.written(
-        windows.join(repeated, ["_w1", "_w2"])
-        .groupBy("_c1", "_c2")
-        .agg(F.min("_distance").alias("_low"), F.max("_distance").alias("_high")),
-        "hot-contexts",
+
+
+def _judged(single: DataFrame, length: int, gram: int, hot_contexts: int, finer: tuple[int, ...]) -> DataFrame:
+    """A stored table (_c1, _c2, _low, _high) of the contexts with repeated windows.
+
+    Runs with more than ``hot_contexts`` contexts are dealt by longer runs, in steps of ``finer``. At the last
+    one the longer run is a whole window, so all contexts of a run are equal and have met already.
+    """
+    if not finer:
+        return store.written(_sorted_runs(single, length, gram), "judged")
+    sizes = single.groupBy("_run").agg(F.count(F.lit(1)).alias("_n"))
+    hot = store.written(sizes.filter(F.col("_n") > hot_contexts).select("_run"), "hot-runs")
+    judged = store.written(_sorted_runs(single.join(hot, "_run", "left_anti"), length, gram), "judged")
+    if hot.isEmpty():
+        store.dropped(hot)
+        return judged
+    width = max(1, length // finer[0])
+    pieces = store.written(_pieces(single.join(hot, "_run", "left_semi"), length, width), "pieces")
+    cut = store.written(_distinct(pieces, F.sum("_count")), "contexts")
+    below = _judged(cut, length, gram, hot_contexts, finer[1:])
+    found = (
+        pieces.select("_p1", "_p2", "_c1", "_c2")
+        .join(below, ["_c1", "_c2"])
+        .groupBy(F.col("_p1").alias("_c1"), F.col("_p2").alias("_c2"))
+        .agg(F.min("_low").alias("_low"), F.max("_high").alias("_high"))
     )
-    store.dropped(windows, repeated)
-    return found
+    both = store.written(judged.unionByName(found), "judged")
+    store.dropped(hot, judged, pieces, cut, below)
+    return both
 
 
 def repeated_ranges(
@@ -402,19 +448,8 @@ def repeated_ranges(
     store.dropped(named, runs, by_row)
 
     contexts = _contexts(suspects, length)
-    single = (
-        contexts.groupBy("_c1", "_c2", "_run", "_ahead")
-        .agg(F.count(F.lit(1)).alias("_count"), F.first("_context").alias("_context"))
-        .withColumn("_size", F.octet_length("_context").cast("long"))
-    )
-    single = store.written(single, "contexts")
-    hot = store.written(single.groupBy("_run").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_contexts).select("_run"), "hot-runs")
-    judged = _sorted_runs(single.join(hot, "_run", "left_anti"), length, gram)
-    hot_found = None
-    if hot.limit(1).count():
-        hot_found = _window_by_window(single.join(hot, "_run", "left_semi"), length)
-        judged = judged.union(hot_found)
-    judged = store.written(judged, "judged")
+    single = store.written(_distinct(contexts, F.count(F.lit(1))), "contexts")
+    judged = _judged(single, length, gram, hot_contexts, FINER)
     ranges = (
         contexts.select("_id", "_text", "_at", "_c1", "_c2")
         .join(judged, ["_c1", "_c2"])
@@ -423,7 +458,7 @@ def repeated_ranges(
         .agg(F.collect_set("_range").alias("_ranges"))
     )
     ranges = store.written(ranges, "ranges")
-    store.dropped(single, hot, judged, *([hot_found] if hot_found is not None else []))
+    store.dropped(single, judged)
     return suspects.select("_id", "_text", "text").join(ranges, ["_id", "_text"]), suspects
 
 

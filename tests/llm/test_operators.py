@@ -57,14 +57,34 @@ def test_removal_of_repeated_rows_and_ids(llm):
     same(rows_of(suffixdedup.removal_report(frame(llm, rows)), *REMOVAL), brute.removal(rows))
 
 
-def test_removal_window_by_window(llm, documents):
-    """Runs with many contexts take the other way and give the same ranges."""
+def covered(docs, hot):
+    found, _ = suffixdedup.repeated_ranges(docs, hot_contexts=hot)
+    return sorted((r["text"], sorted({i for x in r["_ranges"] for i in range(x["a"], x["b"])})) for r in found.collect())
 
-    def covered(hot):
-        found, _ = suffixdedup.repeated_ranges(documents, hot_contexts=hot)
-        return sorted((r["text"], sorted({i for x in r["_ranges"] for i in range(x["a"], x["b"])})) for r in found.collect())
 
-    assert covered(0) == covered(10**9)
+def test_removal_with_runs_dealt_by_longer_runs(llm, documents):
+    """Runs with many contexts are dealt again, some once, some down to windows, and give the same ranges."""
+    whole = covered(documents, 10**9)
+    assert whole and covered(documents, 3) == whole and covered(documents, 0) == whole
+
+
+def test_removal_of_a_passage_that_many_texts_share(llm):
+    """One passage of nearly the length in 150 texts: some share what stands before or behind it, or both."""
+    rng = random.Random(11)
+    passage = prose(rng, 80)[:380]
+    before, behind = [prose(rng, 20) for _ in range(6)], [prose(rng, 20) for _ in range(6)]
+    rows = []
+    for i in range(150):
+        left = rng.choice(before)[-rng.randrange(1, 60) :] if i % 2 else prose(rng, 10)
+        right = rng.choice(behind)[: rng.randrange(1, 60)] if i % 3 else prose(rng, 10)
+        rows.append((i, f"{prose(rng, 5)} {i} {left} {passage} {right} {i}"))
+    docs = frame(llm, rows)
+    found = covered(docs, 20)
+    assert found == covered(docs, 10**9)
+    removed = {t: len(c) for t, c in found}
+    wanted = brute.removal(rows)
+    assert any(r[2] for r in wanted)
+    assert [removed.get(t, 0) for _, t in rows] == [r[2] for r in sorted(wanted)]
 
 
 def test_removal_keeps_other_columns(llm):
@@ -207,6 +227,26 @@ def test_chunks_do_not_matter():
     assert len(set(totals.values())) == 1
 
 
+def test_chunk_maps_of_long_words_are_composed(content, monkeypatch):
+    """Words of many chunks: few rounds however long the word, right counts also where rounds follow one state."""
+    tokenizer = Tokenizer.from_str(content)
+    rng = random.Random(5)
+    words = ["a" * 40_000, "abc" * 10_000, "".join(rng.choice("etaoinshrdlu") for _ in range(30_000)), "é漢" * 3_000, "x" * 129 + " y " + "z" * 257]
+    wanted = [len(brute.ids(tokenizer, w)) for w in words]
+    counter = tokencount.Counter(content)
+    transducer = counter.transducer
+    rounds = []
+    through = tokencount.Transducer.through
+    monkeypatch.setattr(tokencount.Transducer, "through", lambda *own: rounds.append(1) or through(*own))
+    assert counter.counts(words).tolist() == wanted
+    assert len(rounds) <= 20
+    monkeypatch.setattr(tokencount, "GROWING_ROUNDS", 0)
+    assert counter.counts(words).tolist() == wanted
+    raw = np.frombuffer(words[2][:3_000].encode(), np.uint8).astype(np.int64)
+    raw[[700, 2_999]] += 256
+    assert len({int(transducer.added(raw, chunk).sum()) for chunk in (1, 3, 16, 128, 4_096)}) == 1
+
+
 def test_other_tokenizers_are_left_to_the_library():
     import json
 
