@@ -13,7 +13,11 @@ window order:
 * a running total needs one number per earlier chunk, so chunk totals are summed
   up and added to the total inside the chunk.
 
-Both give the same values as the plain window, for every frame size. What is
+A job with many windows of the same groups lays its rows out once (``lay_out``) and hands that layout to
+every operator: the chunk numbers stay in the rows, and what an operator needs of other chunks comes from the
+stored rows, so nothing is counted, cut or computed again.
+
+All give the same values as the plain window, for every frame size. What is
 brought together per group is only the chunk summary, a few rows per
 ``hot_rows / 2`` rows of data.
 """
@@ -154,21 +158,78 @@ class SplitGroups:
         )
 
 
-def split_groups(
+def _cut(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: HotGroups
-) -> SplitGroups:
-    """Cut the hot groups into contiguous ranges of the window order."""
-    keys, order = list(keys), list(order)
+) -> tuple[DataFrame, DataFrame, int]:
+    """The cold rows, the hot rows with their chunk number (to be stored before use), and the number of chunks."""
     chunks = max(2, -(-2 * hot.rows // hot.limit))
     lookup = hot.keys.select(*keys)
     cold = null_safe_join(df, lookup, keys, "left_anti")
     rows = null_safe_join(df, lookup, keys, "left_semi")
-    ranged = rows.repartitionByRange(chunks, *keys, *order).withColumn(
-        CHUNK, F.spark_partition_id()
-    )
+    return cold, rows.repartitionByRange(chunks, *keys, *order).withColumn(CHUNK, F.spark_partition_id()), chunks
+
+
+def split_groups(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: HotGroups
+) -> SplitGroups:
+    """Cut the hot groups into contiguous ranges of the window order."""
+    keys, order = list(keys), list(order)
+    cold, ranged, chunks = _cut(df, keys, order, hot)
     return SplitGroups(cold, persist_point(ranged), keys, order, chunks)
 
 
+@dataclass(frozen=True)
+class Layout:
+    """Stored rows, cut once along ``order`` of the groups of ``keys``; chunk -1 holds what is not hot.
+
+    It serves every window whose keys begin with ``keys`` and whose order follows ``order``: a chunk of the whole
+    group is then a range of each smaller group as well. ``rows`` gives the rows to work on; they keep
+    the column ``CHUNK`` until the job drops it, and further columns may be added to them.
+    """
+
+    stored: DataFrame
+    keys: list[str]
+    order: list[str]
+    chunks: int
+
+    def rows(self) -> DataFrame:
+        """One shuffle for the windows of all keys."""
+        return self.stored.repartition(*self.keys, CHUNK)
+
+    def split(self, keys: Sequence[str]) -> SplitGroups:
+        """The hot rows as they were stored, seen as the groups of ``keys``."""
+        hot = self.stored.filter(F.col(CHUNK) >= 0)
+        return SplitGroups(self.stored.limit(0), hot, list(keys), self.order, self.chunks)
+
+    def halo(self, keys: Sequence[str], before: int, after: int) -> DataFrame | None:
+        split = self.split(keys)
+        parts = [split._halo(n, last) for n, last in ((before, True), (after, False)) if n]
+        return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
+
+    def earlier(self, keys: Sequence[str], value: str) -> DataFrame:
+        """Per chunk and group: sum and count of ``value`` in the earlier chunks, and its value in the last row there."""
+        by = [*keys, CHUNK]
+        totals = self.split(keys).hot.groupBy(*by).agg(
+            F.sum(value).alias("_sum_before"),
+            F.count(value).alias("_count_before"),
+            F.max_by(F.struct(value), F.struct(*self.order)).alias("_last_before"),
+        )
+        frame = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        return totals.select(
+            *by,
+            F.sum("_sum_before").over(frame).alias("_sum_before"),
+            F.sum("_count_before").over(frame).alias("_count_before"),
+            F.last("_last_before").over(frame)[value].alias("_last_before"),
+        )
+
+
+def lay_out(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: HotGroups) -> Layout:
+    """Cut the hot groups once; all rows are stored with their chunk number."""
+    cold, ranged, chunks = _cut(df, keys, order, hot)
+    rows = ranged.unionByName(cold.withColumn(CHUNK, F.lit(-1)))
+    return Layout(stored_table(rows), list(keys), list(order), chunks)
+
+
 def apply_windows(
     df: DataFrame,
     keys: Sequence[str],
@@ -177,11 +238,19 @@ def apply_windows(
     before: int = 0,
     after: int = 0,
     hot_rows: int | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Add window columns whose frames reach ``before`` rows back and ``after`` ahead.
 
-    All columns of ``build`` share one window, hence one shuffle and one sort.
+    All columns of ``build`` share one window, hence one shuffle and one sort. With a ``layout``, ``df`` holds its
+    rows, and ``build`` takes only columns that the layout was made with.
     """
+    if layout is not None:
+        rows, halo = df.withColumn(HALO, F.lit(False)), layout.halo(keys, before, after)
+        if halo is not None:
+            rows = rows.unionByName(halo, allowMissingColumns=True)
+        window = Window.partitionBy(*keys, CHUNK).orderBy(*order)
+        return rows.select("*", *build(window)).filter(~F.col(HALO)).drop(HALO)
     hot = hot_groups(df, keys, hot_rows)
     if hot is None:
         return df.select("*", *build(Window.partitionBy(*keys).orderBy(*order)))
@@ -200,11 +269,13 @@ def running_before(
     count_as: str | None = None,
     previous_as: str | None = None,
     hot_rows: int | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Sum and count of ``value`` over the earlier rows of the group.
 
     The sum is null where no earlier row has a value; the count is then 0.
-    ``previous_as`` adds the value of the row just before.
+    ``previous_as`` adds the value of the row just before. With a ``layout``, ``df`` holds its rows, and
+    ``value`` is a column that the layout was made with.
     """
 
     def columns(window: WindowSpec, own: Column) -> list[Column]:
@@ -216,6 +287,24 @@ def running_before(
             added.append(F.lag(value, 1).over(window).alias(previous_as))
         return added
 
+    def with_earlier(inside: DataFrame, offsets: DataFrame) -> DataFrame:
+        joined = null_safe_join(inside, offsets, [*keys, CHUNK], "left")
+        added = F.coalesce(F.col("_sum_before") + F.col(sum_as), F.col("_sum_before"), F.col(sum_as))
+        result = joined.withColumn(sum_as, added)
+        if count_as:
+            result = result.withColumn(
+                count_as, F.col(count_as) + F.coalesce(F.col("_count_before"), F.lit(0))
+            )
+        return result
+
+    if layout is not None:
+        window = Window.partitionBy(*keys, CHUNK).orderBy(*order)
+        inside = df.select("*", *columns(window, F.col(value)), F.row_number().over(window).alias("_place"))
+        result = with_earlier(inside, stored_table(layout.earlier(keys, value)))
+        if previous_as:
+            first = F.col("_place") == 1
+            result = result.withColumn(previous_as, F.when(first, F.col("_last_before")).otherwise(F.col(previous_as)))
+        return result.drop("_place", "_sum_before", "_count_before", "_last_before")
     hot = hot_groups(df, keys, hot_rows)
     if hot is None:
         window = Window.partitionBy(*keys).orderBy(*order)
@@ -226,13 +315,7 @@ def running_before(
     inside = rows.select("*", *columns(window, F.when(~F.col(HALO), F.col(value)))).filter(~F.col(HALO))
     totals = {"_sum_before": F.sum(value), "_count_before": F.count(value)}
     offsets = split.earlier_totals(totals)
-    joined = null_safe_join(inside, offsets, [*keys, CHUNK], "left")
-    added = F.coalesce(F.col("_sum_before") + F.col(sum_as), F.col("_sum_before"), F.col(sum_as))
-    result = joined.withColumn(sum_as, added)
-    if count_as:
-        result = result.withColumn(
-            count_as, F.col(count_as) + F.coalesce(F.col("_count_before"), F.lit(0))
-        )
+    result = with_earlier(inside, offsets)
     return result.drop(CHUNK, HALO, "_sum_before", "_count_before")
 
 

@@ -20,6 +20,7 @@ from panelworks.functions.scalars import action_sum
 from panelworks.operators.layout import (
     CHUNK,
     HALO,
+    Layout,
     apply_windows,
     attach,
     hot_groups,
@@ -102,6 +103,7 @@ def add_features(
     families: Sequence[Features],
     order: Sequence[str] | None = None,
     hot_rows: int | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Evaluate all families in one pass over (entity, season) in sequence order."""
     near = Neighbours()
@@ -114,6 +116,7 @@ def add_features(
         before=max((f.before for f in families), default=0),
         after=max((f.after for f in families), default=0),
         hot_rows=hot_rows,
+        layout=layout,
     )
     return wide.select(*df.columns, *features)
 
@@ -294,7 +297,7 @@ def lead_target(
 
 
 def add_prior_encounters(
-    df: DataFrame, panel: Panel = Panel(), hot_rows: int | None = None
+    df: DataFrame, panel: Panel = Panel(), hot_rows: int | None = None, layout: Layout | None = None
 ) -> DataFrame:
     """Number and mean of earlier scores against the same opponent.
 
@@ -309,6 +312,7 @@ def add_prior_encounters(
         count_as="games_vs_opponent",
         previous_as="_previous_vs",
         hot_rows=hot_rows,
+        layout=layout,
     )
     mean = F.try_divide(F.col("_sum_vs").cast("double"), F.col("games_vs_opponent"))
     return counted.withColumn(
@@ -328,7 +332,7 @@ def blend_with_career(
 
 
 def add_career_avg_as_of(
-    df: DataFrame, panel: Panel = Panel(), hot_rows: int | None = None
+    df: DataFrame, panel: Panel = Panel(), hot_rows: int | None = None, layout: Layout | None = None
 ) -> DataFrame:
     """Career mean from earlier rows only."""
     counted = running_before(
@@ -339,6 +343,7 @@ def add_career_avg_as_of(
         sum_as="_sum",
         count_as="_count",
         hot_rows=hot_rows,
+        layout=layout,
     )
     mean = F.try_divide(F.col("_sum").cast("double"), F.col("_count"))
     return counted.withColumn("career_avg", mean).drop("_sum", "_count")

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelworks.functions.scalars import TEAM_CODES
+from panelworks.operators import layout
 from panelworks.operators.cleaning import FLOAT_COLUMNS, INT_COLUMNS
 from panelworks.operators.roster import SLOTS, RosterRules
 from panelworks.plans import quality
@@ -183,11 +184,16 @@ def test_tuning_logs_all_trials_and_the_errors_of_the_winners(spark, week, tmp_p
     assert (tmp_path / "tuned" / "position=HOK" / "metadata").exists()
 
 
-def test_gold_is_the_same_with_split_groups(spark, week):
+def test_gold_is_the_same_with_split_groups(spark, week, monkeypatch):
+    """And hot entities are cut once for all windows."""
     silver = spark.read.parquet(week("silver/player_rounds"))
+    cut, of_keys = layout._cut, []
+    monkeypatch.setattr(layout, "_cut", lambda df, keys, *more: of_keys.append(keys) or cut(df, keys, *more))
     for point_in_time in (False, True):
         plain = gold_features(silver, point_in_time=point_in_time)
+        of_keys.clear()
         split = gold_features(silver, point_in_time=point_in_time, hot_rows=15)
+        assert [k for k in of_keys if "player_name" in k] == [("player_name",)]
         cols = sorted(plain.columns)
 
         def table(df):

@@ -157,3 +157,37 @@ def test_a_hot_join_key_is_split_by_adaptive_execution(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+LAID_OUT = {
+    "encounters": lambda df, lay: w.add_prior_encounters(df, PANEL, layout=lay),
+    "career as of": lambda df, lay: w.add_career_avg_as_of(df, PANEL, layout=lay),
+    "lags": lambda df, lay: w.add_features(df, PANEL, w.score_lags(PANEL), layout=lay),
+    "target": lambda df, lay: w.add_features(df, PANEL, [w.lead("score", "target")], layout=lay),
+    "trend": lambda df, lay: w.add_features(
+        df, PANEL, [*w.score_rolling(PANEL), w.form_trend("score"), w.average_to_date("score")], layout=lay
+    ),
+}
+
+
+@pytest.mark.parametrize("limit", [7, 60])
+@pytest.mark.parametrize("seasons", [1, 3])
+def test_one_layout_serves_windows_of_several_keys(spark, skewed, limit, seasons):
+    """Every operator alone and all in a row, on one cut along the timeline, as on the plain rows."""
+    df = skewed.withColumn("year", F.when(F.col("id") % 7 != 0, 2020 + F.col("id") % seasons))
+    hot = layout.hot_groups(df, ["player_name"], limit)
+    lay = layout.lay_out(df, ["player_name"], ["year", "round", "id"], hot)
+    laid = lay.rows()
+    assert laid.filter(F.col(layout.CHUNK) >= 0).select(layout.CHUNK).distinct().count() > 1
+
+    def table(df, cols):
+        rows = df.select(*cols).collect()
+        return sorted([tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows], key=repr)
+
+    plain_all, laid_all = df, laid
+    for op in LAID_OUT.values():
+        plain, split = op(df, None), op(laid, lay).drop(layout.CHUNK)
+        assert sorted(plain.columns) == sorted(split.columns)
+        assert table(plain, plain.columns) == table(split, plain.columns)
+        plain_all, laid_all = op(plain_all, None), op(laid_all, lay)
+    assert table(plain_all, plain_all.columns) == table(laid_all, plain_all.columns)
