@@ -34,7 +34,7 @@ from panelworks.checks.source_queries import (
 )
 from panelworks.checks.roster_queries import searched
 from panelworks.checks.summary_queries import CAREER, FORM, STRENGTH, TURNS
-from panelworks.checks.window_queries import LI_OVER, rank_sql
+from panelworks.checks.window_queries import ACTION_SUM, LI_OVER, rank_sql
 from panelworks.operators.cleaning import conform_silver
 from panelworks.operators.joins import latest_matchup
 from panelworks.operators.roster import RosterRules
@@ -130,6 +130,98 @@ def gold_query(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: The statistics of the supply panel that become lagged features.
+LAGGED = ("TR", "TA", "GO", "FG", "TB", "MT", "mins", "bppm")
+
+
+def _every_feature() -> dict[str, str]:
+    """SQL of each feature of the gold table by its name, over the rows of ``wide``."""
+
+    def lag(col: str, n: int) -> str:
+        return f"lag({col}, {n}) OVER ({LI_OVER})"
+
+    def mean(col: str, n: int, skip: int = 0, fn: str = "avg") -> str:
+        return f"CAST({frame_mean(col, 1 - n - skip, -skip, n, LI_OVER, fn)} AS DOUBLE)"
+
+    features = {
+        "price_rank_in_position": "price_rank",
+        "score_rank_in_position": "score_rank",
+        "initial_price": "initial_price",
+        "price_vs_initial": "price - initial_price",
+        "price_per_point": "price / greatest(CAST(avg_score AS DOUBLE), 1.0)",
+        "is_min_price": "price <= 102400 * 1.1",
+        "is_home": "is_home",
+        "ground_condition": "ground_condition",
+        "weather_condition": "weather_condition",
+        "is_bye": "is_bye",
+        "opponent_avg_pts_allowed": "opponent_avg_pts_allowed",
+        "action_score": "action_score",
+        "be_gap": "be_gap",
+        "career_avg": "career_avg",
+        "games_vs_opponent": "CAST(games AS BIGINT)",
+        "player_vs_opponent_avg": "CASE WHEN prev IS NOT NULL THEN total / games END",
+        "matchup_adjusted_avg": "matchup_adjusted_avg",
+        "score_lag_1": lag("score", 1),
+        "score_lag_2": lag("score", 2),
+        "score_lag_3": lag("score", 3),
+        "price_change_lag_1": lag("round_price_change", 1),
+        "price_change_lag_2": lag("round_price_change", 2),
+        "action_score_lag_1": lag("action_score", 1),
+        "action_score_rolling_3": mean("action_score", 3),
+        "action_score_rolling_5": mean("action_score", 5),
+        "rolling_avg_3": mean("score", 3),
+        "rolling_avg_5": mean("score", 5),
+        "rolling_std_3": mean("score", 3, fn="stddev_samp"),
+        "rolling_std_5": mean("score", 5, fn="stddev_samp"),
+        "price_momentum_3": mean("round_price_change", 3),
+        "form_trend": f"{mean('score', 3)} - {mean('score', 3, 3)}",
+        "season_avg_to_date": frame_mean("score", -27, -1, 1, LI_OVER),
+        "avg_be_gap_3rd": mean("be_gap", 3),
+        "be_gap_lag_1": lag("be_gap", 1),
+        "consecutive_be_beaten": " + ".join(f"CAST({lag('be_gap', n)} > 0 AS INTEGER)" for n in (1, 2, 3)),
+    }
+    for stat in LAGGED:
+        features[f"{stat}_lag_1"] = lag(f'"{stat}"', 1)
+        features[f"{stat}_roll_avg_3"] = mean(f'"{stat}"', 3, 1)
+        features[f"{stat}_roll_avg_5"] = mean(f'"{stat}"', 5, 1)
+    return features
+
+
+EVERY_FEATURE = _every_feature()
+#: Features with fractions, which are rounded before they are compared.
+FRACTIONS = {
+    name for name in EVERY_FEATURE
+    if name.startswith(("rolling", "price_momentum", "price_per", "form", "season", "avg", "career", "opponent_avg",
+                        "player_vs", "matchup", "action_score_rolling", "bppm"))
+    or "_roll_avg_" in name
+}
+GOLD_WIDE_SQL = (
+    f"WITH {GOLD_CTE}, wide AS (SELECT gold.*, {ACTION_SUM} AS action_score, ground_condition, weather_condition FROM gold"
+    " LEFT JOIN (SELECT year, round, team, ground_condition, weather_condition FROM cx) USING (year, round, team))"
+    " SELECT player_name, year, round, "
+    + ", ".join(r8(f"({sql})", f'"{name}"') if name in FRACTIONS else f'{sql} AS "{name}"' for name, sql in EVERY_FEATURE.items())
+    + " FROM wide"
+)
+
+
+@register("gold_every_feature", GOLD_WIDE_SQL)
+def gold_every_feature(spark: SparkSession, sf: str) -> DataFrame:
+    """All features of the gold table."""
+    return rounded(gold(spark, sf).select(*KEYS, *EVERY_FEATURE))
+
+
+#: Rows of a player who missed a round; players with more are cut into ranges by the query below.
+FULL_SEASONS = 79
+
+
+@register("gold_from_one_layout", GOLD_WIDE_SQL)
+def gold_from_one_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, the players with all their rounds cut into ranges."""
+    silver = stored(supply_panel(spark, sf))
+    wide = gold_features(silver, coded_context(spark, sf), SUPPLY, hot_rows=FULL_SEASONS)
+    return rounded(wide.select(*KEYS, *EVERY_FEATURE))
+
+
 # --- registry -----------------------------------------------------------------------
 
 
