@@ -6,8 +6,10 @@ helpers here count the groups first. When all of them fit, they build the plain
 window (one shuffle). Otherwise only the hot groups are cut into ranges of the
 window order:
 
-* the hot rows are range-partitioned by (keys, order); the partition number is
-  the chunk number, made stable by a checkpoint;
+* the hot rows are range-partitioned by (keys, order) and numbered inside each
+  partition; every ``hot_rows / 2`` of them are a chunk, made stable by a checkpoint.
+  How many partitions there are follows the bytes, not the limit, so many small hot
+  groups make many chunks but no more tasks;
 * a bounded frame needs at most ``before``/``after`` neighbours, so each chunk
   receives copies of the last/first rows of its neighbour chunks (the halo);
 * a running total needs one number per earlier chunk, so chunk totals are summed
@@ -36,6 +38,8 @@ from panelworks.session import persist_point, stored_table
 
 #: Most bytes of rows that one group may bring into one task, by the width of the schema.
 HOT_BYTES = 512 << 20
+#: Bytes of hot rows that one task cuts into chunks, where that takes fewer tasks than a chunk each.
+RANGE_BYTES = 64 << 20
 #: Pass as ``hot_rows`` where the caller has counted the groups already.
 UNCHECKED = -1
 
@@ -104,7 +108,6 @@ class SplitGroups:
     hot: DataFrame
     keys: list[str]
     order: list[str]
-    chunks: int
 
     @property
     def chunk_keys(self) -> list[str]:
@@ -160,13 +163,25 @@ class SplitGroups:
 
 def _cut(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: HotGroups
-) -> tuple[DataFrame, DataFrame, int]:
-    """The cold rows, the hot rows with their chunk number (to be stored before use), and the number of chunks."""
-    chunks = max(2, -(-2 * hot.rows // hot.limit))
+) -> tuple[DataFrame, DataFrame]:
+    """The cold rows, and the hot rows with their chunk number (to be stored before use)."""
     lookup = hot.keys.select(*keys)
     cold = null_safe_join(df, lookup, keys, "left_anti")
     rows = null_safe_join(df, lookup, keys, "left_semi")
-    return cold, rows.repartitionByRange(chunks, *keys, *order).withColumn(CHUNK, F.spark_partition_id()), chunks
+    ranged = rows.repartitionByRange(range_tasks(df, hot), *keys, *order).sortWithinPartitions(*keys, *order)
+    numbered = ranged.withColumn(CHUNK, F.monotonically_increasing_id())
+    # rows of equal order stay in one chunk, that of the first of them; the ranges hold them together already
+    first = F.min(CHUNK).over(Window.partitionBy(*dict.fromkeys([*keys, *order])))
+    place = first.bitwiseAND(F.lit((1 << 33) - 1))  # inside the partition; its number is in the bits above
+    chunk = first - place + F.floor(place / max(1, hot.limit // 2))
+    return cold, numbered.withColumn(CHUNK, chunk)
+
+
+def range_tasks(df: DataFrame, hot: HotGroups) -> int:
+    """Tasks that cut the hot rows: one for each chunk, but no more than their bytes or the cluster ask for."""
+    shuffled = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_bytes = -(-hot.rows * row_bytes(df.schema) // RANGE_BYTES)
+    return min(max(2, -(-2 * hot.rows // hot.limit)), max(shuffled, by_bytes))
 
 
 def split_groups(
@@ -174,8 +189,8 @@ def split_groups(
 ) -> SplitGroups:
     """Cut the hot groups into contiguous ranges of the window order."""
     keys, order = list(keys), list(order)
-    cold, ranged, chunks = _cut(df, keys, order, hot)
-    return SplitGroups(cold, persist_point(ranged), keys, order, chunks)
+    cold, ranged = _cut(df, keys, order, hot)
+    return SplitGroups(cold, persist_point(ranged), keys, order)
 
 
 @dataclass(frozen=True)
@@ -190,7 +205,6 @@ class Layout:
     stored: DataFrame
     keys: list[str]
     order: list[str]
-    chunks: int
 
     def rows(self) -> DataFrame:
         """One shuffle for the windows of all keys."""
@@ -199,7 +213,7 @@ class Layout:
     def split(self, keys: Sequence[str]) -> SplitGroups:
         """The hot rows as they were stored, seen as the groups of ``keys``."""
         hot = self.stored.filter(F.col(CHUNK) >= 0)
-        return SplitGroups(self.stored.limit(0), hot, list(keys), self.order, self.chunks)
+        return SplitGroups(self.stored.limit(0), hot, list(keys), self.order)
 
     def halo(self, keys: Sequence[str], before: int, after: int) -> DataFrame | None:
         split = self.split(keys)
@@ -225,9 +239,9 @@ class Layout:
 
 def lay_out(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: HotGroups) -> Layout:
     """Cut the hot groups once; all rows are stored with their chunk number."""
-    cold, ranged, chunks = _cut(df, keys, order, hot)
+    cold, ranged = _cut(df, keys, order, hot)
     rows = ranged.unionByName(cold.withColumn(CHUNK, F.lit(-1)))
-    return Layout(stored_table(rows), list(keys), list(order), chunks)
+    return Layout(stored_table(rows), list(keys), list(order))
 
 
 def apply_windows(

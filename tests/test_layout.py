@@ -191,3 +191,19 @@ def test_one_layout_serves_windows_of_several_keys(spark, skewed, limit, seasons
         assert table(plain, plain.columns) == table(split, plain.columns)
         plain_all, laid_all = op(plain_all, None), op(laid_all, lay)
     assert table(plain_all, plain_all.columns) == table(laid_all, plain_all.columns)
+
+
+def test_many_small_hot_groups_need_few_tasks(spark):
+    """Chunks follow the limit, tasks the bytes; rows of equal order stay together."""
+    df = spark.range(2400).selectExpr("id div 12 as k", "id % 12 div 2 as o", "id")
+    hot = layout.hot_groups(df, ["k"], 4)
+    split = layout.split_groups(df, ["k"], ["o"], hot)
+    assert (hot.groups, split.cold.count(), split.hot.count()) == (200, 0, 2400)
+    assert split.hot.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = split.hot.groupBy(*split.chunk_keys).count()
+    assert sizes.count() >= 1200 and sizes.agg(F.max("count")).first()[0] == 2
+    assert split.hot.groupBy("k", "o").agg(F.count_distinct(layout.CHUNK).alias("n")).filter("n > 1").count() == 0
+    # a chunk is a range of the order
+    ends = split.hot.groupBy(*split.chunk_keys).agg(F.min("o").alias("a"), F.max("o").alias("b"))
+    before = Window.partitionBy("k").orderBy(layout.CHUNK)
+    assert ends.withColumn("p", F.lag("b").over(before)).filter("p >= a").count() == 0
