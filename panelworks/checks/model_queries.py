@@ -88,7 +88,8 @@ def exact_medians(spark: SparkSession, sf: str) -> DataFrame:
     {r8('coalesce("TR", (SELECT median("TR") FROM li))', 'tr')} FROM li""",
 )
 def imputed_medians(spark: SparkSession, sf: str) -> DataFrame:
-    filled = f.impute_median(supply_panel(spark, sf), ["score", "TR"])
+    panel = supply_panel(spark, sf).select("player_name", "year", "round", "score", "TR")
+    filled = f.impute_median(panel, ["score", "TR"])
     return rounded(filled.select("player_name", "year", "round", "score", F.col("TR").alias("tr")))
 
 

@@ -129,10 +129,17 @@ def exact_medians(
     share of ``4 / accuracy`` of the rows. The second counts the values between them, and as one number those
     below; running counts give each value its ranks, and the middle ranks are read off. Only what lies
     in a bracket is shuffled, counted before, and no task holds a whole column. Should a bracket miss a
-    middle rank, its column is counted whole.
+    middle rank, its column is counted whole. The columns are stored first, so what ``df`` is made of is computed once.
     """
-    if not cols:
+    medians = _medians(stored_table(df.select(*dict.fromkeys(cols))), cols, hot_rows, accuracy) if cols else {}
+    if not medians:
         return df.sparkSession.createDataFrame([], "column string, median double")
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(m).cast("double").alias("median")) for c, m in medians.items()]
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
+
+
+def _medians(df: DataFrame, cols: Sequence[str], hot_rows: int | None, accuracy: int = 10_000) -> dict[str, float]:
+    """Median of every column that holds a value; ``df``, a stored table, is read twice or three times."""
     margin = 2.0 / accuracy
     value = {c: F.col(c).cast("double") for c in cols}
     sketched = [F.percentile_approx(value[c], [0.5 - margin, 0.5 + margin], accuracy) for c in cols]
@@ -140,11 +147,7 @@ def exact_medians(
     brackets = {c: (n, *ends) for c, n, ends in zip(cols, *found) if n}
     medians = _medians_within(df, brackets, hot_rows)
     missed = {c: (n, LEAST, LARGEST) for c, (n, *_) in brackets.items() if c not in medians}
-    medians |= _medians_within(df, missed, hot_rows)
-    if not medians:
-        return df.sparkSession.createDataFrame([], "column string, median double")
-    rows = [F.struct(F.lit(c).alias("column"), F.lit(m).cast("double").alias("median")) for c, m in medians.items()]
-    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    return medians | _medians_within(df, missed, hot_rows)
 
 
 def _medians_within(
@@ -183,8 +186,14 @@ def _medians_within(
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], hot_rows: int | None = None) -> DataFrame:
-    """Fill nulls with the column median; one number per column passes the driver."""
-    medians = {r["column"]: r["median"] for r in exact_medians(df, cols, hot_rows).collect()}
+    """Fill nulls with the column median; one number per column passes the driver.
+
+    The rows are stored once; the medians and the result read the stored rows.
+    """
+    if not cols:
+        return df
+    df = stored_table(df)
+    medians = _medians(df, cols, hot_rows)
     return df.withColumns(
         {
             c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c]))

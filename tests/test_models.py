@@ -269,3 +269,20 @@ def test_best_round_and_patience():
     assert m.best_round([5, 4, 3, 4, 5, 2], 10) == 6
     assert m.best_round([5, 4, 3, 4, 5, 2], 2) == 3
     assert m.best_round([1.0], 3) == 1
+
+
+def test_medians_compute_their_input_once(spark):
+    """Sketch, counts and result read stored rows, whatever the input is made of."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(100).select("id", F.col("id").alias("a")).mapInArrow(noted, "id long, a long")
+    assert f.exact_medians(df, ["a"]).first()["median"] == 49.5
+    assert seen.value == 100
+    filled = f.impute_median(df, ["a"])
+    assert filled.count() == 100 and filled.agg(F.sum("a")).first()[0] == 4950.0
+    assert seen.value == 200
