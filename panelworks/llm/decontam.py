@@ -110,6 +110,7 @@ def _frequencies(docs: DataFrame, block: Block) -> dict[int, int]:
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        T.give_back()
         wanted = shared.value
         total = {n: np.zeros(len(h), np.int64) for n, h in wanted.items()}
         filters = {n: _filter(h) for n, h in wanted.items()}
@@ -155,6 +156,7 @@ def _hits(docs: DataFrame, block: Block, keep: list[str]) -> DataFrame:
     fields = {f.name: f for f in docs.schema}
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        T.give_back()
         block = shared.value
         parts = {}
         for n in np.unique(block.size):

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelworks.llm import encode, store
+from panelworks.llm import text as T
 
 CAPACITY = 1024
 END = 2
@@ -198,6 +199,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        T.give_back()
         part = TaskContext.get().partitionId()
         next_rank = np.zeros(capacity + 1, np.int64)
         for batch in batches:
@@ -256,6 +258,7 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
     shared = docs.sparkSession.sparkContext.broadcast(made)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        T.give_back()
         plan = shared.value
         for batch in batches:
             rank = batch.column("_rank").to_numpy() + batch.column("_before").to_numpy()

@@ -65,3 +65,21 @@ def test_stages_keep_what_they_should(llm, folder):
     whole = corpus_pipeline.run(llm, root)
     key = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, whole.select(*key).collect())) == sorted(map(tuple, out.select(*key).collect()))
+
+
+def test_freed_memory_of_a_worker_goes_back_to_the_system():
+    """Many arrays below the size that the allocator maps for itself, with one kept above them."""
+    import numpy as np
+
+    from panelworks.llm import text as T
+
+    def resident():
+        with open("/proc/self/statm") as held:
+            return int(held.read().split()[1]) * 4096
+
+    arrays = [np.ones(60_000, np.uint8) for _ in range(3000)]
+    kept = arrays[-1]
+    del arrays
+    before = resident()
+    T.give_back()
+    assert before - resident() > 100 << 20 and kept[0] == 1
